@@ -77,3 +77,75 @@ def queries() -> dict[str, Builder]:
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in REGISTRY.items() if sql is not None}
+
+
+# --- analyses -------------------------------------------------------------------
+from headway.operators import analyses as _an  # noqa: E402
+
+# The bridged feed has no BRT tier; a region name plays the category.
+CORRIDOR_CATEGORY = "ASIA"
+
+
+@register("busiest_corridors", oracle.busiest_corridors(CORRIDOR_CATEGORY, 15))
+def busiest_corridors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 15 routes of one category by abstract departures, ranked."""
+    return _an.busiest_corridors(_models(spark, sf_dir).presentation_route_summary,
+                                 CORRIDOR_CATEGORY, 15)
+
+
+@register("busiest_routes", oracle.busiest_routes(10))
+def busiest_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 routes by abstract departures."""
+    return _an.busiest_routes(_models(spark, sf_dir).presentation_route_summary, 10)
+
+
+@register("network_pulse", oracle.NETWORK_PULSE)
+def network_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average arrivals per clock hour, weekday vs weekend."""
+    m = _models(spark, sf_dir)
+    return _an.network_pulse(m.presentation_hourly_network_density, m.dim_date)
+
+
+@register("service_frequency_tiers", oracle.FREQUENCY_TIERS)
+def service_frequency_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures per headway tier with shares."""
+    return _an.service_frequency_tiers(_models(spark, sf_dir).trip_windows)
+
+
+@register("peaking_factor", oracle.PEAKING_FACTOR)
+def peaking_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peak hour and peaking factor, network-wide and per category."""
+    return _an.peaking_factor(_models(spark, sf_dir).presentation_hourly_network_density)
+
+
+@register("service_tier_mix", oracle.TIER_MIX)
+def service_tier_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures, share, routes and distinct stops per service category."""
+    m = _models(spark, sf_dir)
+    return _an.service_tier_mix(m.trip_windows, m.window_stops)
+
+
+@register("busiest_stops", oracle.busiest_stops(10))
+def busiest_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 stops by scheduled visits per service day."""
+    m = _models(spark, sf_dir)
+    return _an.busiest_stops(m.window_stops, m.dim_stop, 10)
+
+
+@register("top_interchange_hubs", oracle.top_interchange_hubs(10))
+def top_interchange_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 hubs (parent station or stop) by routes, then visits."""
+    m = _models(spark, sf_dir)
+    return _an.top_interchange_hubs(m.window_stops, m.dim_stop, 10)
+
+
+@register("stop_hour_histogram", oracle.STOP_HOUR_HISTOGRAM)
+def stop_hour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits per (stop, service-day hour) for every stop; hours 24+ kept."""
+    return _an.stop_hour_histogram(_models(spark, sf_dir).window_stops)
+
+
+@register("service_active_days", oracle.SERVICE_ACTIVE_DAYS)
+def service_active_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active days per service against its calendar window."""
+    return _an.service_active_days(_models(spark, sf_dir).dim_service)
