@@ -1,15 +1,20 @@
-"""Column-level helpers; all are native Spark expressions (no Python UDFs)."""
+"""Column-level helpers; all are native Spark expressions (no Python UDFs).
+
+Helpers whose name ends in ``_sql`` (and everything in ``series``) return
+SQL expression text, so a large expression costs one call into the JVM.
+"""
 
 from headway.functions.keys import surrogate_key
-from headway.functions.labels import decode, service_category, service_name
-from headway.functions.series import (count_in_range, departure_count, departure_series,
-                                      hour_buckets, last_departure)
+from headway.functions.labels import (decode, decode_sql, service_category, service_name,
+                                      service_name_sql)
+from headway.functions.series import (col, count_in_range, departure_count, departure_series,
+                                      hour_buckets)
 from headway.functions.times import (clock_date, clock_hour, gtfs_time_to_seconds,
-                                     next_day_offset, service_hour)
+                                     next_day_offset, service_hour, time_to_seconds_sql)
 
 __all__ = [
-    "surrogate_key", "decode", "service_category", "service_name",
-    "count_in_range", "departure_count", "departure_series", "hour_buckets",
-    "last_departure", "clock_date", "clock_hour", "gtfs_time_to_seconds",
-    "next_day_offset", "service_hour",
+    "surrogate_key", "decode", "decode_sql", "service_category", "service_name",
+    "service_name_sql", "col", "count_in_range", "departure_count", "departure_series",
+    "hour_buckets", "clock_date", "clock_hour", "gtfs_time_to_seconds", "next_day_offset",
+    "service_hour", "time_to_seconds_sql",
 ]

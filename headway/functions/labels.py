@@ -36,8 +36,20 @@ WEEKDAY_FLAGS = ["runs_monday", "runs_tuesday", "runs_wednesday", "runs_thursday
                  "runs_friday", "runs_saturday", "runs_sunday"]
 
 
-def decode(code: Column, table: dict, default: str = UNKNOWN) -> Column:
-    """CASE code WHEN k THEN v ... ELSE default END (NULL -> default)."""
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def decode_sql(code: str, table: dict, default: str = UNKNOWN) -> str:
+    """SQL text: CASE code WHEN k THEN v ... ELSE default END (NULL -> default)."""
+    whens = " ".join(f"WHEN {k} THEN {_sql_str(v)}" for k, v in table.items())
+    return f"CASE {code} {whens} ELSE {_sql_str(default)} END"
+
+
+def decode(code: Column | str, table: dict, default: str = UNKNOWN) -> Column:
+    """Column version of ``decode_sql``; ``code`` is a column name or Column."""
+    if isinstance(code, str):
+        return F.expr(decode_sql(f"`{code}`", table, default))
     expr = None
     for key, label in table.items():
         expr = (F.when(code == F.lit(key), F.lit(label)) if expr is None
@@ -45,22 +57,26 @@ def decode(code: Column, table: dict, default: str = UNKNOWN) -> Column:
     return expr.otherwise(F.lit(default))
 
 
-def service_category(route_description: Column) -> Column:
+def service_category(route_description: Column | str) -> Column:
     """Empty or NULL route description -> 'Unknown'."""
+    if isinstance(route_description, str):
+        return F.expr(f"coalesce(nullif(`{route_description}`, ''), {_sql_str(UNKNOWN_CATEGORY)})")
     return F.coalesce(F.nullif(route_description, F.lit("")), F.lit(UNKNOWN_CATEGORY))
 
 
-def service_name(service_id: Column) -> Column:
-    """'<shape> (<service_id>)' from the seven weekday flags.
+def service_name_sql(service_id: str = "service_id") -> str:
+    """SQL text: '<shape> (<service_id>)' from the seven weekday flags.
 
     A NULL flag never satisfies a shape (three-valued logic), so it falls
     through to 'Custom'."""
-    expr = None
+    whens = []
     for label, pattern in SERVICE_NAME_PATTERNS:
-        cond = None
-        for flag, wanted in zip(WEEKDAY_FLAGS, pattern):
-            term = F.col(flag) if wanted else ~F.col(flag)
-            cond = term if cond is None else (cond & term)
-        value = F.concat(F.lit(f"{label} ("), service_id, F.lit(")"))
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    return expr.otherwise(F.concat(F.lit(f"{SERVICE_NAME_FALLBACK} ("), service_id, F.lit(")")))
+        cond = " AND ".join(flag if wanted else f"NOT {flag}"
+                            for flag, wanted in zip(WEEKDAY_FLAGS, pattern))
+        whens.append(f"WHEN {cond} THEN concat({_sql_str(label + ' (')}, {service_id}, ')')")
+    fallback = f"concat({_sql_str(SERVICE_NAME_FALLBACK + ' (')}, {service_id}, ')')"
+    return f"CASE {' '.join(whens)} ELSE {fallback} END"
+
+
+def service_name(service_id: str = "service_id") -> Column:
+    return F.expr(service_name_sql(f"`{service_id}`"))

@@ -6,8 +6,11 @@ materializes them; the other helpers answer counting questions about the
 same series in closed form, so marts that only need counts never have to
 explode one row per departure.
 
-All inputs are LongType seconds.  Values are far below 2**53, so the double
-divisions used for integer division are exact.
+The helpers take SQL expressions (column names or expression text) and
+return SQL text, wrapped into a Column by the ``*_col`` functions; one
+expression is then one call into the JVM, however large it is.  All inputs
+are BIGINT seconds.  ``div`` truncates toward zero; values are far below
+2**53 so the double divisions inside CEIL/FLOOR are exact.
 """
 
 from __future__ import annotations
@@ -16,20 +19,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _idiv(a: Column, b: Column | int) -> Column:
-    """Integer division truncating toward zero."""
-    return (a / b).cast("long")
+def _p(x: str | int) -> str:
+    return f"({x})"
 
 
-def _valid_up(start: Column, end: Column, headway: Column) -> Column:
-    return (headway > 0) & (end - 1 >= start)
+def valid_up(start: str, end: str, headway: str) -> str:
+    return f"({_p(headway)} > 0 AND {_p(end)} - 1 >= {_p(start)})"
 
 
-def _valid_down(start: Column, end: Column, headway: Column) -> Column:
-    return (headway < 0) & (end - 1 <= start)
+def valid_down(start: str, end: str, headway: str) -> str:
+    return f"({_p(headway)} < 0 AND {_p(end)} - 1 <= {_p(start)})"
 
 
-def departure_series(start: Column, end: Column, headway: Column) -> Column:
+def departure_series(start: str, end: str, headway: str) -> str:
     """Array of departures in ``[start, end)`` stepping by ``headway``, or NULL.
 
     The end is exclusive.  A headway at least as long as the window gives one
@@ -37,64 +39,50 @@ def departure_series(start: Column, end: Column, headway: Column) -> Column:
     guard sits inside the expression, because ``sequence`` raises on an empty
     or zero-step range).  A negative headway counts down from ``start`` to
     ``end - 1``, as a generated array with a negative step does."""
-    ok = _valid_up(start, end, headway) | _valid_down(start, end, headway)
-    return F.when(ok, F.sequence(start, end - 1, headway))
+    return (f"CASE WHEN {valid_up(start, end, headway)} OR {valid_down(start, end, headway)} "
+            f"THEN sequence({_p(start)}, {_p(end)} - 1, {_p(headway)}) END")
 
 
-def departure_count(start: Column, end: Column, headway: Column) -> Column:
+def departure_count(start: str, end: str, headway: str) -> str:
     """Number of elements of ``departure_series`` (0 when it is NULL)."""
-    up = _idiv(end - 1 - start, headway) + 1
-    down = _idiv(start - (end - 1), -headway) + 1
-    return (F.when(_valid_up(start, end, headway), up)
-            .when(_valid_down(start, end, headway), down)
-            .otherwise(F.lit(0).cast("long")))
+    s, e, h = _p(start), _p(end), _p(headway)
+    return (f"CAST(CASE WHEN {valid_up(start, end, headway)} THEN ({e} - 1 - {s}) div {h} + 1 "
+            f"WHEN {valid_down(start, end, headway)} THEN ({s} - ({e} - 1)) div (-{h}) + 1 "
+            f"ELSE 0 END AS BIGINT)")
 
 
-def last_departure(start: Column, headway: Column, count: Column) -> Column:
-    """Last element of the series (NULL when the series is empty)."""
-    return F.when(count > 0, start + (count - 1) * headway)
-
-
-def count_in_range(first: Column, step: Column, count: Column,
-                   low: Column | int, high: Column | int | None) -> Column:
+def count_in_range(first: str, step: str, count: str, low: str | int,
+                   high: str | int | None) -> str:
     """How many of ``first + k*step`` (k = 0..count-1, step > 0) lie in
     ``[low, high]``; ``high=None`` means unbounded above."""
-    low = F.lit(low) if isinstance(low, int) else low
-    k_low = F.greatest(F.lit(0).cast("long"), F.ceil((low - first) / step).cast("long"))
+    f, st, n = _p(first), _p(step), _p(count)
+    k_low = f"greatest(CAST(0 AS BIGINT), CAST(ceil(({_p(low)} - {f}) / {st}) AS BIGINT))"
     if high is None:
-        k_high = count - 1
+        k_high = f"{n} - 1"
     else:
-        high = F.lit(high) if isinstance(high, int) else high
-        k_high = F.least(count - 1, F.floor((high - first) / step).cast("long"))
-    return F.greatest(F.lit(0).cast("long"), k_high - k_low + 1)
-
-
-def _bucket_low(b: Column) -> Column:
-    # Truncating division: bucket 0 holds -3599..3599, bucket -1 holds -7199..-3600.
-    return F.when(b > 0, b * 3600).otherwise(b * 3600 - 3599)
-
-
-def _bucket_high(b: Column) -> Column:
-    return F.when(b < 0, b * 3600).otherwise(b * 3600 + 3599)
+        k_high = f"least({n} - 1, CAST(floor(({_p(high)} - {f}) / {st}) AS BIGINT))"
+    return f"greatest(CAST(0 AS BIGINT), {k_high} - {k_low} + 1)"
 
 
-def hour_buckets(first: Column, step: Column, count: Column) -> Column:
+def hour_buckets(first: str, step: str, count: str) -> str:
     """Array of (bucket, n): how many series values fall in each service
     hour ``value div 3600``.  Emits min(count, hours spanned) entries, so a
     24h window at a 10-minute headway yields 24 entries, not 144, and a
-    once-daily window yields one."""
-    last = first + (count - 1) * step
-    b_low = _idiv(first, 3600)
-    b_high = _idiv(last, 3600)
-    per_departure = F.transform(
-        F.sequence(F.lit(0).cast("long"), count - 1),
-        lambda k: F.struct(_idiv(first + k * step, 3600).alias("bucket"),
-                           F.lit(1).cast("long").alias("n")))
-    per_bucket = F.filter(F.transform(
-        F.sequence(b_low, b_high),
-        lambda b: F.struct(b.alias("bucket"),
-                           count_in_range(first, step, count, _bucket_low(b),
-                                          _bucket_high(b)).alias("n"))),
-        lambda s: s["n"] > 0)
-    return F.when(count <= 0, F.array().cast("array<struct<bucket:bigint,n:bigint>>")) \
-        .when(count <= b_high - b_low + 1, per_departure).otherwise(per_bucket)
+    once-daily window yields one.  (Truncating division: bucket 0 holds
+    -3599..3599.)"""
+    f, st, n = _p(first), _p(step), _p(count)
+    last = f"({f} + ({n} - 1) * {st})"
+    b_low, b_high = f"({f} div 3600)", f"({last} div 3600)"
+    low = "CASE WHEN b > 0 THEN b * 3600 ELSE b * 3600 - 3599 END"
+    high = "CASE WHEN b < 0 THEN b * 3600 ELSE b * 3600 + 3599 END"
+    per_departure = (f"transform(sequence(CAST(0 AS BIGINT), {n} - 1), "
+                     f"k -> named_struct('bucket', ({f} + k * {st}) div 3600, 'n', CAST(1 AS BIGINT)))")
+    per_bucket = (f"filter(transform(sequence({b_low}, {b_high}), b -> named_struct('bucket', b, 'n', "
+                  f"{count_in_range(first, step, count, low, high)})), s -> s.n > 0)")
+    return (f"CASE WHEN {n} <= 0 THEN CAST(array() AS ARRAY<STRUCT<bucket: BIGINT, n: BIGINT>>) "
+            f"WHEN {n} <= {b_high} - {b_low} + 1 THEN {per_departure} ELSE {per_bucket} END")
+
+
+def col(sql: str) -> Column:
+    """Column for a SQL expression produced by this module."""
+    return F.expr(sql)

@@ -19,11 +19,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def time_to_seconds_sql(text: str) -> str:
+    """SQL text of ``gtfs_time_to_seconds`` over the SQL expression ``text``."""
+    t = f"CAST({text} AS STRING)"
+    pattern = _TIME_PATTERN.replace("\\", "\\\\")  # backslashes escaped inside a SQL literal
+    return (f"CASE WHEN {t} RLIKE '{pattern}' THEN "
+            f"CAST(split({t}, ':')[0] AS BIGINT) * 3600 + CAST(split({t}, ':')[1] AS BIGINT) * 60 "
+            f"+ CAST(split({t}, ':')[2] AS BIGINT) END")
+
+
 def gtfs_time_to_seconds(c: Column | str) -> Column:
     """Seconds from service midnight; NULL for NULL or malformed text.
 
     Hours of 24 and more are kept (``25:15:00`` -> 90900)."""
-    text = _col(c).cast("string")
+    if isinstance(c, str):
+        return F.expr(time_to_seconds_sql(f"`{c}`"))
+    text = c.cast("string")
     parts = F.split(text, ":")
     seconds = (parts.getItem(0).cast("long") * SECONDS_PER_HOUR
                + parts.getItem(1).cast("long") * 60

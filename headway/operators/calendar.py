@@ -42,15 +42,12 @@ def dim_date(spark: SparkSession, start: dt.date = SPINE_START,
     )
 
 
-def _runs_on(day: F.Column) -> F.Column:
+def _runs_on(day: str) -> F.Column:
     """The weekday flag that governs ``day`` (dayofweek 1 = Sunday)."""
-    dow = F.dayofweek(day)
-    by_dow = {1: "runs_sunday", 2: "runs_monday", 3: "runs_tuesday", 4: "runs_wednesday",
-              5: "runs_thursday", 6: "runs_friday", 7: "runs_saturday"}
-    expr = None
-    for n, flag in by_dow.items():
-        expr = F.when(dow == n, F.col(flag)) if expr is None else expr.when(dow == n, F.col(flag))
-    return expr
+    flags = ["runs_sunday", "runs_monday", "runs_tuesday", "runs_wednesday", "runs_thursday",
+             "runs_friday", "runs_saturday"]
+    whens = " ".join(f"WHEN {n} THEN {flag}" for n, flag in enumerate(flags, start=1))
+    return F.expr(f"CASE dayofweek({day}) {whens} END")
 
 
 def base_service_dates(calendar: DataFrame, start: dt.date = SPINE_START,
@@ -66,7 +63,7 @@ def base_service_dates(calendar: DataFrame, start: dt.date = SPINE_START,
     ok = F.col("service_start_date").isNotNull() & F.col("service_end_date").isNotNull() & (lo <= hi)
     days = calendar.select("service_id", *WEEKDAY_FLAGS,
                            F.explode(F.when(ok, F.sequence(lo, hi))).alias("service_date"))
-    return days.where(_runs_on(F.col("service_date"))).select("service_id", "service_date")
+    return days.where(_runs_on("service_date")).select("service_id", "service_date")
 
 
 def service_calendar(calendar: DataFrame, calendar_dates: DataFrame,

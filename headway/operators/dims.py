@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.labels import (LOCATION_TYPE_NAMES, WEEKDAY_FLAGS,
-                                      WHEELCHAIR_BOARDING_NAMES, decode, service_category,
-                                      service_name)
+                                      WHEELCHAIR_BOARDING_NAMES, decode_sql, service_category,
+                                      service_name_sql)
 
 
 def dim_route(stg_routes: DataFrame) -> DataFrame:
     """Routes with ``service_category`` (route description; empty -> Unknown)."""
     return stg_routes.select(
         "route_id", "route_short_name", "route_long_name", "route_description",
-        service_category(F.col("route_description")).alias("service_category"),
+        service_category("route_description").alias("service_category"),
         "route_type_code", "route_type_name", "route_color_hex", "route_text_color_hex",
         "agency_id",
     )
@@ -22,15 +22,14 @@ def dim_route(stg_routes: DataFrame) -> DataFrame:
 
 def dim_stop(stg_stops: DataFrame) -> DataFrame:
     """Stops with decoded location type and wheelchair boarding."""
-    lt = F.col("location_type")
-    wb = F.col("wheelchair_boarding_code")
-    return stg_stops.select(
+    return stg_stops.selectExpr(
         "stop_id", "stop_code", "stop_name", "stop_description", "stop_latitude",
         "stop_longitude", "zone_id", "parent_station_id", "location_type",
-        decode(lt, LOCATION_TYPE_NAMES).alias("location_type_name"),
-        (lt == 1).alias("is_station"),
+        decode_sql("location_type", LOCATION_TYPE_NAMES) + " AS location_type_name",
+        "location_type = 1 AS is_station",
         "wheelchair_boarding_code",
-        decode(wb, WHEELCHAIR_BOARDING_NAMES).alias("wheelchair_boarding_name"),
+        decode_sql("wheelchair_boarding_code", WHEELCHAIR_BOARDING_NAMES)
+        + " AS wheelchair_boarding_name",
     )
 
 
@@ -50,7 +49,7 @@ def dim_service(stg_calendar: DataFrame, service_dates: DataFrame) -> DataFrame:
     activity = service_activity(service_dates)
     return stg_calendar.join(activity, "service_id", "left").select(
         "service_id",
-        service_name(F.col("service_id")).alias("service_name"),
+        F.expr(service_name_sql("service_id")).alias("service_name"),
         "service_start_date", "service_end_date",
         F.coalesce(F.col("active_days_count"), F.lit(0).cast("long")).alias("active_days_count"),
         "first_active_date", "last_active_date",

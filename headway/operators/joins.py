@@ -5,9 +5,9 @@
   The check reads at most ``max_rows + 1`` rows, so it stays cheap when
   the side turns out to be large.
 * ``heavy_keys``: the keys holding at least ``min_rows`` rows, capped at the
-  ``max_keys`` heaviest, taken from a per-key count that the model computes
-  anyway.  The cap is the proven size bound that lets the result be
-  broadcast.
+  ``max_keys`` heaviest, from a per-key count.  The cap is the proven size
+  bound that lets the keys be broadcast; keys beyond the cap still take the
+  ordinary shuffle join, where AQE splits oversized partitions.
 * ``split_hot_join``: rows of heavy keys are spread over ``buckets`` tasks:
   the big side gets a deterministic salt from a hash of its own columns and
   the other side's rows for those keys are copied once per salt value.  All
@@ -40,11 +40,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def heavy_keys(counts: DataFrame, key: str | Sequence[str], count_col: str,
-               min_rows: int = DEFAULT_HOT_ROWS, max_keys: int = DEFAULT_HOT_KEYS) -> DataFrame:
-    """Keys with ``count_col >= min_rows``, at most ``max_keys`` of them."""
+               min_rows: int = DEFAULT_HOT_ROWS, max_keys: int = DEFAULT_HOT_KEYS) -> DataFrame | None:
+    """Keys with ``count_col >= min_rows``, at most ``max_keys`` of them, or
+    None when there are none.
+
+    The keys are fetched eagerly (at most ``max_keys`` rows reach the driver,
+    which is the proven size bound), so a join without hot keys keeps its
+    plain plan and a join with them gets a literal, broadcastable key set."""
     keys = [key] if isinstance(key, str) else list(key)
-    return (counts.where(F.col(count_col) >= min_rows)
-            .orderBy(F.col(count_col).desc(), *keys).limit(max_keys).select(*keys))
+    rows = (counts.where(F.col(count_col) >= min_rows)
+            .orderBy(F.col(count_col).desc(), *keys).limit(max_keys).select(*keys).collect())
+    if not rows:
+        return None
+    spark = counts.sparkSession
+    return spark.createDataFrame(rows, counts.select(*keys).schema)
 
 
 def split_hot_join(big: DataFrame, other: DataFrame, key: str | Sequence[str],

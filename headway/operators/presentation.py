@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.series import count_in_range, hour_buckets
+from headway.functions.series import col, count_in_range, hour_buckets
 from headway.functions.times import SECONDS_PER_DAY, clock_date
 from headway.operators.joins import (DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most,
                                      heavy_keys, split_hot_join)
@@ -28,17 +28,14 @@ from headway.operators.joins import (DEFAULT_BROADCAST_ROWS, broadcast_if_small,
 HOT_SERVICE_TEMPLATE_ROWS = 200_000
 
 
-def _series_bounds(df: DataFrame, offset: F.Column | None = None) -> tuple:
-    """(first, step, count) of a window's series in ascending order, shifted
-    by ``offset`` (a negative headway counts down, so it is flipped)."""
-    start = F.col("window_start_seconds")
-    h = F.col("headway_seconds")
-    n = F.col("n_departures")
-    last = start + (n - 1) * h
-    first = F.least(start, last)
+def _series_bounds(offset: str | None = None) -> tuple[str, str, str]:
+    """SQL (first, step, count) of a window's series in ascending order,
+    shifted by ``offset`` (a negative headway counts down, so it is flipped)."""
+    first = ("least(window_start_seconds, window_start_seconds"
+             " + (n_departures - 1) * headway_seconds)")
     if offset is not None:
-        first = first + offset
-    return first, F.abs(h), n
+        first = f"({first} + {offset})"
+    return first, "abs(headway_seconds)", "n_departures"
 
 
 # --- route summary --------------------------------------------------------
@@ -94,26 +91,23 @@ def visits_by_day_offset(pairs: DataFrame) -> DataFrame:
     """Per (window, stop row): visits on the service date (offset 0) and on
     the next clock date (offset 1, arrival >= 24:00:00).  A NULL arrival
     counts on offset 0."""
-    off = F.col("arrival_offset_seconds")
-    first, step, n = _series_bounds(pairs, off)
-    next_day = F.when(off.isNull(), F.lit(0).cast("long")).otherwise(
-        count_in_range(first, step, n, SECONDS_PER_DAY, None))
-    split = F.array(F.struct(F.lit(0).alias("next_day_offset"), (n - next_day).alias("visits")),
-                    F.struct(F.lit(1).alias("next_day_offset"), next_day.alias("visits")))
-    return (pairs.select("*", F.inline(split))
-            .where(F.col("visits") > 0))
+    first, step, n = _series_bounds("arrival_offset_seconds")
+    next_day = (f"CASE WHEN arrival_offset_seconds IS NULL THEN CAST(0 AS BIGINT) ELSE "
+                f"{count_in_range(first, step, n, SECONDS_PER_DAY, None)} END")
+    split = (f"inline(array(named_struct('next_day_offset', 0, 'visits', n_departures - ({next_day})),"
+             f" named_struct('next_day_offset', 1, 'visits', {next_day})))")
+    return pairs.select("*", col(split)).where("visits > 0")
 
 
 def visits_by_service_hour(pairs: DataFrame) -> DataFrame:
     """Per (window, stop row): visits per service hour (arrival div 3600,
     hours 24+ kept).  A NULL arrival gives one NULL-hour entry."""
-    off = F.col("arrival_offset_seconds")
-    first, step, n = _series_bounds(pairs, off)
-    buckets = F.when(off.isNull(), F.array(F.struct(F.lit(None).cast("long").alias("bucket"),
-                                                     n.alias("n"))))\
-        .otherwise(hour_buckets(first, step, n))
-    return pairs.select("*", F.inline(buckets)).withColumnRenamed("bucket", "service_hour") \
-        .withColumnRenamed("n", "visits")
+    first, step, n = _series_bounds("arrival_offset_seconds")
+    buckets = (f"CASE WHEN arrival_offset_seconds IS NULL THEN "
+               f"array(named_struct('bucket', CAST(NULL AS BIGINT), 'n', n_departures)) "
+               f"ELSE {hour_buckets(first, step, n)} END")
+    return (pairs.select("*", col(f"inline({buckets})"))
+            .withColumnsRenamed({"bucket": "service_hour", "n": "visits"}))
 
 
 # --- date-grained marts ---------------------------------------------------

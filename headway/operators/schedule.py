@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.keys import surrogate_key
-from headway.functions.series import departure_count, departure_series
+from headway.functions.series import col, departure_count, departure_series
 from headway.operators.joins import broadcast_if_small, heavy_keys, split_hot_join
 
 # A trip with this many frequency windows (each ~100 departures) or stop rows
@@ -44,14 +44,15 @@ def trip_windows(stg_frequencies: DataFrame, stg_trips: DataFrame, dim_route: Da
     """Frequency windows that yield departures, joined to their trip, route
     and service.  Trips without a frequency row have no departures and do
     not appear (inner join); unknown routes/services keep NULL attributes."""
-    start = F.col("start_seconds_from_service_midnight")
-    end = F.col("end_seconds_from_service_midnight")
-    headway = F.col("headway_seconds")
     windows = (stg_frequencies
-               .select("trip_id", start.alias("window_start_seconds"),
-                       end.alias("window_end_seconds"), headway.alias("headway_seconds"),
-                       "is_exact_times", departure_count(start, end, headway).alias("n_departures"))
-               .where(F.col("n_departures") > 0)
+               .selectExpr("trip_id",
+                           "start_seconds_from_service_midnight AS window_start_seconds",
+                           "end_seconds_from_service_midnight AS window_end_seconds",
+                           "headway_seconds", "is_exact_times",
+                           departure_count("start_seconds_from_service_midnight",
+                                           "end_seconds_from_service_midnight",
+                                           "headway_seconds") + " AS n_departures")
+               .where("n_departures > 0")
                .repartition(_partitions(stg_frequencies), "trip_id"))
     hot = heavy_keys(windows.groupBy("trip_id").count(), "trip_id", "count", HOT_TRIP_WINDOWS)
     trips = stg_trips.select("trip_id", "route_id", "service_id", "direction_id",
@@ -67,16 +68,15 @@ def trip_windows(stg_frequencies: DataFrame, stg_trips: DataFrame, dim_route: Da
     return joined.join(routes, "route_id", "left").join(services, "service_id", "left")
 
 
-def _departures(windows: DataFrame) -> F.Column:
-    return departure_series(F.col("window_start_seconds"), F.col("window_end_seconds"),
-                            F.col("headway_seconds"))
+def _departures() -> F.Column:
+    return col(departure_series("window_start_seconds", "window_end_seconds", "headway_seconds"))
 
 
 def fact_scheduled_trip(windows: DataFrame) -> DataFrame:
     """One row per (trip, departure); the end of each window is exclusive."""
     dep = F.col("departure_seconds_from_service_midnight")
     return (windows
-            .select("*", F.explode(_departures(windows)).alias("departure_seconds_from_service_midnight"))
+            .select("*", F.explode(_departures()).alias("departure_seconds_from_service_midnight"))
             .select(
                 surrogate_key("trip_id", dep).alias("scheduled_trip_id"),
                 "trip_id", "route_id", "service_id", "direction_id", "trip_headsign",
@@ -139,7 +139,7 @@ def fact_scheduled_stop_event(pairs: DataFrame) -> DataFrame:
     dep = F.col("trip_start_seconds_from_service_midnight")
     trip_key = surrogate_key("trip_id", dep)
     return (pairs
-            .select("*", F.explode(_departures(pairs)).alias("trip_start_seconds_from_service_midnight"))
+            .select("*", F.explode(_departures()).alias("trip_start_seconds_from_service_midnight"))
             .select(
                 surrogate_key(trip_key, "stop_sequence").alias("scheduled_stop_event_id"),
                 trip_key.alias("scheduled_trip_id"),

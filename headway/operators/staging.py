@@ -3,99 +3,86 @@
 Casts are strict (ANSI): a value that does not fit its declared type fails
 the job instead of turning into NULL.  Time-of-day text is the exception; it
 is parsed by ``gtfs_time_to_seconds``, which yields NULL for malformed text.
+Each model is one projection written as SQL expressions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from headway.functions.labels import EXCEPTION_TYPE_NAMES, ROUTE_TYPE_NAMES, decode
-from headway.functions.times import gtfs_time_to_seconds
+from headway.functions.labels import EXCEPTION_TYPE_NAMES, ROUTE_TYPE_NAMES, decode_sql
+from headway.functions.times import time_to_seconds_sql
 
 DATE_FORMAT = "yyyyMMdd"
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 
 
-def _s(name: str, alias: str | None = None):
-    return F.col(name).cast("string").alias(alias or name)
+def _s(name: str, alias: str | None = None) -> str:
+    return f"CAST(`{name}` AS STRING) AS {alias or name}"
 
 
-def _l(name: str, alias: str | None = None):
-    return F.col(name).cast("long").alias(alias or name)
+def _l(name: str, alias: str | None = None) -> str:
+    return f"CAST(`{name}` AS BIGINT) AS {alias or name}"
+
+
+def _d(name: str, alias: str) -> str:
+    return f"to_date(CAST(`{name}` AS STRING), '{DATE_FORMAT}') AS {alias}"
 
 
 def stg_stops(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         _s("stop_id"), _s("stop_code"), _s("stop_name"), _s("stop_desc", "stop_description"),
-        F.col("stop_lat").cast("double").alias("stop_latitude"),
-        F.col("stop_lon").cast("double").alias("stop_longitude"),
-        _s("zone_id"), _s("stop_url"), _l("location_type"),
-        _s("parent_station", "parent_station_id"),
-        _l("wheelchair_boarding", "wheelchair_boarding_code"),
-    )
+        "CAST(stop_lat AS DOUBLE) AS stop_latitude", "CAST(stop_lon AS DOUBLE) AS stop_longitude",
+        _s("zone_id"), _s("stop_url"), _l("location_type"), _s("parent_station", "parent_station_id"),
+        _l("wheelchair_boarding", "wheelchair_boarding_code"))
 
 
 def stg_routes(raw: DataFrame) -> DataFrame:
-    code = F.col("route_type").cast("long")
-    return raw.select(
+    return raw.selectExpr(
         _s("route_id"), _s("agency_id"), _s("route_short_name"), _s("route_long_name"),
-        _s("route_desc", "route_description"),
-        code.alias("route_type_code"),
-        decode(code, ROUTE_TYPE_NAMES).alias("route_type_name"),
+        _s("route_desc", "route_description"), _l("route_type", "route_type_code"),
+        decode_sql("CAST(route_type AS BIGINT)", ROUTE_TYPE_NAMES) + " AS route_type_name",
         _s("route_url"), _s("route_color", "route_color_hex"),
-        _s("route_text_color", "route_text_color_hex"),
-    )
+        _s("route_text_color", "route_text_color_hex"))
 
 
 def stg_trips(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        _s("trip_id"), _s("route_id"), _s("service_id"), _s("trip_headsign"),
-        _s("trip_short_name"), _l("direction_id"), _s("block_id"), _s("shape_id"),
+    return raw.selectExpr(
+        _s("trip_id"), _s("route_id"), _s("service_id"), _s("trip_headsign"), _s("trip_short_name"),
+        _l("direction_id"), _s("block_id"), _s("shape_id"),
         _l("wheelchair_accessible", "wheelchair_accessible_code"),
-        _l("bikes_allowed", "bikes_allowed_code"),
-    )
+        _l("bikes_allowed", "bikes_allowed_code"))
 
 
 def stg_stop_times(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         _s("trip_id"), _s("stop_id"), _l("stop_sequence"),
         _s("arrival_time", "arrival_time_str"), _s("departure_time", "departure_time_str"),
-        gtfs_time_to_seconds("arrival_time").alias("arrival_seconds_from_service_midnight"),
-        gtfs_time_to_seconds("departure_time").alias("departure_seconds_from_service_midnight"),
+        time_to_seconds_sql("arrival_time") + " AS arrival_seconds_from_service_midnight",
+        time_to_seconds_sql("departure_time") + " AS departure_seconds_from_service_midnight",
         _s("stop_headsign"), _l("pickup_type", "pickup_type_code"),
         _l("drop_off_type", "drop_off_type_code"),
-        F.col("shape_dist_traveled").cast("double").alias("shape_distance_traveled"),
-    )
+        "CAST(shape_dist_traveled AS DOUBLE) AS shape_distance_traveled")
 
 
 def stg_calendar(raw: DataFrame) -> DataFrame:
-    days = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
-    return raw.select(
-        _s("service_id"),
-        *[(F.col(d).cast("long") == 1).alias(f"runs_{d}") for d in days],
-        F.to_date(F.col("start_date").cast("string"), DATE_FORMAT).alias("service_start_date"),
-        F.to_date(F.col("end_date").cast("string"), DATE_FORMAT).alias("service_end_date"),
-    )
+    return raw.selectExpr(
+        _s("service_id"), *[f"CAST(`{d}` AS BIGINT) = 1 AS runs_{d}" for d in WEEKDAYS],
+        _d("start_date", "service_start_date"), _d("end_date", "service_end_date"))
 
 
 def stg_calendar_dates(raw: DataFrame) -> DataFrame:
-    code = F.col("exception_type").cast("long")
-    return raw.select(
-        _s("service_id"),
-        F.to_date(F.col("date").cast("string"), DATE_FORMAT).alias("exception_date"),
-        code.alias("exception_type_code"),
-        decode(code, EXCEPTION_TYPE_NAMES).alias("exception_type_name"),
-    )
+    return raw.selectExpr(
+        _s("service_id"), _d("date", "exception_date"), _l("exception_type", "exception_type_code"),
+        decode_sql("CAST(exception_type AS BIGINT)", EXCEPTION_TYPE_NAMES) + " AS exception_type_name")
 
 
 def stg_frequencies(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         _s("trip_id"), _s("start_time", "start_time_str"), _s("end_time", "end_time_str"),
-        gtfs_time_to_seconds("start_time").alias("start_seconds_from_service_midnight"),
-        gtfs_time_to_seconds("end_time").alias("end_seconds_from_service_midnight"),
-        _l("headway_secs", "headway_seconds"),
-        (F.col("exact_times").cast("long") == 1).alias("is_exact_times"),
-    )
+        time_to_seconds_sql("start_time") + " AS start_seconds_from_service_midnight",
+        time_to_seconds_sql("end_time") + " AS end_seconds_from_service_midnight",
+        _l("headway_secs", "headway_seconds"), "CAST(exact_times AS BIGINT) = 1 AS is_exact_times")
 
 
 STAGING = {

@@ -60,15 +60,12 @@ _model_query("hourly_network_density", "presentation_hourly_network_density",
 def frequency_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every staged frequency window expanded to its departures (end
     exclusive), before any join."""
-    from pyspark.sql import functions as F
-
     from headway.functions.series import departure_series
     f = _models(spark, sf_dir).stg_frequencies
-    start, end, hw = (F.col("start_seconds_from_service_midnight"),
-                      F.col("end_seconds_from_service_midnight"), F.col("headway_seconds"))
-    return f.select("trip_id", F.explode(departure_series(start, end, hw)).alias("departure_seconds"),
-                    start.alias("window_start_seconds"), end.alias("window_end_seconds"),
-                    hw.alias("headway_seconds"))
+    start, end = "start_seconds_from_service_midnight", "end_seconds_from_service_midnight"
+    return f.selectExpr(
+        "trip_id", f"explode({departure_series(start, end, 'headway_seconds')}) AS departure_seconds",
+        f"{start} AS window_start_seconds", f"{end} AS window_end_seconds", "headway_seconds")
 
 
 def queries() -> dict[str, Builder]:

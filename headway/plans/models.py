@@ -71,7 +71,8 @@ class FeedModels:
         self.spark = spark
         self.raw = {name: conform(df, name) for name, df in raw.items()}
         for name in staging.STAGING:
-            self.raw.setdefault(name, empty_table(spark, name))
+            if name not in self.raw:
+                self.raw[name] = empty_table(spark, name)
         self.spine_start = spine_start
         self.spine_end = spine_end
 

@@ -56,13 +56,17 @@ def conform(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Declared columns by name (cast to STRING, missing ones NULL), then any
     further file columns, then the pass-through columns in ``keep``."""
     declared = DECLARED_COLUMNS[table]
-    present = {c.strip().lstrip("﻿"): c for c in df.columns}
-    cols = [(F.col(f"`{present[c]}`").cast("string") if c in present
-             else F.lit(None).cast("string")).alias(c) for c in declared]
-    cols += [F.col(f"`{orig}`").cast("string").alias(name) for name, orig in present.items()
-             if name not in declared and name not in keep]
-    cols += [F.col(f"`{present[k]}`") for k in keep if k in present]
-    return df.select(*cols)
+    present = {c.strip().lstrip("\ufeff"): c for c in df.columns}
+    extra = [n for n in present if n not in declared and n not in keep]
+    if list(present) == list(declared) + extra + [k for k in keep if k in present] and all(
+            isinstance(f.dataType, T.StringType) for f in df.schema.fields
+            if f.name not in keep):
+        return df
+    cols = [f"CAST(`{present[c]}` AS STRING) AS `{c}`" if c in present
+            else f"CAST(NULL AS STRING) AS `{c}`" for c in declared]
+    cols += [f"CAST(`{present[n]}` AS STRING) AS `{n}`" for n in extra]
+    cols += [f"`{present[k]}`" for k in keep if k in present]
+    return df.selectExpr(*cols)
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
