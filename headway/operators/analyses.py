@@ -99,26 +99,25 @@ def peaking_factor(hourly: DataFrame, daytime_hours: tuple[int, ...] = DAYTIME_H
     over the dates with service in that hour.  The peak hour has the highest
     average (ties: earliest hour); the factor is that average divided by the
     mean of the daytime hours' averages."""
-    rows = hourly.where(F.col("hour_of_day").isNotNull())
-    per_cat = rows.select(F.lit("category").alias("scope_type"),
-                          F.col("service_category").alias("scope"),
-                          "service_date", "hour_of_day", "arrivals_count")
+    rows = hourly.where("hour_of_day IS NOT NULL")
+    per_cat = rows.selectExpr("'category' AS scope_type", "service_category AS scope",
+                              "service_date", "hour_of_day", "arrivals_count")
     network = rows.groupBy("service_date", "hour_of_day").agg(
-        F.sum("arrivals_count").alias("arrivals_count")).select(
-        F.lit("network").alias("scope_type"), F.lit("ALL").alias("scope"),
-        "service_date", "hour_of_day", "arrivals_count")
+        F.expr("sum(arrivals_count) AS arrivals_count")).selectExpr(
+        "'network' AS scope_type", "'ALL' AS scope", "service_date", "hour_of_day", "arrivals_count")
     by_hour = per_cat.unionByName(network).groupBy("scope_type", "scope", "hour_of_day") \
-        .agg(F.avg("arrivals_count").alias("avg_arrivals"))
-    w = Window.partitionBy("scope_type", "scope").orderBy(F.col("avg_arrivals").desc(),
-                                                          F.col("hour_of_day"))
-    peak = by_hour.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
-    daytime = by_hour.where(F.col("hour_of_day").isin(*daytime_hours)) \
-        .groupBy("scope_type", "scope").agg(F.avg("avg_arrivals").alias("daytime_mean"))
-    return peak.join(daytime, ["scope_type", "scope"], "left").select(
-        "scope_type", "scope", F.col("hour_of_day").alias("peak_hour"),
-        F.round("avg_arrivals", 0).alias("peak_avg_arrivals"),
-        F.round("daytime_mean", 0).alias("daytime_mean_arrivals"),
-        F.round(F.col("avg_arrivals") / F.col("daytime_mean"), 2).alias("peaking_factor"))
+        .agg(F.expr("avg(arrivals_count) AS avg_arrivals"))
+    peak = by_hour.selectExpr(
+        "*", "row_number() OVER (PARTITION BY scope_type, scope "
+             "ORDER BY avg_arrivals DESC, hour_of_day) AS rn").where("rn = 1")
+    hours = ", ".join(map(str, daytime_hours))
+    daytime = by_hour.where(f"hour_of_day IN ({hours})") \
+        .groupBy("scope_type", "scope").agg(F.expr("avg(avg_arrivals) AS daytime_mean"))
+    return peak.join(daytime, ["scope_type", "scope"], "left").selectExpr(
+        "scope_type", "scope", "hour_of_day AS peak_hour",
+        "round(avg_arrivals, 0) AS peak_avg_arrivals",
+        "round(daytime_mean, 0) AS daytime_mean_arrivals",
+        "round(avg_arrivals / daytime_mean, 2) AS peaking_factor")
 
 
 def service_tier_mix(windows: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -58,11 +58,11 @@ def base_service_dates(calendar: DataFrame, start: dt.date = SPINE_START,
     This is the range join ``date BETWEEN start AND end`` written without a
     join: each window is clipped to the spine and exploded, so there is no
     nested-loop join and the work is proportional to the output."""
-    lo = F.greatest(F.col("service_start_date"), F.lit(start))
-    hi = F.least(F.col("service_end_date"), F.lit(end))
-    ok = F.col("service_start_date").isNotNull() & F.col("service_end_date").isNotNull() & (lo <= hi)
-    days = calendar.select("service_id", *WEEKDAY_FLAGS,
-                           F.explode(F.when(ok, F.sequence(lo, hi))).alias("service_date"))
+    lo = f"greatest(service_start_date, DATE'{start.isoformat()}')"
+    hi = f"least(service_end_date, DATE'{end.isoformat()}')"
+    ok = f"service_start_date IS NOT NULL AND service_end_date IS NOT NULL AND {lo} <= {hi}"
+    days = calendar.selectExpr("service_id", *WEEKDAY_FLAGS,
+                               f"explode(CASE WHEN {ok} THEN sequence({lo}, {hi}) END) AS service_date")
     return days.where(_runs_on("service_date")).select("service_id", "service_date")
 
 
@@ -78,15 +78,12 @@ def service_calendar(calendar: DataFrame, calendar_dates: DataFrame,
     is kept when it was added, or is in the pattern and was not removed.
     That is one shuffle instead of three, and NULLs group together just as
     they compare equal in set operations."""
-    base = base_service_dates(calendar, start, end).select(
-        "service_id", "service_date",
-        F.lit(True).alias("in_pattern"), F.lit(False).alias("removed"), F.lit(False).alias("added"))
-    code = F.col("exception_type_code")
-    exceptions = calendar_dates.where(code.isin(1, 2)).select(
-        "service_id", F.col("exception_date").alias("service_date"),
-        F.lit(False).alias("in_pattern"), (code == 2).alias("removed"), (code == 1).alias("added"))
+    base = base_service_dates(calendar, start, end).selectExpr(
+        "service_id", "service_date", "true AS in_pattern", "false AS removed", "false AS added")
+    exceptions = calendar_dates.where("exception_type_code IN (1, 2)").selectExpr(
+        "service_id", "exception_date AS service_date", "false AS in_pattern",
+        "exception_type_code = 2 AS removed", "exception_type_code = 1 AS added")
     flags = base.unionByName(exceptions).groupBy("service_id", "service_date").agg(
-        F.max("in_pattern").alias("in_pattern"), F.max("removed").alias("removed"),
-        F.max("added").alias("added"))
-    return flags.where(F.col("added") | (F.col("in_pattern") & ~F.col("removed"))) \
-        .select("service_id", "service_date")
+        F.expr("max(in_pattern) AS in_pattern"), F.expr("max(removed) AS removed"),
+        F.expr("max(added) AS added"))
+    return flags.where("added OR (in_pattern AND NOT removed)").select("service_id", "service_date")

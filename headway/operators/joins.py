@@ -35,7 +35,11 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is within ``max_rows``."""
+    """``F.broadcast(df)`` when its row count is within ``max_rows``.
+
+    The side is persisted first, so the size check and the join that follows
+    compute it once (a lost cached block is recomputed from its lineage)."""
+    df = df.persist()
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 

@@ -53,7 +53,8 @@ def trip_windows(stg_frequencies: DataFrame, stg_trips: DataFrame, dim_route: Da
                                            "end_seconds_from_service_midnight",
                                            "headway_seconds") + " AS n_departures")
                .where("n_departures > 0")
-               .repartition(_partitions(stg_frequencies), "trip_id"))
+               .repartition(_partitions(stg_frequencies), "trip_id")
+               .persist())  # read by the hot-key check and by the join
     hot = heavy_keys(windows.groupBy("trip_id").count(), "trip_id", "count", HOT_TRIP_WINDOWS)
     trips = stg_trips.select("trip_id", "route_id", "service_id", "direction_id",
                              "trip_headsign", "trip_short_name", "shape_id")
@@ -113,7 +114,7 @@ def window_stops(windows: DataFrame, stg_stop_times: DataFrame) -> DataFrame:
 
     The per-trip base joins the small window table first; the stop rows then
     meet the windows in one shuffle on ``trip_id``."""
-    stats = trip_stop_stats(stg_stop_times)
+    stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
     hot = heavy_keys(stats, "trip_id", "n_stop_rows", HOT_TRIP_STOP_ROWS)
     with_base = windows.join(stats.select("trip_id", "trip_first_arrival_seconds"), "trip_id")
     stops = (stg_stop_times

@@ -54,12 +54,24 @@ def stg_trips(raw: DataFrame) -> DataFrame:
         _l("bikes_allowed", "bikes_allowed_code"))
 
 
+def _parsed_times(pairs: list[tuple[str, str]]) -> str:
+    """One generator row holding the parsed seconds of each (raw column,
+    output name).
+
+    The parser is evaluated once per row.  Because the values come out of a
+    generator, later filters on them (``n_departures > 0``, say) cannot be
+    rewritten onto the raw text, which would evaluate the regex parser again
+    for every reference in the predicate."""
+    fields = ", ".join(f"'{out}', {time_to_seconds_sql(raw)}" for raw, out in pairs)
+    return f"inline(array(named_struct({fields})))"
+
+
 def stg_stop_times(raw: DataFrame) -> DataFrame:
     return raw.selectExpr(
         _s("trip_id"), _s("stop_id"), _l("stop_sequence"),
         _s("arrival_time", "arrival_time_str"), _s("departure_time", "departure_time_str"),
-        time_to_seconds_sql("arrival_time") + " AS arrival_seconds_from_service_midnight",
-        time_to_seconds_sql("departure_time") + " AS departure_seconds_from_service_midnight",
+        _parsed_times([("arrival_time", "arrival_seconds_from_service_midnight"),
+                       ("departure_time", "departure_seconds_from_service_midnight")]),
         _s("stop_headsign"), _l("pickup_type", "pickup_type_code"),
         _l("drop_off_type", "drop_off_type_code"),
         "CAST(shape_dist_traveled AS DOUBLE) AS shape_distance_traveled")
@@ -80,8 +92,8 @@ def stg_calendar_dates(raw: DataFrame) -> DataFrame:
 def stg_frequencies(raw: DataFrame) -> DataFrame:
     return raw.selectExpr(
         _s("trip_id"), _s("start_time", "start_time_str"), _s("end_time", "end_time_str"),
-        time_to_seconds_sql("start_time") + " AS start_seconds_from_service_midnight",
-        time_to_seconds_sql("end_time") + " AS end_seconds_from_service_midnight",
+        _parsed_times([("start_time", "start_seconds_from_service_midnight"),
+                       ("end_time", "end_seconds_from_service_midnight")]),
         _l("headway_secs", "headway_seconds"), "CAST(exact_times AS BIGINT) = 1 AS is_exact_times")
 
 

@@ -77,9 +77,11 @@ class FeedModels:
         self.spine_end = spine_end
 
     @classmethod
-    def from_bridge(cls, spark: SparkSession, sf_dir: str) -> "FeedModels":
-        from headway.sources.bridge import raw_feed
-        return cls(spark, raw_feed(spark, sf_dir))
+    def from_bridge(cls, spark: SparkSession, sf_dir: str, stored: bool = True) -> "FeedModels":
+        """Models over the feed mapped from the test tables at ``sf_dir``;
+        ``stored`` reads the raw tables from their stored copy (written once)."""
+        from headway.sources.bridge import raw_feed, stored_raw_feed
+        return cls(spark, stored_raw_feed(spark, sf_dir) if stored else raw_feed(spark, sf_dir))
 
     # staging -------------------------------------------------------------
     @cached_property

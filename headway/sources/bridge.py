@@ -53,25 +53,25 @@ def _hms(seconds_sql: str) -> str:
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("stop_id"),
-        F.col("s_name").alias("stop_name"),
-        F.expr("cast(-6.9 + s_suppkey % 100 * 0.01 as string)").alias("stop_lat"),
-        F.expr("cast(106.1 + s_suppkey % 100 * 0.01 as string)").alias("stop_lon"),
-        F.expr("cast(s_suppkey % 6 as string)").alias("location_type"),
-        F.expr("cast(s_nationkey % 4 as string)").alias("wheelchair_boarding"),
+    return read_source(spark, sf_dir, "supplier").selectExpr(
+        "'S' || CAST(s_suppkey AS STRING) AS stop_id",
+        "s_name AS stop_name",
+        "CAST(-6.9 + s_suppkey % 100 * 0.01 AS STRING) AS stop_lat",
+        "CAST(106.1 + s_suppkey % 100 * 0.01 AS STRING) AS stop_lon",
+        "CAST(s_suppkey % 6 AS STRING) AS location_type",
+        "CAST(s_nationkey % 4 AS STRING) AS wheelchair_boarding",
     )
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_source(spark, sf_dir, "nation")
     region = read_source(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.concat(F.lit("R"), F.col("n_nationkey").cast("string")).alias("route_id"),
-        F.col("n_nationkey").cast("string").alias("route_short_name"),
-        F.col("n_name").alias("route_long_name"),
-        F.when(F.col("n_regionkey") == 4, F.lit("")).otherwise(F.col("r_name")).alias("route_desc"),
-        F.expr("cast(n_nationkey % 14 as string)").alias("route_type"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "'R' || CAST(n_nationkey AS STRING) AS route_id",
+        "CAST(n_nationkey AS STRING) AS route_short_name",
+        "n_name AS route_long_name",
+        "CASE WHEN n_regionkey = 4 THEN '' ELSE r_name END AS route_desc",
+        "CAST(n_nationkey % 14 AS STRING) AS route_type",
     )
 
 
@@ -85,46 +85,48 @@ _OLD_WINDOW_KEYS = (6, 8)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("n_nationkey") % 9
-    old = k.isin(*_OLD_WINDOW_KEYS)
-    cols = [F.concat(F.lit("V"), F.col("n_nationkey").cast("string")).alias("service_id")]
-    cols += [F.when(k.isin(*keys), F.lit("1")).otherwise(F.lit("0")).alias(day)
-             for day, keys in _RUNS_ON.items()]
-    cols += [F.when(old, F.lit("20050101")).otherwise(F.lit("20240101")).alias("start_date"),
-             F.when(old, F.lit("20051231")).otherwise(F.lit("20240630")).alias("end_date")]
-    return read_source(spark, sf_dir, "nation").select(*cols)
+    def keys(ks: tuple[int, ...]) -> str:
+        return ", ".join(map(str, ks))
+    old = f"n_nationkey % 9 IN ({keys(_OLD_WINDOW_KEYS)})"
+    return read_source(spark, sf_dir, "nation").selectExpr(
+        "'V' || CAST(n_nationkey AS STRING) AS service_id",
+        *[f"CASE WHEN n_nationkey % 9 IN ({keys(ks)}) THEN '1' ELSE '0' END AS {day}"
+          for day, ks in _RUNS_ON.items()],
+        f"CASE WHEN {old} THEN '20050101' ELSE '20240101' END AS start_date",
+        f"CASE WHEN {old} THEN '20051231' ELSE '20240630' END AS end_date",
+    )
 
 
 def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, sf_dir, "orders").select(
-        F.expr("'V' || cast(o_orderkey % 8 as string)").alias("service_id"),
-        F.expr("'2024' || lpad(cast(1 + o_orderkey % 12 as string), 2, '0')"
-               " || lpad(cast(1 + o_orderkey % 28 as string), 2, '0')").alias("date"),
-        F.expr("cast(1 + o_orderkey % 2 as string)").alias("exception_type"),
+    return read_source(spark, sf_dir, "orders").selectExpr(
+        "'V' || CAST(o_orderkey % 8 AS STRING) AS service_id",
+        "'2024' || lpad(CAST(1 + o_orderkey % 12 AS STRING), 2, '0')"
+        " || lpad(CAST(1 + o_orderkey % 28 AS STRING), 2, '0') AS date",
+        "CAST(1 + o_orderkey % 2 AS STRING) AS exception_type",
     ).distinct()
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, sf_dir, "orders").select(
-        F.expr("'T' || cast(o_orderkey as string)").alias("trip_id"),
-        F.expr("'R' || cast(o_orderkey % 24 as string)").alias("route_id"),
-        F.expr("'V' || cast(o_custkey % 8 as string)").alias("service_id"),
-        F.expr("cast(o_orderkey % 2 as string)").alias("direction_id"),
+    return read_source(spark, sf_dir, "orders").selectExpr(
+        "'T' || CAST(o_orderkey AS STRING) AS trip_id",
+        "'R' || CAST(o_orderkey % 24 AS STRING) AS route_id",
+        "'V' || CAST(o_custkey % 8 AS STRING) AS service_id",
+        "CAST(o_orderkey % 2 AS STRING) AS direction_id",
     )
 
 
 def frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = "(14400 + (o_orderkey % 20) * 3600)"
-    end = f"({start} + (case when o_orderkey % 101 = 0 then 0 else 1 + o_orderkey % 3 end) * 3600)"
+    end = f"({start} + (CASE WHEN o_orderkey % 101 = 0 THEN 0 ELSE 1 + o_orderkey % 3 END) * 3600)"
     return (read_source(spark, sf_dir, "orders")
-            .where(F.col("o_orderpriority") != FIXED_TIMETABLE_PRIORITY)
-            .select(
-                F.expr("'T' || cast(o_orderkey as string)").alias("trip_id"),
-                F.expr(_hms(start)).alias("start_time"),
-                F.expr(_hms(end)).alias("end_time"),
-                F.expr("cast(case when o_orderkey % 97 = 0 then 86400 "
-                       "else 600 + 60 * (o_orderkey % 50) end as string)").alias("headway_secs"),
-                F.lit("0").alias("exact_times"),
+            .where(f"o_orderpriority <> '{FIXED_TIMETABLE_PRIORITY}'")
+            .selectExpr(
+                "'T' || CAST(o_orderkey AS STRING) AS trip_id",
+                f"{_hms(start)} AS start_time",
+                f"{_hms(end)} AS end_time",
+                "CAST(CASE WHEN o_orderkey % 97 = 0 THEN 86400 "
+                "ELSE 600 + 60 * (o_orderkey % 50) END AS STRING) AS headway_secs",
+                "'0' AS exact_times",
             ))
 
 
@@ -133,14 +135,13 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = (read_source(spark, sf_dir, "lineitem")
               .groupBy("l_orderkey", "l_linenumber")
               .agg(F.min("l_suppkey").alias("sk"),
-                   (F.lit(18000) + F.col("l_linenumber") * 400
-                    + F.min("l_quantity").cast("bigint")).alias("a")))
-    return visits.select(
-        F.expr("'T' || cast(l_orderkey as string)").alias("trip_id"),
-        F.expr("'S' || cast(sk as string)").alias("stop_id"),
-        F.col("l_linenumber").cast("string").alias("stop_sequence"),
-        F.expr(_hms("a")).alias("arrival_time"),
-        F.expr(_hms("a + 15")).alias("departure_time"),
+                   F.expr("18000 + l_linenumber * 400 + CAST(min(l_quantity) AS BIGINT)").alias("a")))
+    return visits.selectExpr(
+        "'T' || CAST(l_orderkey AS STRING) AS trip_id",
+        "'S' || CAST(sk AS STRING) AS stop_id",
+        "CAST(l_linenumber AS STRING) AS stop_sequence",
+        f"{_hms('a')} AS arrival_time",
+        f"{_hms('a + 15')} AS departure_time",
     )
 
 
@@ -154,3 +155,22 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All seven raw tables (the feed models conform them to the declared
     raw columns)."""
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+
+
+def stored_raw_feed(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
+    """The raw feed written once as parquet tables (the truncate-and-load raw
+    layer) and read back, so every model reads stored raw tables with column
+    pruning and filter pushdown instead of recomputing the mapping.
+
+    The tables go under ``root`` (default: the session's checkpoint folder,
+    which on a cluster is the shared folder named by ``spark.checkpoint.dir``).
+    A table is rewritten when its ``_SUCCESS`` marker is missing."""
+    import hashlib
+    import os
+
+    from headway.session import ensure_checkpoint_dir
+    from headway.sources.archive import load_tables
+    base = root or ensure_checkpoint_dir(spark)
+    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    target = f"{base.rstrip('/')}/headway-raw-{tag}"
+    return load_tables(spark, raw_feed(spark, sf_dir), target)
