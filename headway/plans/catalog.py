@@ -146,3 +146,25 @@ def stop_hour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def service_active_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active days per service against its calendar window."""
     return _an.service_active_days(_models(spark, sf_dir).dim_service)
+
+
+# --- data-quality checks ----------------------------------------------------------
+from headway.operators import quality as _q  # noqa: E402
+
+
+def _dq_query(name: str, kind: str) -> None:
+    checks = _q.checks_of(kind)
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = _models(spark, sf_dir)
+        return _q.run_checks(spark, checks, m.table)
+    build.__name__ = name
+    build.__doc__ = f"Every declared {kind} check over all layers of the bridged feed."
+    REGISTRY[name] = (build, oracle.quality(checks))
+
+
+for _name, _kind in (("dq_not_null", "not_null"), ("dq_unique", "unique"),
+                     ("dq_accepted_values", "accepted_values"),
+                     ("dq_relationships", "relationships"), ("dq_between", "between"),
+                     ("dq_unique_combination", "unique_combination")):
+    _dq_query(_name, _kind)

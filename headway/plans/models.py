@@ -177,3 +177,16 @@ class FeedModels:
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+    PRESENTATION_ALIASES = {
+        "route_summary": "presentation_route_summary",
+        "daily_stop_arrivals": "presentation_daily_stop_arrivals",
+        "hourly_network_density": "presentation_hourly_network_density",
+    }
+
+    def table(self, name: str) -> DataFrame:
+        """Any layer's table by name: ``raw_<table>``, staging, dims, facts,
+        or a presentation mart (with or without its ``presentation_`` prefix)."""
+        if name.startswith("raw_"):
+            return self.raw[name[4:]]
+        return getattr(self, self.PRESENTATION_ALIASES.get(name, name))
