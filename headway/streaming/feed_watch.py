@@ -43,13 +43,18 @@ def archive_batch(batch: DataFrame, archive_root: str,
         archives.unpersist()
 
 
+ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def watch_feed_archives(spark: SparkSession, landing: str, archive_root: str,
                         checkpoint_location: str, tables: tuple[str, ...] = KNOWN_TABLES,
-                        available_now: bool = True,
-                        processing_time: str = "1 hour") -> StreamingQuery:
-    """Start the streaming ingestion of ``landing`` into ``archive_root``."""
-    stream = (spark.readStream.format("binaryFile")
-              .option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "false")
+                        available_now: bool = True, processing_time: str = "1 hour",
+                        dated_folders: bool = True) -> StreamingQuery:
+    """Start the streaming ingestion of ``landing`` into ``archive_root``.
+    ``dated_folders``: archives sit under ``snapshot_date=<date>/`` folders."""
+    schema = ARCHIVE_SCHEMA + (", snapshot_date string" if dated_folders else "")
+    stream = (spark.readStream.format("binaryFile").schema(schema)
+              .option("pathGlobFilter", "*.zip")
               .load(landing))
     writer = (stream.writeStream
               .foreachBatch(lambda df, _epoch: archive_batch(df, archive_root, tables))
