@@ -168,3 +168,70 @@ for _name, _kind in (("dq_not_null", "not_null"), ("dq_unique", "unique"),
                      ("dq_relationships", "relationships"), ("dq_between", "between"),
                      ("dq_unique_combination", "unique_combination")):
     _dq_query(_name, _kind)
+
+
+# --- ingestion round trips --------------------------------------------------------
+def _scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the session's checkpoint folder (shared storage
+    on a cluster)."""
+    import uuid
+
+    from headway.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@register("feed_csv_roundtrip", oracle.table("stg_stop_times"))
+def feed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridged raw feed written as a CSV feed folder (``<table>.txt``),
+    read back with the feed reader and staged: stop times."""
+    from headway.operators import staging
+    from headway.sources.bridge import raw_feed
+    from headway.sources.feed import read_feed_csv
+    folder = _scratch(spark, "csv-feed")
+    for name, df in raw_feed(spark, sf_dir).items():
+        df.write.mode("overwrite").option("header", True).option("escape", '"') \
+            .csv(f"{folder}/{name}.txt")
+    tables, _report = read_feed_csv(spark, folder)
+    return staging.stg_stop_times(tables["stop_times"])
+
+
+@register("snapshot_replay", oracle.table("stg_trips"))
+def snapshot_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of the raw trips archived by date; the later one is
+    replayed (the date filter prunes the other partition) and staged."""
+    from headway.operators import staging
+    from headway.sources.archive import archive_snapshot, replay_snapshot
+    from headway.sources.bridge import raw_feed
+    root = _scratch(spark, "archive")
+    trips = raw_feed(spark, sf_dir)["trips"]
+    archive_snapshot({"trips": trips.where("direction_id = '0'")}, root, "2024-01-01")
+    archive_snapshot({"trips": trips}, root, "2024-02-01")
+    from headway.sources.schemas import conform
+    replayed = replay_snapshot(spark, root, ["trips"], "2024-02-01")["trips"]
+    return staging.stg_trips(conform(replayed, "trips"))
+
+
+@register("registry_load", """
+SELECT 'reg_stops' AS name, 'csv' AS format, 'loaded' AS status, CAST(count(*) AS BIGINT) AS rows
+FROM supplier
+UNION ALL
+SELECT 'reg_trips', 'parquet', 'loaded', CAST(count(*) AS BIGINT) FROM orders
+UNION ALL
+SELECT 'reg_missing', 'csv', 'failed', CAST(NULL AS BIGINT)
+UNION ALL
+SELECT 'reg_sheet', 'xlsx', 'failed', CAST(NULL AS BIGINT)""")
+def registry_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry of four datasets derived from the test tables (a CSV, a
+    parquet table, a missing path, an unsupported format) loaded into tables;
+    the failing entries are reported and the others still load."""
+    from headway.sources.bridge import raw_feed
+    from headway.sources.registry import load_registry
+    folder = _scratch(spark, "registry")
+    raw = raw_feed(spark, sf_dir)
+    raw["stops"].write.mode("overwrite").option("header", True).csv(f"{folder}/in/stops")
+    raw["trips"].write.mode("overwrite").parquet(f"{folder}/in/trips")
+    entries = [{"name": "reg_stops", "path": f"{folder}/in/stops", "format": "csv"},
+               {"name": "reg_trips", "path": f"{folder}/in/trips", "format": "parquet"},
+               {"name": "reg_missing", "path": f"{folder}/in/none", "format": "csv"},
+               {"name": "reg_sheet", "path": f"{folder}/in/stops", "format": "xlsx"}]
+    return load_registry(spark, entries, f"{folder}/out").drop("error")
