@@ -98,22 +98,29 @@ def peaking_factor(hourly: DataFrame, daytime_hours: tuple[int, ...] = DAYTIME_H
     For each scope and clock hour, arrivals are summed per date and averaged
     over the dates with service in that hour.  The peak hour has the highest
     average (ties: earliest hour); the factor is that average divided by the
-    mean of the daytime hours' averages."""
-    rows = hourly.where("hour_of_day IS NOT NULL")
-    per_cat = rows.selectExpr("'category' AS scope_type", "service_category AS scope",
-                              "service_date", "hour_of_day", "arrivals_count")
-    network = rows.groupBy("service_date", "hour_of_day").agg(
-        F.expr("sum(arrivals_count) AS arrivals_count")).selectExpr(
-        "'network' AS scope_type", "'ALL' AS scope", "service_date", "hour_of_day", "arrivals_count")
-    by_hour = per_cat.unionByName(network).groupBy("scope_type", "scope", "hour_of_day") \
+    mean of the daytime hours' averages.
+
+    One pass over ``hourly``: a rollup gives the per-category and the
+    network sums together, and one window per scope finds the peak and the
+    daytime mean (no self-join, so the input is computed once)."""
+    sums = (hourly.where("hour_of_day IS NOT NULL")
+            .rollup("service_date", "hour_of_day", "service_category")
+            .agg(F.expr("sum(arrivals_count) AS arrivals_count"),
+                 F.expr("grouping_id() AS level"))
+            .where("level IN (0, 1)")   # (date, hour, category) and (date, hour)
+            .selectExpr("CASE WHEN level = 0 THEN 'category' ELSE 'network' END AS scope_type",
+                        "CASE WHEN level = 0 THEN service_category ELSE 'ALL' END AS scope",
+                        "hour_of_day", "arrivals_count"))
+    by_hour = sums.groupBy("scope_type", "scope", "hour_of_day") \
         .agg(F.expr("avg(arrivals_count) AS avg_arrivals"))
-    peak = by_hour.selectExpr(
-        "*", "row_number() OVER (PARTITION BY scope_type, scope "
-             "ORDER BY avg_arrivals DESC, hour_of_day) AS rn").where("rn = 1")
     hours = ", ".join(map(str, daytime_hours))
-    daytime = by_hour.where(f"hour_of_day IN ({hours})") \
-        .groupBy("scope_type", "scope").agg(F.expr("avg(avg_arrivals) AS daytime_mean"))
-    return peak.join(daytime, ["scope_type", "scope"], "left").selectExpr(
+    scoped = by_hour.selectExpr(
+        "*",
+        "row_number() OVER (PARTITION BY scope_type, scope "
+        "ORDER BY avg_arrivals DESC, hour_of_day) AS rn",
+        f"avg(CASE WHEN hour_of_day IN ({hours}) THEN avg_arrivals END) "
+        "OVER (PARTITION BY scope_type, scope) AS daytime_mean")
+    return scoped.where("rn = 1").selectExpr(
         "scope_type", "scope", "hour_of_day AS peak_hour",
         "round(avg_arrivals, 0) AS peak_avg_arrivals",
         "round(daytime_mean, 0) AS daytime_mean_arrivals",

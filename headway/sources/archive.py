@@ -28,13 +28,22 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+_STORED: dict[tuple[int, str], DataFrame] = {}
+
+
 def load_tables(spark: SparkSession, tables: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
+    """Write each table under ``target/<name>`` unless a complete copy is
+    there, and read them back (the read plan, with its inferred schema, is
+    reused within the session)."""
     out = {}
     for name, df in tables.items():
         path = f"{target}/{name}"
-        if not _exists(spark, f"{path}/_SUCCESS"):
-            write_table(df, path)
-        out[name] = spark.read.parquet(path)
+        key = (id(spark), path)
+        if key not in _STORED:
+            if not _exists(spark, f"{path}/_SUCCESS"):
+                write_table(df, path)
+            _STORED[key] = spark.read.parquet(path)
+        out[name] = _STORED[key]
     return out
 
 

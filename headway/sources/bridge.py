@@ -173,4 +173,16 @@ def stored_raw_feed(spark: SparkSession, sf_dir: str, root: str | None = None) -
     base = root or ensure_checkpoint_dir(spark)
     tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
     target = f"{base.rstrip('/')}/headway-raw-{tag}"
-    return load_tables(spark, raw_feed(spark, sf_dir), target)
+    return load_tables(spark, {name: _Lazy(build, spark, sf_dir) for name, build in BUILDERS.items()},
+                       target)
+
+
+class _Lazy:
+    """Builds a raw table only when it has to be written."""
+
+    def __init__(self, build, spark: SparkSession, sf_dir: str):
+        self.build, self.spark, self.sf_dir = build, spark, sf_dir
+
+    @property
+    def write(self):
+        return self.build(self.spark, self.sf_dir).write
