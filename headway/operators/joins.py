@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_HOT_KEYS = 10_000
-DEFAULT_SALT_BUCKETS = 32
+MAX_SALT_BUCKETS = 4096
 _SALT = "__salt"
 
 
@@ -45,37 +45,59 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def heavy_keys(counts: DataFrame, key: str | Sequence[str], count_col: str,
                min_rows: int = DEFAULT_HOT_ROWS, max_keys: int = DEFAULT_HOT_KEYS) -> DataFrame | None:
-    """Keys with ``count_col >= min_rows``, at most ``max_keys`` of them, or
-    None when there are none.
+    """Keys with ``count_col >= min_rows`` and their counts (column
+    ``hot_rows``), at most ``max_keys`` of them, or None when there are none.
 
     The keys are fetched eagerly (at most ``max_keys`` rows reach the driver,
     which is the proven size bound), so a join without hot keys keeps its
     plain plan and a join with them gets a literal, broadcastable key set."""
     keys = [key] if isinstance(key, str) else list(key)
     rows = (counts.where(F.col(count_col) >= min_rows)
-            .orderBy(F.col(count_col).desc(), *keys).limit(max_keys).select(*keys).collect())
+            .orderBy(F.col(count_col).desc(), *keys).limit(max_keys)
+            .select(*keys, F.col(count_col).cast("long").alias("hot_rows")).collect())
     if not rows:
         return None
-    spark = counts.sparkSession
-    return spark.createDataFrame(rows, counts.select(*keys).schema)
+    schema = counts.select(*keys, F.col(count_col).cast("long").alias("hot_rows")).schema
+    return counts.sparkSession.createDataFrame(rows, schema)
+
+
+def salt_buckets(hot: DataFrame, rows_per_task: int = DEFAULT_HOT_ROWS,
+                 max_buckets: int = MAX_SALT_BUCKETS) -> int:
+    """Buckets so that the hottest key's rows come to about ``rows_per_task``
+    per task (at least 2, at most ``max_buckets``)."""
+    top = hot.agg(F.max("hot_rows")).first()[0] or 0
+    return int(min(max_buckets, max(2, -(-top // rows_per_task))))
 
 
 def split_hot_join(big: DataFrame, other: DataFrame, key: str | Sequence[str],
                    hot: DataFrame | None, how: str = "inner",
-                   salt_cols: Sequence[str] = (), buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """``big.join(other, key, how)`` with heavy keys spread over ``buckets``.
+                   salt_cols: Sequence[str] = (), buckets: int | None = None,
+                   partitions: int | None = None) -> DataFrame:
+    """``big.join(other, key, how)`` with heavy keys spread over buckets.
 
     ``how`` is 'inner' or 'left' (``big`` on the left).  ``hot`` must be
-    size-bounded (see ``heavy_keys``); ``None`` means a plain join."""
+    size-bounded (see ``heavy_keys``); ``None`` means a plain join.  The hot
+    keys are split off *before* anything is partitioned by ``key``, so no
+    task ever holds a hot key's rows.  ``partitions`` pins the partition
+    count of the ordinary join (AQE keeps an explicit count, so work that
+    expands after the join keeps that parallelism); the salted join is
+    pinned to (key, salt) the same way."""
     keys = [key] if isinstance(key, str) else list(key)
     if hot is None:
-        return big.join(other, keys, how)
+        b = big.repartition(partitions, *keys) if partitions else big
+        return b.join(other, keys, how)
+    n = buckets or salt_buckets(hot)
     hot_b = F.broadcast(hot.select(*keys))
-    cold = big.join(hot_b, keys, "left_anti").join(other.join(hot_b, keys, "left_anti"), keys, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in (list(salt_cols) or big.columns)]), F.lit(buckets))
-    big_hot = big.join(hot_b, keys, "left_semi").withColumn(_SALT, salt)
+    cold_big = big.join(hot_b, keys, "left_anti")
+    if partitions:
+        cold_big = cold_big.repartition(partitions, *keys)
+    cold = cold_big.join(other.join(hot_b, keys, "left_anti"), keys, how)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in (list(salt_cols) or big.columns)]), F.lit(n))
+    big_hot = (big.join(hot_b, keys, "left_semi").withColumn(_SALT, salt)
+               .repartition(n, *keys, _SALT))
     other_hot = (other.join(hot_b, keys, "left_semi")
                  .withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"),
-                                                         F.lit(buckets - 1).cast("long")))))
+                                                         F.lit(n - 1).cast("long"))))
+                 .repartition(n, *keys, _SALT))
     hot_part = big_hot.join(other_hot, keys + [_SALT], how).drop(_SALT)
     return cold.unionByName(hot_part)

@@ -119,13 +119,14 @@ def _expand_over_dates(template: DataFrame, service_dates: DataFrame,
     The active dates are broadcast when their row count is checked to be
     small; otherwise it is a shuffle join on service_id in which services
     with very many template rows are spread over several tasks."""
+    key_cols = ["service_id", *salt_cols]  # unique per template row: an even spread
     # The join multiplies each template row by its service's active dates
     # (hundreds to thousands), so the template is spread over the session's
     # shuffle partitions first.  An explicit partition count is kept as is by
     # AQE; otherwise the small template would be coalesced into a few tasks
     # and the whole expansion would run in them.
     parts = int(template.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    template = template.repartition(parts, *salt_cols)
+    template = template.repartition(parts, *key_cols)
     service_dates = service_dates.persist()  # size check, then the join
     if has_at_most(service_dates, DEFAULT_BROADCAST_ROWS):
         joined = template.join(F.broadcast(service_dates), "service_id")

@@ -53,13 +53,13 @@ def trip_windows(stg_frequencies: DataFrame, stg_trips: DataFrame, dim_route: Da
                                            "end_seconds_from_service_midnight",
                                            "headway_seconds") + " AS n_departures")
                .where("n_departures > 0")
-               .repartition(_partitions(stg_frequencies), "trip_id")
                .persist())  # read by the hot-key check and by the join
     hot = heavy_keys(windows.groupBy("trip_id").count(), "trip_id", "count", HOT_TRIP_WINDOWS)
     trips = stg_trips.select("trip_id", "route_id", "service_id", "direction_id",
                              "trip_headsign", "trip_short_name", "shape_id")
     joined = split_hot_join(windows, trips, "trip_id", hot, "inner",
-                            salt_cols=["window_start_seconds", "window_end_seconds"])
+                            salt_cols=["window_start_seconds", "window_end_seconds"],
+                            partitions=_partitions(stg_frequencies))
     routes = broadcast_if_small(dim_route.select(
         "route_id", F.col("service_category").alias("route_service_category"),
         "route_short_name", "route_long_name", "route_color_hex"))
@@ -100,9 +100,12 @@ def trip_stop_stats(stg_stop_times: DataFrame) -> DataFrame:
 def stop_offsets(stg_stop_times: DataFrame) -> DataFrame:
     """Each stop row's arrival and departure offset from the trip's first
     arrival.  The base is the minimum arrival, not the lowest sequence."""
-    stats = trip_stop_stats(stg_stop_times).select("trip_id", "trip_first_arrival_seconds")
+    stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
+    hot = heavy_keys(stats, "trip_id", "n_stop_rows", HOT_TRIP_STOP_ROWS)
     base = F.col("trip_first_arrival_seconds")
-    return stg_stop_times.join(stats, "trip_id").select(
+    joined = split_hot_join(stg_stop_times, stats.select("trip_id", "trip_first_arrival_seconds"),
+                            "trip_id", hot, "inner", salt_cols=["stop_sequence", "stop_id"])
+    return joined.select(
         "trip_id", "stop_id", "stop_sequence",
         (F.col("arrival_seconds_from_service_midnight") - base).alias("arrival_offset_seconds"),
         (F.col("departure_seconds_from_service_midnight") - base).alias("departure_offset_seconds"),
@@ -121,10 +124,10 @@ def window_stops(windows: DataFrame, stg_stop_times: DataFrame) -> DataFrame:
              .select("trip_id", "stop_id", "stop_sequence",
                      "arrival_seconds_from_service_midnight",
                      "departure_seconds_from_service_midnight",
-                     "stop_headsign", "shape_distance_traveled")
-             .repartition(_partitions(stg_stop_times), "trip_id"))
+                     "stop_headsign", "shape_distance_traveled"))
     pairs = split_hot_join(stops, with_base, "trip_id", hot, "inner",
-                           salt_cols=["stop_sequence", "stop_id"])
+                           salt_cols=["stop_sequence", "stop_id"],
+                           partitions=_partitions(stg_stop_times))
     base = F.col("trip_first_arrival_seconds")
     return pairs.select(
         *[c for c in pairs.columns if c not in (

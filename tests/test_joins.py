@@ -22,3 +22,30 @@ def test_split_hot_join_equals_plain_join(spark):
 def test_broadcast_if_small(spark):
     small = spark.range(10)
     assert joins.has_at_most(small, 10) and not joins.has_at_most(small, 9)
+
+
+def test_models_with_forced_hot_keys_match(spark, monkeypatch):
+    """Every hot-key path (hot trips in windows and stop rows, a calendar too
+    big to broadcast with hot services) gives the same rows as the plain path."""
+    from fixture_feed import fixture_models
+
+    from headway.operators import presentation, schedule
+
+    def snapshot():
+        m = fixture_models(spark)
+        out = {}
+        for name in ("fact_scheduled_trip", "fact_scheduled_stop_event", "stop_offsets",
+                     "presentation_daily_stop_arrivals", "presentation_hourly_network_density",
+                     "presentation_route_summary"):
+            df = m.model(name)
+            out[name] = sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
+        return out
+
+    plain = snapshot()
+    monkeypatch.setattr(schedule, "HOT_TRIP_WINDOWS", 2)
+    monkeypatch.setattr(schedule, "HOT_TRIP_STOP_ROWS", 2)
+    monkeypatch.setattr(presentation, "DEFAULT_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(presentation, "HOT_SERVICE_TEMPLATE_ROWS", 1)
+    hot = snapshot()
+    for name in plain:
+        assert hot[name] == plain[name], name
