@@ -183,6 +183,9 @@ class _Lazy:
     def __init__(self, build, spark: SparkSession, sf_dir: str):
         self.build, self.spark, self.sf_dir = build, spark, sf_dir
 
+    def repartition(self, n: int):
+        return self.build(self.spark, self.sf_dir).repartition(n)
+
     @property
     def write(self):
         return self.build(self.spark, self.sf_dir).write
