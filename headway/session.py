@@ -40,10 +40,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) fall back to a fresh scratch folder."""
+    """Use the session's ``spark.checkpoint.dir`` (the shared folder the
+    cluster names).  Only a local-mode session without one (tests, local
+    runs) falls back to a fresh scratch folder; on a cluster a missing
+    setting is an error, never a machine-local folder."""
     current = checkpoint_dir(spark)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or "
+                               "object storage) for checkpoints and stored tables")
         current = tempfile.mkdtemp(prefix="headway-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
