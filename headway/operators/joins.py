@@ -101,3 +101,54 @@ def split_hot_join(big: DataFrame, other: DataFrame, key: str | Sequence[str],
                  .repartition(n, *keys, _SALT))
     hot_part = big_hot.join(other_hot, keys + [_SALT], how).drop(_SALT)
     return cold.unionByName(hot_part)
+
+
+class JoinDecisions:
+    """Size checks and hot keys of one model graph, gathered in as few jobs
+    as possible.
+
+    ``gather`` takes the sides to size-check and the per-key counts to scan
+    for hot keys; every check is a small, bounded branch (a
+    ``limit(max_rows + 1)`` row count; the ``max_keys`` heaviest keys over
+    ``min_rows``) and all branches not decided yet are unioned and collected
+    in ONE job.  Results are kept, so each decision is made once per graph."""
+
+    def __init__(self, max_rows: int | None = None, max_keys: int | None = None):
+        self.max_rows = DEFAULT_BROADCAST_ROWS if max_rows is None else max_rows
+        self.max_keys = DEFAULT_HOT_KEYS if max_keys is None else max_keys
+        self.small: dict[str, bool] = {}
+        self.hot: dict[str, DataFrame | None] = {}
+
+    def gather(self, sizes: dict[str, DataFrame], hot: dict[str, tuple]) -> "JoinDecisions":
+        sizes = {k: v for k, v in sizes.items() if k not in self.small}
+        hot = {k: v for k, v in hot.items() if k not in self.hot}
+        branches = []
+        for name, df in sizes.items():
+            branches.append(df.limit(self.max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
+                            .select(F.lit(name).alias("check"),
+                                    F.lit(None).cast("string").alias("key"), "n"))
+        for name, (counts, key, count_col, min_rows) in hot.items():
+            branches.append(counts.where(F.col(count_col) >= min_rows)
+                            .orderBy(F.col(count_col).desc(), key).limit(self.max_keys)
+                            .select(F.lit(name).alias("check"),
+                                    F.col(key).cast("string").alias("key"),
+                                    F.col(count_col).cast("long").alias("n")))
+        if not branches:
+            return self
+        union = branches[0]
+        for b in branches[1:]:
+            union = union.unionByName(b)
+        rows = union.collect()   # at most len(sizes) + len(hot) * max_keys rows
+        spark = union.sparkSession
+        found: dict[str, list] = {name: [] for name in hot}
+        for name in sizes:
+            self.small[name] = False
+        for r in rows:
+            if r.check in sizes:
+                self.small[r.check] = r.n <= self.max_rows
+            else:
+                found[r.check].append((r.key, r.n))
+        for name, (_counts, key, _c, _m) in hot.items():
+            self.hot[name] = (spark.createDataFrame(found[name], f"`{key}` string, hot_rows bigint")
+                              if found[name] else None)
+        return self

@@ -113,7 +113,7 @@ def visits_by_service_hour(pairs: DataFrame) -> DataFrame:
 # --- date-grained marts ---------------------------------------------------
 
 def _expand_over_dates(template: DataFrame, service_dates: DataFrame,
-                       salt_cols: list[str]) -> DataFrame:
+                       salt_cols: list[str], dates_small: bool | None = None) -> DataFrame:
     """template (service_id, next_day_offset, ...) x active dates.
 
     The active dates are broadcast when their row count is checked to be
@@ -127,8 +127,10 @@ def _expand_over_dates(template: DataFrame, service_dates: DataFrame,
     # and the whole expansion would run in them.
     parts = int(template.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     template = template.repartition(parts, *key_cols)
-    service_dates = service_dates.persist()  # size check, then the join
-    if has_at_most(service_dates, DEFAULT_BROADCAST_ROWS):
+    if dates_small is None:
+        service_dates = service_dates.persist()  # size check, then the join
+        dates_small = has_at_most(service_dates, DEFAULT_BROADCAST_ROWS)
+    if dates_small:
         joined = template.join(F.broadcast(service_dates), "service_id")
     else:
         counts = template.groupBy("service_id").count()
@@ -138,24 +140,31 @@ def _expand_over_dates(template: DataFrame, service_dates: DataFrame,
     return joined.withColumn("clock_date", clock_date("service_date", "next_day_offset"))
 
 
-def daily_stop_arrivals(pairs: DataFrame, service_dates: DataFrame) -> DataFrame:
+def daily_stop_arrivals(pairs: DataFrame, service_dates: DataFrame,
+                        dates_small: bool | None = None) -> DataFrame:
     """Arrivals per (clock date, stop); hours 24+ count on the next date."""
     template = (visits_by_day_offset(pairs)
                 .groupBy("service_id", "stop_id", "next_day_offset")
                 .agg(F.sum("visits").alias("arrivals_count")))
-    expanded = _expand_over_dates(template, service_dates, ["stop_id", "next_day_offset"])
+    expanded = _expand_over_dates(template, service_dates, ["stop_id", "next_day_offset"],
+                                  dates_small)
     return expanded.groupBy("clock_date", "stop_id").agg(
         F.sum("arrivals_count").cast("long").alias("arrivals_count")) \
         .select(F.col("clock_date").alias("service_date"), "stop_id", "arrivals_count")
 
 
-def hourly_template(pairs: DataFrame, dim_route: DataFrame) -> DataFrame:
+def hourly_template(pairs: DataFrame, dim_route: DataFrame,
+                    routes_small: bool | None = None) -> DataFrame:
     """Visits per (service, category, clock hour, next-day offset).  Routes
     missing from ``dim_route`` drop out (inner join)."""
     by_route = (visits_by_service_hour(pairs)
                 .groupBy("service_id", "route_id", "service_hour")
                 .agg(F.sum("visits").alias("visits")))
-    routes = broadcast_if_small(dim_route.select("route_id", "service_category"))
+    routes = dim_route.select("route_id", "service_category")
+    if routes_small is None:
+        routes = broadcast_if_small(routes)
+    elif routes_small:
+        routes = F.broadcast(routes)
     hour = F.col("service_hour")
     return (by_route.join(routes, "route_id")
             .groupBy("service_id", "service_category",
@@ -165,11 +174,13 @@ def hourly_template(pairs: DataFrame, dim_route: DataFrame) -> DataFrame:
 
 
 def hourly_network_density(pairs: DataFrame, dim_route: DataFrame,
-                           service_dates: DataFrame) -> DataFrame:
+                           service_dates: DataFrame, routes_small: bool | None = None,
+                           dates_small: bool | None = None) -> DataFrame:
     """Arrivals per (clock date, clock hour, service category)."""
-    template = hourly_template(pairs, dim_route)
+    template = hourly_template(pairs, dim_route, routes_small)
     expanded = _expand_over_dates(template, service_dates,
-                                  ["service_category", "hour_of_day", "next_day_offset"])
+                                  ["service_category", "hour_of_day", "next_day_offset"],
+                                  dates_small)
     return expanded.groupBy("clock_date", "hour_of_day", "service_category").agg(
         F.sum("arrivals_count").cast("long").alias("arrivals_count")) \
         .select(F.col("clock_date").alias("service_date"), "hour_of_day", "service_category",

@@ -39,33 +39,56 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def trip_windows(stg_frequencies: DataFrame, stg_trips: DataFrame, dim_route: DataFrame,
-                 dim_service: DataFrame) -> DataFrame:
-    """Frequency windows that yield departures, joined to their trip, route
+_AUTO = object()
+
+
+def frequency_windows(stg_frequencies: DataFrame) -> DataFrame:
+    """Frequency windows that yield at least one departure, with the count."""
+    return (stg_frequencies
+            .selectExpr("trip_id",
+                        "start_seconds_from_service_midnight AS window_start_seconds",
+                        "end_seconds_from_service_midnight AS window_end_seconds",
+                        "headway_seconds", "is_exact_times",
+                        departure_count("start_seconds_from_service_midnight",
+                                        "end_seconds_from_service_midnight",
+                                        "headway_seconds") + " AS n_departures")
+            .where("n_departures > 0"))
+
+
+def hot_trips_by_windows(windows: DataFrame) -> DataFrame | None:
+    return heavy_keys(windows.groupBy("trip_id").count(), "trip_id", "count", HOT_TRIP_WINDOWS)
+
+
+def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
+    if small is None:
+        return broadcast_if_small(df)
+    return F.broadcast(df) if small else df
+
+
+def trip_windows(windows: DataFrame, stg_trips: DataFrame, dim_route: DataFrame,
+                 dim_service: DataFrame, hot=_AUTO, routes_small: bool | None = None,
+                 services_small: bool | None = None) -> DataFrame:
+    """Frequency windows (``frequency_windows``) joined to their trip, route
     and service.  Trips without a frequency row have no departures and do
-    not appear (inner join); unknown routes/services keep NULL attributes."""
-    windows = (stg_frequencies
-               .selectExpr("trip_id",
-                           "start_seconds_from_service_midnight AS window_start_seconds",
-                           "end_seconds_from_service_midnight AS window_end_seconds",
-                           "headway_seconds", "is_exact_times",
-                           departure_count("start_seconds_from_service_midnight",
-                                           "end_seconds_from_service_midnight",
-                                           "headway_seconds") + " AS n_departures")
-               .where("n_departures > 0")
-               .persist())  # read by the hot-key check and by the join
-    hot = heavy_keys(windows.groupBy("trip_id").count(), "trip_id", "count", HOT_TRIP_WINDOWS)
+    not appear (inner join); unknown routes/services keep NULL attributes.
+
+    ``hot`` (trips with very many windows) and the two ``*_small`` size
+    decisions are checked here unless the caller has gathered them already
+    (see ``JoinDecisions``)."""
+    if hot is _AUTO:
+        windows = windows.persist()  # read by the hot-key check and by the join
+        hot = hot_trips_by_windows(windows)
     trips = stg_trips.select("trip_id", "route_id", "service_id", "direction_id",
                              "trip_headsign", "trip_short_name", "shape_id")
     joined = split_hot_join(windows, trips, "trip_id", hot, "inner",
                             salt_cols=["window_start_seconds", "window_end_seconds"],
-                            partitions=_partitions(stg_frequencies))
-    routes = broadcast_if_small(dim_route.select(
+                            partitions=_partitions(windows))
+    routes = _maybe_broadcast(dim_route.select(
         "route_id", F.col("service_category").alias("route_service_category"),
-        "route_short_name", "route_long_name", "route_color_hex"))
-    services = broadcast_if_small(dim_service.select(
+        "route_short_name", "route_long_name", "route_color_hex"), routes_small)
+    services = _maybe_broadcast(dim_service.select(
         "service_id", "service_name",
-        F.col("active_days_count").alias("service_active_days_count")))
+        F.col("active_days_count").alias("service_active_days_count")), services_small)
     return joined.join(routes, "route_id", "left").join(services, "service_id", "left")
 
 
@@ -97,11 +120,18 @@ def trip_stop_stats(stg_stop_times: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_stop_rows"))
 
 
-def stop_offsets(stg_stop_times: DataFrame) -> DataFrame:
+def hot_trips_by_stop_rows(stats: DataFrame) -> DataFrame | None:
+    return heavy_keys(stats, "trip_id", "n_stop_rows", HOT_TRIP_STOP_ROWS)
+
+
+def stop_offsets(stg_stop_times: DataFrame, stats: DataFrame | None = None,
+                 hot=_AUTO) -> DataFrame:
     """Each stop row's arrival and departure offset from the trip's first
     arrival.  The base is the minimum arrival, not the lowest sequence."""
-    stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
-    hot = heavy_keys(stats, "trip_id", "n_stop_rows", HOT_TRIP_STOP_ROWS)
+    if stats is None:
+        stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
+    if hot is _AUTO:
+        hot = hot_trips_by_stop_rows(stats)
     base = F.col("trip_first_arrival_seconds")
     joined = split_hot_join(stg_stop_times, stats.select("trip_id", "trip_first_arrival_seconds"),
                             "trip_id", hot, "inner", salt_cols=["stop_sequence", "stop_id"])
@@ -112,19 +142,21 @@ def stop_offsets(stg_stop_times: DataFrame) -> DataFrame:
         "stop_headsign", "shape_distance_traveled")
 
 
-def window_stops(windows: DataFrame, stg_stop_times: DataFrame) -> DataFrame:
+def window_stops(windows: DataFrame, stg_stop_times: DataFrame,
+                 stats: DataFrame | None = None, hot=_AUTO) -> DataFrame:
     """(window, stop row) pairs of the same trip with the stop offsets.
 
     The per-trip base joins the small window table first; the stop rows then
     meet the windows in one shuffle on ``trip_id``."""
-    stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
-    hot = heavy_keys(stats, "trip_id", "n_stop_rows", HOT_TRIP_STOP_ROWS)
+    if stats is None:
+        stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
+    if hot is _AUTO:
+        hot = hot_trips_by_stop_rows(stats)
     with_base = windows.join(stats.select("trip_id", "trip_first_arrival_seconds"), "trip_id")
-    stops = (stg_stop_times
-             .select("trip_id", "stop_id", "stop_sequence",
-                     "arrival_seconds_from_service_midnight",
-                     "departure_seconds_from_service_midnight",
-                     "stop_headsign", "shape_distance_traveled"))
+    stops = stg_stop_times.select("trip_id", "stop_id", "stop_sequence",
+                                  "arrival_seconds_from_service_midnight",
+                                  "departure_seconds_from_service_midnight",
+                                  "stop_headsign", "shape_distance_traveled")
     pairs = split_hot_join(stops, with_base, "trip_id", hot, "inner",
                            salt_cols=["stop_sequence", "stop_id"],
                            partitions=_partitions(stg_stop_times))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headway.operators import calendar as cal
 from headway.operators import dims, presentation, schedule, staging
+from headway.operators.joins import JoinDecisions
 from headway.sources.schemas import conform, empty_table
 
 # Model name -> (layer, upstream models).  Layers decide how a
@@ -139,11 +140,44 @@ class FeedModels:
     def dim_service(self) -> DataFrame:
         return dims.dim_service(self.stg_calendar, self.service_calendar)
 
+    # join decisions ------------------------------------------------------
+    @cached_property
+    def frequency_windows(self) -> DataFrame:
+        # read by the hot-key check and by the joins
+        return schedule.frequency_windows(self.stg_frequencies).persist()
+
+    @cached_property
+    def trip_stop_stats(self) -> DataFrame:
+        return schedule.trip_stop_stats(self.stg_stop_times).persist()
+
+    @cached_property
+    def join_decisions(self) -> JoinDecisions:
+        return JoinDecisions()
+
+    _SIZE_CHECKS = ("dim_route", "dim_service", "service_calendar")
+    _HOT_CHECKS = ("windows", "stop_rows")
+
+    def decide(self, *names: str) -> JoinDecisions:
+        """Make the named join decisions (size checks of the dimensions and
+        the calendar, hot trips by windows or stop rows) in one job."""
+        sizes = {n: self.model(n) for n in names if n in self._SIZE_CHECKS}
+        hot = {}
+        if "windows" in names:
+            hot["windows"] = (self.frequency_windows.groupBy("trip_id").count(), "trip_id",
+                              "count", schedule.HOT_TRIP_WINDOWS)
+        if "stop_rows" in names:
+            hot["stop_rows"] = (self.trip_stop_stats, "trip_id", "n_stop_rows",
+                                schedule.HOT_TRIP_STOP_ROWS)
+        return self.join_decisions.gather(sizes, hot)
+
     # schedule ------------------------------------------------------------
     @cached_property
     def trip_windows(self) -> DataFrame:
-        return schedule.trip_windows(self.stg_frequencies, self.stg_trips, self.dim_route,
-                                     self.dim_service)
+        d = self.decide("windows", "dim_route", "dim_service")
+        return schedule.trip_windows(self.frequency_windows, self.stg_trips, self.dim_route,
+                                     self.dim_service, hot=d.hot["windows"],
+                                     routes_small=d.small["dim_route"],
+                                     services_small=d.small["dim_service"])
 
     @cached_property
     def fact_scheduled_trip(self) -> DataFrame:
@@ -151,29 +185,40 @@ class FeedModels:
 
     @cached_property
     def stop_offsets(self) -> DataFrame:
-        return schedule.stop_offsets(self.stg_stop_times)
+        d = self.decide("stop_rows")
+        return schedule.stop_offsets(self.stg_stop_times, self.trip_stop_stats,
+                                     hot=d.hot["stop_rows"])
 
     @cached_property
     def window_stops(self) -> DataFrame:
-        return schedule.window_stops(self.trip_windows, self.stg_stop_times)
+        d = self.decide("windows", "dim_route", "dim_service", "stop_rows")
+        return schedule.window_stops(self.trip_windows, self.stg_stop_times,
+                                     self.trip_stop_stats, hot=d.hot["stop_rows"])
 
     @cached_property
     def fact_scheduled_stop_event(self) -> DataFrame:
         return schedule.fact_scheduled_stop_event(self.window_stops)
 
     # presentation --------------------------------------------------------
+    _MART_CHECKS = ("windows", "dim_route", "dim_service", "stop_rows", "service_calendar")
+
     @cached_property
     def presentation_route_summary(self) -> DataFrame:
+        self.decide(*self._MART_CHECKS)
         return presentation.route_summary(self.dim_route, self.trip_windows, self.window_stops)
 
     @cached_property
     def presentation_daily_stop_arrivals(self) -> DataFrame:
-        return presentation.daily_stop_arrivals(self.window_stops, self.service_calendar)
+        d = self.decide(*self._MART_CHECKS)
+        return presentation.daily_stop_arrivals(self.window_stops, self.service_calendar,
+                                                dates_small=d.small["service_calendar"])
 
     @cached_property
     def presentation_hourly_network_density(self) -> DataFrame:
-        return presentation.hourly_network_density(self.window_stops, self.dim_route,
-                                                   self.service_calendar)
+        d = self.decide(*self._MART_CHECKS)
+        return presentation.hourly_network_density(
+            self.window_stops, self.dim_route, self.service_calendar,
+            routes_small=d.small["dim_route"], dates_small=d.small["service_calendar"])
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)

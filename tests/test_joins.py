@@ -45,6 +45,7 @@ def test_models_with_forced_hot_keys_match(spark, monkeypatch):
     monkeypatch.setattr(schedule, "HOT_TRIP_WINDOWS", 2)
     monkeypatch.setattr(schedule, "HOT_TRIP_STOP_ROWS", 2)
     monkeypatch.setattr(presentation, "DEFAULT_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "DEFAULT_BROADCAST_ROWS", 0)   # no broadcast anywhere
     monkeypatch.setattr(presentation, "HOT_SERVICE_TEMPLATE_ROWS", 1)
     hot = snapshot()
     for name in plain:
