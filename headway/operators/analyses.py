@@ -86,6 +86,7 @@ def service_frequency_tiers(windows: DataFrame) -> DataFrame:
     order, label = _tier(F.col("headway_seconds"))
     tiers = windows.groupBy(order.cast("long").alias("tier_order"), label.alias("frequency_tier")) \
         .agg(F.sum("n_departures").alias("departures_count"))
+    # A window over the whole result is fine here: it holds one row per tier.
     total = F.sum("departures_count").over(Window.partitionBy())
     return tiers.select("tier_order", "frequency_tier", "departures_count",
                         F.round(F.col("departures_count") / total, 4).alias("share_of_departures"))
@@ -137,6 +138,7 @@ def service_tier_mix(windows: DataFrame, pairs: DataFrame) -> DataFrame:
     joined = supply.join(stops, supply[cat].eqNullSafe(stops[cat]), "left").select(
         supply[cat].alias("service_category"), "departures_count", "routes_count",
         F.coalesce("distinct_stops_served", F.lit(0).cast("long")).alias("distinct_stops_served"))
+    # One row per service category, so a window over the whole result is small.
     total = F.sum("departures_count").over(Window.partitionBy())
     return joined.select("service_category", "departures_count",
                          F.round(F.col("departures_count") / total, 4).alias("share_of_departures"),

@@ -136,7 +136,7 @@ def _expand_over_dates(template: DataFrame, service_dates: DataFrame,
         counts = template.groupBy("service_id").count()
         hot = heavy_keys(counts, "service_id", "count", HOT_SERVICE_TEMPLATE_ROWS)
         joined = split_hot_join(template, service_dates, "service_id", hot, "inner",
-                                salt_cols=salt_cols)
+                                salt_cols=salt_cols, partitions=parts)
     return joined.withColumn("clock_date", clock_date("service_date", "next_day_offset"))
 
 

@@ -103,3 +103,17 @@ def test_marts_on_random_windows(spark):
                           ["trip_id", "stop_id", "stop_sequence", "arrival_time", "departure_time"]),
     }
     _check(FeedModels(spark, tables))
+
+
+def test_invariants(spark):
+    """Daily and hourly totals agree when every route resolves; arrival
+    offsets are never negative; departures stay before the window end."""
+    m = fixture_models(spark)
+    resolved = m.presentation_daily_stop_arrivals.agg(F.sum("arrivals_count")).first()[0]
+    hourly = m.presentation_hourly_network_density.agg(F.sum("arrivals_count")).first()[0]
+    unknown_route_visits = (m.fact_scheduled_stop_event.where("route_service_category IS NULL")
+                            .join(m.service_calendar, "service_id").count())
+    assert resolved == hourly + unknown_route_visits
+    assert m.stop_offsets.where("arrival_offset_seconds < 0").count() == 0
+    assert m.fact_scheduled_trip.where(
+        "departure_seconds_from_service_midnight >= source_window_end_seconds").count() == 0
