@@ -33,7 +33,7 @@ def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-_STORED: dict[tuple[int, str], DataFrame] = {}
+_STORED: dict[tuple[str, str], DataFrame] = {}
 
 
 def load_tables(spark: SparkSession, tables: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
@@ -43,7 +43,7 @@ def load_tables(spark: SparkSession, tables: dict[str, DataFrame], target: str)
     out = {}
     for name, df in tables.items():
         path = f"{target}/{name}"
-        key = (id(spark), path)
+        key = (spark.sparkContext.applicationId, path)
         if key not in _STORED:
             if not _exists(spark, f"{path}/_SUCCESS"):
                 write_table(df, path)

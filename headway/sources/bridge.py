@@ -32,13 +32,13 @@ SOURCE_TABLES = ("region", "nation", "supplier", "orders", "lineitem")
 FIXED_TIMETABLE_PRIORITY = "5-LOW"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The test table ``name`` (the read plan is reused within a session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
