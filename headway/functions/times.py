@@ -20,7 +20,9 @@ def _col(c: Column | str) -> Column:
 
 
 def time_to_seconds_sql(text: str) -> str:
-    """SQL text of ``gtfs_time_to_seconds`` over the SQL expression ``text``."""
+    """SQL text of ``gtfs_time_to_seconds`` over the SQL expression ``text``
+    (for sessions with default string-literal escaping; the Column version
+    below does not depend on it)."""
     t = f"CAST({text} AS STRING)"
     pattern = _TIME_PATTERN.replace("\\", "\\\\")  # backslashes escaped inside a SQL literal
     return (f"CASE WHEN {t} RLIKE '{pattern}' THEN "
@@ -32,9 +34,7 @@ def gtfs_time_to_seconds(c: Column | str) -> Column:
     """Seconds from service midnight; NULL for NULL or malformed text.
 
     Hours of 24 and more are kept (``25:15:00`` -> 90900)."""
-    if isinstance(c, str):
-        return F.expr(time_to_seconds_sql(f"`{c}`"))
-    text = c.cast("string")
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
     parts = F.split(text, ":")
     seconds = (parts.getItem(0).cast("long") * SECONDS_PER_HOUR
                + parts.getItem(1).cast("long") * 60

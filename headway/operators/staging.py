@@ -8,10 +8,11 @@ Each model is one projection written as SQL expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from headway.functions.labels import EXCEPTION_TYPE_NAMES, ROUTE_TYPE_NAMES, decode_sql
-from headway.functions.times import time_to_seconds_sql
+from headway.functions.times import gtfs_time_to_seconds
 
 DATE_FORMAT = "yyyyMMdd"
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
@@ -54,21 +55,27 @@ def stg_trips(raw: DataFrame) -> DataFrame:
         _l("bikes_allowed", "bikes_allowed_code"))
 
 
-def _parsed_times(pairs: list[tuple[str, str]]) -> str:
+def _parsed_times(pairs: list[tuple[str, str]]) -> Column:
     """One generator row holding the parsed seconds of each (raw column,
     output name).
 
     The parser is evaluated once per row.  Because the values come out of a
     generator, later filters on them (``n_departures > 0``, say) cannot be
     rewritten onto the raw text, which would evaluate the regex parser again
-    for every reference in the predicate."""
-    fields = ", ".join(f"'{out}', {time_to_seconds_sql(raw)}" for raw, out in pairs)
-    return f"inline(array(named_struct({fields})))"
+    for every reference in the predicate.  The parser is built with the
+    Column API, so its pattern is a plain literal whatever the session's
+    SQL string-escaping settings are."""
+    return F.inline(F.array(F.struct(*[gtfs_time_to_seconds(F.col(raw)).alias(out)
+                                       for raw, out in pairs])))
+
+
+def _select(raw: DataFrame, *cols) -> DataFrame:
+    return raw.select(*[F.expr(c) if isinstance(c, str) else c for c in cols])
 
 
 def stg_stop_times(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
-        _s("trip_id"), _s("stop_id"), _l("stop_sequence"),
+    return _select(
+        raw, _s("trip_id"), _s("stop_id"), _l("stop_sequence"),
         _s("arrival_time", "arrival_time_str"), _s("departure_time", "departure_time_str"),
         _parsed_times([("arrival_time", "arrival_seconds_from_service_midnight"),
                        ("departure_time", "departure_seconds_from_service_midnight")]),
@@ -90,8 +97,8 @@ def stg_calendar_dates(raw: DataFrame) -> DataFrame:
 
 
 def stg_frequencies(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
-        _s("trip_id"), _s("start_time", "start_time_str"), _s("end_time", "end_time_str"),
+    return _select(
+        raw, _s("trip_id"), _s("start_time", "start_time_str"), _s("end_time", "end_time_str"),
         _parsed_times([("start_time", "start_seconds_from_service_midnight"),
                        ("end_time", "end_seconds_from_service_midnight")]),
         _l("headway_secs", "headway_seconds"), "CAST(exact_times AS BIGINT) = 1 AS is_exact_times")
