@@ -223,6 +223,14 @@ class FeedModels:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def release(self) -> None:
+        """Drop the blocks this graph cached for its joins (windows, per-trip
+        stats, checked dimension sides).  Call it when done with the graph
+        in a long-lived session."""
+        for name in ("frequency_windows", "trip_stop_stats"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+
     PRESENTATION_ALIASES = {
         "route_summary": "presentation_route_summary",
         "daily_stop_arrivals": "presentation_daily_stop_arrivals",
