@@ -9,7 +9,6 @@ is header-only, or absent, still yields its declared, typed (STRING) columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The thirteen feed tables the loader knows, in load order.
