@@ -235,3 +235,13 @@ def registry_load(spark: SparkSession, sf_dir: str) -> DataFrame:
                {"name": "reg_missing", "path": f"{folder}/in/none", "format": "csv"},
                {"name": "reg_sheet", "path": f"{folder}/in/stops", "format": "xlsx"}]
     return load_registry(spark, entries, f"{folder}/out").drop("error")
+
+
+@register("warehouse_build_checks", oracle.quality(_q.ALL_CHECKS))
+def warehouse_build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build every model of the bridged feed in dependency order, write the
+    marts (shared intermediates checkpointed), then run all 113 declared
+    checks over the written tables."""
+    from headway.plans.build import build_all
+    out = build_all(spark, _models(spark, sf_dir), _scratch(spark, "warehouse"))
+    return out["quality"]

@@ -14,7 +14,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 37
+    assert len(entry.queries()) >= 38
 
 
 def test_queries_match_duckdb_on_smoke_tables(spark):
