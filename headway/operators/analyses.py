@@ -163,9 +163,14 @@ def busiest_stops(pairs: DataFrame, dim_stop: DataFrame, top_n: int = 10) -> Dat
 def top_interchange_hubs(pairs: DataFrame, dim_stop: DataFrame, top_n: int = 10) -> DataFrame:
     """Transfer points: stops rolled up to their parent station, ranked by
     distinct routes calling, then by visits."""
+    # Visits are first summed per (stop, route) with a map-side partial
+    # aggregate, so the join with the stop dimension sees one row per stop
+    # and route (no hot stop can skew it), and the hub roll-up is small.
+    per_stop_route = pairs.groupBy("stop_id", "route_id").agg(
+        F.sum("n_departures").alias("n_departures"))
     parents = broadcast_if_small(dim_stop.select("stop_id", "parent_station_id"))
     hub = F.coalesce(F.col("parent_station_id"), F.col("stop_id"))
-    per_hub = (pairs.join(parents, "stop_id", "left")
+    per_hub = (per_stop_route.join(parents, "stop_id", "left")
                .groupBy(hub.alias("hub_id"))
                .agg(F.countDistinct("route_id").alias("distinct_routes"),
                     F.countDistinct("stop_id").alias("member_stops"),
