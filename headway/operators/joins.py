@@ -25,9 +25,18 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_HOT_KEYS = 10_000
 MAX_SALT_BUCKETS = 4096
+ROWS_PER_EXPANSION_TASK = 2_000_000
 _SALT = "__salt"
 
 
+def expansion_partitions(spark, rows: int, rows_per_task: int = ROWS_PER_EXPANSION_TASK) -> int:
+    """Partitions for a step that emits ``rows`` rows: the session's shuffle
+    partition count, or more when that would give tasks over
+    ``rows_per_task`` rows."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(max(base, -(-int(rows) // rows_per_task)))
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows (reads at most
     ``max_rows + 1`` of them)."""
@@ -118,11 +127,18 @@ class JoinDecisions:
         self.max_keys = DEFAULT_HOT_KEYS if max_keys is None else max_keys
         self.small: dict[str, bool] = {}
         self.hot: dict[str, DataFrame | None] = {}
+        self.totals: dict[str, int] = {}
 
-    def gather(self, sizes: dict[str, DataFrame], hot: dict[str, tuple]) -> "JoinDecisions":
+    def gather(self, sizes: dict[str, DataFrame], hot: dict[str, tuple],
+               totals: dict[str, DataFrame] | None = None) -> "JoinDecisions":
+        """``totals``: one-row DataFrames with a BIGINT column ``n`` (for
+        example the number of rows an expansion will emit)."""
         sizes = {k: v for k, v in sizes.items() if k not in self.small}
         hot = {k: v for k, v in hot.items() if k not in self.hot}
-        branches = []
+        totals = {k: v for k, v in (totals or {}).items() if k not in self.totals}
+        branches = [df.select(F.lit(name).alias("check"), F.lit(None).cast("string").alias("key"),
+                              F.col("n").cast("long").alias("n"))
+                    for name, df in totals.items()]
         for name, df in sizes.items():
             branches.append(df.limit(self.max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
                             .select(F.lit(name).alias("check"),
@@ -143,9 +159,13 @@ class JoinDecisions:
         found: dict[str, list] = {name: [] for name in hot}
         for name in sizes:
             self.small[name] = False
+        for name in totals:
+            self.totals[name] = 0
         for r in rows:
             if r.check in sizes:
                 self.small[r.check] = r.n <= self.max_rows
+            elif r.check in totals:
+                self.totals[r.check] = r.n or 0
             else:
                 found[r.check].append((r.key, r.n))
         for name, (_counts, key, _c, _m) in hot.items():

@@ -14,8 +14,10 @@ visits):
   of the stop-visit fact: a pair stands for ``n_departures`` visits.
 * ``fact_scheduled_stop_event``: ``window_stops`` exploded per departure.
 
-The big joins are on ``trip_id``.  They are pinned to the session's shuffle
-partition count so that the expansion after them runs in that many tasks,
+The big joins are on ``trip_id``.  Their partition count is pinned (the
+model graph sizes it from the number of rows the expansion will emit, at
+least the session's shuffle partitions) so that the expansion after them
+runs in that many tasks,
 and trips holding a very large share of the rows are spread over several
 tasks by ``split_hot_join``.
 """
@@ -67,7 +69,7 @@ def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
 
 def trip_windows(windows: DataFrame, stg_trips: DataFrame, dim_route: DataFrame,
                  dim_service: DataFrame, hot=_AUTO, routes_small: bool | None = None,
-                 services_small: bool | None = None) -> DataFrame:
+                 services_small: bool | None = None, partitions: int | None = None) -> DataFrame:
     """Frequency windows (``frequency_windows``) joined to their trip, route
     and service.  Trips without a frequency row have no departures and do
     not appear (inner join); unknown routes/services keep NULL attributes.
@@ -82,7 +84,7 @@ def trip_windows(windows: DataFrame, stg_trips: DataFrame, dim_route: DataFrame,
                              "trip_headsign", "trip_short_name", "shape_id")
     joined = split_hot_join(windows, trips, "trip_id", hot, "inner",
                             salt_cols=["window_start_seconds", "window_end_seconds"],
-                            partitions=_partitions(windows))
+                            partitions=partitions or _partitions(windows))
     routes = _maybe_broadcast(dim_route.select(
         "route_id", F.col("service_category").alias("route_service_category"),
         "route_short_name", "route_long_name", "route_color_hex"), routes_small)
@@ -143,7 +145,8 @@ def stop_offsets(stg_stop_times: DataFrame, stats: DataFrame | None = None,
 
 
 def window_stops(windows: DataFrame, stg_stop_times: DataFrame,
-                 stats: DataFrame | None = None, hot=_AUTO) -> DataFrame:
+                 stats: DataFrame | None = None, hot=_AUTO,
+                 partitions: int | None = None) -> DataFrame:
     """(window, stop row) pairs of the same trip with the stop offsets.
 
     The per-trip base joins the small window table first; the stop rows then
@@ -159,7 +162,7 @@ def window_stops(windows: DataFrame, stg_stop_times: DataFrame,
                                   "stop_headsign", "shape_distance_traveled")
     pairs = split_hot_join(stops, with_base, "trip_id", hot, "inner",
                            salt_cols=["stop_sequence", "stop_id"],
-                           partitions=_partitions(stg_stop_times))
+                           partitions=partitions or _partitions(stg_stop_times))
     base = F.col("trip_first_arrival_seconds")
     return pairs.select(
         *[c for c in pairs.columns if c not in (

@@ -12,10 +12,11 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.operators import calendar as cal
 from headway.operators import dims, presentation, schedule, staging
-from headway.operators.joins import JoinDecisions
+from headway.operators.joins import JoinDecisions, expansion_partitions
 from headway.sources.schemas import conform, empty_table
 
 # Model name -> (layer, upstream models).  Layers decide how a
@@ -168,16 +169,28 @@ class FeedModels:
         if "stop_rows" in names:
             hot["stop_rows"] = (self.trip_stop_stats, "trip_id", "n_stop_rows",
                                 schedule.HOT_TRIP_STOP_ROWS)
-        return self.join_decisions.gather(sizes, hot)
+        totals = {}
+        if "departures" in names:
+            totals["departures"] = self.frequency_windows.agg(F.sum("n_departures").alias("n"))
+        if "visits" in names:
+            per_trip = self.frequency_windows.groupBy("trip_id").agg(
+                F.sum("n_departures").alias("deps"))
+            totals["visits"] = per_trip.join(self.trip_stop_stats, "trip_id").agg(
+                F.sum(F.col("deps") * F.col("n_stop_rows")).alias("n"))
+        return self.join_decisions.gather(sizes, hot, totals)
+
+    def _expansion_partitions(self, total: str) -> int:
+        return expansion_partitions(self.spark, self.join_decisions.totals.get(total, 0))
 
     # schedule ------------------------------------------------------------
     @cached_property
     def trip_windows(self) -> DataFrame:
-        d = self.decide("windows", "dim_route", "dim_service")
+        d = self.decide("windows", "dim_route", "dim_service", "departures")
         return schedule.trip_windows(self.frequency_windows, self.stg_trips, self.dim_route,
                                      self.dim_service, hot=d.hot["windows"],
                                      routes_small=d.small["dim_route"],
-                                     services_small=d.small["dim_service"])
+                                     services_small=d.small["dim_service"],
+                                     partitions=self._expansion_partitions("departures"))
 
     @cached_property
     def fact_scheduled_trip(self) -> DataFrame:
@@ -191,16 +204,19 @@ class FeedModels:
 
     @cached_property
     def window_stops(self) -> DataFrame:
-        d = self.decide("windows", "dim_route", "dim_service", "stop_rows")
+        d = self.decide("windows", "dim_route", "dim_service", "departures", "stop_rows",
+                        "visits")
         return schedule.window_stops(self.trip_windows, self.stg_stop_times,
-                                     self.trip_stop_stats, hot=d.hot["stop_rows"])
+                                     self.trip_stop_stats, hot=d.hot["stop_rows"],
+                                     partitions=self._expansion_partitions("visits"))
 
     @cached_property
     def fact_scheduled_stop_event(self) -> DataFrame:
         return schedule.fact_scheduled_stop_event(self.window_stops)
 
     # presentation --------------------------------------------------------
-    _MART_CHECKS = ("windows", "dim_route", "dim_service", "stop_rows", "service_calendar")
+    _MART_CHECKS = ("windows", "dim_route", "dim_service", "departures", "stop_rows", "visits",
+                    "service_calendar")
 
     @cached_property
     def presentation_route_summary(self) -> DataFrame:

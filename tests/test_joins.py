@@ -50,3 +50,17 @@ def test_models_with_forced_hot_keys_match(spark, monkeypatch):
     hot = snapshot()
     for name in plain:
         assert hot[name] == plain[name], name
+
+
+def test_expansion_partitions_grow_with_output(spark):
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert joins.expansion_partitions(spark, 10) == base
+    assert joins.expansion_partitions(spark, 10_000_000_001, rows_per_task=1_000_000) == 10_001
+
+
+def test_model_graph_totals(spark):
+    from fixture_feed import fixture_models
+    m = fixture_models(spark)
+    d = m.decide("departures", "visits")
+    assert d.totals["departures"] == m.fact_scheduled_trip.count()
+    assert d.totals["visits"] == m.fact_scheduled_stop_event.count()
