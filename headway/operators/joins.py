@@ -29,12 +29,13 @@ ROWS_PER_EXPANSION_TASK = 2_000_000
 _SALT = "__salt"
 
 
-def expansion_partitions(spark, rows: int, rows_per_task: int = ROWS_PER_EXPANSION_TASK) -> int:
+def expansion_partitions(spark, rows: int, rows_per_task: int | None = None) -> int:
     """Partitions for a step that emits ``rows`` rows: the session's shuffle
     partition count, or more when that would give tasks over
-    ``rows_per_task`` rows."""
+    ``rows_per_task`` rows (default ``ROWS_PER_EXPANSION_TASK``)."""
+    per_task = rows_per_task or ROWS_PER_EXPANSION_TASK
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return int(max(base, -(-int(rows) // rows_per_task)))
+    return int(max(base, -(-int(rows) // per_task)))
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:

@@ -204,18 +204,23 @@ class FeedModels:
 
     @cached_property
     def window_stops(self) -> DataFrame:
-        d = self.decide("windows", "dim_route", "dim_service", "departures", "stop_rows",
-                        "visits")
+        d = self.decide("windows", "dim_route", "dim_service", "departures", "stop_rows")
         return schedule.window_stops(self.trip_windows, self.stg_stop_times,
-                                     self.trip_stop_stats, hot=d.hot["stop_rows"],
-                                     partitions=self._expansion_partitions("visits"))
+                                     self.trip_stop_stats, hot=d.hot["stop_rows"])
 
     @cached_property
     def fact_scheduled_stop_event(self) -> DataFrame:
-        return schedule.fact_scheduled_stop_event(self.window_stops)
+        pairs = self.window_stops
+        self.decide("visits")
+        parts = self._expansion_partitions("visits")
+        if parts > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            # More visits than the session's partitions can emit at ~2M rows
+            # per task: spread the (much smaller) pairs first.
+            pairs = pairs.repartition(parts, "trip_id", "window_start_seconds", "stop_sequence")
+        return schedule.fact_scheduled_stop_event(pairs)
 
     # presentation --------------------------------------------------------
-    _MART_CHECKS = ("windows", "dim_route", "dim_service", "departures", "stop_rows", "visits",
+    _MART_CHECKS = ("windows", "dim_route", "dim_service", "departures", "stop_rows",
                     "service_calendar")
 
     @cached_property

@@ -64,3 +64,18 @@ def test_model_graph_totals(spark):
     d = m.decide("departures", "visits")
     assert d.totals["departures"] == m.fact_scheduled_trip.count()
     assert d.totals["visits"] == m.fact_scheduled_stop_event.count()
+
+
+def test_large_expansion_spreads_pairs(spark, monkeypatch):
+    """With a tiny rows-per-task target the stop-visit fact re-spreads its
+    pairs over more partitions; the rows are the same."""
+    from fixture_feed import fixture_models
+    plain = fixture_models(spark).fact_scheduled_stop_event
+    want = sorted((tuple(r) for r in plain.collect()), key=repr)
+    monkeypatch.setattr(joins, "ROWS_PER_EXPANSION_TASK", 10)
+    spread = fixture_models(spark).fact_scheduled_stop_event
+    import re
+    plan = spread._jdf.queryExecution().simpleString()
+    assert re.search(r"hashpartitioning\(trip_id#\d+, window_start_seconds#\d+L?, "
+                     r"stop_sequence#\d+L?, (\d+)\)", plan)
+    assert sorted((tuple(r) for r in spread.collect()), key=repr) == want
