@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import byte_bpe, exact_dedup, mixing, quality_rules, simhash
+from headway.llm import (byte_bpe, exact_dedup, html_text, language, mixing, pii, quality_rules,
+                         secret_scan, simhash, token_counts)
 from headway.llm.tables import table
 
 
@@ -16,12 +17,44 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page (by text, markup, address and host) and of
+    every document (by text and source); the text model is fitted on a
+    sample of the documents' language labels."""
+    docs = table(spark, sf_dir, "documents")
+    items = language.page_evidence(table(spark, sf_dir, "pages")).withColumn("kind", F.lit("page"))
+    items = items.unionByName(language.document_evidence(docs).withColumn(
+        "kind", F.lit("document")))
+    found = language.identify(items, docs.select(F.col("doc_id").alias("id"), "text", "lang"),
+                              ["kind", "id"])
+    return found.select("kind", F.expr("IF(kind = 'document', id, NULL)").alias("doc_id"),
+                        F.expr("IF(kind = 'page', id, NULL)").alias("page_id"), "lang", "prob",
+                        "text_lang")
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.page_texts(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix with weights 5, 2, 1 and a share of 150 % takes of
     every document."""
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; a document's source is its repository."""
+    return secret_scan.scan_report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
@@ -34,6 +67,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of its group of equal texts stays, for every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -42,8 +80,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op4_source_mixing, op7_quality_rules,
-                            op8_byte_bpe, op10_exact_dedup)}
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_language_id, op3_html_text, op4_source_mixing,
+        op5_token_counts, op6_secret_scan, op7_quality_rules, op8_byte_bpe, op9_pii,
+        op10_exact_dedup)}
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
