@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.tables import free_name
+from headway.llm.tables import free_name, stored
 
 PREFIX_CHARS = 256
 FILTER_BITS = 1 << 22
@@ -92,14 +92,15 @@ def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = marked.where(~F.col("__read")).select(
         F.col("__id").alias(id_col), F.col("__id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), *names)
-    # Copies of one (text, id) are counted before anything is shuffled, so
-    # a group that holds a third of all rows moves as one row per task.
-    read = marked.where("__read").select("__id", *_full_key("__text"), *names)
-    counted = (read.groupBy("__len", "__pre", "__sha", "__id")
-               .agg(F.count(F.lit(1)).alias("__n"), *[F.first(n).alias(n) for n in names]))
-    groups = counted.groupBy("__len", "__pre", "__sha").agg(
-        F.max("__id").alias("keep_id"), F.sum("__n").alias("group_size"))
-    rows = counted.join(groups, ["__len", "__pre", "__sha"])
+    key = ["__len", "__pre", "__sha"]
+    read = stored(marked.where("__read").select("__id", *_full_key("__text"), *names), "read")
+    # Groups are summed per task first and stored, so that the join below
+    # has a plain shuffle on both sides and a large group can be split.
+    groups = stored(read.groupBy(*key).agg(F.max("__id").alias("keep_id"),
+                                           F.count(F.lit(1)).alias("group_size")), "groups")
+    counted = read.groupBy(*key, "__id").agg(F.count(F.lit(1)).alias("__n"),
+                                             *[F.first(n).alias(n) for n in names])
+    rows = counted.join(groups, key)
     each = rows.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
     kept = F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__i") == 1)
     return alone.unionByName(each.select(F.col("__id").alias(id_col), "keep_id", "group_size",
@@ -121,8 +122,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                zip(("__len", "__pre", "__sha"), _full_key(text_col))])
     key = [names["__len"], names["__pre"], names["__sha"]]
     rest = [c for c in docs.columns if c != id_col and c != text_col]
-    best = keyed.select(*key, F.col(id_col).alias(names["__keep"])).groupBy(*key).agg(
-        F.max(names["__keep"]).alias(names["__keep"]))
+    best = stored(keyed.select(*key, F.col(id_col).alias(names["__keep"])).groupBy(*key).agg(
+        F.max(names["__keep"]).alias(names["__keep"])), "groups")
     held = keyed.join(best, key).where(F.col(id_col).eqNullSafe(F.col(names["__keep"])))
     # Equal text and id: keep one, chosen by the remaining columns.
     if rest:
