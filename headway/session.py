@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins from runtime sizes and
 # splits skewed shuffle partitions; the session time zone is pinned so that
@@ -16,7 +17,6 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -53,3 +53,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return spark.sparkContext.getCheckpointDir() or current
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table of its own in the checkpoint folder and read
+    back: it is computed once, its lineage is cut, and a lost executor costs
+    no recompute."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,13 +1,14 @@
 """Raw-table sinks: truncate-and-load tables and the snapshot archive.
 
-* ``load_tables``: write each raw table as parquet under ``target/<table>``
-  (overwrite: the raw layer always mirrors the latest feed) unless a complete
-  copy is already there, then read them back.
-* ``archive_snapshot``: append one feed snapshot to ``root/<table>`` with a
-  ``snapshot_date`` partition column; rewriting a snapshot replaces only its
-  own partition (dynamic partition overwrite).
-* ``replay_snapshot``: the raw tables as of one snapshot date (the filter on
-  the partition column prunes every other snapshot's files).
+* ``load_tables``: replace each raw table under ``target/<table>`` (the raw
+  layer always mirrors the latest feed) and read it back.
+* ``archive_source``: keep a feed's source files as they came, under
+  ``root/_source/snapshot_date=<date>/``.
+* ``archive_snapshot``: one folder per table and snapshot,
+  ``root/<table>/snapshot_date=<date>``.  Writing a snapshot again replaces
+  that folder, also when the table has become empty.
+* ``replay_snapshot``: the raw tables as of one snapshot date, from that
+  snapshot's folders alone, with the columns it had.
 """
 
 from __future__ import annotations
@@ -15,60 +16,75 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.sources import files
+from headway.sources.schemas import DECLARED_COLUMNS, conform, raw_schema
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
 
-
-def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Truncate-and-load: replace whatever is at ``path``.  With ``files``,
-    the rows are spread evenly over that many files first, so later scans
-    (and the per-row time parsing in staging) run in that many tasks even
-    when the source came as one unsplittable file."""
-    if files:
-        df = df.repartition(files)
-    df.write.mode("overwrite").parquet(path)
-
-
-_STORED: dict[tuple[str, str], DataFrame] = {}
+def write_table(df: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Truncate-and-load: replace whatever is at ``path``.  With
+    ``partitions``, the rows are spread evenly over that many files first, so
+    later scans (and the per-row time parsing in staging) run in that many
+    tasks even when the source came as one unsplittable file."""
+    if partitions:
+        df = df.repartition(partitions)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def load_tables(spark: SparkSession, tables: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
-    """Write each table under ``target/<name>`` unless a complete copy is
-    there, and read them back (the read plan, with its inferred schema, is
-    reused within the session)."""
+    """Replace each table under ``target/<name>`` and read it back."""
     out = {}
     for name, df in tables.items():
-        path = f"{target}/{name}"
-        key = (spark.sparkContext.applicationId, path)
-        if key not in _STORED:
-            if not _exists(spark, f"{path}/_SUCCESS"):
-                write_table(df, path)
-            _STORED[key] = spark.read.parquet(path)
-        out[name] = _STORED[key]
+        path = f"{target.rstrip('/')}/{name}"
+        write_table(df, path)
+        out[name] = spark.read.schema(df.schema).parquet(path)
     return out
 
 
+def _place(root: str, table: str, snapshot_date: str) -> str:
+    return f"{root.rstrip('/')}/{table}/snapshot_date={snapshot_date}"
+
+
+def archive_source(spark: SparkSession, path: str, root: str, snapshot_date: str) -> list[str]:
+    """Keep the file(s) at ``path`` unparsed under the snapshot's date."""
+    return files.copy_into(spark, path, _place(root, "_source", snapshot_date))
+
+
 def archive_snapshot(tables: dict[str, DataFrame], root: str, snapshot_date: str) -> None:
     """Add (or replace) one snapshot of every table under ``root``."""
     for name, df in tables.items():
-        (df.withColumn("snapshot_date", F.lit(snapshot_date))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("snapshot_date").parquet(f"{root}/{name}"))
+        write_table(df.drop("snapshot_date"), _place(root, name, snapshot_date))
 
 
 def replay_snapshot(spark: SparkSession, root: str, tables: list[str],
                     snapshot_date: str) -> dict[str, DataFrame]:
-    """Raw tables as they were loaded on ``snapshot_date``."""
-    return {name: spark.read.parquet(f"{root}/{name}")
-            .where(F.col("snapshot_date") == snapshot_date).drop("snapshot_date")
-            for name in tables}
+    """Raw tables as they were archived on ``snapshot_date``; a snapshot that
+    a table lacks is an error."""
+    out = {}
+    for name in tables:
+        df = spark.read.parquet(_place(root, name, snapshot_date)).drop("archive")
+        out[name] = conform(df, name) if name in DECLARED_COLUMNS else df
+    return out
+
+
+def replay_all(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Every snapshot of one table, with ``snapshot_date``; columns that only
+    some snapshots have are NULL in the others."""
+    path = f"{root.rstrip('/')}/{table}"
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], raw_schema(table, ("snapshot_date",)))
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    return conform(df.withColumn("snapshot_date", F.col("snapshot_date").cast("string")),
+                   table, keep=tuple(c for c in ("archive", "snapshot_date") if c in df.columns))
+
+
+def snapshot_dates(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """(snapshot_date): the archived snapshots of a table, empty ones too."""
+    names = [n.partition("=")[2] for n in files.folders(spark, f"{root.rstrip('/')}/{table}")
+             if n.startswith("snapshot_date=")]
+    return spark.createDataFrame([(n,) for n in names], "snapshot_date string")
 
 
 def latest_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One row: the most recent snapshot date of ``table`` (for freshness)."""
-    return spark.read.parquet(f"{root}/{table}").agg(
+    return snapshot_dates(spark, root, table).agg(
         F.max("snapshot_date").alias("latest_snapshot_date"))

@@ -2,74 +2,101 @@
 
 A feed table is a ``<table>.txt`` CSV file with a header row.  Quoted fields
 may hold commas, doubled quotes and newlines.  Every column is read as
-STRING and matched by header *name* (feeds reorder columns); see
-``headway.sources.schemas.conform``.  A known table that is absent yields an
-empty DataFrame with the declared columns and is reported as skipped.
+STRING and matched by header *name*.  Files are read together only if their
+headers are the same; files with other columns, or the same ones in another
+order, are read apart and united by name.  A known table that is absent
+yields an empty DataFrame with the declared columns and is reported as
+skipped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from headway.sources.archive import _exists
-from headway.sources.schemas import KNOWN_TABLES, conform, empty_table
+from headway.sources import files
+from headway.sources.schemas import KNOWN_TABLES, conform, empty_table, raw_schema
 
-REPORT_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("path", T.StringType()),
-])
+#: Tables without free text of several lines: their files may be split.
+ONE_LINE_RECORDS = ("stop_times", "shapes", "frequencies", "calendar", "calendar_dates")
 
 
 def csv_reader(spark: SparkSession, multi_line: bool = True):
     """CSV options for feed files.  ``multiLine`` allows newlines inside
-    quoted fields (a file is then read by one task; feeds are many files)."""
+    quoted fields; a file is then read by one task."""
     return (spark.read.option("header", True).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').option("inferSchema", False)
             .option("encoding", "UTF-8").option("mode", "FAILFAST"))
 
 
 def read_feed_table(spark: SparkSession, path: str, table: str,
-                    multi_line: bool = True, base_path: str | None = None) -> DataFrame:
+                    multi_line: bool | None = None, base_path: str | None = None) -> DataFrame:
     """One table from the CSV file(s) at ``path`` (a file, folder or glob).
-    With ``base_path``, ``key=value`` folders below it become columns (e.g.
-    ``snapshot_date``), kept after the table's columns."""
-    reader = csv_reader(spark, multi_line)
-    if base_path:
-        reader = reader.option("basePath", base_path)
-    df = reader.csv(path)
-    keep = ("snapshot_date",) if "snapshot_date" in df.columns else ()
-    return conform(df, table, keep=keep)
+    With ``base_path``, a ``snapshot_date=<date>`` folder below it becomes a
+    column after the table's own.
+
+    ``multi_line`` None means: for all tables but ``ONE_LINE_RECORDS``, whose
+    large files are then read by many tasks (a quoted newline in one of those
+    fails the read, it isn't read wrongly)."""
+    if multi_line is None:
+        multi_line = table not in ONE_LINE_RECORDS
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in files.list_files(spark, path):
+        names = files.header(spark, f.path)
+        if names:
+            by_header.setdefault(names, []).append(f.path)
+    out = None
+    for paths in by_header.values():
+        reader = csv_reader(spark, multi_line)
+        if base_path:
+            reader = reader.option("basePath", base_path)
+        df = reader.csv(paths)
+        keep = ("snapshot_date",) if base_path and "snapshot_date" in df.columns else ()
+        part = conform(df, table, keep=keep)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return empty_table(spark, table)
+    if "snapshot_date" in out.columns:
+        rest = [c for c in out.columns if c != "snapshot_date"]
+        out = out.select(*rest, F.col("snapshot_date").cast("string"))
+    return out
+
+
+def load_report(spark: SparkSession, loaded: dict[str, DataFrame], skipped: dict[str, str],
+                paths: dict[str, str]) -> DataFrame:
+    """(table_name, status, rows, path): rows are counted when the report is
+    read, in one job over all tables."""
+    schema = "table_name string, status string, rows bigint, path string"
+    out = spark.createDataFrame([(t, "skipped", None, p) for t, p in skipped.items()], schema)
+    for table, df in loaded.items():
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(table).alias("table_name"), F.lit("loaded").alias("status"), "rows",
+            F.lit(paths[table]).alias("path")))
+    return out
 
 
 def read_feed_csv(spark: SparkSession, feed_dir: str, tables: tuple[str, ...] = KNOWN_TABLES,
-                  multi_line: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
+                  multi_line: bool | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """All known tables of one feed folder, plus a load report
-    (table_name, status 'loaded' | 'skipped', path)."""
-    out, report = {}, []
-    for table in tables:
-        path = f"{feed_dir.rstrip('/')}/{table}.txt"
-        if _exists(spark, path):
-            out[table] = read_feed_table(spark, path, table, multi_line)
-            report.append((table, "loaded", path))
-        else:
-            out[table] = empty_table(spark, table)
-            report.append((table, "skipped", path))
-    return out, spark.createDataFrame(report, REPORT_SCHEMA)
+    (table_name, status 'loaded' | 'skipped', rows, path)."""
+    paths = {t: f"{feed_dir.rstrip('/')}/{t}.txt" for t in tables}
+    there = {t for t, p in paths.items() if files.exists(spark, p)}
+    out = {t: read_feed_table(spark, p, t, multi_line) if t in there else empty_table(spark, t)
+           for t, p in paths.items()}
+    return out, load_report(spark, {t: out[t] for t in tables if t in there},
+                            {t: p for t, p in paths.items() if t not in there}, paths)
 
 
 def read_feed_snapshots(spark: SparkSession, root: str, tables: tuple[str, ...] = KNOWN_TABLES,
-                        multi_line: bool = True) -> dict[str, DataFrame]:
+                        multi_line: bool | None = None) -> dict[str, DataFrame]:
     """Every snapshot under ``root/snapshot_date=<date>/<table>.txt`` as one
     DataFrame per table with a ``snapshot_date`` column (filters on it prune
     the other snapshots' files)."""
     out = {}
     for table in tables:
         pattern = f"{root.rstrip('/')}/snapshot_date=*/{table}.txt"
-        try:
-            out[table] = read_feed_table(spark, pattern, table, multi_line, base_path=root)
-        except Exception as exc:  # no snapshot has this table
-            if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-                raise
-            out[table] = empty_table(spark, table)
+        df = read_feed_table(spark, pattern, table, multi_line, base_path=root)
+        if "snapshot_date" not in df.columns:
+            df = spark.createDataFrame([], raw_schema(table, ("snapshot_date",)))
+        out[table] = df
     return out

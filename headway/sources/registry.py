@@ -1,64 +1,69 @@
 """Registry-driven loader for extra datasets.
 
-A registry is a list of entries ``{name, path, format, description,
-refresh}`` (a YAML/JSON file with a ``datasets`` list, or Python dicts).
-Each entry is read with Spark's reader for its format and written as the
-table ``<target>/<name>`` (overwrite).  An entry that fails is reported and
-the others still load; an empty registry is a no-op; an unknown format is a
-failure of that entry.  The result is a status DataFrame
+A registry lists entries ``{name, path, format, description, refresh}`` (a
+YAML/JSON file with a ``datasets`` list, or Python dicts).  Loading an entry
+takes four steps: find its source files, keep them unparsed under
+``<target>/_source/<name>/<load date>``, parse them with Spark's reader for
+the format, and replace the table ``<target>/<name>``.  What goes wrong in
+one entry is reported with its whole error text and the others still load;
+an empty registry is a no-op.  The result is a status DataFrame
 ``(name, format, status, rows, error)``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-SUPPORTED_FORMATS = ("csv", "parquet", "json", "orc")
-STATUS_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType()), T.StructField("format", T.StringType()),
-    T.StructField("status", T.StringType()), T.StructField("rows", T.LongType()),
-    T.StructField("error", T.StringType()),
-])
+from headway.sources import files
+from headway.sources.archive import write_table
 
+#: Format -> reader options.
+READERS: dict[str, dict[str, str]] = {
+    "csv": {"header": "true", "multiLine": "true", "escape": '"'},
+    "parquet": {}, "json": {}, "orc": {},
+}
+STATUS_SCHEMA = "name string, format string, status string, rows bigint, error string"
 
-def read_registry(path: str) -> list[dict]:
+
+def read_registry(spark: SparkSession, path: str) -> list[dict]:
     """Entries of a registry file (``.yml``/``.yaml`` or ``.json``)."""
-    with open(path, encoding="utf-8") as fh:
-        text = fh.read()
-    if path.endswith((".yml", ".yaml")):
-        import yaml
-        data = yaml.safe_load(text) or {}
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    if path.endswith(".json"):
+        listed = json.loads(text) if text.strip() else None
     else:
-        data = json.loads(text or "{}")
-    return list(data.get("datasets") or [])
+        import yaml
+        listed = yaml.safe_load(text)
+    return (listed or {}).get("datasets") or []
 
 
-def read_entry(spark: SparkSession, entry: dict) -> DataFrame:
-    fmt = str(entry.get("format", "")).lower()
-    if fmt not in SUPPORTED_FORMATS:
-        raise ValueError(f"Unsupported format: {fmt}")
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
-    return reader.load(entry["path"])
+def load_entry(spark: SparkSession, entry: dict, target: str, load_date: str) -> int:
+    """Archive, parse and replace one dataset; its number of rows."""
+    kind = str(entry.get("format", "")).lower()
+    if kind not in READERS:
+        raise ValueError(f"no reader for the format {kind!r}; there are {sorted(READERS)}")
+    kept = files.copy_into(spark, entry["path"],
+                           f"{target}/_source/{entry['name']}/{load_date}")
+    if not kept:
+        raise FileNotFoundError(f"no file at {entry['path']}")
+    place = f"{target}/{entry['name']}"
+    write_table(spark.read.format(kind).options(**READERS[kind]).load(entry["path"]), place)
+    return spark.read.parquet(place).count()
 
 
-def load_registry(spark: SparkSession, entries: Sequence[dict] | str, target: str) -> DataFrame:
+def load_registry(spark: SparkSession, entries: Sequence[dict] | str, target: str,
+                  load_date: str | None = None) -> DataFrame:
     """Load every entry into ``target/<name>``; one status row per entry."""
-    if isinstance(entries, str):
-        entries = read_registry(entries)
-    status = []
-    for entry in entries:
-        name, fmt = entry.get("name"), str(entry.get("format", ""))
+    load_date = load_date or dt.date.today().isoformat()
+    done = []
+    for entry in read_registry(spark, entries) if isinstance(entries, str) else entries:
+        row = [entry.get("name"), str(entry.get("format", ""))]
         try:
-            out = f"{target.rstrip('/')}/{name}"
-            read_entry(spark, entry).write.mode("overwrite").parquet(out)
-            rows = spark.read.parquet(out).count()
-            status.append((name, fmt, "loaded", rows, None))
-        except Exception as exc:  # one bad entry must not stop the others
-            status.append((name, fmt, "failed", None, str(exc).splitlines()[0][:500]))
-    return spark.createDataFrame(status, STATUS_SCHEMA)
+            row += ["loaded", load_entry(spark, entry, target.rstrip("/"), load_date), None]
+        except Exception as why:  # one bad entry must not stop the others
+            row += ["failed", None, str(why)]
+        done.append(tuple(row))
+    return spark.createDataFrame(done, STATUS_SCHEMA)

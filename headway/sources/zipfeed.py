@@ -1,76 +1,36 @@
-"""Zip feed reader: many feed archives, one task per archive.
+"""Zip feed reader: many feed archives, one pass over each.
 
 ``spark.read.format("binaryFile")`` lists the archives (``key=value`` folders
-such as ``snapshot_date=2024-05-01`` become columns), and ``mapInPandas``
-opens each archive inside an executor and parses the wanted member with
-Arrow's CSV reader.  Only ``.txt`` members count; the table name is the file
-stem; unknown members are ignored.  Every column is read as text (ids keep
-leading zeros), empty fields become NULL, and a UTF-8 byte-order mark is
-dropped.  The driver never sees archive bytes.
+such as ``snapshot_date=2024-05-01`` become columns).  One ``mapInPandas``
+pass opens each archive in an executor and streams the records of all wanted
+members; they are stored once, partitioned by table, in the session's
+checkpoint folder, and every table is read from there.
+
+Only ``.txt`` members count; the table name is the file stem; unknown members
+are ignored.  Every column of a member is kept, declared or not, and read as
+text (ids keep leading zeros); empty fields become NULL, and a UTF-8
+byte-order mark is dropped.  Quoted fields, also those of the header, may
+hold newlines.  A record with more fields than its header is an error.
+
+The function that runs in the executors holds all it needs, so workers don't
+have to have this package.  An archive is read whole by ``binaryFile``, which
+takes files up to 2 GB.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import zipfile
+import uuid
 from collections.abc import Iterator
-from pathlib import PurePosixPath
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from headway.session import ensure_checkpoint_dir
 from headway.sources.schemas import DECLARED_COLUMNS, KNOWN_TABLES
 
-_BOM = b"\xef\xbb\xbf"
-
-
-def _members(zf: zipfile.ZipFile) -> dict[str, str]:
-    return {PurePosixPath(n).stem: n for n in zf.namelist() if n.endswith(".txt")}
-
-
-def parse_member(data: bytes, table: str) -> pd.DataFrame:
-    """One member's CSV text as a DataFrame of the declared columns (text)."""
-    import pyarrow as pa
-    import pyarrow.csv as pacsv
-    declared = list(DECLARED_COLUMNS[table])
-    if data.startswith(_BOM):
-        data = data[len(_BOM):]
-    head, _, rest = data.partition(b"\n")
-    first = head.decode("utf-8").rstrip("\r")
-    if not first.strip() or not rest.strip():  # empty or header-only member
-        return pd.DataFrame({c: pd.Series([], dtype=object) for c in declared})
-    header = [h.strip() for h in next(csv.reader([first]))]
-    table_ = pacsv.read_csv(
-        io.BytesIO(rest),
-        read_options=pacsv.ReadOptions(column_names=header),
-        parse_options=pacsv.ParseOptions(newlines_in_values=True, double_quote=True),
-        convert_options=pacsv.ConvertOptions(
-            column_types={h: pa.string() for h in header}, strings_can_be_null=True,
-            quoted_strings_can_be_null=True, null_values=[""]))
-    pdf = table_.to_pandas()
-    return pd.DataFrame({c: (pdf[c].astype(object) if c in pdf.columns
-                             else pd.Series([None] * len(pdf), dtype=object)) for c in declared})
-
-
-def _extract(table: str, extra: list[str]):
-    declared = list(DECLARED_COLUMNS[table])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                with zipfile.ZipFile(io.BytesIO(row.content)) as zf:
-                    member = _members(zf).get(table)
-                    if member is None:
-                        continue
-                    pdf = parse_member(zf.read(member), table)
-                pdf["source_path"] = row.path
-                for col in extra:
-                    pdf[col] = getattr(row, col)
-                yield pdf[declared + ["source_path"] + extra]
-    return run
+CHUNK_RECORDS = 20_000
+_FILE_COLUMNS = ("path", "modificationTime", "length", "content")
 
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -78,37 +38,103 @@ def list_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
 
 
-def read_zip_table(archives: DataFrame, table: str) -> DataFrame:
-    """One table from every archive: declared columns, ``source_path`` and
-    any folder partition columns (``snapshot_date``)."""
-    extra = [c for c in archives.columns if c not in ("path", "modificationTime", "length", "content")]
-    schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in DECLARED_COLUMNS[table]]
-        + [T.StructField("source_path", T.StringType())]
-        + [T.StructField(c, T.StringType()) for c in extra])
-    src = archives.select("path", "content", *[F.col(c).cast("string") for c in extra])
-    return src.mapInPandas(_extract(table, extra), schema)
+def _reader(wanted: tuple[str, ...], extra: list[str], chunk: int):
+    """The executor-side pass: per member a record 0 that names its columns,
+    then its records from 1, each a map of column to text."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+        import io
+        import os
+        import zipfile
+
+        csv.field_size_limit(1 << 30)
+
+        def members(archive):
+            for info in archive.infolist():
+                stem, ending = os.path.splitext(os.path.basename(info.filename))
+                if ending == ".txt" and stem in wanted:
+                    yield stem, info
+
+        def chunks(archive, info):
+            with archive.open(info) as raw:
+                rows = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
+                names = [n.strip() for n in next(rows, [])]
+                if not names:
+                    return
+                held = [(0, dict.fromkeys(names))]
+                for n, row in enumerate((r for r in rows if r), 1):
+                    if len(row) > len(names):
+                        raise ValueError(f"{info.filename}: record {n} has {len(row)} fields, "
+                                         f"the header {len(names)}")
+                    row += [""] * (len(names) - len(row))
+                    held.append((n, {k: v or None for k, v in zip(names, row)}))
+                    if len(held) >= chunk:
+                        yield held
+                        held = []
+                yield held
+
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                with zipfile.ZipFile(io.BytesIO(row["content"])) as archive:
+                    for table, info in members(archive):
+                        for held in chunks(archive, info):
+                            out = pd.DataFrame(held, columns=["record", "fields"])
+                            yield out.assign(source_path=row["path"], table_name=table,
+                                             **{c: row[c] for c in extra})
+
+    return read
+
+
+class ZipTables:
+    """The members of a set of archives, read once and stored by table."""
+
+    def __init__(self, archives: DataFrame, tables: tuple[str, ...] = KNOWN_TABLES,
+                 chunk: int = CHUNK_RECORDS):
+        self.spark, self.tables = archives.sparkSession, tuple(tables)
+        self.extra = [c for c in archives.columns if c not in _FILE_COLUMNS]
+        source = archives.select("path", "content", *[F.col(c).cast("string") for c in self.extra])
+        schema = ("record bigint, fields map<string, string>, source_path string, "
+                  "table_name string" + "".join(f", `{c}` string" for c in self.extra))
+        rows = source.mapInPandas(_reader(self.tables, self.extra, chunk), schema)
+        place = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/zip-{uuid.uuid4().hex}"
+        rows.write.partitionBy("table_name").parquet(place)
+        self.rows = self.spark.read.schema(rows.schema).parquet(place)
+        self.archives = archives.select(F.col("path").alias("source_path"),
+                                        *[F.col(c).cast("string") for c in self.extra])
+        named = (self.rows.where("record = 0")
+                 .select("table_name", F.explode(F.map_keys("fields")).alias("name"))
+                 .distinct().collect())   # as many rows as there are column names
+        self.names = {t: sorted(r["name"] for r in named if r["table_name"] == t)
+                      for t in self.tables}
+
+    def table(self, name: str) -> DataFrame:
+        """Declared columns, then the others found, ``source_path`` and the
+        folder columns."""
+        more = [c for c in self.names[name] if c not in DECLARED_COLUMNS[name]]
+        return (self.rows.where((F.col("table_name") == name) & (F.col("record") > 0))
+                .select(*[F.col("fields").getItem(c).alias(c)
+                          for c in (*DECLARED_COLUMNS[name], *more)],
+                        "source_path", *self.extra))
+
+    def manifest(self) -> DataFrame:
+        """(source_path, table_name, status, rows) per archive and table; a
+        table that an archive lacks is skipped."""
+        every = self.archives.select("source_path", F.explode(
+            F.array(*[F.lit(t) for t in self.tables])).alias("table_name"))
+        there = self.rows.groupBy("source_path", "table_name").agg(
+            F.max("record").alias("rows"))
+        return every.join(there, ["source_path", "table_name"], "left").select(
+            "source_path", "table_name",
+            F.when(F.col("rows").isNull(), "skipped").otherwise("loaded").alias("status"), "rows")
 
 
 def read_zip_feeds(spark: SparkSession, path: str,
                    tables: tuple[str, ...] = KNOWN_TABLES) -> dict[str, DataFrame]:
     """Every known table from every archive at ``path``."""
-    archives = list_archives(spark, path)
-    return {t: read_zip_table(archives, t) for t in tables}
+    found = ZipTables(list_archives(spark, path), tables)
+    return {t: found.table(t) for t in tables}
 
 
 def zip_manifest(archives: DataFrame) -> DataFrame:
-    """Per archive and known table: whether the table is present (a table an
-    archive lacks is skipped, as the loader reports)."""
-    names = list(KNOWN_TABLES)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for p, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    present = set(_members(zf))
-                rows += [(p, t, "loaded" if t in present else "skipped") for t in names]
-            yield pd.DataFrame(rows, columns=["source_path", "table_name", "status"])
-    return archives.select("path", "content").mapInPandas(
-        run, "source_path string, table_name string, status string")
+    """Per archive and known table: loaded or skipped, and its rows."""
+    return ZipTables(archives).manifest()

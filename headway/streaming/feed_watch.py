@@ -4,10 +4,12 @@ Feeds arrive as zip archives in a landing folder (optionally under
 ``snapshot_date=<date>/`` folders).  ``watch_feed_archives`` is a Structured
 Streaming query over that folder: the file source remembers which archives
 it has already taken (in the checkpoint), and each micro-batch extracts the
-new archives' tables and appends them to the snapshot archive, one
-``snapshot_date`` partition per archive date.  With ``availableNow`` it
-processes what has landed and stops, which is how a scheduled ingestion
-run uses it; with a processing-time trigger it keeps watching.
+new archives' tables into the snapshot archive, one folder per snapshot date
+and archive.  Archives of one date stand beside each other; an archive
+delivered again under its own path replaces itself, tables that have become
+empty or that it no longer has included.  With ``availableNow`` the query
+processes what has landed and stops, which is how a scheduled ingestion run
+uses it; with a processing-time trigger it keeps watching.
 
 An archive without a ``snapshot_date`` folder is dated by its modification
 time (UTC).
@@ -19,28 +21,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from headway.sources import files
 from headway.sources.schemas import KNOWN_TABLES
-from headway.sources.zipfeed import read_zip_table
+from headway.sources.zipfeed import ZipTables
 
 
 def _dated(batch: DataFrame) -> DataFrame:
     if "snapshot_date" in batch.columns:
-        return batch.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
-    return batch.withColumn("snapshot_date", F.date_format("modificationTime", "yyyy-MM-dd"))
+        dated = batch.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+    else:
+        dated = batch.withColumn("snapshot_date", F.date_format("modificationTime", "yyyy-MM-dd"))
+    return dated.withColumn("archive", F.substring(F.sha2("path", 256), 1, 16))
 
 
 def archive_batch(batch: DataFrame, archive_root: str,
                   tables: tuple[str, ...] = KNOWN_TABLES) -> None:
-    """Append every table of the archives in ``batch`` to the archive
-    (dynamic partition overwrite: a re-delivered snapshot replaces itself)."""
-    archives = _dated(batch).persist()
-    try:
+    """Put every table of the archives in ``batch`` into the archive."""
+    archives = _dated(batch)
+    found = ZipTables(archives, tables)
+    root = archive_root.rstrip("/")
+    for r in archives.select("snapshot_date", "archive").distinct().collect():  # of one batch
         for table in tables:
-            rows = read_zip_table(archives, table)
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("snapshot_date").parquet(f"{archive_root.rstrip('/')}/{table}"))
-    finally:
-        archives.unpersist()
+            files.delete(batch.sparkSession, f"{root}/{table}/snapshot_date={r.snapshot_date}"
+                                             f"/archive={r.archive}")
+    for table in tables:
+        (found.table(table).write.mode("append").partitionBy("snapshot_date", "archive")
+         .parquet(f"{root}/{table}"))
 
 
 ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"

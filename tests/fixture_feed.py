@@ -41,8 +41,8 @@ STOP_TIMES = [("T1", "S1", "0", "05:00:00", "05:00:10"),
               ("T7", "S2", "1", "24:30:00", "24:31:00")]
 
 
-def fixture_models(spark) -> FeedModels:
-    tables = {
+def fixture_tables(spark) -> dict:
+    return {
         "stops": raw(spark, "stops", STOPS, ["stop_id", "stop_name", "stop_lat", "stop_lon",
                                              "location_type", "parent_station",
                                              "wheelchair_boarding"]),
@@ -60,4 +60,7 @@ def fixture_models(spark) -> FeedModels:
                           ["trip_id", "stop_id", "stop_sequence", "arrival_time",
                            "departure_time"]),
     }
-    return FeedModels(spark, tables)
+
+
+def fixture_models(spark) -> FeedModels:
+    return FeedModels(spark, fixture_tables(spark))

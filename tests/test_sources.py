@@ -2,9 +2,15 @@ import io
 import os
 import zipfile
 
+import pytest
+
+from headway.sources import files
+from headway.sources.archive import (archive_snapshot, archive_source, latest_snapshot,
+                                     load_tables, replay_all, replay_snapshot)
+from headway.sources.bridge import stored_raw_feed
 from headway.sources.feed import read_feed_csv, read_feed_snapshots
 from headway.sources.registry import load_registry
-from headway.sources.zipfeed import list_archives, read_zip_feeds, zip_manifest
+from headway.sources.zipfeed import ZipTables, list_archives, read_zip_feeds, zip_manifest
 
 STOPS_TXT = ("﻿stop_name,stop_id,stop_lat,stop_lon,stop_desc\r\n"
              "\"Halte \"\"A\"\"\",007,-6.2,106.8,\"two\nlines\"\r\n"
@@ -31,8 +37,9 @@ def test_csv_feed_quirks(spark, scratch):
     assert tables["stops"].columns[0] == "stop_id"           # declared order, by name
     cd = tables["calendar_dates"]
     assert cd.count() == 0 and cd.columns == ["service_id", "date", "exception_type"]
-    status = {r.table_name: r.status for r in report.collect()}
-    assert status["stops"] == "loaded" and status["trips"] == "skipped"
+    status = {r.table_name: (r.status, r.rows) for r in report.collect()}
+    assert status["stops"] == ("loaded", 2) and status["trips"] == ("skipped", None)
+    assert status["calendar_dates"] == ("loaded", 0)
     assert tables["trips"].count() == 0 and "trip_id" in tables["trips"].columns
 
 
@@ -84,5 +91,98 @@ def test_registry(spark, scratch):
     status = {r.name: r for r in load_registry(spark, entries, os.path.join(scratch, "out")).collect()}
     assert status["population"].status == "loaded" and status["population"].rows == 2
     assert status["broken"].status == "failed"
-    assert status["sheet"].status == "failed" and "Unsupported format" in status["sheet"].error
+    assert status["sheet"].status == "failed" and "no reader for the format" in status["sheet"].error
+    assert len(status["broken"].error) > 20
+    kept = os.path.join(scratch, "out", "_source", "population")
+    (date,) = os.listdir(kept)
+    assert open(os.path.join(kept, date, "pop.csv"), encoding="utf-8").read() == open(good, encoding="utf-8").read()
     assert load_registry(spark, [], os.path.join(scratch, "out")).count() == 0
+
+
+def test_snapshots_are_united_by_column_name(spark, scratch):
+    root = os.path.join(scratch, "snaps")
+    _write(f"{root}/snapshot_date=2024-01-01/stops.txt", "stop_id,stop_name\nA,One\n")
+    _write(f"{root}/snapshot_date=2024-02-01/stops.txt", "stop_name,stop_id\nTwo,B\n")
+    _write(f"{root}/snapshot_date=2024-03-01/stops.txt",
+           'stop_id,"stop_name",platform_code,"odd\nname"\nC,Three,7,x\n')
+    stops = read_feed_snapshots(spark, root, tables=("stops",))["stops"]
+    got = {r.stop_id: (r.stop_name, r.platform_code, r["odd\nname"], r.snapshot_date)
+           for r in stops.collect()}
+    assert got == {"A": ("One", None, None, "2024-01-01"), "B": ("Two", None, None, "2024-02-01"),
+                   "C": ("Three", "7", "x", "2024-03-01")}
+
+
+def test_a_quoted_newline_in_a_one_line_table_is_an_error_not_wrong_rows(spark, scratch):
+    feed = os.path.join(scratch, "feed")
+    _write(f"{feed}/stop_times.txt", 'trip_id,stop_id,stop_headsign\nT,S,"two\nlines"\nT,S2,x\n')
+    tables, _ = read_feed_csv(spark, feed, tables=("stop_times",))
+    with pytest.raises(Exception):
+        tables["stop_times"].collect()
+    tables, _ = read_feed_csv(spark, feed, tables=("stop_times",), multi_line=True)
+    assert {r.stop_headsign for r in tables["stop_times"].collect()} == {"two\nlines", "x"}
+
+
+def stops(spark, rows, columns="stop_id string, stop_name string"):
+    return spark.createDataFrame(rows, columns)
+
+
+def test_archived_snapshots_are_replaced_whole(spark, scratch):
+    root = os.path.join(scratch, "archive")
+    archive_snapshot({"stops": stops(spark, [("A", "a"), ("B", "b")])}, root, "2024-01-01")
+    archive_snapshot({"stops": stops(spark, [("C", "c", "x")],
+                                     "stop_id string, stop_name string, platform string")},
+                     root, "2024-02-01")
+    archive_snapshot({"stops": stops(spark, [])}, root, "2024-01-01")       # now empty
+    first = replay_snapshot(spark, root, ["stops"], "2024-01-01")["stops"]
+    assert first.count() == 0 and "stop_lat" in first.columns
+    every = replay_all(spark, root, "stops").collect()
+    assert [(r.stop_id, r.platform, r.snapshot_date) for r in every] == [("C", "x", "2024-02-01")]
+    archive_snapshot({"stops": stops(spark, [])}, root, "2024-03-01")
+    assert latest_snapshot(spark, root, "stops").first()[0] == "2024-03-01"
+    assert latest_snapshot(spark, root, "trips").first()[0] is None
+    assert replay_all(spark, root, "trips").count() == 0
+    with pytest.raises(Exception):
+        replay_snapshot(spark, root, ["stops"], "2020-01-01")
+
+
+def test_tables_are_truncated_and_loaded(spark, scratch):
+    load_tables(spark, {"stops": stops(spark, [("A", "a"), ("B", "b")])}, scratch)
+    again = load_tables(spark, {"stops": stops(spark, [("C", "c")])}, scratch)["stops"]
+    assert [r.stop_id for r in again.collect()] == ["C"]
+
+
+def test_changed_input_is_loaded_again(spark, scratch):
+    import shutil
+    here = os.path.join(scratch, "sf")
+    os.makedirs(here)
+    for t in ("region", "nation", "supplier", "customer", "orders", "lineitem"):
+        shutil.copyfile(f"/root/testdata/sf0.001/{t}.parquet", f"{here}/{t}.parquet")
+    assert stored_raw_feed(spark, here)["stops"].count() == 10
+    one = spark.read.parquet(f"{here}/supplier.parquet").toPandas().head(3)
+    one.to_parquet(f"{here}/supplier.parquet")
+    assert stored_raw_feed(spark, here)["stops"].count() == 3
+
+
+def test_source_files_are_kept(spark, scratch):
+    feed = os.path.join(scratch, "feed")
+    _zip(f"{feed}/a.zip", {"stops.txt": STOPS_TXT})
+    (kept,) = archive_source(spark, f"{feed}/a.zip", os.path.join(scratch, "archive"), "2024-01-01")
+    assert "/_source/snapshot_date=2024-01-01/" in kept
+    assert [f.size for f in files.list_files(spark, kept)] == [os.path.getsize(f"{feed}/a.zip")]
+
+
+def test_zip_keeps_every_column_in_chunks(spark, scratch):
+    root = os.path.join(scratch, "zips")
+    rows = "".join(f"S{i},n{i},{i % 3}\n" for i in range(50))
+    _zip(f"{root}/a.zip", {"stops.txt": "stop_id,stop_name,platform_code\n" + rows,
+                           "routes.txt": 'route_id,"long\nname"\nR,\n'})
+    found = ZipTables(list_archives(spark, root), ("stops", "routes", "trips"), chunk=7)
+    got = found.table("stops").collect()
+    assert sorted(r.stop_id for r in got) == sorted(f"S{i}" for i in range(50))
+    assert all(r.platform_code == str(int(r.stop_id[1:]) % 3) for r in got)
+    assert found.table("routes").first()["long\nname"] is None
+    status = {r.table_name: (r.status, r.rows) for r in found.manifest().collect()}
+    assert status == {"stops": ("loaded", 50), "routes": ("loaded", 1), "trips": ("skipped", None)}
+    _zip(f"{root}/b.zip", {"stops.txt": "stop_id\nA,too,many\n"})
+    with pytest.raises(Exception):
+        ZipTables(list_archives(spark, root), ("stops",))
