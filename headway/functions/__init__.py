@@ -5,16 +5,13 @@ SQL expression text, so a large expression costs one call into the JVM.
 """
 
 from headway.functions.keys import surrogate_key
-from headway.functions.labels import (decode, decode_sql, service_category, service_name,
-                                      service_name_sql)
+from headway.functions.labels import decode, decode_sql, service_category, service_name_sql
 from headway.functions.series import (col, count_in_range, departure_count, departure_series,
                                       hour_buckets)
-from headway.functions.times import (clock_date, clock_hour, gtfs_time_to_seconds,
-                                     next_day_offset, service_hour, time_to_seconds_sql)
+from headway.functions.times import clock_date, gtfs_time_to_seconds
 
 __all__ = [
-    "surrogate_key", "decode", "decode_sql", "service_category", "service_name",
-    "service_name_sql", "col", "count_in_range", "departure_count", "departure_series",
-    "hour_buckets", "clock_date", "clock_hour", "gtfs_time_to_seconds", "next_day_offset",
-    "service_hour", "time_to_seconds_sql",
+    "surrogate_key", "decode", "decode_sql", "service_category", "service_name_sql", "col",
+    "count_in_range", "departure_count", "departure_series", "hour_buckets", "clock_date",
+    "gtfs_time_to_seconds",
 ]

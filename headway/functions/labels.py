@@ -76,7 +76,3 @@ def service_name_sql(service_id: str = "service_id") -> str:
         whens.append(f"WHEN {cond} THEN concat({_sql_str(label + ' (')}, {service_id}, ')')")
     fallback = f"concat({_sql_str(SERVICE_NAME_FALLBACK + ' (')}, {service_id}, ')')"
     return f"CASE {' '.join(whens)} ELSE {fallback} END"
-
-
-def service_name(service_id: str = "service_id") -> Column:
-    return F.expr(service_name_sql(f"`{service_id}`"))

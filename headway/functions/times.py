@@ -19,17 +19,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def time_to_seconds_sql(text: str) -> str:
-    """SQL text of ``gtfs_time_to_seconds`` over the SQL expression ``text``
-    (for sessions with default string-literal escaping; the Column version
-    below does not depend on it)."""
-    t = f"CAST({text} AS STRING)"
-    pattern = _TIME_PATTERN.replace("\\", "\\\\")  # backslashes escaped inside a SQL literal
-    return (f"CASE WHEN {t} RLIKE '{pattern}' THEN "
-            f"CAST(split({t}, ':')[0] AS BIGINT) * 3600 + CAST(split({t}, ':')[1] AS BIGINT) * 60 "
-            f"+ CAST(split({t}, ':')[2] AS BIGINT) END")
-
-
 def gtfs_time_to_seconds(c: Column | str) -> Column:
     """Seconds from service midnight; NULL for NULL or malformed text.
 
@@ -42,29 +31,6 @@ def gtfs_time_to_seconds(c: Column | str) -> Column:
     return F.when(text.rlike(_TIME_PATTERN), seconds)
 
 
-def next_day_offset(seconds: Column | str) -> Column:
-    """1 when a service-day time falls on the next clock date, else 0.
-
-    The shift is capped at one day (48h+ also lands on +1) and NULL counts
-    as 0, which is what the marts do."""
-    return F.when(_col(seconds) >= SECONDS_PER_DAY, F.lit(1)).otherwise(F.lit(0))
-
-
-def _hour_div(seconds: Column | str) -> Column:
-    # Integer division truncating toward zero, like DIV in the marts.
-    return (_col(seconds).cast("long") / SECONDS_PER_HOUR).cast("long")
-
-
-def service_hour(seconds: Column | str) -> Column:
-    """Hour of the service day, not wrapped: 24 and 25 stay as they are."""
-    return _hour_div(seconds)
-
-
-def clock_hour(seconds: Column | str) -> Column:
-    """Hour on the clock: service hour modulo 24 (sign follows the dividend)."""
-    return _hour_div(seconds) % 24
-
-
 def clock_date(service_date: Column | str, offset_days: Column | str) -> Column:
     """Service date moved forward by the overflow offset."""
     return F.date_add(_col(service_date), _col(offset_days).cast("int"))

@@ -16,7 +16,7 @@ def dim_route(stg_routes: DataFrame) -> DataFrame:
         "route_id", "route_short_name", "route_long_name", "route_description",
         service_category("route_description").alias("service_category"),
         "route_type_code", "route_type_name", "route_color_hex", "route_text_color_hex",
-        "agency_id",
+        "agency_id", *[c for c in stg_routes.columns if c == "feed_key"],
     )
 
 

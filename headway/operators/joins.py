@@ -1,17 +1,23 @@
-"""Join strategies shared by the models.
-
-* ``broadcast_if_small``: broadcast a side only after checking that it has at
-  most ``max_rows`` rows; otherwise leave it to a shuffle join (and AQE).
-  The check reads at most ``max_rows + 1`` rows, so it stays cheap when
-  the side turns out to be large.
-* ``heavy_keys``: the keys holding at least ``min_rows`` rows, capped at the
-  ``max_keys`` heaviest, from a per-key count.  The cap is the proven size
-  bound that lets the keys be broadcast; keys beyond the cap still take the
-  ordinary shuffle join, where AQE splits oversized partitions.
-* ``split_hot_join``: rows of heavy keys are spread over ``buckets`` tasks:
-  the big side gets a deterministic salt from a hash of its own columns and
-  the other side's rows for those keys are copied once per salt value.  All
-  other keys take an ordinary shuffle join.  No row is dropped or capped.
+"""Join helpers shared by the models.
+
+Which side of a join is broadcast is left to Spark (by the bytes it
+estimates, and by AQE at run time), as is the splitting of skewed shuffle
+partitions.  What Spark can't see is how many rows a join or an expansion
+will *emit* for a key, so that is handled here:
+
+* ``grid_join``: a join whose hot keys are cut into a grid of cells.  A key
+  with ``left_cells`` x ``right_cells`` cells deals its left rows over
+  ``left_cells`` rows of the grid and its right rows over ``right_cells``
+  columns; each side is copied along the other's axis, so every pair meets
+  in exactly one cell.  The joins are plain shuffles on (key, cell), so the
+  cells of any number of hot keys spread over all partitions and AQE can
+  still split them.
+* ``cells``: the grid of each key from its rows on either side, such that a
+  cell emits about ``rows_per_task`` pairs.
+* ``spread``: deals rows evenly before they are exploded, into partitions
+  sized from the number of rows that will be emitted.
+
+No row is dropped, and no number of keys or cells is capped.
 """
 
 from __future__ import annotations
@@ -21,155 +27,65 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_HOT_ROWS = 1_000_000
-DEFAULT_HOT_KEYS = 10_000
-MAX_SALT_BUCKETS = 4096
-ROWS_PER_EXPANSION_TASK = 2_000_000
-_SALT = "__salt"
+#: Rows that one task should emit.
+ROWS_PER_TASK = 2_000_000
+_LEFT, _RIGHT = "__left_cell", "__right_cell"
 
 
-def expansion_partitions(spark, rows: int, rows_per_task: int | None = None) -> int:
+def partitions_for(spark, rows: int | None, rows_per_task: int | None = None) -> int:
     """Partitions for a step that emits ``rows`` rows: the session's shuffle
-    partition count, or more when that would give tasks over
-    ``rows_per_task`` rows (default ``ROWS_PER_EXPANSION_TASK``)."""
-    per_task = rows_per_task or ROWS_PER_EXPANSION_TASK
+    partitions, or more when tasks would emit over ``rows_per_task`` rows."""
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return int(max(base, -(-int(rows) // per_task)))
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is within ``max_rows``.
-
-    The side is persisted first, so the size check and the join that follows
-    compute it once (a lost cached block is recomputed from its lineage)."""
-    df = df.persist()
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def heavy_keys(counts: DataFrame, key: str | Sequence[str], count_col: str,
-               min_rows: int = DEFAULT_HOT_ROWS, max_keys: int = DEFAULT_HOT_KEYS) -> DataFrame | None:
-    """Keys with ``count_col >= min_rows`` and their counts (column
-    ``hot_rows``), at most ``max_keys`` of them, or None when there are none.
-
-    The keys are fetched eagerly (at most ``max_keys`` rows reach the driver,
-    which is the proven size bound), so a join without hot keys keeps its
-    plain plan and a join with them gets a literal, broadcastable key set."""
-    keys = [key] if isinstance(key, str) else list(key)
-    rows = (counts.where(F.col(count_col) >= min_rows)
-            .orderBy(F.col(count_col).desc(), *keys).limit(max_keys)
-            .select(*keys, F.col(count_col).cast("long").alias("hot_rows")).collect())
-    if not rows:
-        return None
-    schema = counts.select(*keys, F.col(count_col).cast("long").alias("hot_rows")).schema
-    return counts.sparkSession.createDataFrame(rows, schema)
-
-
-def salt_buckets(hot: DataFrame, rows_per_task: int = DEFAULT_HOT_ROWS,
-                 max_buckets: int = MAX_SALT_BUCKETS) -> int:
-    """Buckets so that the hottest key's rows come to about ``rows_per_task``
-    per task (at least 2, at most ``max_buckets``)."""
-    top = hot.agg(F.max("hot_rows")).first()[0] or 0
-    return int(min(max_buckets, max(2, -(-top // rows_per_task))))
-
-
-def split_hot_join(big: DataFrame, other: DataFrame, key: str | Sequence[str],
-                   hot: DataFrame | None, how: str = "inner",
-                   salt_cols: Sequence[str] = (), buckets: int | None = None,
-                   partitions: int | None = None) -> DataFrame:
-    """``big.join(other, key, how)`` with heavy keys spread over buckets.
-
-    ``how`` is 'inner' or 'left' (``big`` on the left).  ``hot`` must be
-    size-bounded (see ``heavy_keys``); ``None`` means a plain join.  The hot
-    keys are split off *before* anything is partitioned by ``key``, so no
-    task ever holds a hot key's rows.  ``partitions`` pins the partition
-    count of the ordinary join (AQE keeps an explicit count, so work that
-    expands after the join keeps that parallelism); the salted join is
-    pinned to (key, salt) the same way."""
-    keys = [key] if isinstance(key, str) else list(key)
-    if hot is None:
-        b = big.repartition(partitions, *keys) if partitions else big
-        return b.join(other, keys, how)
-    n = buckets or salt_buckets(hot)
-    hot_b = F.broadcast(hot.select(*keys))
-    cold_big = big.join(hot_b, keys, "left_anti")
-    if partitions:
-        cold_big = cold_big.repartition(partitions, *keys)
-    cold = cold_big.join(other.join(hot_b, keys, "left_anti"), keys, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in (list(salt_cols) or big.columns)]), F.lit(n))
-    big_hot = (big.join(hot_b, keys, "left_semi").withColumn(_SALT, salt)
-               .repartition(n, *keys, _SALT))
-    other_hot = (other.join(hot_b, keys, "left_semi")
-                 .withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"),
-                                                         F.lit(n - 1).cast("long"))))
-                 .repartition(n, *keys, _SALT))
-    hot_part = big_hot.join(other_hot, keys + [_SALT], how).drop(_SALT)
-    return cold.unionByName(hot_part)
-
-
-class JoinDecisions:
-    """Size checks and hot keys of one model graph, gathered in as few jobs
-    as possible.
-
-    ``gather`` takes the sides to size-check and the per-key counts to scan
-    for hot keys; every check is a small, bounded branch (a
-    ``limit(max_rows + 1)`` row count; the ``max_keys`` heaviest keys over
-    ``min_rows``) and all branches not decided yet are unioned and collected
-    in ONE job.  Results are kept, so each decision is made once per graph."""
-
-    def __init__(self, max_rows: int | None = None, max_keys: int | None = None):
-        self.max_rows = DEFAULT_BROADCAST_ROWS if max_rows is None else max_rows
-        self.max_keys = DEFAULT_HOT_KEYS if max_keys is None else max_keys
-        self.small: dict[str, bool] = {}
-        self.hot: dict[str, DataFrame | None] = {}
-        self.totals: dict[str, int] = {}
-
-    def gather(self, sizes: dict[str, DataFrame], hot: dict[str, tuple],
-               totals: dict[str, DataFrame] | None = None) -> "JoinDecisions":
-        """``totals``: one-row DataFrames with a BIGINT column ``n`` (for
-        example the number of rows an expansion will emit)."""
-        sizes = {k: v for k, v in sizes.items() if k not in self.small}
-        hot = {k: v for k, v in hot.items() if k not in self.hot}
-        totals = {k: v for k, v in (totals or {}).items() if k not in self.totals}
-        branches = [df.select(F.lit(name).alias("check"), F.lit(None).cast("string").alias("key"),
-                              F.col("n").cast("long").alias("n"))
-                    for name, df in totals.items()]
-        for name, df in sizes.items():
-            branches.append(df.limit(self.max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
-                            .select(F.lit(name).alias("check"),
-                                    F.lit(None).cast("string").alias("key"), "n"))
-        for name, (counts, key, count_col, min_rows) in hot.items():
-            branches.append(counts.where(F.col(count_col) >= min_rows)
-                            .orderBy(F.col(count_col).desc(), key).limit(self.max_keys)
-                            .select(F.lit(name).alias("check"),
-                                    F.col(key).cast("string").alias("key"),
-                                    F.col(count_col).cast("long").alias("n")))
-        if not branches:
-            return self
-        union = branches[0]
-        for b in branches[1:]:
-            union = union.unionByName(b)
-        rows = union.collect()   # at most len(sizes) + len(hot) * max_keys rows
-        spark = union.sparkSession
-        found: dict[str, list] = {name: [] for name in hot}
-        for name in sizes:
-            self.small[name] = False
-        for name in totals:
-            self.totals[name] = 0
-        for r in rows:
-            if r.check in sizes:
-                self.small[r.check] = r.n <= self.max_rows
-            elif r.check in totals:
-                self.totals[r.check] = r.n or 0
-            else:
-                found[r.check].append((r.key, r.n))
-        for name, (_counts, key, _c, _m) in hot.items():
-            self.hot[name] = (spark.createDataFrame(found[name], f"`{key}` string, hot_rows bigint")
-                              if found[name] else None)
-        return self
+    return max(base, -(-int(rows or 0) // (rows_per_task or ROWS_PER_TASK)))
+
+
+def spread(df: DataFrame, rows: int | None, *columns: str) -> DataFrame:
+    """``df`` dealt by ``columns`` for an expansion to ``rows`` rows.  The
+    explicit count keeps AQE from merging a small input into few tasks that
+    would then emit everything."""
+    return df.repartition(partitions_for(df.sparkSession, rows), *columns)
+
+
+def cells(loads: DataFrame, left_rows: str, right_rows: str,
+          rows_per_task: int | None = None) -> DataFrame:
+    """``loads`` (one row per key) restricted to hot keys, those whose pairs
+    exceed ``rows_per_task``, with ``left_cells`` and ``right_cells``.
+
+    A cell has at most ``side`` rows of either side, where side * side is
+    ``rows_per_task``; a side that is smaller than that isn't cut, and the
+    other one is cut all the finer."""
+    limit = rows_per_task or ROWS_PER_TASK
+    side = max(1, int(limit ** 0.5))
+    hot = loads.where(F.col(left_rows) * F.col(right_rows) > limit)
+    left = F.least(F.col(left_rows), F.greatest(F.lit(side), F.expr(
+        f"{limit} DIV greatest({right_rows}, 1)")))
+    right = F.least(F.col(right_rows), F.greatest(F.lit(side), F.expr(
+        f"{limit} DIV greatest({left_rows}, 1)")))
+    return hot.select("*", F.ceil(F.col(left_rows) / left).cast("long").alias("left_cells"),
+                      F.ceil(F.col(right_rows) / right).cast("long").alias("right_cells"))
+
+
+def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], grid: DataFrame | None,
+              left_columns: Sequence[str] = (), right_columns: Sequence[str] = ()) -> DataFrame:
+    """``left.join(right, keys)`` with the keys of ``grid`` (keys, left_cells,
+    right_cells; None: no hot key) cut into cells.
+
+    Rows are dealt to cells by a hash of ``left_columns`` / ``right_columns``
+    (default: all), so a recomputed task deals them the same way."""
+    keys = list(keys)
+    if grid is None:
+        return left.join(right, keys)
+    grid = grid.select(*keys, "left_cells", "right_cells")
+
+    def dealt(df: DataFrame, own: str, other: str, mine: str, theirs: str,
+              columns: Sequence[str]) -> DataFrame:
+        salt = F.xxhash64(*[F.col(c) for c in (list(columns) or df.columns)])
+        cut = df.join(grid, keys, "left")
+        return cut.withColumn(own, F.pmod(salt, F.coalesce(F.col(mine), F.lit(1)))).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("long"),
+                                        F.coalesce(F.col(theirs), F.lit(1)) - 1))).drop(
+            "left_cells", "right_cells")
+
+    a = dealt(left, _LEFT, _RIGHT, "left_cells", "right_cells", left_columns)
+    b = dealt(right, _RIGHT, _LEFT, "right_cells", "left_cells", right_columns)
+    return a.join(b, [*keys, _LEFT, _RIGHT]).drop(_LEFT, _RIGHT)

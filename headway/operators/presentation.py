@@ -22,10 +22,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.series import col, count_in_range, hour_buckets
 from headway.functions.times import SECONDS_PER_DAY, clock_date
-from headway.operators.joins import (DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most,
-                                     heavy_keys, split_hot_join)
-
-HOT_SERVICE_TEMPLATE_ROWS = 200_000
+from headway.operators.joins import spread
 
 
 def _series_bounds(offset: str | None = None) -> tuple[str, str, str]:
@@ -38,6 +35,10 @@ def _series_bounds(offset: str | None = None) -> tuple[str, str, str]:
     return first, "abs(headway_seconds)", "n_departures"
 
 
+def _feed(df: DataFrame) -> list[str]:
+    return [c for c in ("feed_key",) if c in df.columns]
+
+
 # --- route summary --------------------------------------------------------
 
 def route_trip_summary(windows: DataFrame) -> DataFrame:
@@ -59,16 +60,17 @@ def route_trip_summary(windows: DataFrame) -> DataFrame:
     )
 
 
-def route_stop_summary(pairs: DataFrame) -> DataFrame:
+def route_stop_summary(trip_stops: DataFrame) -> DataFrame:
     """Per route: distinct stops visited by at least one departure."""
-    return pairs.groupBy("route_id").agg(F.countDistinct("stop_id").alias("distinct_stops_served"))
+    return trip_stops.groupBy("route_id").agg(
+        F.countDistinct("stop_id").alias("distinct_stops_served"))
 
 
-def route_summary(dim_route: DataFrame, windows: DataFrame, pairs: DataFrame) -> DataFrame:
+def route_summary(dim_route: DataFrame, windows: DataFrame, trip_stops: DataFrame) -> DataFrame:
     """One row per route with template-level KPIs; routes without trips keep
     zero counts and NULL headways."""
     trips = route_trip_summary(windows)
-    stops = route_stop_summary(pairs)
+    stops = route_stop_summary(trip_stops)
     zero = F.lit(0).cast("long")
     avg = F.col("avg_headway_seconds")
     return (dim_route.join(trips, "route_id", "left").join(stops, "route_id", "left").select(
@@ -82,7 +84,7 @@ def route_summary(dim_route: DataFrame, windows: DataFrame, pairs: DataFrame) ->
         F.round(avg / F.lit(60.0), 1).alias("avg_headway_minutes"),
         "first_departure_seconds", "last_departure_seconds",
         F.round((F.col("last_departure_seconds") - F.col("first_departure_seconds"))
-                / F.lit(3600.0), 1).alias("service_window_hours")))
+                / F.lit(3600.0), 1).alias("service_window_hours"), *_feed(dim_route)))
 
 
 # --- visit counts per pair ------------------------------------------------
@@ -113,75 +115,53 @@ def visits_by_service_hour(pairs: DataFrame) -> DataFrame:
 # --- date-grained marts ---------------------------------------------------
 
 def _expand_over_dates(template: DataFrame, service_dates: DataFrame,
-                       salt_cols: list[str], dates_small: bool | None = None) -> DataFrame:
+                       keys: list[str]) -> DataFrame:
     """template (service_id, next_day_offset, ...) x active dates.
 
-    The active dates are broadcast when their row count is checked to be
-    small; otherwise it is a shuffle join on service_id in which services
-    with very many template rows are spread over several tasks."""
-    key_cols = ["service_id", *salt_cols]  # unique per template row: an even spread
-    # The join multiplies each template row by its service's active dates
-    # (hundreds to thousands), so the template is spread over the session's
-    # shuffle partitions first.  An explicit partition count is kept as is by
-    # AQE; otherwise the small template would be coalesced into a few tasks
-    # and the whole expansion would run in them.
-    parts = int(template.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    template = template.repartition(parts, *key_cols)
-    if dates_small is None:
-        service_dates = service_dates.persist()  # size check, then the join
-        dates_small = has_at_most(service_dates, DEFAULT_BROADCAST_ROWS)
-    if dates_small:
-        joined = template.join(F.broadcast(service_dates), "service_id")
-    else:
-        counts = template.groupBy("service_id").count()
-        hot = heavy_keys(counts, "service_id", "count", HOT_SERVICE_TEMPLATE_ROWS)
-        joined = split_hot_join(template, service_dates, "service_id", hot, "inner",
-                                salt_cols=salt_cols, partitions=parts)
+    Each template row becomes as many rows as its service has active dates
+    (hundreds to thousands), so the template, which is small, is dealt evenly
+    by its whole key first: the rows of one service then lie in many tasks.
+    Active dates are broadcast if Spark finds them small; otherwise the join
+    is a plain shuffle that AQE can split."""
+    dealt = spread(template, None, "service_id", *keys)
+    joined = dealt.join(service_dates, "service_id")
     return joined.withColumn("clock_date", clock_date("service_date", "next_day_offset"))
 
 
-def daily_stop_arrivals(pairs: DataFrame, service_dates: DataFrame,
-                        dates_small: bool | None = None) -> DataFrame:
+def daily_stop_arrivals(pairs: DataFrame, service_dates: DataFrame) -> DataFrame:
     """Arrivals per (clock date, stop); hours 24+ count on the next date."""
     template = (visits_by_day_offset(pairs)
                 .groupBy("service_id", "stop_id", "next_day_offset")
                 .agg(F.sum("visits").alias("arrivals_count")))
-    expanded = _expand_over_dates(template, service_dates, ["stop_id", "next_day_offset"],
-                                  dates_small)
+    expanded = _expand_over_dates(template, service_dates, ["stop_id", "next_day_offset"])
     return expanded.groupBy("clock_date", "stop_id").agg(
         F.sum("arrivals_count").cast("long").alias("arrivals_count")) \
         .select(F.col("clock_date").alias("service_date"), "stop_id", "arrivals_count")
 
 
-def hourly_template(pairs: DataFrame, dim_route: DataFrame,
-                    routes_small: bool | None = None) -> DataFrame:
+def hourly_template(pairs: DataFrame, dim_route: DataFrame) -> DataFrame:
     """Visits per (service, category, clock hour, next-day offset).  Routes
     missing from ``dim_route`` drop out (inner join)."""
     by_route = (visits_by_service_hour(pairs)
                 .groupBy("service_id", "route_id", "service_hour")
                 .agg(F.sum("visits").alias("visits")))
-    routes = dim_route.select("route_id", "service_category")
-    if routes_small is None:
-        routes = broadcast_if_small(routes)
-    elif routes_small:
-        routes = F.broadcast(routes)
+    routes = dim_route.select("route_id", "service_category", *_feed(dim_route))
     hour = F.col("service_hour")
     return (by_route.join(routes, "route_id")
-            .groupBy("service_id", "service_category",
+            .groupBy("service_id", "service_category", *_feed(dim_route),
                      (hour % 24).alias("hour_of_day"),
                      F.when(hour >= 24, F.lit(1)).otherwise(F.lit(0)).alias("next_day_offset"))
             .agg(F.sum("visits").alias("arrivals_count")))
 
 
 def hourly_network_density(pairs: DataFrame, dim_route: DataFrame,
-                           service_dates: DataFrame, routes_small: bool | None = None,
-                           dates_small: bool | None = None) -> DataFrame:
+                           service_dates: DataFrame) -> DataFrame:
     """Arrivals per (clock date, clock hour, service category)."""
-    template = hourly_template(pairs, dim_route, routes_small)
+    template = hourly_template(pairs, dim_route)
     expanded = _expand_over_dates(template, service_dates,
-                                  ["service_category", "hour_of_day", "next_day_offset"],
-                                  dates_small)
-    return expanded.groupBy("clock_date", "hour_of_day", "service_category").agg(
+                                  ["service_category", "hour_of_day", "next_day_offset"])
+    feed = _feed(dim_route)
+    return expanded.groupBy("clock_date", "hour_of_day", "service_category", *feed).agg(
         F.sum("arrivals_count").cast("long").alias("arrivals_count")) \
         .select(F.col("clock_date").alias("service_date"), "hour_of_day", "service_category",
-                "arrivals_count")
+                "arrivals_count", *feed)

@@ -15,9 +15,11 @@ failing-row query returns:
 * unique_combination     column combinations that occur more than once
 
 Row-level kinds (not_null, accepted_values, between) of one model are all
-evaluated in a single aggregation pass over that model; key kinds group or
-anti-join once per check.  Models used by several checks are persisted so
-that each is computed once.
+evaluated in a single aggregation pass over that model; key kinds group once
+per check.  A relationship check counts the child's rows per key first, so
+that only distinct keys are shuffled and compared.  Nothing is cached: the
+checks are meant to run over written tables (see ``stored_resolver`` for
+models that aren't written yet).
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.session import stored_table
+
 
 @dataclass(frozen=True)
 class Check:
@@ -87,6 +91,15 @@ def relationships_failures(child: DataFrame, column: str, parent: DataFrame,
     return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """(key, n_records): child keys without a parent row.  Keys are counted
+    per task before they are shuffled, so no key is hot."""
+    keys = (child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
+            .agg(F.count(F.lit(1)).alias("n_records")))
+    return keys.join(parent.select(F.col(field).alias("key")).where("key IS NOT NULL"), "key",
+                     "left_anti")
+
+
 def between_predicate(column: str, min_value=None, max_value=None,
                       row_condition: str | None = None) -> str:
     bounds = []
@@ -140,23 +153,30 @@ def _summary_row(df: DataFrame, c: Check) -> DataFrame:
                      F.col("failures").cast("long").alias("failures"))
 
 
+def stored_resolver(checks: Sequence[Check], resolve: Callable[[str], DataFrame]
+                    ) -> Callable[[str], DataFrame]:
+    """``resolve``, with each exploded fact that several of the checks read
+    stored as a table once."""
+    facts = ("fact_scheduled_trip", "fact_scheduled_stop_event")
+    reads = [n for c in checks if c.kind not in _ROW_LEVEL for n in (c.model, c.to) if n]
+    reads += list({c.model for c in checks if c.kind in _ROW_LEVEL})
+    stored: dict[str, DataFrame] = {}
+
+    def table(name: str) -> DataFrame:
+        if name in facts and reads.count(name) > 1:
+            if name not in stored:
+                stored[name] = stored_table(resolve(name), name)
+            return stored[name]
+        return resolve(name)
+
+    return table
+
+
 def run_checks(spark: SparkSession, checks: Sequence[Check],
                resolve: Callable[[str], DataFrame]) -> DataFrame:
     """Evaluate ``checks`` (models looked up with ``resolve``) into one
     summary row per check."""
-    uses: dict[str, int] = {}
-    for c in checks:
-        uses[c.model] = uses.get(c.model, 0) + 1
-        if c.to:
-            uses[c.to] = uses.get(c.to, 0) + 1
-    cache: dict[str, DataFrame] = {}
-
-    def model(name: str) -> DataFrame:
-        if name not in cache:
-            df = resolve(name)
-            cache[name] = df.persist() if uses.get(name, 0) > 1 else df
-        return cache[name]
-
+    model = resolve
     parts: list[DataFrame] = []
     row_level: dict[str, list[Check]] = {}
     for c in checks:
@@ -178,7 +198,10 @@ def run_checks(spark: SparkSession, checks: Sequence[Check],
         elif c.kind == "unique_combination":
             failed = unique_combination_failures(model(c.model), list(c.column))
         elif c.kind == "relationships":
-            failed = relationships_failures(model(c.model), c.column, model(c.to), c.field)
+            orphans = orphan_keys(model(c.model), c.column, model(c.to), c.field)
+            parts.append(_summary_row(orphans.agg(
+                F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")), c))
+            continue
         else:
             continue
         parts.append(_summary_row(failed.agg(F.count(F.lit(1)).alias("failures")), c))

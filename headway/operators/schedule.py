@@ -14,12 +14,11 @@ visits):
   of the stop-visit fact: a pair stands for ``n_departures`` visits.
 * ``fact_scheduled_stop_event``: ``window_stops`` exploded per departure.
 
-The big joins are on ``trip_id``.  Their partition count is pinned (the
-model graph sizes it from the number of rows the expansion will emit, at
-least the session's shuffle partitions) so that the expansion after them
-runs in that many tasks,
-and trips holding a very large share of the rows are spread over several
-tasks by ``split_hot_join``.
+* ``trip_loads``: per trip, its windows, departures and stop rows.  It says
+  how many rows each trip will emit before anything is joined, which sizes
+  the expansions and cuts hot trips into cells (``joins.grid_join``).
+* ``trip_totals`` and ``trip_stops``: departures per trip, and each stop row
+  with its trip's departures, for marts that need no times.
 """
 
 from __future__ import annotations
@@ -29,19 +28,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.keys import surrogate_key
 from headway.functions.series import col, departure_count, departure_series
-from headway.operators.joins import broadcast_if_small, heavy_keys, split_hot_join
-
-# A trip with this many frequency windows (each ~100 departures) or stop rows
-# is treated as a hot key.
-HOT_TRIP_WINDOWS = 20_000
-HOT_TRIP_STOP_ROWS = 1_000_000
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-_AUTO = object()
+from headway.operators.joins import grid_join
 
 
 def frequency_windows(stg_frequencies: DataFrame) -> DataFrame:
@@ -57,40 +44,22 @@ def frequency_windows(stg_frequencies: DataFrame) -> DataFrame:
             .where("n_departures > 0"))
 
 
-def hot_trips_by_windows(windows: DataFrame) -> DataFrame | None:
-    return heavy_keys(windows.groupBy("trip_id").count(), "trip_id", "count", HOT_TRIP_WINDOWS)
-
-
-def _maybe_broadcast(df: DataFrame, small: bool | None) -> DataFrame:
-    if small is None:
-        return broadcast_if_small(df)
-    return F.broadcast(df) if small else df
-
-
 def trip_windows(windows: DataFrame, stg_trips: DataFrame, dim_route: DataFrame,
-                 dim_service: DataFrame, hot=_AUTO, routes_small: bool | None = None,
-                 services_small: bool | None = None, partitions: int | None = None) -> DataFrame:
+                 dim_service: DataFrame, grid: DataFrame | None = None) -> DataFrame:
     """Frequency windows (``frequency_windows``) joined to their trip, route
     and service.  Trips without a frequency row have no departures and do
     not appear (inner join); unknown routes/services keep NULL attributes.
-
-    ``hot`` (trips with very many windows) and the two ``*_small`` size
-    decisions are checked here unless the caller has gathered them already
-    (see ``JoinDecisions``)."""
-    if hot is _AUTO:
-        windows = windows.persist()  # read by the hot-key check and by the join
-        hot = hot_trips_by_windows(windows)
+    ``grid`` cuts trips with very many windows (see ``joins.cells``)."""
+    feed = [c for c in ("feed_key",) if c in stg_trips.columns]
     trips = stg_trips.select("trip_id", "route_id", "service_id", "direction_id",
-                             "trip_headsign", "trip_short_name", "shape_id")
-    joined = split_hot_join(windows, trips, "trip_id", hot, "inner",
-                            salt_cols=["window_start_seconds", "window_end_seconds"],
-                            partitions=partitions or _partitions(windows))
-    routes = _maybe_broadcast(dim_route.select(
+                             "trip_headsign", "trip_short_name", "shape_id", *feed)
+    joined = grid_join(windows, trips, ["trip_id"], grid)
+    routes = dim_route.select(
         "route_id", F.col("service_category").alias("route_service_category"),
-        "route_short_name", "route_long_name", "route_color_hex"), routes_small)
-    services = _maybe_broadcast(dim_service.select(
+        "route_short_name", "route_long_name", "route_color_hex")
+    services = dim_service.select(
         "service_id", "service_name",
-        F.col("active_days_count").alias("service_active_days_count")), services_small)
+        F.col("active_days_count").alias("service_active_days_count"))
     return joined.join(routes, "route_id", "left").join(services, "service_id", "left")
 
 
@@ -112,7 +81,7 @@ def fact_scheduled_trip(windows: DataFrame) -> DataFrame:
                 F.col("headway_seconds").alias("source_headway_seconds"),
                 "is_exact_times", "route_service_category", "route_short_name",
                 "route_long_name", "route_color_hex", "service_name",
-                "service_active_days_count"))
+                "service_active_days_count", *[c for c in windows.columns if c == "feed_key"]))
 
 
 def trip_stop_stats(stg_stop_times: DataFrame) -> DataFrame:
@@ -122,21 +91,20 @@ def trip_stop_stats(stg_stop_times: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_stop_rows"))
 
 
-def hot_trips_by_stop_rows(stats: DataFrame) -> DataFrame | None:
-    return heavy_keys(stats, "trip_id", "n_stop_rows", HOT_TRIP_STOP_ROWS)
+def trip_loads(windows: DataFrame, stats: DataFrame) -> DataFrame:
+    """Per trip with departures: n_windows, n_departures, n_stop_rows, and
+    the trip's first arrival."""
+    per_trip = windows.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n_windows"),
+                                              F.sum("n_departures").alias("n_departures"))
+    return per_trip.join(stats, "trip_id", "left").withColumn(
+        "n_stop_rows", F.coalesce("n_stop_rows", F.lit(0)))
 
 
-def stop_offsets(stg_stop_times: DataFrame, stats: DataFrame | None = None,
-                 hot=_AUTO) -> DataFrame:
+def stop_offsets(stg_stop_times: DataFrame, stats: DataFrame) -> DataFrame:
     """Each stop row's arrival and departure offset from the trip's first
     arrival.  The base is the minimum arrival, not the lowest sequence."""
-    if stats is None:
-        stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
-    if hot is _AUTO:
-        hot = hot_trips_by_stop_rows(stats)
     base = F.col("trip_first_arrival_seconds")
-    joined = split_hot_join(stg_stop_times, stats.select("trip_id", "trip_first_arrival_seconds"),
-                            "trip_id", hot, "inner", salt_cols=["stop_sequence", "stop_id"])
+    joined = stg_stop_times.join(stats.select("trip_id", "trip_first_arrival_seconds"), "trip_id")
     return joined.select(
         "trip_id", "stop_id", "stop_sequence",
         (F.col("arrival_seconds_from_service_midnight") - base).alias("arrival_offset_seconds"),
@@ -144,25 +112,31 @@ def stop_offsets(stg_stop_times: DataFrame, stats: DataFrame | None = None,
         "stop_headsign", "shape_distance_traveled")
 
 
-def window_stops(windows: DataFrame, stg_stop_times: DataFrame,
-                 stats: DataFrame | None = None, hot=_AUTO,
-                 partitions: int | None = None) -> DataFrame:
-    """(window, stop row) pairs of the same trip with the stop offsets.
+def trip_totals(windows: DataFrame) -> DataFrame:
+    """Per trip, with its route and category: departures over all windows."""
+    keys = [c for c in ("feed_key", "trip_id", "route_id", "service_id", "route_service_category")
+            if c in windows.columns]
+    return windows.groupBy(*keys).agg(F.sum("n_departures").alias("n_departures"))
+
 
-    The per-trip base joins the small window table first; the stop rows then
-    meet the windows in one shuffle on ``trip_id``."""
-    if stats is None:
-        stats = trip_stop_stats(stg_stop_times).persist()  # hot-key check, then the join
-    if hot is _AUTO:
-        hot = hot_trips_by_stop_rows(stats)
-    with_base = windows.join(stats.select("trip_id", "trip_first_arrival_seconds"), "trip_id")
-    stops = stg_stop_times.select("trip_id", "stop_id", "stop_sequence",
-                                  "arrival_seconds_from_service_midnight",
-                                  "departure_seconds_from_service_midnight",
-                                  "stop_headsign", "shape_distance_traveled")
-    pairs = split_hot_join(stops, with_base, "trip_id", hot, "inner",
-                           salt_cols=["stop_sequence", "stop_id"],
-                           partitions=partitions or _partitions(stg_stop_times))
+def trip_stops(totals: DataFrame, stg_stop_times: DataFrame) -> DataFrame:
+    """Each stop row with its trip's route, category and departures: one row
+    per trip and stop row, whatever the number of windows."""
+    return stg_stop_times.select("trip_id", "stop_id").join(totals, "trip_id")
+
+
+def window_stops(windows: DataFrame, stg_stop_times: DataFrame, stats: DataFrame,
+                 grid: DataFrame | None = None) -> DataFrame:
+    """(window, stop row) pairs of the same trip with the stop offsets.
+    ``grid`` cuts trips with very many pairs along both sides."""
+    stops = stg_stop_times.join(
+        stats.select("trip_id", "trip_first_arrival_seconds"), "trip_id").select(
+        "trip_id", "stop_id", "stop_sequence", "arrival_seconds_from_service_midnight",
+        "departure_seconds_from_service_midnight", "trip_first_arrival_seconds",
+        "stop_headsign", "shape_distance_traveled")
+    pairs = grid_join(windows, stops, ["trip_id"], grid,
+                      ["window_start_seconds", "window_end_seconds", "headway_seconds"],
+                      ["stop_sequence", "stop_id"])
     base = F.col("trip_first_arrival_seconds")
     return pairs.select(
         *[c for c in pairs.columns if c not in (
@@ -186,4 +160,5 @@ def fact_scheduled_stop_event(pairs: DataFrame) -> DataFrame:
                 (dep + F.col("arrival_offset_seconds")).alias("arrival_seconds_from_service_midnight"),
                 (dep + F.col("departure_offset_seconds")).alias("departure_seconds_from_service_midnight"),
                 dep, "stop_headsign", "shape_distance_traveled", "route_short_name",
-                "route_long_name", "route_service_category", "service_name"))
+                "route_long_name", "route_service_category", "service_name",
+                *[c for c in pairs.columns if c == "feed_key"]))

@@ -30,17 +30,23 @@ def _d(name: str, alias: str) -> str:
     return f"to_date(CAST(`{name}` AS STRING), '{DATE_FORMAT}') AS {alias}"
 
 
+def _select(raw: DataFrame, *cols) -> DataFrame:
+    """The columns, and the feed a row belongs to where there are several."""
+    feed = [c for c in raw.columns if c == "feed_key"]
+    return raw.select(*[F.expr(c) if isinstance(c, str) else c for c in cols], *feed)
+
+
 def stg_stops(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
-        _s("stop_id"), _s("stop_code"), _s("stop_name"), _s("stop_desc", "stop_description"),
+    return _select(
+        raw, _s("stop_id"), _s("stop_code"), _s("stop_name"), _s("stop_desc", "stop_description"),
         "CAST(stop_lat AS DOUBLE) AS stop_latitude", "CAST(stop_lon AS DOUBLE) AS stop_longitude",
         _s("zone_id"), _s("stop_url"), _l("location_type"), _s("parent_station", "parent_station_id"),
         _l("wheelchair_boarding", "wheelchair_boarding_code"))
 
 
 def stg_routes(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
-        _s("route_id"), _s("agency_id"), _s("route_short_name"), _s("route_long_name"),
+    return _select(
+        raw, _s("route_id"), _s("agency_id"), _s("route_short_name"), _s("route_long_name"),
         _s("route_desc", "route_description"), _l("route_type", "route_type_code"),
         decode_sql("CAST(route_type AS BIGINT)", ROUTE_TYPE_NAMES) + " AS route_type_name",
         _s("route_url"), _s("route_color", "route_color_hex"),
@@ -48,8 +54,8 @@ def stg_routes(raw: DataFrame) -> DataFrame:
 
 
 def stg_trips(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
-        _s("trip_id"), _s("route_id"), _s("service_id"), _s("trip_headsign"), _s("trip_short_name"),
+    return _select(
+        raw, _s("trip_id"), _s("route_id"), _s("service_id"), _s("trip_headsign"), _s("trip_short_name"),
         _l("direction_id"), _s("block_id"), _s("shape_id"),
         _l("wheelchair_accessible", "wheelchair_accessible_code"),
         _l("bikes_allowed", "bikes_allowed_code"))
@@ -69,8 +75,6 @@ def _parsed_times(pairs: list[tuple[str, str]]) -> Column:
                                        for raw, out in pairs])))
 
 
-def _select(raw: DataFrame, *cols) -> DataFrame:
-    return raw.select(*[F.expr(c) if isinstance(c, str) else c for c in cols])
 
 
 def stg_stop_times(raw: DataFrame) -> DataFrame:
@@ -85,14 +89,14 @@ def stg_stop_times(raw: DataFrame) -> DataFrame:
 
 
 def stg_calendar(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
-        _s("service_id"), *[f"CAST(`{d}` AS BIGINT) = 1 AS runs_{d}" for d in WEEKDAYS],
+    return _select(
+        raw, _s("service_id"), *[f"CAST(`{d}` AS BIGINT) = 1 AS runs_{d}" for d in WEEKDAYS],
         _d("start_date", "service_start_date"), _d("end_date", "service_end_date"))
 
 
 def stg_calendar_dates(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
-        _s("service_id"), _d("date", "exception_date"), _l("exception_type", "exception_type_code"),
+    return _select(
+        raw, _s("service_id"), _d("date", "exception_date"), _l("exception_type", "exception_type_code"),
         decode_sql("CAST(exception_type AS BIGINT)", EXCEPTION_TYPE_NAMES) + " AS exception_type_name")
 
 
@@ -109,8 +113,3 @@ STAGING = {
     "stop_times": stg_stop_times, "calendar": stg_calendar,
     "calendar_dates": stg_calendar_dates, "frequencies": stg_frequencies,
 }
-
-
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Staged DataFrame per raw table that has a staging model."""
-    return {name: fn(raw[name]) for name, fn in STAGING.items() if name in raw}

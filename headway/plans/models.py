@@ -9,6 +9,7 @@ writes a model out (see ``headway.plans.build``).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from headway.operators import calendar as cal
 from headway.operators import dims, presentation, schedule, staging
-from headway.operators.joins import JoinDecisions, expansion_partitions
-from headway.sources.schemas import conform, empty_table
+from headway.operators.joins import ROWS_PER_TASK, cells, spread
+from headway.session import stored_table
+from headway.sources.schemas import conform, empty_table, raw_schema
 
 # Model name -> (layer, upstream models).  Layers decide how a
 # model is materialized: staging stays a lazy view, intermediate models are
@@ -65,19 +67,73 @@ def build_order() -> list[str]:
     return done
 
 
+#: Columns of raw rows that tell feeds or snapshots apart.
+ORIGIN_COLUMNS = ("snapshot_date", "archive", "source_path")
+
+#: Raw id columns: with several feeds, ids of one feed mean nothing in another.
+ID_COLUMNS = {
+    "stops": ("stop_id", "parent_station"), "routes": ("route_id",),
+    "trips": ("trip_id", "route_id", "service_id", "shape_id"),
+    "stop_times": ("trip_id", "stop_id"), "calendar": ("service_id",),
+    "calendar_dates": ("service_id",), "frequencies": ("trip_id",),
+}
+
+
+def with_feed_key(raw: DataFrame, table: str, feed_key: Sequence[str]) -> DataFrame:
+    """``raw`` plus ``feed_key`` (the columns' values joined with '/'), and
+    every id in the form '<feed_key>:<id>'.  ':' and '%' in the key are
+    written %3A and %25, so different ids stay different."""
+    missing = [c for c in feed_key if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{table} lacks the feed key columns {missing}")
+    key = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in feed_key])
+    key = F.replace(F.replace(key, F.lit("%"), F.lit("%25")), F.lit(":"), F.lit("%3A"))
+    keyed = raw.withColumn("feed_key", key)
+    return keyed.withColumns({c: F.concat("feed_key", F.lit(":"), c)
+                              for c in ID_COLUMNS.get(table, ())})
+
+
 class FeedModels:
-    """All models of one feed (or of many feeds' raw tables unioned)."""
+    """All models of one feed, or of several.
+
+    For several feeds or snapshots at once, ``feed_key`` names the raw
+    columns that tell them apart (for example ``snapshot_date``).  Ids are
+    then qualified by the feed they come from, so joins, groups and surrogate
+    keys never mix feeds, and models that have no id in their grain carry
+    ``feed_key``.  Raw tables that hold several snapshots but come without a
+    feed key are refused: their joins would multiply rows."""
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
-                 spine_start: dt.date = cal.SPINE_START, spine_end: dt.date = cal.SPINE_END):
+                 spine_start: dt.date = cal.SPINE_START, spine_end: dt.date = cal.SPINE_END,
+                 feed_key: Sequence[str] = ()):
         self.spark = spark
         self.raw = {name: conform(df, name) for name, df in raw.items()}
+        self.feed_key = tuple(feed_key)
         for name in staging.STAGING:
             if name not in self.raw:
-                self.raw[name] = empty_table(spark, name)
+                self.raw[name] = (spark.createDataFrame([], raw_schema(name, self.feed_key))
+                                  if feed_key else empty_table(spark, name))
+        if feed_key:
+            self.raw = {n: with_feed_key(df, n, self.feed_key) for n, df in self.raw.items()}
+        else:
+            self._refuse_several_feeds()
         self.spine_start = spine_start
         self.spine_end = spine_end
 
+    def _refuse_several_feeds(self) -> None:
+        for column in ORIGIN_COLUMNS:
+            parts = [self.raw[n].select(F.col(column).cast("string").alias("origin"))
+                     for n in staging.STAGING if column in self.raw[n].columns]
+            if not parts:
+                continue
+            every = parts[0]
+            for p in parts[1:]:
+                every = every.union(p)
+            found = every.agg(F.min("origin").alias("a"), F.max("origin").alias("z")).first()
+            if found.a != found.z:
+                raise ValueError(f"the raw tables hold several values of {column} "
+                                 f"({found.a!r} to {found.z!r}): name a feed_key")
+
     @classmethod
     def from_bridge(cls, spark: SparkSession, sf_dir: str, stored: bool = True) -> "FeedModels":
         """Models over the feed mapped from the test tables at ``sf_dir``;
@@ -141,117 +197,91 @@ class FeedModels:
     def dim_service(self) -> DataFrame:
         return dims.dim_service(self.stg_calendar, self.service_calendar)
 
-    # join decisions ------------------------------------------------------
+    # what each trip will emit ---------------------------------------------
+    #: Rows a task should emit; trips beyond it are cut into cells.
+    rows_per_task = ROWS_PER_TASK
+
     @cached_property
     def frequency_windows(self) -> DataFrame:
-        # read by the hot-key check and by the joins
-        return schedule.frequency_windows(self.stg_frequencies).persist()
+        return schedule.frequency_windows(self.stg_frequencies)
 
     @cached_property
     def trip_stop_stats(self) -> DataFrame:
-        return schedule.trip_stop_stats(self.stg_stop_times).persist()
+        return schedule.trip_stop_stats(self.stg_stop_times)
+
+    @cached_property
+    def trip_loads(self) -> DataFrame:
+        """Per trip: windows, departures, stop rows; stored, as both the sizes
+        below and the grids read it."""
+        return stored_table(schedule.trip_loads(self.frequency_windows, self.trip_stop_stats),
+                            "trip_loads")
 
     @cached_property
-    def join_decisions(self) -> JoinDecisions:
-        return JoinDecisions()
-
-    _SIZE_CHECKS = ("dim_route", "dim_service", "service_calendar")
-    _HOT_CHECKS = ("windows", "stop_rows")
-
-    def decide(self, *names: str) -> JoinDecisions:
-        """Make the named join decisions (size checks of the dimensions and
-        the calendar, hot trips by windows or stop rows) in one job."""
-        sizes = {n: self.model(n) for n in names if n in self._SIZE_CHECKS}
-        hot = {}
-        if "windows" in names:
-            hot["windows"] = (self.frequency_windows.groupBy("trip_id").count(), "trip_id",
-                              "count", schedule.HOT_TRIP_WINDOWS)
-        if "stop_rows" in names:
-            hot["stop_rows"] = (self.trip_stop_stats, "trip_id", "n_stop_rows",
-                                schedule.HOT_TRIP_STOP_ROWS)
-        totals = {}
-        if "departures" in names:
-            totals["departures"] = self.frequency_windows.agg(F.sum("n_departures").alias("n"))
-        if "visits" in names:
-            per_trip = self.frequency_windows.groupBy("trip_id").agg(
-                F.sum("n_departures").alias("deps"))
-            totals["visits"] = per_trip.join(self.trip_stop_stats, "trip_id").agg(
-                F.sum(F.col("deps") * F.col("n_stop_rows")).alias("n"))
-        return self.join_decisions.gather(sizes, hot, totals)
-
-    def _expansion_partitions(self, total: str) -> int:
-        return expansion_partitions(self.spark, self.join_decisions.totals.get(total, 0))
+    def load(self) -> dict[str, int]:
+        """Totals and maxima of ``trip_loads``: one row reaches the driver."""
+        row = self.trip_loads.agg(
+            F.sum("n_departures").alias("departures"),
+            F.sum(F.col("n_departures") * F.col("n_stop_rows")).alias("visits"),
+            F.max("n_windows").alias("max_windows"),
+            F.max(F.col("n_windows") * F.col("n_stop_rows")).alias("max_pairs")).first()
+        return {k: v or 0 for k, v in row.asDict().items()}
 
     # schedule ------------------------------------------------------------
     @cached_property
     def trip_windows(self) -> DataFrame:
-        d = self.decide("windows", "dim_route", "dim_service", "departures")
+        grid = None
+        if self.load["max_windows"] > self.rows_per_task:
+            grid = cells(self.trip_loads.withColumn("one", F.lit(1).cast("long")), "n_windows",
+                         "one", self.rows_per_task)
         return schedule.trip_windows(self.frequency_windows, self.stg_trips, self.dim_route,
-                                     self.dim_service, hot=d.hot["windows"],
-                                     routes_small=d.small["dim_route"],
-                                     services_small=d.small["dim_service"],
-                                     partitions=self._expansion_partitions("departures"))
+                                     self.dim_service, grid)
 
     @cached_property
     def fact_scheduled_trip(self) -> DataFrame:
-        return schedule.fact_scheduled_trip(self.trip_windows)
+        return schedule.fact_scheduled_trip(spread(
+            self.trip_windows, self.load["departures"], "trip_id", "window_start_seconds",
+            "window_end_seconds", "headway_seconds"))
 
     @cached_property
     def stop_offsets(self) -> DataFrame:
-        d = self.decide("stop_rows")
-        return schedule.stop_offsets(self.stg_stop_times, self.trip_stop_stats,
-                                     hot=d.hot["stop_rows"])
+        return schedule.stop_offsets(self.stg_stop_times, self.trip_stop_stats)
+
+    @cached_property
+    def trip_stops(self) -> DataFrame:
+        """Stop rows with their trip's departures (no times, no windows)."""
+        return schedule.trip_stops(schedule.trip_totals(self.trip_windows), self.stg_stop_times)
 
     @cached_property
     def window_stops(self) -> DataFrame:
-        d = self.decide("windows", "dim_route", "dim_service", "departures", "stop_rows")
+        grid = None
+        if self.load["max_pairs"] > self.rows_per_task:
+            grid = cells(self.trip_loads, "n_windows", "n_stop_rows", self.rows_per_task)
         return schedule.window_stops(self.trip_windows, self.stg_stop_times,
-                                     self.trip_stop_stats, hot=d.hot["stop_rows"])
+                                     self.trip_stop_stats, grid)
 
     @cached_property
     def fact_scheduled_stop_event(self) -> DataFrame:
-        pairs = self.window_stops
-        self.decide("visits")
-        parts = self._expansion_partitions("visits")
-        if parts > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
-            # More visits than the session's partitions can emit at ~2M rows
-            # per task: spread the (much smaller) pairs first.
-            pairs = pairs.repartition(parts, "trip_id", "window_start_seconds", "stop_sequence")
-        return schedule.fact_scheduled_stop_event(pairs)
+        return schedule.fact_scheduled_stop_event(spread(
+            self.window_stops, self.load["visits"], "trip_id", "window_start_seconds",
+            "headway_seconds", "stop_sequence", "stop_id"))
 
     # presentation --------------------------------------------------------
-    _MART_CHECKS = ("windows", "dim_route", "dim_service", "departures", "stop_rows",
-                    "service_calendar")
-
     @cached_property
     def presentation_route_summary(self) -> DataFrame:
-        self.decide(*self._MART_CHECKS)
-        return presentation.route_summary(self.dim_route, self.trip_windows, self.window_stops)
+        return presentation.route_summary(self.dim_route, self.trip_windows, self.trip_stops)
 
     @cached_property
     def presentation_daily_stop_arrivals(self) -> DataFrame:
-        d = self.decide(*self._MART_CHECKS)
-        return presentation.daily_stop_arrivals(self.window_stops, self.service_calendar,
-                                                dates_small=d.small["service_calendar"])
+        return presentation.daily_stop_arrivals(self.window_stops, self.service_calendar)
 
     @cached_property
     def presentation_hourly_network_density(self) -> DataFrame:
-        d = self.decide(*self._MART_CHECKS)
-        return presentation.hourly_network_density(
-            self.window_stops, self.dim_route, self.service_calendar,
-            routes_small=d.small["dim_route"], dates_small=d.small["service_calendar"])
+        return presentation.hourly_network_density(self.window_stops, self.dim_route,
+                                                   self.service_calendar)
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def release(self) -> None:
-        """Drop the blocks this graph cached for its joins (windows, per-trip
-        stats, checked dimension sides).  Call it when done with the graph
-        in a long-lived session."""
-        for name in ("frequency_windows", "trip_stop_stats"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
-
     PRESENTATION_ALIASES = {
         "route_summary": "presentation_route_summary",
         "daily_stop_arrivals": "presentation_daily_stop_arrivals",
