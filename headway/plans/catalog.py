@@ -7,9 +7,11 @@ or analysis as a DataFrame over the whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.plans import oracle
 from headway.plans.models import FeedModels
@@ -119,21 +121,21 @@ def peaking_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def service_tier_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Departures, share, routes and distinct stops per service category."""
     m = _models(spark, sf_dir)
-    return _an.service_tier_mix(m.trip_windows, m.window_stops)
+    return _an.service_tier_mix(m.trip_windows, m.trip_stops)
 
 
 @register("busiest_stops", oracle.busiest_stops(10))
 def busiest_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 stops by scheduled visits per service day."""
     m = _models(spark, sf_dir)
-    return _an.busiest_stops(m.window_stops, m.dim_stop, 10)
+    return _an.busiest_stops(m.trip_stops, m.dim_stop, 10)
 
 
 @register("top_interchange_hubs", oracle.top_interchange_hubs(10))
 def top_interchange_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 hubs (parent station or stop) by routes, then visits."""
     m = _models(spark, sf_dir)
-    return _an.top_interchange_hubs(m.window_stops, m.dim_stop, 10)
+    return _an.top_interchange_hubs(m.trip_stops, m.dim_stop, 10)
 
 
 @register("stop_hour_histogram", oracle.STOP_HOUR_HISTOGRAM)
@@ -157,7 +159,7 @@ def _dq_query(name: str, kind: str) -> None:
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         m = _models(spark, sf_dir)
-        return _q.run_checks(spark, checks, m.table)
+        return _q.run_checks(spark, checks, _q.stored_resolver(checks, m.table))
     build.__name__ = name
     build.__doc__ = f"Every declared {kind} check over all layers of the bridged feed."
     REGISTRY[name] = (build, oracle.quality(checks))
@@ -211,11 +213,147 @@ def snapshot_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_trips(conform(replayed, "trips"))
 
 
+@register("service_calendar_dated", oracle.sql(
+    "SELECT c.service_id, d.* FROM service_calendar c JOIN dim_date d ON d.date_id = c.service_date",
+    ("service_calendar", "dim_date")))
+def service_calendar_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every active date of every service with all attributes of the date."""
+    m = _models(spark, sf_dir)
+    active = m.service_calendar.withColumnRenamed("service_date", "date_id")
+    return active.join(m.dim_date, "date_id").select("service_id", *m.dim_date.columns)
+
+
+_ZIP_ROWS = 20_000   # stop rows per stand-in archive
+
+
+def _zip_archives(rows: DataFrame, n: int) -> DataFrame:
+    """Stand-in archives (path, content) of ``stop_times`` rows, as a landing
+    folder of ``n`` zip files would give them."""
+    def pack(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        text = pdf.drop(columns=["part"]).to_csv(index=False)
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("feed/stop_times.txt", text)
+            archive.writestr("feed/readme.md", "no table")
+        return pd.DataFrame({"path": [f"zip:/{pdf['part'].iloc[0]}.zip"],
+                             "content": [held.getvalue()]})
+    part = F.pmod(F.xxhash64("trip_id", "stop_sequence", "stop_id"), F.lit(n)).alias("part")
+    return rows.select("*", part).groupBy("part").applyInPandas(pack, "path string, content binary")
+
+
+@register("feed_zip_roundtrip", oracle.table("stg_stop_times"))
+def feed_zip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridged stop times as zip archives, read back in one pass over
+    the archives and staged."""
+    from headway.operators import staging
+    from headway.sources.bridge import stored_raw_feed
+    from headway.sources.schemas import conform
+    from headway.sources.zipfeed import ZipTables
+    rows = stored_raw_feed(spark, sf_dir)["stop_times"]
+    archives = _zip_archives(rows, 1 + rows.count() // _ZIP_ROWS)
+    return staging.stg_stop_times(conform(ZipTables(archives).table("stop_times"), "stop_times"))
+
+
+@register("feed_load_report", oracle.sql(" UNION ALL ".join([
+    f"SELECT '{t}' AS table_name, 'loaded' AS status, count(*) AS rows FROM raw_{t}"
+    for t in ("stops", "routes", "trips", "stop_times", "calendar", "calendar_dates",
+              "frequencies")] + [
+    f"SELECT '{t}', 'skipped', NULL" for t in ("agency", "shapes", "fare_attributes", "fare_rules",
+                                               "transfers", "feed_info")]),
+    tuple(f"raw_{t}" for t in ("stops", "routes", "trips", "stop_times", "calendar",
+                               "calendar_dates", "frequencies"))))
+def feed_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load report of the bridged feed written as a CSV folder: each
+    known table, loaded with its rows or skipped."""
+    from headway.sources.bridge import stored_raw_feed
+    from headway.sources.feed import read_feed_csv
+    folder = _scratch(spark, "csv-feed")
+    for name, df in stored_raw_feed(spark, sf_dir).items():
+        df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}.txt")
+    return read_feed_csv(spark, folder)[1].drop("path")
+
+
+FRESHNESS_AS_OF = dt.date(2024, 2, 5)
+
+
+@register("dq_freshness", """
+WITH e AS (SELECT CAST(min(ts) AS DATE) a, CAST(max(ts) AS DATE) z FROM events),
+t AS (SELECT 'calendar' AS table_name, z - 10 AS d FROM e
+      UNION ALL SELECT 'frequencies', a FROM e UNION ALL SELECT 'stops', NULL
+      UNION ALL SELECT 'trips', z FROM e)
+SELECT table_name, d AS max_loaded_at, CAST(DATE '2024-02-05' - d AS BIGINT) AS age_days,
+  CASE WHEN d IS NULL OR DATE '2024-02-05' - d > 30 THEN 'error'
+       WHEN DATE '2024-02-05' - d > 8 THEN 'warn' ELSE 'pass' END AS status
+FROM t""")
+def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness of archived snapshots as of a given date: trips archived on
+    the first and last day of the events, the calendar ten days before the
+    last, frequencies only on the first, stops never."""
+    from headway.sources.archive import archive_snapshot, snapshot_dates
+    from headway.sources.bridge import read_source, stored_raw_feed
+    day = read_source(spark, sf_dir, "events").agg(
+        F.to_date(F.min("ts")).alias("a"), F.to_date(F.max("ts")).alias("z")).first()
+    raw, root = stored_raw_feed(spark, sf_dir), _scratch(spark, "archive")
+    loads = {"trips": (day.a, day.z), "calendar": (day.z - dt.timedelta(10),),
+             "frequencies": (day.a,), "stops": ()}
+    out = None
+    for name, dates in loads.items():
+        for d in dates:
+            archive_snapshot({name: raw[name]}, root, d.isoformat())
+        one = _q.freshness(snapshot_dates(spark, root, name), "snapshot_date", FRESHNESS_AS_OF,
+                           **_q.FRESHNESS).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("multi_snapshot_facts", oracle.sql(f"""
+SELECT s.d AS feed_key, md5(concat_ws('-', s.d || ':' || f.trip_id,
+    cast(f.departure_seconds_from_service_midnight as varchar))) AS scheduled_trip_id,
+  s.d || ':' || f.trip_id AS trip_id, s.d || ':' || f.route_id AS route_id,
+  s.d || ':' || f.service_id AS service_id, f.departure_seconds_from_service_midnight,
+  f.route_service_category, f.service_active_days_count, v.visits
+FROM fact_scheduled_trip f
+LEFT JOIN (SELECT trip_id, count(*) AS visits FROM stg_stop_times GROUP BY trip_id) v USING (trip_id)
+CROSS JOIN (VALUES ('2024-01-01'), ('2024-02-01')) s(d)""",
+    ("fact_scheduled_trip", "stg_stop_times")))
+def multi_snapshot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of the bridged feed archived, replayed together and
+    modelled with the snapshot date as feed key: each departure of each
+    snapshot, with the number of its stop visits."""
+    from headway.sources.archive import archive_snapshot, replay_all
+    from headway.sources.bridge import stored_raw_feed
+    raw, root = stored_raw_feed(spark, sf_dir), _scratch(spark, "archive")
+    for date in ("2024-01-01", "2024-02-01"):
+        archive_snapshot(raw, root, date)
+    m = FeedModels(spark, {t: replay_all(spark, root, t) for t in raw},
+                   feed_key=("snapshot_date",))
+    # Visits are counted over the stop-visit fact itself.
+    visits = m.fact_scheduled_stop_event.groupBy(
+        "trip_id", F.col("trip_start_seconds_from_service_midnight").alias("dep")).agg(
+        F.count(F.lit(1)).alias("events"))
+    same = m.fact_scheduled_trip.groupBy(
+        "trip_id", F.col("departure_seconds_from_service_midnight").alias("dep")).agg(
+        F.count(F.lit(1)).alias("departures"))
+    each = visits.join(same, ["trip_id", "dep"]).selectExpr(
+        "trip_id", "dep AS departure_seconds_from_service_midnight",
+        "events DIV departures AS visits")   # overlapping windows repeat a departure
+    return m.fact_scheduled_trip.join(
+        each, ["trip_id", "departure_seconds_from_service_midnight"], "left").select(
+        "feed_key", "scheduled_trip_id", "trip_id", "route_id", "service_id",
+        "departure_seconds_from_service_midnight", "route_service_category",
+        "service_active_days_count", "visits")
+
+
 @register("registry_load", """
 SELECT 'reg_stops' AS name, 'csv' AS format, 'loaded' AS status, CAST(count(*) AS BIGINT) AS rows
 FROM supplier
 UNION ALL
-SELECT 'reg_trips', 'parquet', 'loaded', CAST(count(*) AS BIGINT) FROM orders
+SELECT 'reg_trips', 'parquet', 'loaded',
+  (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer)
 UNION ALL
 SELECT 'reg_missing', 'csv', 'failed', CAST(NULL AS BIGINT)
 UNION ALL
@@ -240,7 +378,7 @@ def registry_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("warehouse_build_checks", oracle.quality(_q.ALL_CHECKS))
 def warehouse_build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build every model of the bridged feed in dependency order, write the
-    marts (shared intermediates checkpointed), then run all 113 declared
+    marts (shared intermediates stored), then run all 113 declared
     checks over the written tables."""
     from headway.plans.build import build_all
     out = build_all(spark, _models(spark, sf_dir), _scratch(spark, "warehouse"))

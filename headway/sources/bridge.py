@@ -6,42 +6,38 @@ column STRING).  It does none of the models' work: parsing, calendar
 unrolling, expansion, joins and roll-ups all happen downstream in the
 library, which must be right for any data of this shape.
 
-Mapping (each table is derived from the whole source table):
+Mapping (every row of each source table contributes):
 
-* supplier -> stops       one stop per supplier; coordinates from the key
+* supplier -> stops       one stop per supplier; most have a parent station;
+  a few lie outside the service area
 * nation x region -> routes  region name is the route description
   (category); region 4 gets an empty description
 * nation -> calendar      one service per nation; the weekday pattern and
   window come from the nation key, so every service-name shape appears,
   including windows outside the date spine
 * orders -> calendar_dates  distinct (service, date, type) exceptions
-* orders -> trips         one trip per order
-* orders -> frequencies   one headway window per order, except low-priority
-  orders, whose trips run on a fixed timetable (no frequency row); some
-  windows are empty and some run once a day
-* lineitem -> stop_times  one stop visit per (order, line number); line
-  number is the stop sequence
+* orders and customer -> trips  one trip per order, and one per customer that
+  runs on a fixed timetable (no frequency row); some trips are on unknown
+  routes or services, some have no valid direction
+* orders -> frequencies   one headway window per order, a second one that
+  follows it for every fourth, and a third one that overlaps the first for
+  every sixteenth; some windows are empty, some run once a day, some headways
+  are under five minutes or too short to be valid; some times are exact
+* lineitem -> stop_times  one stop row per line; line numbers that an order
+  repeats repeat the stop sequence; some times are malformed or missing; every
+  other order has distances
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-SOURCE_TABLES = ("region", "nation", "supplier", "orders", "lineitem")
-FIXED_TIMETABLE_PRIORITY = "5-LOW"
-
-
-_READS: dict[tuple[str, str], DataFrame] = {}
+SOURCE_TABLES = ("region", "nation", "supplier", "customer", "orders", "lineitem")
 
 
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The test table ``name`` (the read plan is reused within a session)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """The test table ``name``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _hms(seconds_sql: str) -> str:
@@ -56,9 +52,12 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, sf_dir, "supplier").selectExpr(
         "'S' || CAST(s_suppkey AS STRING) AS stop_id",
         "s_name AS stop_name",
-        "CAST(-6.9 + s_suppkey % 100 * 0.01 AS STRING) AS stop_lat",
+        "CASE WHEN s_suppkey % 37 = 5 THEN '-7.5' "
+        "ELSE CAST(-6.9 + s_suppkey % 100 * 0.01 AS STRING) END AS stop_lat",
         "CAST(106.1 + s_suppkey % 100 * 0.01 AS STRING) AS stop_lon",
         "CAST(s_suppkey % 6 AS STRING) AS location_type",
+        "CASE WHEN s_suppkey % 5 <> 0 "
+        "THEN 'S' || CAST(s_suppkey - s_suppkey % 5 AS STRING) END AS parent_station",
         "CAST(s_nationkey % 4 AS STRING) AS wheelchair_boarding",
     )
 
@@ -107,41 +106,56 @@ def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_source(spark, sf_dir, "orders").selectExpr(
+    by_order = read_source(spark, sf_dir, "orders").selectExpr(
         "'T' || CAST(o_orderkey AS STRING) AS trip_id",
-        "'R' || CAST(o_orderkey % 24 AS STRING) AS route_id",
-        "'V' || CAST(o_custkey % 8 AS STRING) AS service_id",
-        "CAST(o_orderkey % 2 AS STRING) AS direction_id",
+        "CASE WHEN o_orderkey % 89 = 3 THEN 'RX' "
+        "ELSE 'R' || CAST(o_orderkey % 24 AS STRING) END AS route_id",
+        "CASE WHEN o_orderkey % 83 = 5 THEN 'VX' "
+        "ELSE 'V' || CAST(o_custkey % 8 AS STRING) END AS service_id",
+        "CASE WHEN o_orderkey % 113 = 7 THEN '2' "
+        "ELSE CAST(o_orderkey % 2 AS STRING) END AS direction_id",
+    )
+    fixed = read_source(spark, sf_dir, "customer").selectExpr(
+        "'C' || CAST(c_custkey AS STRING) AS trip_id",
+        "'R' || CAST(c_nationkey AS STRING) AS route_id",
+        "'V' || CAST(c_custkey % 8 AS STRING) AS service_id",
+        "CAST(c_custkey % 2 AS STRING) AS direction_id",
     )
+    return by_order.unionByName(fixed)
+
+
+def _windows(orders: DataFrame, where: str, start: str, end: str, headway: str) -> DataFrame:
+    return orders.where(where).selectExpr(
+        "'T' || CAST(o_orderkey AS STRING) AS trip_id",
+        f"{_hms(start)} AS start_time", f"{_hms(end)} AS end_time",
+        f"CAST({headway} AS STRING) AS headway_secs",
+        "CASE WHEN o_orderkey % 9 = 0 THEN '1' ELSE '0' END AS exact_times")
 
 
 def frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_source(spark, sf_dir, "orders")
     start = "(14400 + (o_orderkey % 20) * 3600)"
     end = f"({start} + (CASE WHEN o_orderkey % 101 = 0 THEN 0 ELSE 1 + o_orderkey % 3 END) * 3600)"
-    return (read_source(spark, sf_dir, "orders")
-            .where(f"o_orderpriority <> '{FIXED_TIMETABLE_PRIORITY}'")
-            .selectExpr(
-                "'T' || CAST(o_orderkey AS STRING) AS trip_id",
-                f"{_hms(start)} AS start_time",
-                f"{_hms(end)} AS end_time",
-                "CAST(CASE WHEN o_orderkey % 97 = 0 THEN 86400 "
-                "ELSE 600 + 60 * (o_orderkey % 50) END AS STRING) AS headway_secs",
-                "'0' AS exact_times",
-            ))
+    headway = ("CASE WHEN o_orderkey % 97 = 0 THEN 86400 WHEN o_orderkey % 211 = 0 THEN 30 "
+               "WHEN o_orderkey % 50 = 1 THEN 240 WHEN o_orderkey % 50 = 2 THEN 480 "
+               "ELSE 600 + 60 * (o_orderkey % 50) END")
+    return (_windows(orders, "true", start, end, headway)
+            .unionByName(_windows(orders, "o_orderkey % 4 = 0", end, f"({end} + 3600)", "1200"))
+            .unionByName(_windows(orders, "o_orderkey % 16 = 0", start, f"({start} + 1800)", "900")))
 
 
 def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # lineitem is not unique on (order, line number): one visit per pair.
-    visits = (read_source(spark, sf_dir, "lineitem")
-              .groupBy("l_orderkey", "l_linenumber")
-              .agg(F.min("l_suppkey").alias("sk"),
-                   F.expr("18000 + l_linenumber * 400 + CAST(min(l_quantity) AS BIGINT)").alias("a")))
-    return visits.selectExpr(
+    a = "(18000 + l_linenumber * 400 + CAST(l_quantity AS BIGINT))"
+    return read_source(spark, sf_dir, "lineitem").selectExpr(
         "'T' || CAST(l_orderkey AS STRING) AS trip_id",
-        "'S' || CAST(sk AS STRING) AS stop_id",
+        "'S' || CAST(l_suppkey AS STRING) AS stop_id",
         "CAST(l_linenumber AS STRING) AS stop_sequence",
-        f"{_hms('a')} AS arrival_time",
-        f"{_hms('a + 15')} AS departure_time",
+        "CASE WHEN l_orderkey % 61 = 7 AND l_linenumber = 2 THEN '5:0:0' "
+        "WHEN l_orderkey % 67 = 9 AND l_linenumber = 3 THEN NULL "
+        f"ELSE {_hms(a)} END AS arrival_time",
+        f"{_hms(a + ' + 15')} AS departure_time",
+        "CASE WHEN l_orderkey % 2 = 0 THEN CAST(l_linenumber * 0.5 AS STRING) END "
+        "AS shape_dist_traveled",
     )
 
 
@@ -158,34 +172,25 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def stored_raw_feed(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
-    """The raw feed written once as parquet tables (the truncate-and-load raw
-    layer) and read back, so every model reads stored raw tables with column
-    pruning and filter pushdown instead of recomputing the mapping.
+    """The raw feed written once as parquet tables (the raw layer) and read
+    back, so every model reads stored raw tables with column pruning and
+    filter pushdown instead of recomputing the mapping.
 
     The tables go under ``root`` (default: the session's checkpoint folder,
-    which on a cluster is the shared folder named by ``spark.checkpoint.dir``).
-    A table is rewritten when its ``_SUCCESS`` marker is missing."""
-    import hashlib
-    import os
-
+    which on a cluster is the shared folder named by ``spark.checkpoint.dir``)
+    in a folder named by the source files' names, sizes and times, so files
+    that have changed are loaded anew.  A table is written when its
+    ``_SUCCESS`` marker is missing."""
     from headway.session import ensure_checkpoint_dir
-    from headway.sources.archive import load_tables
+    from headway.sources import files
+    from headway.sources.archive import write_table
     base = root or ensure_checkpoint_dir(spark)
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    target = f"{base.rstrip('/')}/headway-raw-{tag}"
-    return load_tables(spark, {name: _Lazy(build, spark, sf_dir) for name, build in BUILDERS.items()},
-                       target)
-
-
-class _Lazy:
-    """Builds a raw table only when it has to be written."""
-
-    def __init__(self, build, spark: SparkSession, sf_dir: str):
-        self.build, self.spark, self.sf_dir = build, spark, sf_dir
-
-    def repartition(self, n: int):
-        return self.build(self.spark, self.sf_dir).repartition(n)
-
-    @property
-    def write(self):
-        return self.build(self.spark, self.sf_dir).write
+    seen = files.fingerprint(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES])
+    target = f"{base.rstrip('/')}/headway-raw-{seen}"
+    out = {}
+    for name, build in BUILDERS.items():
+        path = f"{target}/{name}"
+        if not files.exists(spark, f"{path}/_SUCCESS"):
+            write_table(build(spark, sf_dir), path)
+        out[name] = spark.read.parquet(path)
+    return out
