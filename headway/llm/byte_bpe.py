@@ -111,6 +111,10 @@ def encode_texts(texts: list[str], path: str, pattern: str) -> Iterator[np.ndarr
             yield np.array(found.ids, "<u4")
 
 
+def texts_of(batch: pd.Series) -> list[str]:
+    return ["" if t is None else t for t in batch]
+
+
 def decode_ids(ids: np.ndarray, path: str, pattern: str) -> bytes:
     return b"".join(codec(path, pattern)[1][ids])
 
@@ -141,14 +145,16 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", path: str
 
     @F.pandas_udf("ids array<int>, start array<int>, end array<int>, splits array<boolean>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        # Ids and offsets are several times a text's size, so they leave the
+        # worker slice by slice; only their order has to be the input's.
         for batch in batches:
-            texts = ["" if t is None else t for t in batch]
-            rows = []
-            for text, ids in zip(texts, encode_texts(texts, place, split_by)):
-                start, end, cut = character_offsets(text, ids, place, split_by)
-                rows.append((ids.astype("int32"), start.astype("int32"), end.astype("int32"),
-                             cut))
-            yield pd.DataFrame(rows, columns=["ids", "start", "end", "splits"])
+            for texts in slices(texts_of(batch)):
+                rows = []
+                for text, ids in zip(texts, encode_texts(texts, place, split_by)):
+                    start, end, cut = character_offsets(text, ids, place, split_by)
+                    rows.append((ids.astype("int32"), start.astype("int32"),
+                                 end.astype("int32"), cut))
+                yield pd.DataFrame(rows, columns=["ids", "start", "end", "splits"])
 
     return docs.withColumn(out, encoded(F.col(text_col)))
 
@@ -177,7 +183,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, n_split long")
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = ["" if t is None else t for t in batch]
+            texts = texts_of(batch)
             rows = []
             for text, ids in zip(texts, encode_texts(texts, place, split_by)):
                 back = decode_ids(ids, place, split_by)
