@@ -23,11 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.tables import free_name, stored
+from headway.llm.tables import FILTER_BITS, bitmap, flagged, free_name, stored
 
 PREFIX_CHARS = 256
-FILTER_BITS = 1 << 22
-_MAP_BITS = 32_768   # bits in one piece of Spark's bitmap functions
 
 
 def _length(text: Column) -> Column:
@@ -52,25 +50,13 @@ def colliding_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # length, then the lengths that occur more than once.
     pairs = keys.groupBy("len", "bucket").agg(F.count(F.lit(1)).alias("n"))
     many = pairs.groupBy("len").agg(F.sum("n").alias("rows")).where("rows > 1").select("len")
-    crowded = pairs.join(many, "len", "left_semi").where("n > 1")
-    return (crowded.groupBy(F.expr("bitmap_bucket_number(bucket)").alias("piece"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bucket))").alias("bits")))
+    return bitmap(pairs.join(many, "len", "left_semi").where("n > 1").select("bucket"))
 
 
 def survivors(docs: DataFrame, text_col: str, flag: str) -> DataFrame:
     """``docs`` plus the boolean ``flag``: must the text be read in full?"""
-    piece, bits, at = (free_name(docs, c) for c in ("__piece", "__bits", "__bucket"))
-    bitmap = colliding_pairs(docs, text_col).select(F.col("piece").alias(piece),
-                                                    F.col("bits").alias(bits))
-    bucket = _bucket(F.coalesce(F.col(text_col), F.lit("")))
-    marked = docs.withColumn(at, bucket)
-    joined = marked.join(F.broadcast(bitmap),   # at most FILTER_BITS bits
-                         F.expr(f"bitmap_bucket_number({at})") == F.col(piece), "left")
-    byte = (f"CAST(conv(hex(substring({bits}, CAST(bitmap_bit_position({at}) DIV 8 AS INT) + 1,"
-            " 1)), 16, 10) AS INT)")
-    one = F.expr(f"(shiftright({byte}, CAST(bitmap_bit_position({at}) % 8 AS INT)) & 1) = 1")
-    return (joined.withColumn(flag, F.coalesce(one, F.lit(False)))
-            .select(*[joined[c] for c in docs.columns], flag))
+    return flagged(docs, _bucket(F.coalesce(F.col(text_col), F.lit(""))),
+                   colliding_pairs(docs, text_col), flag)
 
 
 def _full_key(text_col: str) -> list[Column]:

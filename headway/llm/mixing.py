@@ -124,7 +124,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            F.col("source").alias(names["__source"]),
                            F.col("size").alias(names["__size"])).agg(
         F.count(F.lit(1)).alias(names["__n"]), F.sum("copies").alias(names["__each"]))
-    matched = stored(matched, "copies")
+    # One row per document: a table without a bound is never broadcast.
+    matched = stored(matched, "copies").hint("merge")
     keyed = docs.select("*", word_count(F.col(text_col)).alias("__words"))
     on = (keyed[id_col].eqNullSafe(matched[names["__id"]])
           & keyed[source_col].eqNullSafe(matched[names["__source"]])

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.tables import free_name, ship, stored
+from headway.llm.tables import FILTER_BITS, bitmap, flagged, free_name, ship, stored
 
 SHINGLE = 3
 SEED = 42
@@ -325,8 +325,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     only where the group has no other; of one id with several texts, the
     text with the least hash).
 
-    Rows are named by id and text hash, so no text is stored again.  Rows
-    that agree in both are one text, of which one row stays."""
+    Rows are named by id and text hash, so no text is stored again; rows that
+    agree in both are one text, of which one row stays.  Only rows that a
+    bitmap of fixed size says may go are shuffled."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     prints = stored(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"),
@@ -334,21 +335,30 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = roots(prints.select("id", "fp"), distance, leaf_rows)
     rows = (prints.groupBy("id", "hash", "fp").agg(F.count(F.lit(1)).alias("n"))
             .join(named.select("fp", "root"), "fp"))
-    best = rows.groupBy("root").agg(F.min_by(
-        F.struct("id", "hash", "n"), F.struct(F.col("id").isNull(), "id", "hash")).alias("k"))
-    names = {k: free_name(docs, f"__{k}") for k in ("id", "hash", "n", "own")}
-    keep = stored(best.select(*[F.col(f"k.{k}").alias(names[k]) for k in ("id", "hash", "n")]),
-                  "keep")
+    best = stored(rows.groupBy("root").agg(F.min_by(
+        F.struct("id", "hash"), F.struct(F.col("id").isNull(), "id", "hash")).alias("k")), "best")
+    judged = rows.join(best, "root")
+    stays = F.col("id").eqNullSafe(F.col("k.id")) & (F.col("hash") == F.col("k.hash"))
+    # Classes of rows (id, text hash) that go, or that stay with one row.
+    names = {k: free_name(docs, f"__{k}") for k in ("id", "hash", "stays", "own", "look")}
+    touched = stored(judged.where(~stays | (F.col("n") > 1)).select(
+        F.col("id").alias(names["id"]), F.col("hash").alias(names["hash"]),
+        stays.alias(names["stays"])), "touched")
+
+    def bucket(id_col: str, hash_col: str) -> Column:
+        return F.pmod(F.xxhash64(id_col, hash_col), F.lit(FILTER_BITS))
+
+    # All other rows pass straight from the scan.
     hashed = docs.withColumn(names["own"], F.xxhash64(text))
-    several = F.col(names["n"]) > 1
-
-    def matched(part: DataFrame) -> DataFrame:
-        return hashed.join(part, hashed[id_col].eqNullSafe(part[names["id"]])
-                           & (hashed[names["own"]] == part[names["hash"]]))
-
-    own = [hashed[c] for c in docs.columns]
-    once = matched(keep.where(~several)).select(*own)
-    if not keep.where(several).take(1):
-        return once
-    again = matched(keep.where(several)).dropDuplicates([names["id"], names["hash"]])
-    return once.unionByName(again.select(*own))
+    marked = flagged(hashed, bucket(id_col, names["own"]),
+                     bitmap(touched.select(bucket(names["id"], names["hash"]).alias("bucket"))),
+                     names["look"])
+    clear = marked.where(~F.col(names["look"]))
+    found = marked.where(F.col(names["look"])).join(
+        touched, F.col(id_col).eqNullSafe(F.col(names["id"]))
+        & (F.col(names["own"]) == F.col(names["hash"])), "left")
+    free = found.where(F.col(names["stays"]).isNull())
+    once = (found.where(F.col(names["stays"]))
+            .dropDuplicates([names["id"], names["hash"]]))
+    return clear.select(*docs.columns).unionByName(free.select(*docs.columns)).unionByName(
+        once.select(*docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headway.session import ensure_checkpoint_dir
@@ -14,6 +14,9 @@ from headway.session import ensure_checkpoint_dir
 #: ``bytes.split()`` without arguments splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bits of a bitmap that tells rows apart in a scan: 512 KB are broadcast.
+FILTER_BITS = 1 << 22
+
 #: Rows per block of a distributed prefix sum.
 BLOCK_ROWS = 200_000
 
@@ -58,6 +61,28 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bitmap(buckets: DataFrame) -> DataFrame:
+    """The set of ``bucket`` values (0 to FILTER_BITS - 1) as (piece, bits):
+    at most FILTER_BITS / 32768 rows of 4 KB, whatever the input."""
+    return (buckets.groupBy(F.expr("bitmap_bucket_number(bucket)").alias("piece"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bucket))").alias("bits")))
+
+
+def flagged(df: DataFrame, bucket: Column, bits: DataFrame, flag: str) -> DataFrame:
+    """``df`` plus the boolean ``flag``: is its bucket in the bitmap ``bits``?
+    The bitmap is broadcast, so no row of ``df`` moves."""
+    piece, held, at = (free_name(df, c) for c in ("__piece", "__bits", "__bucket"))
+    marked = df.withColumn(at, bucket)
+    joined = marked.join(F.broadcast(bits.select(F.col("piece").alias(piece),   # fixed size
+                                                 F.col("bits").alias(held))),
+                         F.expr(f"bitmap_bucket_number({at})") == F.col(piece), "left")
+    byte = (f"CAST(conv(hex(substring({held}, CAST(bitmap_bit_position({at}) DIV 8 AS INT) + 1,"
+            " 1)), 16, 10) AS INT)")
+    one = F.expr(f"(shiftright({byte}, CAST(bitmap_bit_position({at}) % 8 AS INT)) & 1) = 1")
+    return (joined.withColumn(flag, F.coalesce(one, F.lit(False)))
+            .select(*[joined[c] for c in df.columns], flag))
+
+
 def prefix_sums(rows: DataFrame, group: list[str], order: list[str], value: str,
                 out: str = "prefix") -> DataFrame:
     """``rows`` plus ``out``: the sum of ``value`` over this row and the rows
