@@ -42,6 +42,7 @@ BUCKETS = 1 << 14
 SAMPLE = 400
 EFFECTIVE = 60
 STRENGTH = 5.0
+_TURNS = 1 << 20
 _MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 _WHITE = re.compile(r"[\W\d_]+")
 
@@ -58,12 +59,20 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def sample(labelled: DataFrame) -> DataFrame:
-    """At most SAMPLE texts of each language of (id, text, lang)."""
-    by = Window.partitionBy("lang").orderBy("turn")
+    """At most SAMPLE texts of each language of (id, text, lang): those with
+    the least hashes.
+
+    Hashes are even, so a language of n texts has SAMPLE of them below about
+    SAMPLE / n of the range; only texts below three times that are ranked,
+    however many there are."""
+    turn = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(_TURNS))
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", "text", F.xxhash64("id", F.xxhash64("text")).alias("turn"))
-    # Each task passes on its first SAMPLE rows of a language at most.
-    return (rows.withColumn("k", F.row_number().over(by)).where(F.col("k") <= SAMPLE)
+        "lang", "text", turn.alias("turn"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    few = rows.join(sizes, "lang").where(
+        F.col("turn") * F.col("n") <= F.lit(3 * SAMPLE) * F.lit(_TURNS))
+    by = Window.partitionBy("lang").orderBy("turn", "text")
+    return (few.withColumn("k", F.row_number().over(by)).where(F.col("k") <= SAMPLE)
             .select("lang", "text"))
 
 
