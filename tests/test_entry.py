@@ -1,3 +1,8 @@
+import os
+import shutil
+import subprocess
+import sys
+
 import duckdb
 
 import __spark_entry__ as entry
@@ -32,3 +37,15 @@ def test_queries_match_duckdb_on_smoke_tables(spark):
         order = sorted(range(len(cols)), key=lambda i: cols[i])
         want = sorted((tuple(r[i] for i in order) for r in res.fetchall()), key=repr)
         assert got == want, name
+
+
+def test_entry_works_without_the_optional_subpackage(tmp_path):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(f"{root}/headway", tmp_path / "headway",
+                    ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True,
+                         capture_output=True, text=True).stdout
+    assert out.split() == [str(len(catalog.queries()))] * 2
