@@ -20,7 +20,7 @@ owners.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.spans import Kind, matches, per_document, scanned
@@ -43,6 +43,7 @@ WIDE = (
                 r"|(?<![A-Za-z0-9+/_.=-])(?!AKIA)[A-Za-z0-9+/_-]{20,}+={0,2}"),
 )
 KINDS = BASE + WIDE
+_BEGINNINGS = "^(?:-----|eyJ|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|[rs]k_live_|AIza|ya29)"
 
 
 def candidates(scan: DataFrame) -> DataFrame:
@@ -54,11 +55,19 @@ def candidates(scan: DataFrame) -> DataFrame:
     plain = F.col("value")
     random = (plain.rlike("[0-9]") & plain.rlike("[A-Za-z]")
               & (F.size(F.array_distinct(F.split(plain, ""))) >= 8)) | plain.startswith("-----")
+    # Paths and slugs are long runs of the same characters: a token without
+    # a known beginning has to mix cases and digits and hold few separators.
+    def count(others: str) -> Column:
+        return F.length(F.regexp_replace(plain, others, ""))
+
+    mixed = ((count("[^A-Z]") >= 3) & (count("[^a-z]") >= 3) & (count("[^0-9]") >= 3)
+             & (count("[^/_-]") <= 3))
+    likely = random & (plain.rlike(_BEGINNINGS) | mixed)
     # What an assignment or a base kind reports isn't proposed again.
     again = (plain.rlike(r"^[0-9a-f]+$") | F.col("before").rlike(
         r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?$"""))
     return valued.where("kind <> 'assign' OR length(value) >= 12").where(
-        F.col("base") | random & ~again).select(
+        F.col("base") | likely & ~again).select(
         "row", "repository", "kind", "order", "start", "end", "base",
         random.alias("random"), F.sha2("value", 256).alias("hash"))
 

@@ -63,6 +63,16 @@ def test_widely_held_values_are_examples_and_rare_ones_live(documents):
     assert held == {(1, 3)}
 
 
+def test_paths_and_words_are_no_keys(documents):
+    texts = ["see /2023/10/some-article-title-here-2", "a-very-long-slug-with-10-words-in-it",
+             "Donaudampfschifffahrtsgesellschaft", "https://example.org/a/b/c/d/e/f/g?id=12345678901234567890"]
+    rows = [(i, t, "en", f"o{i}/r") for i, t in enumerate(texts)]
+    rows.append((9, "sig Ab3dEf6hIj9lMn2pQr5tUv8x==", "en", "o9/r"))
+    got = {r.doc_id: r.spans for r in sc.scan_report(documents(rows)).collect()}
+    assert [s for i, s in got.items() if i < 3] == ["", "", ""]
+    assert "key" not in got[3] and got[9] == "key:4:30"
+
+
 def test_odd_rows_and_redaction(spark, documents):
     got = sc.scan_report(documents(ODD_ROWS, extra=True)).collect()
     assert len(got) == len(ODD_ROWS)
