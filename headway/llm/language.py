@@ -68,7 +68,8 @@ def sample(labelled: DataFrame) -> DataFrame:
     turn = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(_TURNS))
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
         "lang", "text", turn.alias("turn"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Stored, so that Spark knows how small it is and moves no text for it.
+    sizes = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     few = rows.join(sizes, "lang").where(
         F.col("turn") * F.col("n") <= F.lit(3 * SAMPLE) * F.lit(_TURNS))
     by = Window.partitionBy("lang").orderBy("turn", "text")
