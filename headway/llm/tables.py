@@ -14,6 +14,9 @@ from headway.session import ensure_checkpoint_dir
 #: ``bytes.split()`` without arguments splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of a batch that goes to a Python worker.
+BATCH_ROWS = 500
+
 #: Bits of a bitmap that tells rows apart in a scan: 512 KB are broadcast.
 FILTER_BITS = 1 << 22
 
@@ -27,9 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers of a local session import this package whatever
-    the working folder is.  On a cluster the package is installed or sent
-    with ``--py-files``."""
+    """Make ready for Python workers.
+
+    Texts are long and may be very long, so Arrow batches hold at most
+    ``BATCH_ROWS`` rows (Spark's own bound on their bytes holds besides).
+    Workers of a local session can import this package whatever the working
+    folder is; on a cluster it is installed or sent with ``--py-files``."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
