@@ -83,7 +83,9 @@ def measures(text: Column) -> Column:
     def measure(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([measure_text(t) for t in texts], columns=names).astype("int64")
 
-    return measure(text)
+    # Not to be evaluated a second time for a filter on its result: Spark
+    # doesn't push filters through what it takes to be nondeterministic.
+    return measure.asNondeterministic()(text)
 
 
 def _rates(m: str) -> dict[str, Column]:
