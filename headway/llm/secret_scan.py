@@ -1,12 +1,15 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Three base kinds are found by their form (assignments to names like
-``password``, access keys, long hexadecimal runs) and always reported.  A
-wider generator proposes other key-like tokens.  The hash of every candidate
+``password``, access keys, long hexadecimal runs) and always reported.
+Wider generators propose other key-like tokens: after ``=``, ``.`` or any
+other separator, whole runs and their parts beside each other, so their spans
+may overlap; what lies in a base span or a known form isn't proposed again,
+and a run that holds a copied example isn't added.  The hash of every candidate
 is counted over the whole corpus by distinct repositories and owners: a
 value that many owners hold is a copied example (a key from documentation,
 the digest of a common file); one that few owners hold, and that looks
-random, is live.  Live tokens of the wider generator are added to the spans.
+random, is live.  Live tokens of the wider generators are added to the spans.
 
 A repository's owner is what its name has before the first ``/``, or the
 whole name.  A value may be in any share of all rows: it is counted per task,
@@ -20,7 +23,7 @@ owners.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.spans import Kind, matches, per_document, scanned
@@ -35,15 +38,26 @@ BASE = (
     Kind("access", r"AKIA[A-Z0-9]{14,}", "contains(text, 'AKIA')"),
     Kind("hex", r"[0-9a-f]{16,}"),
 )
-#: Key-like tokens: vendors' prefixes, signed web tokens, private key
-#: headers, and long runs of the characters that keys are made of.
+_VENDORS = (r"(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|[rs]k_(?:live|test)_|sk-|npm_|AIza|ya29\.|"
+            r"SG\.|A[GS]IA|hf_|pypi-|dop_v1_)")
+_PAD = r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?+"
+#: Key-like tokens, by four generators whose spans may overlap: known forms
+#: (vendors' beginnings, signed web tokens, private key headers) after any
+#: separator; whole runs of the characters that keys are made of; and the
+#: parts of a run between slashes and pluses, and between any separators.
 WIDE = (
-    Kind("key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
-                r"|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+"
-                r"|(?<![A-Za-z0-9+/_.=-])(?!AKIA)[A-Za-z0-9+/_-]{20,}+={0,2}"),
+    Kind("known", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+                  r"|(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+"
+                  rf"|(?<![A-Za-z0-9]){_VENDORS}[A-Za-z0-9_-]{{12,}}+(?:\.[A-Za-z0-9_-]{{16,}}+)?+{_PAD}",
+         rf"text RLIKE '-----BEGIN|eyJ|{_VENDORS}'".replace("\\", "\\\\")),
+    Kind("run", rf"(?<![A-Za-z0-9+/_-])(?!AKIA)[A-Za-z0-9+/_-]{{20,}}+{_PAD}"),
+    Kind("part", rf"(?:(?<=[+/])|(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{{20,}}+[+/]))(?!AKIA)[A-Za-z0-9_-]{{20,}}+{_PAD}",
+         "contains(text, '/') OR contains(text, '+')"),
+    Kind("word", rf"(?:(?<=[_-])|(?<![A-Za-z0-9])(?=[A-Za-z0-9]{{20,}}+[_-]))(?!AKIA)[A-Za-z0-9]{{20,}}+{_PAD}",
+         "contains(text, '-') OR contains(text, '_')"),
 )
 KINDS = BASE + WIDE
-_BEGINNINGS = "^(?:-----|eyJ|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|[rs]k_live_|AIza|ya29)"
+_BEGINNINGS = f"^(?:-----|eyJ|{_VENDORS})"
 
 
 def candidates(scan: DataFrame) -> DataFrame:
@@ -51,7 +65,7 @@ def candidates(scan: DataFrame) -> DataFrame:
     spans = matches(scan, KINDS, "repository")
     value = F.when(F.col("kind") == "assign",
                    F.regexp_extract("match", _NAME, 2)).otherwise(F.col("match"))
-    valued = spans.withColumn("value", value).withColumn("base", F.col("kind") != "key")
+    valued = spans.withColumn("value", value).withColumn("base", F.col("order") < len(BASE))
     plain = F.col("value")
     random = (plain.rlike("[0-9]") & plain.rlike("[A-Za-z]")
               & (F.size(F.array_distinct(F.split(plain, ""))) >= 8)) | plain.startswith("-----")
@@ -63,13 +77,23 @@ def candidates(scan: DataFrame) -> DataFrame:
     mixed = ((count("[^A-Z]") >= 3) & (count("[^a-z]") >= 3) & (count("[^0-9]") >= 3)
              & (count("[^/_-]") <= 3))
     likely = random & (plain.rlike(_BEGINNINGS) | mixed)
-    # What an assignment or a base kind reports isn't proposed again.
-    again = (plain.rlike(r"^[0-9a-f]+$") | F.col("before").rlike(
-        r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?$"""))
-    return valued.where("kind <> 'assign' OR length(value) >= 12").where(
-        F.col("base") | likely & ~again).select(
-        "row", "repository", "kind", "order", "start", "end", "base",
-        random.alias("random"), F.sha2("value", 256).alias("hash"))
+    chosen = valued.where("kind <> 'assign' OR length(value) >= 12").where(F.col("base") | likely)
+    # What lies in a base span or a known form isn't proposed again, nor is
+    # what two generators propose alike.
+    def within(of: Column) -> Column:
+        upto = (Window.partitionBy("row").orderBy("start")
+                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        return F.coalesce(F.max(F.when(of, F.col("end"))).over(upto) >= F.col("end"), F.lit(False))
+
+    known = F.col("kind") == "known"
+    covered = within(F.col("base")) | (within(known) & ~known)
+    alike = F.row_number().over(
+        Window.partitionBy("row", "base", "start", "end").orderBy("order"))
+    return (chosen.withColumn("covered", covered).where("base OR NOT covered")
+            .withColumn("alike", alike).where("base OR alike = 1").select(
+        "row", "repository", F.when(F.col("base"), F.col("kind")).otherwise("key").alias("kind"),
+        F.least("order", F.lit(len(BASE))).alias("order"), "start", "end", "base",
+        random.alias("random"), F.sha2("value", 256).alias("hash")))
 
 
 def owners(found: DataFrame) -> DataFrame:
@@ -92,7 +116,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted = stored(owners(found), "owners")
     judged = found.join(counted, "hash").withColumn(
         "live", F.col("random") & (F.col("n_owners") <= LIVE_OWNERS))
-    return rows, judged.where("base OR live")
+    # A run that holds a copied example is that example and what surrounds it.
+    example = F.min(F.when(~F.col("base") & ~F.col("live"), F.col("end"))).over(
+        Window.partitionBy("row").orderBy("start")
+        .rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    held = judged.withColumn("holds", F.coalesce(example <= F.col("end"), F.lit(False)))
+    return rows, held.where("base OR live AND NOT holds").drop("holds")
 
 
 def scan_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

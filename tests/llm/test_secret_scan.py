@@ -73,6 +73,23 @@ def test_paths_and_words_are_no_keys(documents):
     assert "key" not in got[3] and got[9] == "key:4:30"
 
 
+def test_keys_after_separators(documents):
+    forms = ["GH={}", "https://h.org/a/b/{}/c", "x-y-{}", "v1.{}", "token: password: {}", "(MY_{})"]
+    pairs = [(f, f"ghp_A{i}b2C3d4E5f6G7h8I9j0K1l2M3n4") for i, f in enumerate(forms)]
+    pairs += [("https://x.y/z?key={}&b=1", "AIzaSyA1b2C3d4E5f6G7h8I9j0K1l2M3n4o5"),
+              ("AWS_SECRET_ACCESS_KEY={}\nB=2", "wJa1rXUtnFEMI/K7MDENG/bPxRfiCYzQ9pLEKEY"),
+              ("a/b/{}/c", "Ab3dEf6hIj9lMn2pQr5tUv8x"), ("my-{}", "Zb3dEf6hIj9lMn2pQr5tUv8x"),
+              ("t=ya29.{}", "A1b2C3d4E5f6G7h8I9j0")]
+    rows = [(i, f.format(v), "en", f"o{i}/r") for i, (f, v) in enumerate(pairs)]
+    got = {r.doc_id: r.spans for r in sc.scan_report(documents(rows)).collect()}
+    for i, (f, v) in enumerate(pairs):
+        a = f.index("{}") - 5 * f.startswith("t=ya29")
+        assert f"key:{a}:{f.index('{}') + len(v)}" in got[i].split(","), (f, got[i])
+    # In paths that differ an example stays one.
+    rows = [(i, f"p{i}/q/Ab3dEf6hIj9lMn2pQr5tUv8x", "en", f"o{i}/r") for i in range(9)]
+    assert {r.spans for r in sc.scan_report(documents(rows)).collect()} == {""}
+
+
 def test_odd_rows_and_redaction(spark, documents):
     got = sc.scan_report(documents(ODD_ROWS, extra=True)).collect()
     assert len(got) == len(ODD_ROWS)
