@@ -30,6 +30,9 @@ from headway.llm.spans import Kind, matches, per_document, scanned
 from headway.llm.tables import stored
 
 LIVE_OWNERS = 2          # at most so many owners hold a live value
+MAX_SIGNS = 15           # percent of a random token that separators may be
+MAX_PIECE = 4            # mean length of a random token's pieces of one case or of digits
+MIN_RARE = 15            # percent of its letters that words seldom have, or above
 _NAME = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 #: Base kinds in the order in which spans at one place are listed.
@@ -69,15 +72,29 @@ def candidates(scan: DataFrame) -> DataFrame:
     plain = F.col("value")
     random = (plain.rlike("[0-9]") & plain.rlike("[A-Za-z]")
               & (F.size(F.array_distinct(F.split(plain, ""))) >= 8)) | plain.startswith("-----")
-    # Paths and slugs are long runs of the same characters: a token without
-    # a known beginning has to mix cases and digits and hold few separators.
+    # Paths, slugs and names are long runs of the same characters.  Random
+    # tokens change between cases and digits every few characters or are rich
+    # in letters that words seldom have, and hold few separators: shares of
+    # the token's length, so that neither length nor a single case matters.
     def count(others: str) -> Column:
         return F.length(F.regexp_replace(plain, others, ""))
 
-    mixed = ((count("[^A-Z]") >= 3) & (count("[^a-z]") >= 3) & (count("[^0-9]") >= 3)
-             & (count("[^/_-]") <= 3))
-    likely = random & (plain.rlike(_BEGINNINGS) | mixed)
-    chosen = valued.where("kind <> 'assign' OR length(value) >= 12").where(F.col("base") | likely)
+    def every(one: str) -> Column:
+        return F.size(F.regexp_extract_all("value", F.lit(one), F.lit(0)))
+
+    solid, letters = count("[^A-Za-z0-9]"), count("[^A-Za-z]")
+    signs = F.length("value") - solid
+    pieces = every("[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+    rare = count("[^jkqvwxyzJKQVWXYZ]")
+    few_signs = signs * 100 <= F.length("value") * MAX_SIGNS
+    dense = (solid <= pieces * MAX_PIECE) | (rare * 100 >= letters * MIN_RARE)
+    # Without digits only cases change: those of a name do so at its words.
+    worded = plain.rlike("[0-9]") | (solid * 2 <= pieces * 5)
+    varied = F.size(F.array_distinct(F.split(plain, ""))) >= 8
+    random = F.when(F.col("order") < len(BASE), random).otherwise(
+        plain.startswith("-----") | varied & (plain.rlike(_BEGINNINGS)
+                                              | few_signs & dense & worded))
+    chosen = valued.where("kind <> 'assign' OR length(value) >= 12").where(F.col("base") | random)
     # What lies in a base span or a known form isn't proposed again, nor is
     # what two generators propose alike.
     def within(of: Column) -> Column:

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from headway.llm import secret_scan as sc
 from headway.llm.spans import redacted
@@ -90,6 +92,31 @@ def test_keys_after_separators(documents):
     assert {r.spans for r in sc.scan_report(documents(rows)).collect()} == {""}
 
 
+def test_random_tokens_of_any_length_and_case_are_found(documents):
+    alphabets = {"url": string.ascii_letters + string.digits + "-_", "lower": string.ascii_lowercase
+                 + string.digits, "upper": string.ascii_uppercase + string.digits,
+                 "base32": string.ascii_uppercase + "234567"}
+    turn, rows, want = random.Random(5), [], {}
+    for name, letters in alphabets.items():
+        for size in (20, 32, 40, 64, 128, 256):
+            for _ in range(60):
+                i = len(rows)
+                rows.append((i, "v " + "".join(turn.choices(letters, k=size)) + " .", "en", f"o{i}/r"))
+                want[i] = name, size
+    words = ["getUserNameFromDatabaseAndStoreIt", "src/main/java/org/example/Thing2", "section-12-of-the-article",
+             "Chapter12SectionArticle4Paragraph", "a_long_name_of_a_variable_2"]
+    rows += [(10_000 + i, f"v {w} .", "en", f"w{i}/r") for i, w in enumerate(words)]
+    kept = {}
+    for r in sc.scan_report(documents(rows)).collect():
+        if r.doc_id >= 10_000:
+            assert r.spans == "", words[r.doc_id - 10_000]
+            continue
+        kept.setdefault(want[r.doc_id], []).append(
+            f"key:2:{2 + want[r.doc_id][1]}" in r.spans.split(","))
+    for (name, size), ok in kept.items():
+        assert sum(ok) >= (0.8 if size == 20 else 0.9) * len(ok), (name, size, sum(ok))
+
+
 def test_odd_rows_and_redaction(spark, documents):
     got = sc.scan_report(documents(ODD_ROWS, extra=True)).collect()
     assert len(got) == len(ODD_ROWS)
