@@ -10,6 +10,9 @@ that name none, the smallest container that holds most of the clusters' text.
 A selected region is taken whole, so short paragraphs and headings stay, apart
 from what its markup declares to be something else: menus, page headers and
 footers, sidebars, notices, adverts, forms, scripts, styles and comments.
+Inside an article or main element a class or id only marks an element, which
+goes if none of its lines is about as long, links apart, as the other text; ids of headings and
+sections name their subject and mark nothing.
 
 Defined results: a null or empty page has empty text, as has a page of
 nothing but boilerplate.  Text without any markup is one block.  Unclosed
@@ -35,6 +38,8 @@ from headway.llm.tables import ship
 
 SIGMA = 1.5          # of the Gaussian, in lines
 LEVEL = 0.5          # content threshold, in standard deviations
+MARKED, DENSE = 0.5, 80   # a marked element stays with a line of such a share of the others'
+                          # mean length (weighted by text), or of so many characters
 SHARE = 0.7          # of the clusters' text that a container must hold
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,8 +49,9 @@ _BLOCK = set("""address article aside blockquote body caption center dd details
     ul""".split())
 #: Elements whose text is never part of an article.
 _APART = set("""head title script style noscript template nav footer aside form button select
-    textarea iframe object svg canvas dialog menu audio video map math datalist""".split())
+    textarea iframe object svg canvas dialog menu audio video map datalist""".split())
 _CONTAINER = set("article main section div td body blockquote".split())
+_TITLED = set("h1 h2 h3 h4 h5 h6 hgroup section".split())
 _ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog "
              "menu menubar toolbar status".split())
 #: Words in a class or an id that declare an element to be no article text.
@@ -66,7 +72,8 @@ class Element:
     """An open container; what it inherits is settled when it opens."""
 
     def __init__(self, tag: str, parent: "Element | None", number: int = 0,
-                 apart: bool = False, named: bool = False, inline: bool = False) -> None:
+                 apart: bool = False, named: bool = False, inline: bool = False,
+                 marked: bool = False) -> None:
         self.tag, self.parent, self.number, self.inline = tag, parent, number, inline
         up = parent or self
         # Declared by a tag or role, here or around.
@@ -75,6 +82,8 @@ class Element:
         # element around an article isn't said of the article.
         whole = tag in ("article", "main")
         self.named = named or (parent is not None and not whole and parent.named)
+        # The outermost element around that a name marks in article text.
+        self.marked: Element | None = (parent and parent.marked) or (self if marked else None)
         # The outermost article and main element around.
         self.article: Element | None = None
         self.main: Element | None = None
@@ -157,30 +166,37 @@ class Lines(HTMLParser):
         if tag in _CLOSES:
             closed, until = _CLOSES[tag]
             self.close_open(set(closed.split()), set(until.split()))
-        apart, named = self.declared(tag, dict(attrs))
+        apart, named, marked = self.declared(tag, dict(attrs))
         if tag in ("article", "main"):
             # A menu or page header that was never closed ends here.
             self.close_open({"nav", "header", "form"}, {"article", "main", "aside", "footer"})
         inline = tag not in _BLOCK and tag not in _APART and tag not in ("td", "th")
-        if apart or named or not inline:
+        if apart or named or marked or not inline:
             self.top = Element(tag, self.top, len(self.elements), apart or named and inline,
-                               named, inline)
+                               named, inline, marked)
             self.elements.append(self.top)
             self.depth[tag] = self.depth.get(tag, 0) + 1
 
-    def declared(self, tag: str, attrs: dict) -> tuple[bool, bool]:
-        words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-                             .lower()))
+    def declared(self, tag: str, attrs: dict) -> tuple[bool, bool, bool]:
+        """(apart, named, marked): by tag or role, by a name outside of
+        articles, by a name where only the lines can tell."""
+        inside = bool(self.depth.get("article") or self.depth.get("main"))
+        # Ids of headings and sections name their subject.
+        names = f"{attrs.get('class') or ''} {'' if tag in _TITLED else attrs.get('id') or ''}".lower()
+        words = set(re.split(r"[^a-z0-9]+", names))
         style = (attrs.get("style") or "").replace(" ", "").lower()
         apart = (tag in _APART or (attrs.get("role") or "").lower() in _ROLES or "hidden" in attrs
-                 or (attrs.get("aria-hidden") or "").lower() == "true" or "display:none" in style
-                 or bool(words & _REMARKS) and tag not in ("html", "body"))
-        inside = bool(self.depth.get("article") or self.depth.get("main"))
+                 or (attrs.get("aria-hidden") or "").lower() == "true" or "display:none" in style)
         if tag == "header" and not inside:
             apart = True
-        if tag in ("html", "body", "article", "main"):
-            return apart, False
-        return apart, bool(words & _NAMES) or "header" in words and not inside
+        remark, name = bool(words & _REMARKS), bool(words & _NAMES)
+        if tag in ("html", "body"):
+            return apart, False, False
+        if tag in ("article", "main"):
+            return apart, False, remark
+        if inside:
+            return apart, False, remark or name
+        return apart or remark, name or "header" in words, False
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -228,8 +244,23 @@ def content_lines(lines: list[Line]) -> np.ndarray:
     return (smooth >= LEVEL * smooth.std()) & (ratio > 0)
 
 
+def without_marked(lines: list[Line]) -> list[Line]:
+    """``lines`` without the marked elements that hold no line about as long,
+    links apart, as the rest.  Lines are taken one by one: smoothing would
+    lend them their neighbours' ratio, and the first one has the tags of
+    everything before it."""
+    rest = [x for x in lines if x.at.marked is None]
+    if not rest or len(rest) == len(lines):
+        return lines
+    own, size = np.array([(len(x.text) - x.links, len(x.text)) for x in rest], float).T
+    level = min(MARKED * float((own * size).sum() / size.sum()), DENSE)
+    dense = {x.at.marked.number for x in lines
+             if x.at.marked is not None and len(x.text) - x.links >= level}
+    return [x for x in lines if x.at.marked is None or x.at.marked.number in dense]
+
+
 def main_lines(page: Lines) -> list[Line]:
-    left = [x for x in page.found if not (x.at.apart or x.at.named)]
+    left = without_marked([x for x in page.found if not (x.at.apart or x.at.named)])
     if not left:   # class names declared too much
         left = [x for x in page.found if not x.at.apart]
     if not left:

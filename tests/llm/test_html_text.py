@@ -47,6 +47,18 @@ def test_pages_without_an_article_element():
     assert got.count("This is a sentence") == 9
 
 
+@pytest.mark.parametrize("inner", [
+    '<section id="discussion"><h2>Part</h2><p>{}</p></section>', '<h2 id="navigation">Part</h2><p>{}</p>',
+    '<section id="chemical-reactions"><h2>Part</h2><p>{}</p></section>',
+    '<div class="related-work"><h2>Part</h2><p>{}</p></div>', '<div id="discussion"><p>Part</p><p>{}</p></div>',
+    '<section id="related-work"><h2>Part</h2><p>{}</p></section>', '<math><mi>Part</mi></math><p>{}</p>'])
+@pytest.mark.parametrize("around", ["article", "main", 'article class="discussion"'])
+def test_names_in_an_article_drop_no_dense_text(inner, around):
+    got = h.extract(page(f"<{around}><p>{BODY}</p>{inner.format(BODY)}<p>End.</p></{around.split()[0]}>"))
+    text = " ".join(BODY.split())
+    assert got.split("\n\n") == [text, "Part", text, "End."]
+
+
 def test_class_of_a_wrapper_does_not_drop_the_article():
     got = h.extract(page(f"<div class='content-sidebar-wrap'><article><p>{BODY}</p></article></div>"))
     assert got == " ".join(BODY.split())
