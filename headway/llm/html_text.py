@@ -6,7 +6,9 @@ lies in.  Every line has a ratio of text to tags; the ratios are smoothed
 with a Gaussian over neighbouring lines, and lines whose smoothed ratio is
 above ``LEVEL`` standard deviations are the content cluster.  Clusters select
 regions: articles (or the main element) that hold a cluster, or, on pages
-that name none, the smallest container that holds most of the clusters' text.
+that name none, the containers of the clusters' text: the smallest that holds
+most of it, grown while little else is around, others of mostly such text, and
+every single line of a cluster.
 A selected region is taken whole, so short paragraphs and headings stay, apart
 from what its markup declares to be something else: menus, page headers and
 footers, sidebars, notices, adverts, forms, scripts, styles and comments.
@@ -274,20 +276,34 @@ def main_lines(page: Lines) -> list[Line]:
             return [x for x, r in zip(left, regions)
                     if r is not None and r.number in (chosen or held)]
     # No article is named: the smallest container that still holds most of
-    # the clusters' text (children come after their parents).
-    mass = [0] * len(page.elements)
+    # the clusters' text (children come after their parents), and the regions
+    # of the clusters outside it.
+    mass, total = [0] * len(page.elements), [0] * len(page.elements)
     for x, c in zip(left, content):
         mass[x.at.number] += len(x.text) * bool(c)
+        total[x.at.number] += len(x.text)
     for e in reversed(page.elements[1:]):
         mass[e.parent.number] += mass[e.number]
+        total[e.parent.number] += total[e.number]
     best = max((e.number for e in page.elements
                 if e.tag in _CONTAINER and mass[e.number] >= SHARE * mass[0]), default=0)
-    inside = [e.number == best for e in page.elements]
+    # It grows while what is around it holds more of the clusters and little
+    # else; apart from it, containers of mostly cluster text are regions too.
+    around, node = set(), page.elements[best].parent
+    while node is not None:
+        around.add(node.number)
+        if (node.tag in _CONTAINER - {"body"} and mass[node.number] > mass[best]
+                and 2 * mass[node.number] >= total[node.number]):
+            best = node.number
+        node = node.parent
+    inside = [e.number == best or e.tag in _CONTAINER and e.number not in around
+              and 0 < total[e.number] <= 2 * mass[e.number] for e in page.elements]
     for e in page.elements[1:]:
         inside[e.number] |= inside[e.parent.number]
-    # Lines that are links for the most part are menus unless in a cluster.
+    # A line in a cluster stays wherever it is; lines that are links for the
+    # most part are menus unless in a cluster.
     return [x for x, c in zip(left, content)
-            if inside[x.at.number] and (c or x.links * 2 <= len(x.text))]
+            if c or inside[x.at.number] and x.links * 2 <= len(x.text)]
 
 
 def extract(html: str | None) -> str:

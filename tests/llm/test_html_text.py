@@ -59,6 +59,20 @@ def test_names_in_an_article_drop_no_dense_text(inner, around):
     assert got.split("\n\n") == [text, "Part", text, "End."]
 
 
+@pytest.mark.parametrize("first, second", [("<div>{}</div>", "<div>{}</div>"), ("<blockquote>{}</blockquote>", "{}"),
+                                           ("<table><tr><td>{}</td></tr></table>", "<div>{}</div>")])
+@pytest.mark.parametrize("wrap", ["{}", "<div>{}</div>"])
+@pytest.mark.parametrize("turned", [False, True])
+def test_no_cluster_outside_the_largest_container_is_lost(first, second, wrap, turned):
+    big = first.format("".join(f"<p>A{i}. {BODY}</p>" for i in range(6)))
+    small = second.format("".join(f"<p>B{i}. {BODY}</p>" for i in range(2)))
+    menu = "<ul>" + "".join(f"<li><a href='/{i}'>Item {i}</a></li>" for i in range(8)) + "</ul>"
+    got = h.extract(f"<body><div>{menu}</div>{wrap.format(small + big if turned else big + small)}"
+                    f"<div>{menu}</div></body>")
+    assert all(f"A{i}." in got for i in range(6)) and all(f"B{i}." in got for i in range(2))
+    assert "Item" not in got
+
+
 def test_class_of_a_wrapper_does_not_drop_the_article():
     got = h.extract(page(f"<div class='content-sidebar-wrap'><article><p>{BODY}</p></article></div>"))
     assert got == " ".join(BODY.split())
