@@ -57,6 +57,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of its own in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}/{name}"
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, with underscores added until no column of ``df`` has that
     name (Spark resolves column names without regard to case)."""
