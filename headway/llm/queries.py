@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import (byte_bpe, exact_dedup, html_text, language, mixing, pii, quality_rules,
-                         repair, secret_scan, simhash, token_counts, token_files)
+from headway.llm import (byte_bpe, exact_dedup, html_text, language, mixing, pii, prefix_trie,
+                         quality_rules, repair, secret_scan, simhash, token_counts, token_files)
 from headway.llm.tables import scratch_folder, table
 
 
@@ -79,6 +79,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        carry={"text_sha256": F.sha2(text, 256)})
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    turns = prefix_trie.turn_rows(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns)).drop("key")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every conversation, after damage."""
     turns = table(spark, sf_dir, "conversations")
@@ -98,7 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_language_id, op3_html_text, op4_source_mixing,
         op5_token_counts, op6_secret_scan, op7_quality_rules, op8_byte_bpe, op9_pii,
-        op10_exact_dedup, op12_conversation_repair, op13_token_files)}
+        op10_exact_dedup, op11_prefix_trie, op12_conversation_repair, op13_token_files)}
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
