@@ -197,6 +197,23 @@ def feed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_stop_times(tables["stop_times"])
 
 
+@register("feed_csv_multiline", oracle.sql(
+    "SELECT trip_id, stop_sequence, 'to' || chr(10) || '\"' || stop_id || '\", as no. ' || chr(10) "
+    "|| stop_sequence AS stop_headsign FROM raw_stop_times", ("raw_stop_times",)))
+def feed_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridged stop times as a CSV feed in which every headsign has
+    newlines and quotes, read back by many tasks."""
+    from headway.sources.bridge import stored_raw_feed
+    from headway.sources.feed import read_feed_csv
+    folder = _scratch(spark, "csv-feed")
+    rows = stored_raw_feed(spark, sf_dir)["stop_times"]
+    rows.withColumn("stop_headsign", F.expr(
+        r"""concat('to\n"', stop_id, '", as no. \n', stop_sequence)""")).write.option(
+        "header", True).option("escape", '"').csv(f"{folder}/stop_times.txt")
+    tables, _report = read_feed_csv(spark, folder, ("stop_times",))
+    return tables["stop_times"].select("trip_id", "stop_sequence", "stop_headsign")
+
+
 @register("snapshot_replay", oracle.table("stg_trips"))
 def snapshot_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots of the raw trips archived by date; the later one is

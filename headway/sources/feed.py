@@ -1,7 +1,8 @@
 """Feed readers: folders of CSV text files, one or many snapshots.
 
 A feed table is a ``<table>.txt`` CSV file with a header row.  Quoted fields
-may hold commas, doubled quotes and newlines.  Every column is read as
+may hold commas, doubled quotes and newlines, whatever the table and the
+file's size.  Every column is read as
 STRING and matched by header *name*.  Files are read together only if their
 headers are the same; files with other columns, or the same ones in another
 order, are read apart and united by name.  A known table that is absent
@@ -11,54 +12,70 @@ skipped.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.sources import files
+from headway.sources import files, records
 from headway.sources.schemas import KNOWN_TABLES, conform, empty_table, raw_schema
 
-#: Tables without free text of several lines: their files may be split.
-ONE_LINE_RECORDS = ("stop_times", "shapes", "frequencies", "calendar", "calendar_dates")
-
-
-def csv_reader(spark: SparkSession, multi_line: bool = True):
-    """CSV options for feed files.  ``multiLine`` allows newlines inside
-    quoted fields; a file is then read by one task."""
-    return (spark.read.option("header", True).option("multiLine", multi_line)
-            .option("quote", '"').option("escape", '"').option("inferSchema", False)
-            .option("encoding", "UTF-8").option("mode", "FAILFAST"))
+def csv_reader(spark: SparkSession):
+    """Spark's CSV reader for files whose records are single lines."""
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("encoding", "UTF-8"))
+    for name, value in records.OPTIONS.items():
+        reader = reader.option(name, value)
+    return reader
 
 
 def read_feed_table(spark: SparkSession, path: str, table: str,
-                    multi_line: bool | None = None, base_path: str | None = None) -> DataFrame:
+                    base_path: str | None = None) -> DataFrame:
     """One table from the CSV file(s) at ``path`` (a file, folder or glob).
     With ``base_path``, a ``snapshot_date=<date>`` folder below it becomes a
     column after the table's own.
 
-    ``multi_line`` None means: for all tables but ``ONE_LINE_RECORDS``, whose
-    large files are then read by many tasks (a quoted newline in one of those
-    fails the read, it isn't read wrongly)."""
-    if multi_line is None:
-        multi_line = table not in ONE_LINE_RECORDS
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in files.list_files(spark, path):
-        names = files.header(spark, f.path)
-        if names:
-            by_header.setdefault(names, []).append(f.path)
-    out = None
-    for paths in by_header.values():
-        reader = csv_reader(spark, multi_line)
+    Large files are read by many tasks, also those with newlines in quotes
+    (see ``sources.records``)."""
+    return read_feed_tables(spark, {table: path}, base_path)[table]
+
+
+def read_feed_tables(spark: SparkSession, paths: dict[str, str],
+                     base_path: str | None = None) -> dict[str, DataFrame]:
+    """Tables by name, each from its file(s); one job looks at all of them."""
+    found = {t: [f.path for f in files.list_files(spark, p)] for t, p in paths.items()}
+    by_name = {unquote(p): p for ps in found.values() for p in ps}
+    seen = {by_name[unquote(s.path)]: s for s in records.scan(spark, list(by_name.values()))}
+    return {t: _table(spark, t, [seen[p]._replace(path=p) for p in ps if p in seen], base_path)
+            for t, ps in found.items()}
+
+
+def _table(spark: SparkSession, table: str, found: list[records.Scanned],
+           base_path: str | None) -> DataFrame:
+    parts: list[DataFrame] = []
+    for names in sorted({s.names for s in found if s.one_line and any(s.names)}):
+        reader = csv_reader(spark)
         if base_path:
             reader = reader.option("basePath", base_path)
-        df = reader.csv(paths)
+        parts.append(reader.csv([s.path for s in found if s.one_line and s.names == names]))
+    rest = [s for s in found if not s.one_line]
+    if rest:
+        rows = records.records(spark, [s.path for s in rest], base_path)
+        by_file = records.header_records(rows)
+        for names in sorted(set(by_file.values())):
+            its = [f for f, n in by_file.items() if n == names]
+            part = rows if len(its) == len(by_file) else rows.where(F.col("file").isin(its))
+            parts.append(records.parsed(part, names))
+    out = None
+    for df in parts:
         keep = ("snapshot_date",) if base_path and "snapshot_date" in df.columns else ()
         part = conform(df, table, keep=keep)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         return empty_table(spark, table)
     if "snapshot_date" in out.columns:
-        rest = [c for c in out.columns if c != "snapshot_date"]
-        out = out.select(*rest, F.col("snapshot_date").cast("string"))
+        rest_columns = [c for c in out.columns if c != "snapshot_date"]
+        out = out.select(*rest_columns, F.col("snapshot_date").cast("string"))
     return out
 
 
@@ -75,28 +92,24 @@ def load_report(spark: SparkSession, loaded: dict[str, DataFrame], skipped: dict
     return out
 
 
-def read_feed_csv(spark: SparkSession, feed_dir: str, tables: tuple[str, ...] = KNOWN_TABLES,
-                  multi_line: bool | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+def read_feed_csv(spark: SparkSession, feed_dir: str, tables: tuple[str, ...] = KNOWN_TABLES
+                  ) -> tuple[dict[str, DataFrame], DataFrame]:
     """All known tables of one feed folder, plus a load report
     (table_name, status 'loaded' | 'skipped', rows, path)."""
     paths = {t: f"{feed_dir.rstrip('/')}/{t}.txt" for t in tables}
     there = {t for t, p in paths.items() if files.exists(spark, p)}
-    out = {t: read_feed_table(spark, p, t, multi_line) if t in there else empty_table(spark, t)
-           for t, p in paths.items()}
+    out = read_feed_tables(spark, paths)
     return out, load_report(spark, {t: out[t] for t in tables if t in there},
                             {t: p for t, p in paths.items() if t not in there}, paths)
 
 
-def read_feed_snapshots(spark: SparkSession, root: str, tables: tuple[str, ...] = KNOWN_TABLES,
-                        multi_line: bool | None = None) -> dict[str, DataFrame]:
+def read_feed_snapshots(spark: SparkSession, root: str,
+                        tables: tuple[str, ...] = KNOWN_TABLES) -> dict[str, DataFrame]:
     """Every snapshot under ``root/snapshot_date=<date>/<table>.txt`` as one
     DataFrame per table with a ``snapshot_date`` column (filters on it prune
     the other snapshots' files)."""
-    out = {}
-    for table in tables:
-        pattern = f"{root.rstrip('/')}/snapshot_date=*/{table}.txt"
-        df = read_feed_table(spark, pattern, table, multi_line, base_path=root)
-        if "snapshot_date" not in df.columns:
-            df = spark.createDataFrame([], raw_schema(table, ("snapshot_date",)))
-        out[table] = df
-    return out
+    out = read_feed_tables(spark, {
+        t: f"{root.rstrip('/')}/snapshot_date=*/{t}.txt" for t in tables}, base_path=root)
+    return {t: df if "snapshot_date" in df.columns else
+            spark.createDataFrame([], raw_schema(t, ("snapshot_date",)))
+            for t, df in out.items()}

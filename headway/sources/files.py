@@ -1,12 +1,11 @@
-"""Files on any Hadoop file system: listing, copying, deleting, header rows.
+"""Files on any Hadoop file system: listing, copying, deleting.
 
-Only names, sizes, times and the first record of a text file are looked at
-here; contents are read by Spark's readers.
+Only names, sizes and times are looked at here; contents are read by Spark's
+readers.
 """
 
 from __future__ import annotations
 
-import csv
 import hashlib
 from typing import NamedTuple
 
@@ -82,26 +81,3 @@ def copy_into(spark: SparkSession, pattern: str, folder: str) -> list[str]:
         hadoop.FileUtil.copy(here, source, there, place, False, True, conf)
         out.append(target)
     return out
-
-
-def header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names in the first record of a CSV file (quoted names may hold
-    commas and newlines; a byte-order mark and blanks around names go)."""
-    fs, place = _open(spark, path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    stream = fs.open(place)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        record = reader.readLine()
-        while record is not None and record.count('"') % 2:
-            more = reader.readLine()
-            if more is None:
-                break
-            record += "\n" + more
-    finally:
-        reader.close()
-    names = next(csv.reader([record], strict=False), []) if record else []
-    return tuple(n.strip().lstrip("﻿").strip() for n in names)
