@@ -12,9 +12,13 @@ every single line of a cluster.
 A selected region is taken whole, so short paragraphs and headings stay, apart
 from what its markup declares to be something else: menus, page headers and
 footers, sidebars, notices, adverts, forms, scripts, styles and comments.
-Inside an article or main element a class or id only marks an element, which
-goes if none of its lines is about as long, links apart, as the other text; ids of headings and
-sections name their subject and mark nothing.
+A class or id declares an element if one of its names is made of such words
+alone (``comments``, ``cookie-notice``, ``ad-box``); inside an article or main
+element a name with other words beside (``related-work``), or a word that may
+also be a subject (``discussion``), only marks an element, which goes if none
+of its lines is about as long, links apart, as the article's own.  Ids of
+headings name their subject and declare nothing, ids of sections only reader
+comments.
 
 Defined results: a null or empty page has empty text, as has a page of
 nothing but boilerplate.  Text without any markup is one block.  Unclosed
@@ -40,8 +44,8 @@ from headway.llm.tables import ship
 
 SIGMA = 1.5          # of the Gaussian, in lines
 LEVEL = 0.5          # content threshold, in standard deviations
-MARKED, DENSE = 0.5, 80   # a marked element stays with a line of such a share of the others'
-                          # mean length (weighted by text), or of so many characters
+MARKED = 0.5         # a marked element stays with a line of such a share of the median
+                     # length of the content lines beside it
 SHARE = 0.7          # of the clusters' text that a container must hold
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,7 +57,7 @@ _BLOCK = set("""address article aside blockquote body caption center dd details
 _APART = set("""head title script style noscript template nav footer aside form button select
     textarea iframe object svg canvas dialog menu audio video map datalist""".split())
 _CONTAINER = set("article main section div td body blockquote".split())
-_TITLED = set("h1 h2 h3 h4 h5 h6 hgroup section".split())
+_TITLED = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 _ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog "
              "menu menubar toolbar status".split())
 #: Words in a class or an id that declare an element to be no article text.
@@ -64,6 +68,13 @@ _NAMES = set("""ad ads adv advert adverts advertisement advertisements adsense a
     recommendations widget widgets pagination pager toolbar skip""".split())
 _REMARKS = set("comment comments commentlist commentary reply replies respond discussion disqus "
                "reactions".split())
+#: Of these, what may also be an article's subject, or part of its layout.
+_SUBJECTS = set("commentary discussion navigation promotion reactions related recommended "
+                "recommendations reply respond sharing skip social toolbar widget widgets".split())
+#: What a name may have beside such words and still declare its element.
+_PLACES = set("""area bar block body bottom box button buttons card center column content form inner
+    item items left link links list message outer panel post posts reader readers right section
+    slot space text thread title top unit user""".split())
 #: Opening one of the first closes open ones of the second, down to the third.
 _CLOSES = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"),
            "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"),
@@ -183,21 +194,26 @@ class Lines(HTMLParser):
         """(apart, named, marked): by tag or role, by a name outside of
         articles, by a name where only the lines can tell."""
         inside = bool(self.depth.get("article") or self.depth.get("main"))
-        # Ids of headings and sections name their subject.
-        names = f"{attrs.get('class') or ''} {'' if tag in _TITLED else attrs.get('id') or ''}".lower()
-        words = set(re.split(r"[^a-z0-9]+", names))
+        names = (attrs.get("class") or "").lower().split()
+        ids = [] if tag in _TITLED else (attrs.get("id") or "").lower().split()
         style = (attrs.get("style") or "").replace(" ", "").lower()
         apart = (tag in _APART or (attrs.get("role") or "").lower() in _ROLES or "hidden" in attrs
                  or (attrs.get("aria-hidden") or "").lower() == "true" or "display:none" in style)
         if tag == "header" and not inside:
             apart = True
-        remark, name = bool(words & _REMARKS), bool(words & _NAMES)
         if tag in ("html", "body"):
             return apart, False, False
+        if tag == "section":       # its id names its subject, or reader comments
+            ids = [i for i in ids if declares(i, _REMARKS)]
+        words = set(re.split(r"[^a-z0-9]+", " ".join(names + ids)))
+        remark, name = bool(words & _REMARKS), bool(words & _NAMES)
         if tag in ("article", "main"):
             return apart, False, remark
         if inside:
-            return apart, False, remark or name
+            if any(declares(n, _REMARKS) for n in names + ids):
+                return True, False, False
+            named = any(declares(n, _NAMES) for n in names + ids)
+            return apart, named, not named and (remark or name)
         return apart or remark, name or "header" in words, False
 
     def handle_endtag(self, tag):
@@ -223,9 +239,26 @@ class Lines(HTMLParser):
                 self.links += len(data)
 
 
+def declares(name: str, words: set[str]) -> bool:
+    """Is a class or id made of ``words`` and names of places alone, with one
+    that is no subject?"""
+    parts = set(re.split(r"[^a-z]+", name)) - {""}
+    return bool(parts & (words - _SUBJECTS)) and parts <= _NAMES | _REMARKS | _PLACES
+
+
+def closed(html: str) -> str:
+    """``html`` with markup that never ends as text.  The parser takes it so
+    too, but would look for the end again from each beginning."""
+    end = html.rfind("-->")
+    if html.find("<!--", end + 1) >= 0:
+        html = html[:end + 1] + html[end + 1:].replace("<!--", "&lt;!--")
+    end = html.rfind(">")
+    return html[:end + 1] + html[end + 1:].replace("<", "&lt;")
+
+
 def parsed(html: str) -> Lines:
     parser = Lines()
-    parser.feed(html)
+    parser.feed(closed(html))
     parser.close()
     parser.flush()
     return parser
@@ -248,14 +281,14 @@ def content_lines(lines: list[Line]) -> np.ndarray:
 
 def without_marked(lines: list[Line]) -> list[Line]:
     """``lines`` without the marked elements that hold no line about as long,
-    links apart, as the rest.  Lines are taken one by one: smoothing would
-    lend them their neighbours' ratio, and the first one has the tags of
-    everything before it."""
+    links apart, as the content lines of the rest.  Lines are taken one by
+    one: smoothing would lend them their neighbours' ratio, and the first one
+    has the tags of everything before it."""
     rest = [x for x in lines if x.at.marked is None]
     if not rest or len(rest) == len(lines):
         return lines
-    own, size = np.array([(len(x.text) - x.links, len(x.text)) for x in rest], float).T
-    level = min(MARKED * float((own * size).sum() / size.sum()), DENSE)
+    own = [len(x.text) - x.links for x, c in zip(rest, content_lines(rest)) if c]
+    level = MARKED * float(np.median(own)) if own else 0.0
     dense = {x.at.marked.number for x in lines
              if x.at.marked is not None and len(x.text) - x.links >= level}
     return [x for x in lines if x.at.marked is None or x.at.marked.number in dense]

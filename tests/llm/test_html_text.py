@@ -1,9 +1,11 @@
 import re
+import time
 
 import numpy as np
 import pytest
 
 from headway.llm import html_text as h
+from headway.llm import language
 
 BODY = "This is a sentence of the article that goes on for a while, as they do. " * 3
 
@@ -39,6 +41,49 @@ def test_what_is_no_article_text_goes(junk, place):
     assert got == " ".join(BODY.split()) + "\n\nEnd."
 
 
+REMARK = "I read this twice and still do not agree with what the author says there. "
+
+
+@pytest.mark.parametrize("times", [1, 2, 25])
+@pytest.mark.parametrize("junk", [
+    "<div class='comments'><p>{}</p></div>", "<div id='cookie-notice'><p>{}</p></div>",
+    "<div class='advert'>{}</div>", "<div class='sidebar'><p>{}</p><p>{}</p></div>",
+    "<ul class='comment-list'><li>{}</li></ul>", "<section id='comments'><p>{}</p></section>",
+    "<div class='newsletter'>{}</div>", "<div class='notice'><p>{}</p></div>",
+    "<section class='user-comments'><article><p>{}</p></article></section>",
+    "<p class='ad-box sponsored'>{}</p>", "<div class='share-buttons'><p>{}</p></div>"])
+@pytest.mark.parametrize("around", ["article", "main", None])
+def test_long_comments_adverts_and_notices_go(times, junk, around):
+    junk = junk.replace("{}", f"{REMARK * times} x")
+    text = f"<h1>Head</h1><p>{BODY}</p><p>{BODY}</p>"
+    if around:
+        got = h.extract(page(f"<{around}>{text}{junk}<p>{BODY}</p></{around}>"))
+    else:
+        got = h.extract(page(f"<div>{text}</div>{junk}<div><p>{BODY}</p></div>"))
+    own = " ".join(BODY.split())
+    assert got.split("\n\n") == ["Head", own, own, own]
+
+
+@pytest.mark.parametrize("inner", ["<section class='social-sciences'>{}</section>",
+                                   "<section id='cookies'>{}</section>", "<div class='has-sidebar'>{}</div>",
+                                   "<div class='content-sidebar-wrap'><p>{}</p></div>"])
+def test_names_with_other_words_drop_no_text(inner):
+    own = " ".join(BODY.split())
+    got = h.extract(page(f"<main><p>{BODY}</p>{inner.format(BODY)}</main>"))
+    assert got.split("\n\n") == [own, own]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<!--", "<", "</", "<!", "<?", "<![", "&", "&#", "<a x='",
+                                   '<a x="', "<p", "<script>", "<!-- x", "<a b=c ", "<!--a>", "<p>x"])
+@pytest.mark.parametrize("end", ["", ">"])
+def test_a_megabyte_of_anything_takes_linear_time(piece, end):
+    html = piece * (1_000_000 // len(piece)) + end
+    began = time.process_time()
+    h.extract(html)
+    language.without_markup(html)
+    assert time.process_time() - began < 20
+
+
 def test_pages_without_an_article_element():
     menu = "".join(f"<li><a href='/{i}'>Item {i}</a></li>" for i in range(8))
     got = h.extract(f"<body><div class='top'><ul>{menu}</ul></div><div class='text'><h2>Head</h2><p>{BODY}</p>"
