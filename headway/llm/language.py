@@ -43,7 +43,8 @@ SAMPLE = 400
 EFFECTIVE = 60
 STRENGTH = 5.0
 _TURNS = 1 << 20
-_MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_RAW = re.compile(r"(?i)<(script|style)\b")
+_RAW_END = {n: re.compile(rf"(?i)</{n}\s*>") for n in ("script", "style")}
 _WHITE = re.compile(r"[\W\d_]+")
 
 
@@ -58,6 +59,38 @@ def trigrams(text: str | None) -> np.ndarray:
     return (key >> np.uint64(50)).astype(np.int64) % BUCKETS
 
 
+def without_markup(html: str) -> str:
+    """``html`` with a space for each tag, comment, script and style.  What
+    was once looked for in vain isn't looked for again, so time is linear."""
+    out, at, missing = [], 0, set()
+
+    def end_of(what: str, found: int) -> int | None:
+        if found < 0:
+            missing.add(what)
+            return None
+        return found
+
+    while (i := html.find("<", at)) >= 0:
+        out.append(html[at:i])
+        end = None
+        raw = _RAW.match(html, i)
+        if raw and raw[1].lower() not in missing:
+            close = _RAW_END[raw[1].lower()].search(html, raw.end())
+            end = end_of(raw[1].lower(), close.end() if close else -1)
+        elif html.startswith("<!--", i) and "comment" not in missing:
+            close = html.find("-->", i + 4)
+            end = end_of("comment", close + 3 if close >= 0 else -1)
+        if end is None:
+            close = html.find(">", i)
+            if close < 0:
+                at = i
+                break
+            end = close + 1
+        out.append(" ")
+        at = end
+    return "".join([*out, html[at:]])
+
+
 def sample(labelled: DataFrame) -> DataFrame:
     """At most SAMPLE texts of each language of (id, text, lang): those with
     the least hashes.
@@ -104,7 +137,7 @@ def text_scores(text: Column, model: np.ndarray, markup: Column) -> Column:
     def scored(texts: pd.Series, html: pd.Series) -> pd.Series:
         out = []
         for t, h in zip(texts, html):
-            found = trigrams(_MARKUP.sub(" ", t or "") if h else t)
+            found = trigrams(without_markup(t or "") if h else t)
             total = np.zeros(len(model))
             for i in range(0, len(found), 1 << 16):
                 total += model[:, found[i:i + (1 << 16)]].sum(axis=1)
@@ -156,17 +189,25 @@ def fuse(items: DataFrame, languages: list[str], ids: list[str]) -> DataFrame:
         n = F.aggregate(mass, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(mass, prior, lambda a, b: (a + STRENGTH * b) / (n + STRENGTH))
 
-    domain = _sums(rows, "domain", k).select("domain", towards(F.col("mass"), everywhere).alias("of_domain"))
+    domain = _sums(rows, "domain", k).select("domain", F.col("mass").alias("of_domain"))
     host = _sums(rows, "host", k).select("host", F.col("mass").alias("of_host"))
     said = _sums(rows, "declared", k).select("declared", F.col("mass").alias("of_declared"))
     suffix = _sums(rows, "suffix", k).select("suffix", F.col("mass").alias("of_suffix"))
     joined = rows
     for side, name in ((host, "host"), (domain, "domain"), (said, "declared"), (suffix, "suffix")):
         joined = joined.join(stored(side, name), name, "left")
-    prior = F.coalesce(F.col("of_domain"), everywhere)
-    prior = F.coalesce(towards(F.col("of_host"), prior), prior)
-    parts = [F.transform(prior, lambda x: F.log(x)), _log_rate(F.col("of_declared"), with_declared),
-             _log_rate(F.col("of_suffix"), with_suffix)]
+    # An item's own text is no evidence about its host, domain, suffix or
+    # markup language: it already speaks for itself.
+    own = F.col("p")
+
+    def others(mass: Column) -> Column:
+        return F.zip_with(mass, own, lambda a, b: F.greatest(a - b, F.lit(0.0)))
+
+    prior = F.coalesce(towards(others(F.col("of_domain")), everywhere), everywhere)
+    prior = F.coalesce(towards(others(F.col("of_host")), prior), prior)
+    parts = [F.transform(prior, lambda x: F.log(x)),
+             _log_rate(others(F.col("of_declared")), others(with_declared)),
+             _log_rate(others(F.col("of_suffix")), others(with_suffix))]
     score = F.col("score")
     for part in parts:
         score = F.zip_with(score, part, lambda a, b: a + b)
@@ -191,7 +232,10 @@ def page_evidence(pages: DataFrame) -> DataFrame:
         F.col("page_id").alias("id"), F.col("html").alias("text"), F.lit(True).alias("markup"),
         F.substring_index(group("html", r"""(?i)<html[^>]*?\slang\s*=\s*["']?([a-z]+)"""), "-", 1)
         .alias("declared"), host.alias("host"),
-        F.substring_index(host, ".", -2).alias("domain"),
+        # Two labels, or three where the last two are a public suffix.
+        F.when(F.regexp_like(host, F.lit(r"\.(ac|co|com|edu|gov|ne|net|or|org)\.[a-z]{2}$")),
+               F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+        .alias("domain"),
         F.when(F.contains(host, F.lit(".")), F.substring_index(host, ".", -1)).alias("suffix"))
 
 

@@ -78,3 +78,16 @@ def test_trigram_buckets():
     assert len(lg.trigrams("")) == len(lg.trigrams(None)) == len(lg.trigrams("12 ,.")) == 0
     assert np.array_equal(lg.trigrams("Ab c"), lg.trigrams(" aB\nC "))
     assert len(lg.trigrams("ab")) == 2
+
+
+def test_markup_goes_as_by_a_pattern():
+    import random
+    import re
+
+    from headway.llm.language import without_markup
+    pattern = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+    rng = random.Random(2)
+    pieces = ["<", ">", "<!--", "-->", "<script", "</script >", "<STYLE>", "</style>", "a", " ", "<p x>", "--"]
+    for _ in range(3000):
+        html = "".join(rng.choice(pieces) for _ in range(rng.randrange(14)))
+        assert without_markup(html) == pattern.sub(" ", html), html
