@@ -32,6 +32,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -57,7 +58,8 @@ ORC_OPTIONS = {
     "orc.stripe.size": str(64 << 20),
     "compression": "zstd",
 }
-KEPT_WORDS = 1 << 19      # words, and parts of words, whose ids a worker remembers
+KEPT_WORDS = 1 << 18      # words, and parts of words, whose ids a worker remembers
+KEPT_PARTS = 1 << 19
 KEPT_CHARS = 64
 
 #: Characters that stay as they are under NFC, whose lower case depends on
@@ -66,15 +68,20 @@ _PLAIN = re.compile(r"[\t-\r -~À-ɏ]*")
 
 
 class _Kept(dict):
-    """Values by key, each made once; a bounded number is remembered."""
+    """Values by key, each made once.  At least ``kept`` and at most twice as
+    many are remembered: those that weren't asked for lately go."""
 
-    def __init__(self, make) -> None:
-        self.make = make
+    def __init__(self, make, kept: int) -> None:
+        self.make, self.kept = make, kept
+        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= KEPT_CHARS:
-            if len(self) >= KEPT_WORDS:
+            if len(self) >= self.kept:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -94,9 +101,9 @@ class Encoder:
         self.cut = parts_of(spec)
         self.by_word = self.cut is not None and not any(t.split() != [t] for t in self.special)
         self.shown = dict(enumerate(byte_characters()))
-        self.parts = _Kept(self._part)
-        self.plain = _Kept(self._plain)
-        self.words = _Kept(self._word)
+        self.parts = _Kept(self._part, KEPT_PARTS)
+        self.plain = _Kept(self._plain, KEPT_WORDS)
+        self.words = _Kept(self._word, KEPT_WORDS)
 
     def _whole(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False)
@@ -104,7 +111,8 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         name = part.encode().decode("latin-1").translate(self.shown)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(name)], "<u4").tobytes()
+        ids = [t.id for t in self.tokenizer.model.tokenize(name)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, word: str) -> bytes:
         return b"".join([self.parts[p] for p in self.cut(word)])
