@@ -1,25 +1,30 @@
 """Quality rules with thresholds that adapt to language and source.
 
-Each text is measured (words, symbols, repeated lines, repeated word
-windows, capitals).  For each metric and each (language, source) the values
-are kept in a mergeable quantile sketch: counts per bin of fixed bounds, so
-sketches of any parts add up exactly, in any order.  A group of fewer than
-``MIN_GROUP`` texts takes the merged sketch of its language, and a language
-with fewer takes that of all texts.  From a group's sketch come the
-quartiles and an outer fence; a text is rejected where a metric lies beyond
-its group's fence.  Texts are joined with their group's fences and filtered.
-
-Metrics are rates per 1000 words, in whole numbers, so bins are exact: one
-bin per unit up to 1024, then 64 bins per power of two (error under 1.6 %).
-A sketch is therefore at most a few thousand rows whatever its group's size.
-
-The fence is q3 + SPREADS * max(q3 - q1, MIN_SPREAD): ordinary texts often
-all measure 0, and a zero spread must not reject the first text above it.
+Each text is measured (words, word length, symbols, repeated lines, repeated
+word windows, capitals, exclamations).  For each metric and each (language,
+source) the values are kept in a mergeable quantile sketch: counts per bin of
+fixed bounds, so sketches of any parts add up exactly, in any order; those of
+a language's sources add up to the language's, those of all to the corpus's.
+
+A group's fence is its high quantile, plus REACH times that quantile's
+distance from the median, plus a margin: ordinary texts often all measure 0,
+and no spread must not reject the first text above it.  Quantiles of a group
+of n texts are drawn towards its language's as if SHRINK more texts had been
+seen there, and the language's towards the corpus's in the same way, so a
+fence moves smoothly from the language's to the group's own as the group
+grows.  A text is rejected where a metric lies beyond its group's fence.
+Texts are joined with their group's fences and filtered.
+
+Metrics are rates per 1000 words (word length: characters of 100 words), in
+whole numbers, so bins are exact: one bin per unit up to 1024, then 64 bins
+per power of two (error under 1.6 %).  A sketch is therefore at most a few
+thousand rows whatever its group's size.
 
 Defined results: a null or empty text has no words and fails the base rule.
-Null languages and sources are groups of their own.  Repeated rows count and
-are judged one by one.  An empty table gives an empty result.  Extra columns
-pass through ``keep_good`` unchanged.
+Texts of any length are measured whole.  A value on the fence stays.  Null
+languages and sources are groups of their own.  Repeated rows count and are
+judged one by one.  An empty table gives an empty result.  Extra columns,
+whatever their names, pass through ``keep_good`` unchanged.
 """
 
 from __future__ import annotations
@@ -33,10 +38,13 @@ from headway.llm.tables import free_name, ship, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_GROUP = 200
-SPREADS = 8
-#: Metric -> least spread the fence assumes, per 1000 words.
-METRICS = {"symbol_rate": 20, "repeat_rate": 40, "caps_rate": 40, "bang_rate": 40}
+SHRINK = 50
+REACH = 4
+#: Metric -> (percent of the texts below the high quantile, margin).  Junk
+#: made of symbols or exclamations may be a fifth of a source; the others
+#: vary among good texts, so more of them tell how far.
+METRICS = {"symbol_rate": (75, 100), "repeat_rate": (90, 250), "caps_rate": (90, 100),
+           "bang_rate": (75, 100), "line_rate": (90, 50), "word_length": (90, 50)}
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
             "n_repeat_words long, n_caps long, n_bangs long")
 _SYMBOLS = b"#*$%&|<>"
@@ -89,12 +97,13 @@ def measures(text: Column) -> Column:
 
 
 def _rates(m: str) -> dict[str, Column]:
-    """Rates per 1000 words, as whole numbers; 0 for a text without words."""
-    def rate(field: str) -> Column:
-        return F.coalesce(F.expr(f"{m}.{field} * 1000 DIV nullif({m}.n_words, 0)"),
+    """Rates as whole numbers; 0 for a text without words."""
+    def rate(field: str, per: int = 1000) -> Column:
+        return F.coalesce(F.expr(f"{m}.{field} * {per} DIV nullif({m}.n_words, 0)"),
                           F.lit(0)).cast("long")
     return {"symbol_rate": rate("n_symbols"), "repeat_rate": rate("n_repeat_words"),
-            "caps_rate": rate("n_caps"), "bang_rate": rate("n_bangs")}
+            "caps_rate": rate("n_caps"), "bang_rate": rate("n_bangs"),
+            "line_rate": rate("n_dup_lines"), "word_length": rate("word_chars", 100)}
 
 
 def sketch_bin(value: str) -> str:
@@ -118,36 +127,44 @@ def sketches(rates: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _quartiles(sketch: DataFrame, group: list[str]) -> DataFrame:
-    """group, metric, total, q1, q3: the bins in which the quartiles lie."""
+def _quantiles(sketch: DataFrame, group: list[str]) -> DataFrame:
+    """group, metric, total, mid, high: the bins in which the median and the
+    metric's high quantile lie."""
     bins = sketch.groupBy(*group, "metric", "bin").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*group, "metric")
     run = bins.select("*", F.sum("n").over(by.orderBy("bin")).alias("upto"),
                       F.sum("n").over(by).alias("total"))
+    level = _by_metric({k: v for k, (v, _) in METRICS.items()})
     return run.groupBy(*group, "metric").agg(
-        F.max("total").alias("total"), F.min(F.expr("IF(4 * upto >= total, bin, NULL)")).alias("q1"),
-        F.min(F.expr("IF(4 * upto >= 3 * total, bin, NULL)")).alias("q3"))
+        F.max("total").alias("total"),
+        F.min(F.when(F.col("upto") * 100 >= F.col("total") * 50, F.col("bin"))).alias("mid"),
+        F.min(F.when(F.col("upto") * 100 >= F.col("total") * level, F.col("bin"))).alias("high"))
+
+
+def _by_metric(values: dict[str, int]) -> Column:
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])[
+        F.col("metric")].cast("long")
 
 
 def fences(rates: DataFrame) -> DataFrame:
     """(lang, source, <metric>_fence ...): one row per (lang, source)."""
     sketch = stored(sketches(rates), "sketches")
-    own = _quartiles(sketch, ["lang", "source"])
-    lang = _quartiles(sketch, ["lang"]).select(
+    own = _quantiles(sketch, ["lang", "source"])
+    lang = _quantiles(sketch, ["lang"]).select(
         F.col("lang").alias("l"), F.col("metric").alias("lm"), F.col("total").alias("lt"),
-        F.col("q1").alias("l1"), F.col("q3").alias("l3"))
-    every = _quartiles(sketch, []).select(
-        F.col("metric").alias("am"), F.col("q1").alias("a1"), F.col("q3").alias("a3"))
+        F.col("mid").alias("l_mid"), F.col("high").alias("l_high"))
+    every = _quantiles(sketch, []).select(
+        F.col("metric").alias("am"), F.col("mid").alias("a_mid"), F.col("high").alias("a_high"))
     joined = (own.join(lang, own["lang"].eqNullSafe(lang["l"]) & (own["metric"] == lang["lm"]))
               .join(every, F.col("metric") == F.col("am")))
-    pick = "CASE WHEN total >= {m} THEN {o} WHEN lt >= {m} THEN {g} ELSE {a} END"
-    spread = F.create_map(*[x for k, v in METRICS.items() for x in (F.lit(k), F.lit(v))])
-    ranged = joined.select("lang", "source", "metric",
-                           F.expr(pick.format(m=MIN_GROUP, o="q1", g="l1", a="a1")).alias("low"),
-                           F.expr(pick.format(m=MIN_GROUP, o="q3", g="l3", a="a3")).alias("high"))
-    fence = F.col("high") + F.lit(SPREADS) * F.greatest(F.col("high") - F.col("low"),
-                                                        spread[F.col("metric")].cast("long"))
-    return ranged.groupBy("lang", "source").agg(*[
+
+    def drawn(name: str) -> Column:
+        of_lang = f"(lt * l_{name} + {SHRINK} * a_{name}) DIV (lt + {SHRINK})"
+        return F.expr(f"(total * {name} + {SHRINK} * ({of_lang})) DIV (total + {SHRINK})")
+
+    margin = _by_metric({k: v for k, (_, v) in METRICS.items()})
+    fence = (drawn("high") + REACH * (drawn("high") - drawn("mid")) + margin)
+    return joined.groupBy("lang", "source").agg(*[
         F.max(F.when(F.col("metric") == k, fence)).alias(f"{k}_fence") for k in METRICS])
 
 
