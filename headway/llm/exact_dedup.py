@@ -3,12 +3,12 @@
 Rows are grouped by text length, then by a hash of a prefix, and only texts
 whose (length, prefix) is not alone are hashed in full.
 
-Which (length, prefix) pairs collide is kept as one bit per bucket of a
-bitmap of fixed size (``FILTER_BITS`` bits, so at most 512 KB are broadcast
-whatever the input), so texts that are alone are told apart in the scan,
-without moving any text.  Two different pairs in one bucket only cost a full
-hash that was not needed; the groups themselves are formed on (length,
-prefix hash, SHA-256), so the result is exact at any size.
+Which (length, prefix) pairs collide is kept in a bitmap that is sized by
+their number, up to 64 MB, and broadcast, so texts that are alone are told
+apart in the scan, without moving any text.  A pair that is taken for another
+only costs a full hash that was not needed (one in 16 up to 33 million
+colliding pairs, a third at 200 million); the groups themselves are formed on
+(length, prefix hash, SHA-256), so the result is exact at any size.
 
 Defined results: a null text counts as empty.  Empty texts are equal to each
 other.  Rows with a null id take part; the largest non-null id stays, and
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.tables import FILTER_BITS, bitmap, flagged, free_name, stored
+from headway.llm.tables import KeyFilter, flagged, free_name, key_filter, stored
 
 PREFIX_CHARS = 256
 
@@ -32,36 +32,35 @@ def _length(text: Column) -> Column:
     return F.octet_length(text).cast("long")
 
 
-def _bucket(text: Column) -> Column:
-    """The filter bucket of a text, from its length and prefix hash."""
-    key = F.xxhash64(_length(text), F.substring(text, 1, PREFIX_CHARS))
-    return F.pmod(key, F.lit(FILTER_BITS))
+def _pair(text: Column) -> Column:
+    """Hash of a text's length and prefix."""
+    return F.xxhash64(_length(text), F.substring(text, 1, PREFIX_CHARS))
 
 
-def colliding_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The bitmap of buckets that hold at least two rows: (piece, bits), at
-    most FILTER_BITS / 32768 rows of 4 KB.
+def colliding_pairs(docs: DataFrame, text_col: str = "text") -> KeyFilter:
+    """The (length, prefix) pairs that at least two rows have.
 
     Refined in two steps: lengths that occur once are settled first, then
     the (length, prefix) pairs of the others are counted."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keys = docs.select(_length(text).alias("len"), _bucket(text).alias("bucket"))
-    # One partially aggregated pass gives both levels: a bucket's rows by
+    keys = docs.select(_length(text).alias("len"), _pair(text).alias("key"))
+    # One partially aggregated pass gives both levels: a pair's rows by
     # length, then the lengths that occur more than once.
-    pairs = keys.groupBy("len", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    pairs = keys.groupBy("len", "key").agg(F.count(F.lit(1)).alias("n"))
     many = pairs.groupBy("len").agg(F.sum("n").alias("rows")).where("rows > 1").select("len")
-    return bitmap(pairs.join(many, "len", "left_semi").where("n > 1").select("bucket"))
+    return key_filter(stored(pairs.join(many, "len", "left_semi").where("n > 1").select("key"),
+                             "pairs"))
 
 
 def survivors(docs: DataFrame, text_col: str, flag: str) -> DataFrame:
     """``docs`` plus the boolean ``flag``: must the text be read in full?"""
-    return flagged(docs, _bucket(F.coalesce(F.col(text_col), F.lit(""))),
+    return flagged(docs, _pair(F.coalesce(F.col(text_col), F.lit(""))),
                    colliding_pairs(docs, text_col), flag)
 
 
 def _full_key(text_col: str) -> list[Column]:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return [_length(text).alias("__len"), _bucket(text).alias("__pre"),
+    return [_length(text).alias("__len"), _pair(text).alias("__pre"),
             F.sha2(text, 256).alias("__sha")]
 
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.tables import FILTER_BITS, bitmap, flagged, free_name, ship, stored
+from headway.llm.tables import flagged, free_name, key_filter, ship, stored
 
 SHINGLE = 3
 SEED = 42
@@ -327,7 +327,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows are named by id and text hash, so no text is stored again; rows that
     agree in both are one text, of which one row stays.  Only rows that a
-    bitmap of fixed size says may go are shuffled."""
+    bitmap, sized by the rows that go (64 MB at most), says may go are shuffled."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     prints = stored(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"),
@@ -345,14 +345,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col("id").alias(names["id"]), F.col("hash").alias(names["hash"]),
         stays.alias(names["stays"])), "touched")
 
-    def bucket(id_col: str, hash_col: str) -> Column:
-        return F.pmod(F.xxhash64(id_col, hash_col), F.lit(FILTER_BITS))
-
     # All other rows pass straight from the scan.
     hashed = docs.withColumn(names["own"], F.xxhash64(text))
-    marked = flagged(hashed, bucket(id_col, names["own"]),
-                     bitmap(touched.select(bucket(names["id"], names["hash"]).alias("bucket"))),
-                     names["look"])
+    marked = flagged(hashed, F.xxhash64(id_col, names["own"]), key_filter(touched.select(
+        F.xxhash64(names["id"], names["hash"]).alias("key"))), names["look"])
     clear = marked.where(~F.col(names["look"]))
     found = marked.where(F.col(names["look"])).join(
         touched, F.col(id_col).eqNullSafe(F.col(names["id"]))

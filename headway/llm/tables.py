@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,8 +18,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a batch that goes to a Python worker.
 BATCH_ROWS = 500
 
-#: Bits of a bitmap that tells rows apart in a scan: 512 KB are broadcast.
-FILTER_BITS = 1 << 22
+#: A bitmap that tells rows apart in a scan has FILTER_SHARE bits for each key
+#: in it, so one key in FILTER_SHARE is taken for another; at most MOST_BITS
+#: (64 MB, which are broadcast), which is enough for 33 million keys.  Beyond
+#: that more keys are mistaken: a third at 200 million.
+FILTER_SHARE = 16
+MOST_BITS = 1 << 29
 
 #: Rows per block of a distributed prefix sum.
 BLOCK_ROWS = 200_000
@@ -75,20 +80,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bitmap(buckets: DataFrame) -> DataFrame:
-    """The set of ``bucket`` values (0 to FILTER_BITS - 1) as (piece, bits):
-    at most FILTER_BITS / 32768 rows of 4 KB, whatever the input."""
-    return (buckets.groupBy(F.expr("bitmap_bucket_number(bucket)").alias("piece"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bucket))").alias("bits")))
+class KeyFilter(NamedTuple):
+    """A set of hashed keys, never too small: (piece, bits) rows of 4 KB."""
+    bits: DataFrame
+    size: int
 
 
-def flagged(df: DataFrame, bucket: Column, bits: DataFrame, flag: str) -> DataFrame:
-    """``df`` plus the boolean ``flag``: is its bucket in the bitmap ``bits``?
-    The bitmap is broadcast, so no row of ``df`` moves."""
+def key_filter(keys: DataFrame) -> KeyFilter:
+    """The filter of the column ``key`` (long) of a stored table."""
+    size = 1 << 15
+    while size < min(FILTER_SHARE * keys.count(), MOST_BITS):
+        size *= 2
+    bucket = keys.select(F.pmod("key", F.lit(size)).alias("bucket"))
+    return KeyFilter(
+        bucket.groupBy(F.expr("bitmap_bucket_number(bucket)").alias("piece"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bucket))").alias("bits")), size)
+
+
+def flagged(df: DataFrame, key: Column, among: KeyFilter, flag: str) -> DataFrame:
+    """``df`` plus the boolean ``flag``: may its key be among those of the
+    filter?  The filter is broadcast, so no row of ``df`` moves."""
     piece, held, at = (free_name(df, c) for c in ("__piece", "__bits", "__bucket"))
-    marked = df.withColumn(at, bucket)
-    joined = marked.join(F.broadcast(bits.select(F.col("piece").alias(piece),   # fixed size
-                                                 F.col("bits").alias(held))),
+    marked = df.withColumn(at, F.pmod(key, F.lit(among.size)))
+    joined = marked.join(F.broadcast(among.bits.select(F.col("piece").alias(piece),  # MOST_BITS
+                                                       F.col("bits").alias(held))),
                          F.expr(f"bitmap_bucket_number({at})") == F.col(piece), "left")
     byte = (f"CAST(conv(hex(substring({held}, CAST(bitmap_bit_position({at}) DIV 8 AS INT) + 1,"
             " 1)), 16, 10) AS INT)")
