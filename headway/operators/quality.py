@@ -18,19 +18,21 @@ Row-level kinds (not_null, accepted_values, between) of one model are all
 evaluated in a single aggregation pass over that model; key kinds group once
 per check.  A relationship check counts the child's rows per key first, so
 that only distinct keys are shuffled and compared.  Nothing is cached: the
-checks are meant to run over written tables (see ``stored_resolver`` for
-models that aren't written yet).
+checks are meant to run over written tables; models that aren't written yet
+are stored once (``stored_resolver``), and the facts are checked without
+forming their rows (``fact_checks``).  ``failing_rows`` lists what fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.operators.fact_checks import Weighted, out_of_range
 from headway.session import stored_table
 
 
@@ -91,11 +93,13 @@ def relationships_failures(child: DataFrame, column: str, parent: DataFrame,
     return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
-def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """(key, n_records): child keys without a parent row.  Keys are counted
-    per task before they are shuffled, so no key is hot."""
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str,
+                n_rows: str = "1") -> DataFrame:
+    """(key, n_records): child keys without a parent row; a child row stands
+    for ``n_rows`` (SQL).  Keys are counted per task before they are shuffled,
+    so no key is hot."""
     keys = (child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
-            .agg(F.count(F.lit(1)).alias("n_records")))
+            .agg(F.sum(F.expr(n_rows)).alias("n_records")))
     return keys.join(parent.select(F.col(field).alias("key")).where("key IS NOT NULL"), "key",
                      "left_anti")
 
@@ -138,13 +142,28 @@ def freshness(loaded: DataFrame, loaded_at: str, as_of: dt.date,
 _ROW_LEVEL = ("not_null", "accepted_values", "between")
 
 
-def _row_level_sql(c: Check) -> str:
+def _fails(c: Check) -> str:
+    """SQL: does a row fail a row-level check?"""
     if c.kind == "not_null":
-        return f"count_if(`{c.column}` IS NULL)"
+        return f"`{c.column}` IS NULL"
     if c.kind == "accepted_values":
-        return (f"count(DISTINCT CASE WHEN {accepted_values_predicate(c.column, c.values)} "
-                f"THEN `{c.column}` END)")
-    return f"count_if({between_predicate(c.column, c.min_value, c.max_value, c.row_condition)})"
+        return accepted_values_predicate(c.column, c.values)
+    return between_predicate(c.column, c.min_value, c.max_value, c.row_condition)
+
+
+def _failing_rows_of(c: Check, weighted: Weighted | None) -> str:
+    """SQL: how many rows of the model a row stands for that fail ``c``."""
+    if weighted is None:
+        return f"IF({_fails(c)}, 1, 0)"
+    if c.kind == "between" and c.column == weighted.series:
+        return out_of_range(c.min_value, c.max_value)
+    return f"IF({_fails(c)}, n_rows, 0)"
+
+
+def _row_level_sql(c: Check, weighted: Weighted | None = None) -> str:
+    if c.kind == "accepted_values":
+        return f"count(DISTINCT CASE WHEN {_fails(c)} THEN `{c.column}` END)"
+    return f"coalesce(sum({_failing_rows_of(c, weighted)}), 0)"
 
 
 def _summary_row(df: DataFrame, c: Check) -> DataFrame:
@@ -155,15 +174,14 @@ def _summary_row(df: DataFrame, c: Check) -> DataFrame:
 
 def stored_resolver(checks: Sequence[Check], resolve: Callable[[str], DataFrame]
                     ) -> Callable[[str], DataFrame]:
-    """``resolve``, with each exploded fact that several of the checks read
-    stored as a table once."""
-    facts = ("fact_scheduled_trip", "fact_scheduled_stop_event")
+    """``resolve``, with each model that several of the checks derive anew
+    stored as a table once; raw and staged tables are only projections."""
     reads = [n for c in checks if c.kind not in _ROW_LEVEL for n in (c.model, c.to) if n]
     reads += list({c.model for c in checks if c.kind in _ROW_LEVEL})
     stored: dict[str, DataFrame] = {}
 
     def table(name: str) -> DataFrame:
-        if name in facts and reads.count(name) > 1:
+        if reads.count(name) > 1 and not name.startswith(("raw_", "stg_")):
             if name not in stored:
                 stored[name] = stored_table(resolve(name), name)
             return stored[name]
@@ -172,20 +190,36 @@ def stored_resolver(checks: Sequence[Check], resolve: Callable[[str], DataFrame]
     return table
 
 
+def _of_parent(c: Check, model: Callable[[str], DataFrame], facts: Mapping[str, Weighted]
+               ) -> DataFrame:
+    """Orphan keys of a relationships check."""
+    child = facts[c.model].rows if c.model in facts else model(c.model)
+    parent = facts[c.to].rows if c.to in facts else model(c.to)
+    n_rows = "n_rows" if c.model in facts else "1"
+    if c.to in facts and c.column == c.field == "scheduled_trip_id":
+        # Departures of a trip are the same series in both facts, so a key
+        # is there if its trip is.
+        return orphan_keys(child, "trip_id", parent, "trip_id", n_rows)
+    return orphan_keys(child, c.column, parent, c.field, n_rows)
+
+
 def run_checks(spark: SparkSession, checks: Sequence[Check],
-               resolve: Callable[[str], DataFrame]) -> DataFrame:
+               resolve: Callable[[str], DataFrame],
+               facts: Mapping[str, Weighted] | None = None) -> DataFrame:
     """Evaluate ``checks`` (models looked up with ``resolve``) into one
-    summary row per check."""
-    model = resolve
+    summary row per check.  ``facts`` gives models as weighted rows, which
+    are then never formed (see ``fact_checks``)."""
+    model, facts = resolve, facts or {}
     parts: list[DataFrame] = []
     row_level: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in _ROW_LEVEL:
             row_level.setdefault(c.model, []).append(c)
     for name, group in row_level.items():
-        aggs = [F.expr(_row_level_sql(c)).alias(f"c{i}") for i, c in enumerate(group)]
+        weighted = facts.get(name)
+        aggs = [F.expr(_row_level_sql(c, weighted)).alias(f"c{i}") for i, c in enumerate(group)]
         stack = ", ".join(f"{_lit(c.check_id)}, CAST(c{i} AS BIGINT)" for i, c in enumerate(group))
-        one_pass = model(name).agg(*aggs).selectExpr(
+        one_pass = (weighted.rows if weighted else model(name)).agg(*aggs).selectExpr(
             f"stack({len(group)}, {stack}) AS (check_id, failures)")
         meta = spark.createDataFrame(
             [(c.check_id, c.kind, c.model, c.column_name) for c in group],
@@ -193,18 +227,21 @@ def run_checks(spark: SparkSession, checks: Sequence[Check],
         parts.append(F.broadcast(meta).join(one_pass, "check_id").select(
             "check_id", "check_type", "model", "column_name", "failures"))
     for c in checks:
-        if c.kind == "unique":
-            failed = unique_failures(model(c.model), c.column)
+        if c.kind == "unique" and c.model in facts:
+            failed = facts[c.model].repeats.agg(
+                F.coalesce(F.sum("n_keys"), F.lit(0)).alias("failures"))
+        elif c.kind == "unique":
+            failed = unique_failures(model(c.model), c.column).agg(
+                F.count(F.lit(1)).alias("failures"))
         elif c.kind == "unique_combination":
-            failed = unique_combination_failures(model(c.model), list(c.column))
+            failed = unique_combination_failures(model(c.model), list(c.column)).agg(
+                F.count(F.lit(1)).alias("failures"))
         elif c.kind == "relationships":
-            orphans = orphan_keys(model(c.model), c.column, model(c.to), c.field)
-            parts.append(_summary_row(orphans.agg(
-                F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")), c))
-            continue
+            failed = _of_parent(c, model, facts).agg(
+                F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
         else:
             continue
-        parts.append(_summary_row(failed.agg(F.count(F.lit(1)).alias("failures")), c))
+        parts.append(_summary_row(failed, c))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -212,6 +249,82 @@ def run_checks(spark: SparkSession, checks: Sequence[Check],
                           .otherwise(F.lit("pass")))
 
 
+# Columns that name a row of each model in a report.
+ROW_KEYS: dict[str, tuple[str, ...]] = {
+    "raw_stops": ("stop_id",), "raw_routes": ("route_id",), "raw_trips": ("trip_id",),
+    "raw_stop_times": ("trip_id", "stop_sequence"), "raw_frequencies": ("trip_id", "start_time"),
+    "stg_stops": ("stop_id",), "stg_routes": ("route_id",), "stg_trips": ("trip_id",),
+    "stg_stop_times": ("trip_id", "stop_sequence"), "stg_calendar": ("service_id",),
+    "stg_calendar_dates": ("service_id", "exception_date"), "stg_frequencies": ("trip_id",),
+    "dim_date": ("date_id",), "dim_route": ("route_id",), "dim_stop": ("stop_id",),
+    "dim_service": ("service_id",), "fact_scheduled_trip": ("trip_id",),
+    "fact_scheduled_stop_event": ("trip_id", "stop_sequence"), "route_summary": ("route_id",),
+    "daily_stop_arrivals": ("service_date", "stop_id"),
+    "hourly_network_density": ("service_date", "hour_of_day", "service_category"),
+}
+
+
+def failing_rows(checks: Sequence[Check], resolve: Callable[[str], DataFrame],
+                 facts: Mapping[str, Weighted] | None = None) -> DataFrame:
+    """(check_id, row_key, n_records): what fails each check.
+
+    Row-level checks name rows by ``ROW_KEYS`` (nulls as ``-``); all of a
+    model are evaluated in one scan, which emits an array of the checks that a
+    row fails.  ``unique``, ``unique_combination`` and ``accepted_values``
+    name the values, ``relationships`` the keys without a parent.  A repeated
+    key of the facts is named by its trip (and departure); of stop visits,
+    ``n_records`` is the trip's number of repeated keys."""
+    facts = facts or {}
+
+    def named(columns: Sequence[str]) -> F.Column:
+        return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-"))
+                                  for c in columns])
+
+    parts = []
+    for name in dict.fromkeys(c.model for c in checks):
+        group = [c for c in checks if c.model == name and c.kind in ("not_null", "between")]
+        if not group:
+            continue
+        weighted = facts.get(name)
+        each = ", ".join(f"named_struct('check_id', {_lit(c.check_id)}, 'n', "
+                         f"CAST({_failing_rows_of(c, weighted)} AS BIGINT))" for c in group)
+        rows = (weighted.rows if weighted else resolve(name)).select(
+            named(ROW_KEYS[name]).alias("row_key"),
+            F.explode(F.expr(f"filter(array({each}), x -> x.n > 0)")).alias("x"))
+        parts.append(rows.groupBy(F.col("x.check_id").alias("check_id"), "row_key").agg(
+            F.sum("x.n").alias("n_records")))
+    for c in checks:
+        if c.kind == "unique" and c.model in facts:
+            rows = facts[c.model].repeats.select(F.col("key").alias("row_key"),
+                                                 F.col("n_keys").alias("n_records"))
+        elif c.kind == "unique":
+            rows = unique_failures(resolve(c.model), c.column).select(
+                F.col("unique_field").cast("string").alias("row_key"), "n_records")
+        elif c.kind == "unique_combination":
+            rows = unique_combination_failures(resolve(c.model), list(c.column)).select(
+                named(c.column).alias("row_key"), "n_records")
+        elif c.kind == "accepted_values":
+            rows = accepted_values_failures(resolve(c.model), c.column, c.values).select(
+                F.col("value_field").cast("string").alias("row_key"), "n_records")
+        elif c.kind == "relationships":
+            rows = _of_parent(c, resolve, facts).select(
+                F.col("key").cast("string").alias("row_key"), "n_records")
+        else:
+            continue
+        parts.append(rows.select(F.lit(c.check_id).alias("check_id"), "row_key",
+                                 F.col("n_records").cast("long").alias("n_records")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def write_failing_rows(rows: DataFrame, path: str) -> None:
+    """Failing rows as a table with one folder per check."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "check_id").parquet(path)
+
+
 # --- the declared checks --------------------------------------------------------
 
 def _nn(model: str, *cols: str) -> list[Check]:

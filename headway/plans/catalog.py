@@ -154,12 +154,18 @@ def service_active_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 from headway.operators import quality as _q  # noqa: E402
 
 
+def _facts(m: FeedModels, checks: list) -> dict:
+    """The facts as weighted rows, if any of the checks asks for them."""
+    names = ("fact_scheduled_trip", "fact_scheduled_stop_event")
+    return m.weighted_facts if any(c.model in names for c in checks) else {}
+
+
 def _dq_query(name: str, kind: str) -> None:
     checks = _q.checks_of(kind)
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         m = _models(spark, sf_dir)
-        return _q.run_checks(spark, checks, _q.stored_resolver(checks, m.table))
+        return _q.run_checks(spark, checks, _q.stored_resolver(checks, m.table), _facts(m, checks))
     build.__name__ = name
     build.__doc__ = f"Every declared {kind} check over all layers of the bridged feed."
     REGISTRY[name] = (build, oracle.quality(checks))
@@ -172,6 +178,17 @@ for _name, _kind in (("dq_not_null", "not_null"), ("dq_unique", "unique"),
     _dq_query(_name, _kind)
 
 
+@register("dq_failing_rows", oracle.failing_rows(_q.ALL_CHECKS, _q.ROW_KEYS))
+def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What fails each of the declared checks, written as a table with one
+    folder per check and read back."""
+    m, path = _models(spark, sf_dir), f"{_scratch(spark, 'failing')}/rows"
+    rows = _q.failing_rows(_q.ALL_CHECKS, _q.stored_resolver(_q.ALL_CHECKS, m.table),
+                           m.weighted_facts)
+    _q.write_failing_rows(rows, path)
+    return spark.read.schema("row_key string, n_records long, check_id string").parquet(path)
+
+
 # --- ingestion round trips --------------------------------------------------------
 def _scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's checkpoint folder (shared storage

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from headway.operators import calendar as cal
 from headway.operators import dims, presentation, schedule, staging
+from headway.operators.fact_checks import Weighted, stop_event_fact, trip_fact
 from headway.operators.joins import ROWS_PER_TASK, cells, spread
 from headway.session import stored_table
 from headway.sources.schemas import conform, empty_table, raw_schema
@@ -265,6 +266,14 @@ class FeedModels:
             self.window_stops, self.load["visits"], "trip_id", "window_start_seconds",
             "headway_seconds", "stop_sequence", "stop_id"))
 
+    @cached_property
+    def weighted_facts(self) -> dict[str, Weighted]:
+        """The facts as weighted rows, to be checked without forming them."""
+        windows = stored_table(self.trip_windows, "trip_windows")
+        return {"fact_scheduled_trip": trip_fact(windows),
+                "fact_scheduled_stop_event": stop_event_fact(windows, self.stg_stop_times,
+                                                             self.trip_stop_stats)}
+
     # presentation --------------------------------------------------------
     @cached_property
     def presentation_route_summary(self) -> DataFrame:
