@@ -58,8 +58,8 @@ ORC_OPTIONS = {
     "orc.stripe.size": str(64 << 20),
     "compression": "zstd",
 }
-KEPT_WORDS = 1 << 18      # words, and parts of words, whose ids a worker remembers
-KEPT_PARTS = 1 << 19
+KEPT_WORDS = 1 << 19      # words, and parts of words, whose ids a worker remembers
+KEPT_PARTS = 1 << 18
 KEPT_CHARS = 64
 
 #: Characters that stay as they are under NFC, whose lower case depends on
