@@ -247,6 +247,44 @@ def snapshot_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_trips(conform(replayed, "trips"))
 
 
+@register("truncate_and_load", oracle.sql(
+    "SELECT * FROM stg_trips WHERE direction_id = 0", ("stg_trips",)))
+def truncate_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips loaded into a table twice; the second load, of one
+    direction, is all that is there afterwards."""
+    from headway.operators import staging
+    from headway.sources.archive import load_tables
+    from headway.sources.bridge import stored_raw_feed
+    from headway.sources.schemas import conform
+    target, trips = _scratch(spark, "raw"), stored_raw_feed(spark, sf_dir)["trips"]
+    load_tables(spark, {"trips": trips}, target)
+    loaded = load_tables(spark, {"trips": trips.where("direction_id = '0'")}, target)["trips"]
+    return staging.stg_trips(conform(loaded, "trips"))
+
+
+@register("empty_table_replay", oracle.sql("""
+SELECT 'stop_times' AS table_name, count(*) AS rows, 9 AS declared_columns FROM raw_stop_times
+UNION ALL SELECT 'calendar_dates', 0, 3""", ("raw_stop_times",)))
+def empty_table_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of stop times with a header-only calendar_dates, taken in as
+    the stream does and replayed: rows and declared columns of each table."""
+    from headway.sources.archive import replay_snapshot
+    from headway.sources.bridge import stored_raw_feed
+    from headway.sources.schemas import DECLARED_COLUMNS
+    from headway.streaming.feed_watch import archive_batch
+    rows, root = stored_raw_feed(spark, sf_dir)["stop_times"], _scratch(spark, "archive")
+    archives = _zip_archives(rows, 1 + rows.count() // _ZIP_ROWS)
+    tables = ("stop_times", "calendar_dates")
+    archive_batch(archives.withColumn("snapshot_date", F.lit("2024-01-01")), root, tables)
+    out = None
+    for name, df in replay_snapshot(spark, root, list(tables), "2024-01-01").items():
+        known = sum(c in DECLARED_COLUMNS[name] for c in df.columns)
+        one = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+                     F.lit(known).alias("declared_columns"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("service_calendar_dated", oracle.sql(
     "SELECT c.service_id, d.* FROM service_calendar c JOIN dim_date d ON d.date_id = c.service_date",
     ("service_calendar", "dim_date")))
@@ -272,6 +310,7 @@ def _zip_archives(rows: DataFrame, n: int) -> DataFrame:
         held = io.BytesIO()
         with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("feed/stop_times.txt", text)
+            archive.writestr("feed/calendar_dates.txt", "service_id,date,exception_type\n")
             archive.writestr("feed/readme.md", "no table")
         return pd.DataFrame({"path": [f"zip:/{pdf['part'].iloc[0]}.zip"],
                              "content": [held.getvalue()]})

@@ -6,9 +6,12 @@
   ``root/_source/snapshot_date=<date>/``.
 * ``archive_snapshot``: one folder per table and snapshot,
   ``root/<table>/snapshot_date=<date>``.  Writing a snapshot again replaces
-  that folder, also when the table has become empty.
+  it, also when the table has become empty.
 * ``replay_snapshot``: the raw tables as of one snapshot date, from that
   snapshot's folders alone, with the columns it had.
+
+Tables and snapshots are published (see ``sources.publish``): readers see a
+whole state, the old or the new one.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.sources import files
+from headway.sources.publish import Manifest, publish, read_manifest, read_published
 from headway.sources.schemas import DECLARED_COLUMNS, conform, raw_schema
 
 
@@ -32,12 +36,7 @@ def write_table(df: DataFrame, path: str, partitions: int | None = None) -> None
 
 def load_tables(spark: SparkSession, tables: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
     """Replace each table under ``target/<name>`` and read it back."""
-    out = {}
-    for name, df in tables.items():
-        path = f"{target.rstrip('/')}/{name}"
-        write_table(df, path)
-        out[name] = spark.read.schema(df.schema).parquet(path)
-    return out
+    return {name: publish(df, f"{target.rstrip('/')}/{name}") for name, df in tables.items()}
 
 
 def _place(root: str, table: str, snapshot_date: str) -> str:
@@ -52,7 +51,15 @@ def archive_source(spark: SparkSession, path: str, root: str, snapshot_date: str
 def archive_snapshot(tables: dict[str, DataFrame], root: str, snapshot_date: str) -> None:
     """Add (or replace) one snapshot of every table under ``root``."""
     for name, df in tables.items():
-        write_table(df.drop("snapshot_date"), _place(root, name, snapshot_date))
+        publish(df.drop("snapshot_date"), _place(root, name, snapshot_date))
+
+
+def _units(spark: SparkSession, place: str) -> dict[str, Manifest]:
+    """What is published of a snapshot, by folder: the whole, or one part
+    per archive of that date."""
+    inner = [f"{place}/{n}" for n in files.folders(spark, place) if n.startswith("archive=")]
+    found = {p: read_manifest(spark, p) for p in (place, *inner)}
+    return {p: m for p, m in found.items() if m is not None}
 
 
 def replay_snapshot(spark: SparkSession, root: str, tables: list[str],
@@ -61,7 +68,13 @@ def replay_snapshot(spark: SparkSession, root: str, tables: list[str],
     a table lacks is an error."""
     out = {}
     for name in tables:
-        df = spark.read.parquet(_place(root, name, snapshot_date)).drop("archive")
+        units = _units(spark, _place(root, name, snapshot_date))
+        if not units:
+            raise FileNotFoundError(f"{name} has no snapshot of {snapshot_date} in {root}")
+        df = None
+        for place in units:
+            part = read_published(spark, place)
+            df = part if df is None else df.unionByName(part, allowMissingColumns=True)
         out[name] = conform(df, name) if name in DECLARED_COLUMNS else df
     return out
 
@@ -70,17 +83,24 @@ def replay_all(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Every snapshot of one table, with ``snapshot_date``; columns that only
     some snapshots have are NULL in the others."""
     path = f"{root.rstrip('/')}/{table}"
-    if not files.exists(spark, path):
+    listed = [f"{place}/{name}" for date in _dates(spark, path)
+              for place, m in _units(spark, f"{path}/snapshot_date={date}").items()
+              for name in m.files]
+    if not listed:
         return spark.createDataFrame([], raw_schema(table, ("snapshot_date",)))
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    df = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*listed)
     return conform(df.withColumn("snapshot_date", F.col("snapshot_date").cast("string")),
                    table, keep=tuple(c for c in ("archive", "snapshot_date") if c in df.columns))
 
 
+def _dates(spark: SparkSession, path: str) -> list[str]:
+    return [n.partition("=")[2] for n in files.folders(spark, path)
+            if n.startswith("snapshot_date=") and _units(spark, f"{path}/{n}")]
+
+
 def snapshot_dates(spark: SparkSession, root: str, table: str) -> DataFrame:
     """(snapshot_date): the archived snapshots of a table, empty ones too."""
-    names = [n.partition("=")[2] for n in files.folders(spark, f"{root.rstrip('/')}/{table}")
-             if n.startswith("snapshot_date=")]
+    names = _dates(spark, f"{root.rstrip('/')}/{table}")
     return spark.createDataFrame([(n,) for n in names], "snapshot_date string")
 
 

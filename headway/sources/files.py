@@ -7,6 +7,7 @@ readers.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
@@ -42,6 +43,45 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory())
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` (none if it isn't there)."""
+    fs, place = _open(spark, path)
+    if not fs.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(place) if s.isFile())
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None if it isn't there."""
+    fs, place = _open(spark, path)
+    if not fs.exists(place):
+        return None
+    stream = fs.open(place)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(
+            stream)).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file in one step: readers see the old or the new."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs, place = _open(spark, path)
+    fs.mkdirs(place.getParent())
+    held = hadoop.Path(place.getParent(), f".{place.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(held, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    over = spark.sparkContext._gateway.new_array(
+        getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    where = fs.makeQualified(place)
+    hadoop.FileContext.getFileContext(where.toUri(), conf).rename(
+        fs.makeQualified(held), where, over)
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[File]:
     """The files that ``pattern`` (a file, folder or glob) names, those in
     folders included; names beginning with ``_`` or ``.`` are no data."""

@@ -4,7 +4,7 @@ A registry lists entries ``{name, path, format, description, refresh}`` (a
 YAML/JSON file with a ``datasets`` list, or Python dicts).  Loading an entry
 takes four steps: find its source files, keep them unparsed under
 ``<target>/_source/<name>/<load date>``, parse them with Spark's reader for
-the format, and replace the table ``<target>/<name>``.  What goes wrong in
+the format, and replace the table ``<target>/<name>`` in one step.  What goes wrong in
 one entry is reported with its whole error text and the others still load;
 an empty registry is a no-op.  The result is a status DataFrame
 ``(name, format, status, rows, error)``.
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.sources import files
-from headway.sources.archive import write_table
+from headway.sources.publish import publish, read_manifest
 
 #: Format -> reader options.
 READERS: dict[str, dict[str, str]] = {
@@ -50,8 +50,8 @@ def load_entry(spark: SparkSession, entry: dict, target: str, load_date: str) ->
     if not kept:
         raise FileNotFoundError(f"no file at {entry['path']}")
     place = f"{target}/{entry['name']}"
-    write_table(spark.read.format(kind).options(**READERS[kind]).load(entry["path"]), place)
-    return spark.read.parquet(place).count()
+    publish(spark.read.format(kind).options(**READERS[kind]).load(entry["path"]), place)
+    return read_manifest(spark, place).rows
 
 
 def load_registry(spark: SparkSession, entries: Sequence[dict] | str, target: str,

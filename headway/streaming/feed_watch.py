@@ -5,7 +5,7 @@ Feeds arrive as zip archives in a landing folder (optionally under
 Streaming query over that folder: the file source remembers which archives
 it has already taken (in the checkpoint), and each micro-batch extracts the
 new archives' tables into the snapshot archive, one folder per snapshot date
-and archive.  Archives of one date stand beside each other; an archive
+and archive, each published in one step.  Archives of one date stand beside each other; an archive
 delivered again under its own path replaces itself, tables that have become
 empty or that it no longer has included.  With ``availableNow`` the query
 processes what has landed and stops, which is how a scheduled ingestion run
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.sources import files
+from headway.sources.publish import added_files, data_files, switch
 from headway.sources.schemas import KNOWN_TABLES
 from headway.sources.zipfeed import ZipTables
 
@@ -37,16 +38,25 @@ def _dated(batch: DataFrame) -> DataFrame:
 def archive_batch(batch: DataFrame, archive_root: str,
                   tables: tuple[str, ...] = KNOWN_TABLES) -> None:
     """Put every table of the archives in ``batch`` into the archive."""
+    spark = batch.sparkSession
     archives = _dated(batch)
     found = ZipTables(archives, tables)
     root = archive_root.rstrip("/")
-    for r in archives.select("snapshot_date", "archive").distinct().collect():  # of one batch
-        for table in tables:
-            files.delete(batch.sparkSession, f"{root}/{table}/snapshot_date={r.snapshot_date}"
-                                             f"/archive={r.archive}")
+    # As many rows as the batch's archives have tables.
+    listed = found.manifest().join(archives.select(
+        F.col("path").alias("source_path"), "snapshot_date", "archive"), "source_path").collect()
+    units = {r: f"{root}/{r.table_name}/snapshot_date={r.snapshot_date}/archive={r.archive}"
+             for r in listed}
+    before = {r: set(data_files(spark, place)) for r, place in units.items()}
     for table in tables:
         (found.table(table).write.mode("append").partitionBy("snapshot_date", "archive")
          .parquet(f"{root}/{table}"))
+    for r, place in units.items():
+        if r.status == "loaded":
+            schema = found.table(r.table_name).drop("snapshot_date", "archive").schema
+            switch(spark, place, added_files(spark, place, before[r]), schema, r.rows)
+        else:      # gone from an archive that had it before
+            files.delete(spark, place)
 
 
 ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"

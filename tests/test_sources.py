@@ -149,6 +149,45 @@ def test_tables_are_truncated_and_loaded(spark, scratch):
     assert [r.stop_id for r in again.collect()] == ["C"]
 
 
+def test_a_write_that_stops_before_it_is_published_changes_nothing(spark, scratch, monkeypatch):
+    from headway.sources import publish as p
+    place = os.path.join(scratch, "t")
+    p.publish(stops(spark, [("A", "a"), ("B", "b")]), place)
+    with monkeypatch.context() as m:
+        m.setattr(p, "switch", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            p.publish(stops(spark, [("C", "c")]), place)
+    assert sorted(r.stop_id for r in p.read_published(spark, place).collect()) == ["A", "B"]
+    archive_snapshot({"t": stops(spark, [("A", "a")])}, scratch, "2024-01-01")
+    with monkeypatch.context() as m:
+        m.setattr(p, "switch", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        for date in ("2024-01-01", "2024-01-02"):
+            with pytest.raises(RuntimeError):
+                archive_snapshot({"t": stops(spark, [("X", "x")])}, scratch, date)
+    assert [r.stop_id for r in replay_snapshot(spark, scratch, ["t"], "2024-01-01")["t"].collect()] == ["A"]
+    assert latest_snapshot(spark, scratch, "t").first()[0] == "2024-01-01"
+    # What the stopped writes left goes with the next one.
+    now = p.publish(stops(spark, [("D", "d")]), place)
+    assert [r.stop_id for r in now.collect()] == ["D"]
+    held = p.read_manifest(spark, place)
+    assert sorted(held.files) == p.data_files(spark, place) and held.rows == 1
+
+
+def test_a_header_only_table_of_an_archive_is_replayed_with_its_columns(spark, scratch):
+    from headway.streaming.feed_watch import archive_batch
+    landing, root = os.path.join(scratch, "landing"), os.path.join(scratch, "archive")
+    _zip(f"{landing}/snapshot_date=2024-01-01/a.zip", {
+        "calendar_dates.txt": "service_id,date,exception_type,note\n", "stops.txt": STOPS_TXT})
+    archive_batch(list_archives(spark, landing), root, ("calendar_dates", "stops", "trips"))
+    got = replay_snapshot(spark, root, ["calendar_dates", "stops"], "2024-01-01")
+    assert got["calendar_dates"].count() == 0 and got["stops"].count() == 2
+    assert got["calendar_dates"].columns[:3] == ["service_id", "date", "exception_type"]
+    assert replay_all(spark, root, "calendar_dates").count() == 0
+    assert latest_snapshot(spark, root, "calendar_dates").first()[0] == "2024-01-01"
+    with pytest.raises(FileNotFoundError):
+        replay_snapshot(spark, root, ["trips"], "2024-01-01")
+
+
 def test_changed_input_is_loaded_again(spark, scratch):
     import shutil
     here = os.path.join(scratch, "sf")
