@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.labels import WEEKDAY_FLAGS
+from headway.session import stored_table
 
 # The spine covers these days, both ends included.
 SPINE_START = dt.date(2020, 1, 1)
@@ -87,3 +88,19 @@ def service_calendar(calendar: DataFrame, calendar_dates: DataFrame,
         F.expr("max(in_pattern) AS in_pattern"), F.expr("max(removed) AS removed"),
         F.expr("max(added) AS added"))
     return flags.where("added OR (in_pattern AND NOT removed)").select("service_id", "service_date")
+
+
+def date_classes(service_dates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Services by their sets of active dates: (service_id, date_class) and
+    (date_class, service_date).  Feeds name many services that run on the
+    same dates; what is counted for them can be summed before dates are
+    joined.  A service has at most as many dates as the spine and its
+    exceptions, so a set of them is small."""
+    sets = service_dates.groupBy("service_id").agg(
+        F.array_sort(F.collect_set(F.struct("service_date"))).alias("dates"))
+    sets = stored_table(sets.withColumn("date_class", F.sha2(F.to_json("dates"), 256)),
+                        "date_classes")
+    dates = sets.groupBy("date_class").agg(F.first("dates").alias("dates"))
+    return (sets.select("service_id", "date_class"),
+            dates.select("date_class", F.explode("dates").alias("d"))
+            .select("date_class", "d.service_date"))

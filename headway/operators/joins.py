@@ -29,14 +29,19 @@ from pyspark.sql import functions as F
 
 #: Rows that one task should emit.
 ROWS_PER_TASK = 2_000_000
+#: Tasks of one expansion; 5e11 rows are then 15 million a task.
+MOST_TASKS = 32_768
 _LEFT, _RIGHT = "__left_cell", "__right_cell"
 
 
 def partitions_for(spark, rows: int | None, rows_per_task: int | None = None) -> int:
     """Partitions for a step that emits ``rows`` rows: the session's shuffle
-    partitions, or more when tasks would emit over ``rows_per_task`` rows."""
+    partitions, or more when tasks would emit over ``rows_per_task`` rows, up
+    to ``MOST_TASKS``.  Emitted rows stream out of a task, so a longer task
+    needs no more memory, while the cost of a shuffle grows with its tasks."""
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(base, -(-int(rows or 0) // (rows_per_task or ROWS_PER_TASK)))
+    wanted = -(-int(rows or 0) // (rows_per_task or ROWS_PER_TASK))
+    return max(base, min(wanted, MOST_TASKS))
 
 
 def spread(df: DataFrame, rows: int | None, *columns: str) -> DataFrame:

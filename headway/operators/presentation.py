@@ -10,8 +10,8 @@ departures per window.
 
 The date-grained marts keep the template -> expand -> re-aggregate shape:
 visits are first counted per (service, ..., next-day offset), the small
-template is joined with the active service dates, and only then re-summed
-to the clock-date grain.  Catalyst does not push an aggregate through that
+template is summed over services with the same active dates, joined with
+those, and only then re-summed to the clock-date grain.  Catalyst does not push an aggregate through that
 join, so the order is written out here.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.series import col, count_in_range, hour_buckets
 from headway.functions.times import SECONDS_PER_DAY, clock_date
+from headway.operators.calendar import date_classes
 from headway.operators.joins import spread
 
 
@@ -116,15 +117,18 @@ def visits_by_service_hour(pairs: DataFrame) -> DataFrame:
 
 def _expand_over_dates(template: DataFrame, service_dates: DataFrame,
                        keys: list[str]) -> DataFrame:
-    """template (service_id, next_day_offset, ...) x active dates.
-
-    Each template row becomes as many rows as its service has active dates
-    (hundreds to thousands), so the template, which is small, is dealt evenly
-    by its whole key first: the rows of one service then lie in many tasks.
-    Active dates are broadcast if Spark finds them small; otherwise the join
-    is a plain shuffle that AQE can split."""
-    dealt = spread(template, None, "service_id", *keys)
-    joined = dealt.join(service_dates, "service_id")
+    """template (service_id, keys, arrivals_count) x active dates.
+
+    Services that run on the same dates are summed first (``date_classes``),
+    so the rows to be joined grow with the classes, not the services.  Each of
+    them becomes as many rows as its class has active dates (hundreds to
+    thousands), so they, which are few, are dealt evenly first.  Active dates
+    are broadcast if Spark finds them small; otherwise the join is a plain
+    shuffle that AQE can split."""
+    classes, dates = date_classes(service_dates)
+    summed = template.join(classes, "service_id").groupBy("date_class", *keys).agg(
+        F.sum("arrivals_count").alias("arrivals_count"))
+    joined = spread(summed, None, "date_class", *keys).join(dates, "date_class")
     return joined.withColumn("clock_date", clock_date("service_date", "next_day_offset"))
 
 
@@ -159,7 +163,8 @@ def hourly_network_density(pairs: DataFrame, dim_route: DataFrame,
     """Arrivals per (clock date, clock hour, service category)."""
     template = hourly_template(pairs, dim_route)
     expanded = _expand_over_dates(template, service_dates,
-                                  ["service_category", "hour_of_day", "next_day_offset"])
+                                  ["service_category", "hour_of_day", "next_day_offset",
+                                   *_feed(dim_route)])
     feed = _feed(dim_route)
     return expanded.groupBy("clock_date", "hour_of_day", "service_category", *feed).agg(
         F.sum("arrivals_count").cast("long").alias("arrivals_count")) \

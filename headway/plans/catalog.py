@@ -448,6 +448,28 @@ def registry_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_registry(spark, entries, f"{folder}/out").drop("error")
 
 
+@register("catalog_marts", oracle.sql(
+    "SELECT s.service_id, s.service_name, s.active_days_count, count(c.service_date) AS dates "
+    "FROM dim_service s LEFT JOIN service_calendar c USING (service_id) GROUP BY ALL",
+    ("dim_service", "service_calendar")))
+def catalog_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service dimension and the date dimension built into the catalog's
+    database of their layer, and read from there by qualified name."""
+    import uuid
+
+    from headway.plans.build import build_all
+    m, name = _models(spark, sf_dir), f"headway_{uuid.uuid4().hex[:8]}"
+    build_all(spark, m, _scratch(spark, "warehouse"), run_quality=False, databases=name,
+              only=("dim_service", "dim_date"))
+    m.service_calendar.createOrReplaceTempView(f"{name}_active")
+    return spark.sql(f"""
+        SELECT s.service_id, s.service_name, s.active_days_count, count(d.date_id) AS dates
+        FROM {name}_marts_core.dim_service s LEFT JOIN {name}_active a
+          ON a.service_id = s.service_id
+        LEFT JOIN {name}_marts_core.dim_date d ON d.date_id = a.service_date
+        GROUP BY ALL""")
+
+
 @register("warehouse_build_checks", oracle.quality(_q.ALL_CHECKS))
 def warehouse_build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build every model of the bridged feed in dependency order, write the

@@ -59,3 +59,14 @@ def test_dim_date_shape(spark):
     assert (row.day_of_week, row.day_name, row.day_name_short, row.month_name,
             row.year_month, row.is_weekend, row.iso_week_number, row.quarter) == \
         (7, "Saturday", "Sat", "January", "2024-01", True, 1, 1)
+
+
+def test_services_of_the_same_dates_are_one_class(spark):
+    day = [dt.date(2024, 1, d) for d in range(1, 5)]
+    rows = ([("A", d) for d in day] + [("B", d) for d in reversed(day)] + [("C", day[0])]
+            + [("D", day[0]), ("D", None), (None, day[1])] + [("E", day[0])] * 2)
+    classes, dates = cal.date_classes(spark.createDataFrame(rows, "service_id string, service_date date"))
+    of = {r.service_id: r.date_class for r in classes.collect()}
+    assert of["A"] == of["B"] and of["C"] == of["E"] and len(set(of.values())) == 4
+    held = {(r.date_class, r.service_date) for r in dates.collect()}
+    assert held == {(of[s], d) for s, d in rows} and dates.count() == len(held)

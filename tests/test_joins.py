@@ -107,6 +107,7 @@ def test_expansion_partitions_grow_with_output(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert joins.partitions_for(spark, 10) == joins.partitions_for(spark, None) == base
     assert joins.partitions_for(spark, 10_000_000_001, rows_per_task=1_000_000) == 10_001
+    assert joins.partitions_for(spark, 500_000_000_000) == joins.MOST_TASKS
 
 
 def test_model_graph_totals(spark):
