@@ -139,8 +139,22 @@ class FeedModels:
     def from_bridge(cls, spark: SparkSession, sf_dir: str, stored: bool = True) -> "FeedModels":
         """Models over the feed mapped from the test tables at ``sf_dir``;
         ``stored`` reads the raw tables from their stored copy (written once)."""
-        from headway.sources.bridge import raw_feed, stored_raw_feed
-        return cls(spark, stored_raw_feed(spark, sf_dir) if stored else raw_feed(spark, sf_dir))
+        from headway.sources.bridge import raw_feed, raw_folder, stored_raw_feed
+        if not stored:
+            return cls(spark, raw_feed(spark, sf_dir))
+        models = cls(spark, stored_raw_feed(spark, sf_dir))
+        models.kept_in = raw_folder(spark, sf_dir)
+        return models
+
+    #: Folder of the raw tables' present state, where what several jobs need
+    #: of them is stored once for all; None: each FeedModels has its own.
+    kept_in: str | None = None
+
+    def _kept(self, build, name: str) -> DataFrame:
+        if self.kept_in is None:
+            return stored_table(build(), name)
+        from headway.sources.bridge import stored_once
+        return stored_once(build, f"{self.kept_in}/{name}", self.spark)
 
     # staging -------------------------------------------------------------
     @cached_property
@@ -214,8 +228,8 @@ class FeedModels:
     def trip_loads(self) -> DataFrame:
         """Per trip: windows, departures, stop rows; stored, as both the sizes
         below and the grids read it."""
-        return stored_table(schedule.trip_loads(self.frequency_windows, self.trip_stop_stats),
-                            "trip_loads")
+        return self._kept(lambda: schedule.trip_loads(self.frequency_windows,
+                                                      self.trip_stop_stats), "trip_loads")
 
     @cached_property
     def load(self) -> dict[str, int]:

@@ -171,26 +171,33 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
 
 
-def stored_raw_feed(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
-    """The raw feed written once as parquet tables (the raw layer) and read
-    back, so every model reads stored raw tables with column pruning and
-    filter pushdown instead of recomputing the mapping.
-
-    The tables go under ``root`` (default: the session's checkpoint folder,
-    which on a cluster is the shared folder named by ``spark.checkpoint.dir``)
-    in a folder named by the source files' names, sizes and times, so files
-    that have changed are loaded anew.  A table is written when its
-    ``_SUCCESS`` marker is missing."""
+def raw_folder(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """The folder of what is stored for the given tables as they are now: it
+    is named by the source files' names, sizes and times, so files that have
+    changed have another.  It lies under ``root`` (default: the session's
+    checkpoint folder, on a cluster the shared folder of
+    ``spark.checkpoint.dir``)."""
     from headway.session import ensure_checkpoint_dir
     from headway.sources import files
-    from headway.sources.archive import write_table
-    base = root or ensure_checkpoint_dir(spark)
     seen = files.fingerprint(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES])
-    target = f"{base.rstrip('/')}/headway-raw-{seen}"
-    out = {}
-    for name, build in BUILDERS.items():
-        path = f"{target}/{name}"
-        if not files.exists(spark, f"{path}/_SUCCESS"):
-            write_table(build(spark, sf_dir), path)
-        out[name] = spark.read.parquet(path)
-    return out
+    return f"{(root or ensure_checkpoint_dir(spark)).rstrip('/')}/headway-raw-{seen}"
+
+
+def stored_once(build, path: str, spark: SparkSession) -> DataFrame:
+    """The table at ``path``; written from ``build()`` when its ``_SUCCESS``
+    marker is missing."""
+    from headway.sources import files
+    from headway.sources.archive import write_table
+    if not files.exists(spark, f"{path}/_SUCCESS"):
+        write_table(build(), path)
+    return spark.read.parquet(path)
+
+
+def stored_raw_feed(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
+    """The raw feed written once as parquet tables (the raw layer) and read
+    back, so every model reads stored raw tables with column pruning and
+    filter pushdown instead of recomputing the mapping.  Files that have
+    changed are loaded anew (``raw_folder``)."""
+    target = raw_folder(spark, sf_dir, root)
+    return {name: stored_once(lambda: build(spark, sf_dir), f"{target}/{name}", spark)
+            for name, build in BUILDERS.items()}
