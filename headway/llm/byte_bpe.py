@@ -137,24 +137,30 @@ def files(path: str | None, pattern: str | None) -> tuple[str, str]:
 
 
 def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", path: str | None = None,
-           pattern: str | None = None) -> DataFrame:
+           pattern: str | None = None, splits: bool = True) -> DataFrame:
     """``docs`` plus ``out``: ids, and for each token the characters
-    [start, end) it touches and whether it splits one."""
+    [start, end) it touches and, with ``splits``, whether it splits one.
+    Equal texts of one slice, and a text that goes on into the next slices,
+    are encoded once."""
     ship(docs.sparkSession)
     place, split_by = files(path, pattern)
+    names = ["ids", "start", "end"] + ["splits"] * splits
+    kind = "ids array<int>, start array<int>, end array<int>" + ", splits array<boolean>" * splits
 
-    @F.pandas_udf("ids array<int>, start array<int>, end array<int>, splits array<boolean>")
+    @F.pandas_udf(kind)
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         # Ids and offsets are several times a text's size, so they leave the
         # worker slice by slice; only their order has to be the input's.
+        rows: dict[str, tuple] = {}
         for batch in batches:
             for texts in slices(texts_of(batch)):
-                rows = []
-                for text, ids in zip(texts, encode_texts(texts, place, split_by)):
+                rows = {t: rows[t] for t in texts[:1] if t in rows}
+                distinct = [t for t in dict.fromkeys(texts) if t not in rows]
+                for text, ids in zip(distinct, encode_texts(distinct, place, split_by)):
                     start, end, cut = character_offsets(text, ids, place, split_by)
-                    rows.append((ids.astype("int32"), start.astype("int32"),
-                                 end.astype("int32"), cut))
-                yield pd.DataFrame(rows, columns=["ids", "start", "end", "splits"])
+                    rows[text] = (ids.astype("int32"), start.astype("int32"),
+                                  end.astype("int32"), cut)[:len(names)]
+                yield pd.DataFrame([rows[t] for t in texts], columns=names)
 
     return docs.withColumn(out, encoded(F.col(text_col)))
 

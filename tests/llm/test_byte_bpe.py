@@ -66,3 +66,17 @@ def test_rows_round_trip(documents):
         "text", b.decoded(b.F.col("t.ids")).cast("string").alias("back")).collect()
     assert all((r.text or "") == r.back for r in back)
     assert b.round_trip(documents([])).collect() == []
+
+
+def test_copies_side_by_side_are_encoded_alike(documents, monkeypatch):
+    monkeypatch.setattr(b, "SLICE_CHARS", 30)
+    texts = ["one text of some length é", "two", "two", "two", LONG[:5000], LONG[:5000], "", None, "two"]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    df = documents(rows, extra=True).coalesce(1)
+    whole = {r.doc_id: r.tokens for r in b.encode(df, out="tokens").collect()}
+    short = {r.doc_id: r.tokens for r in b.encode(df, out="tokens", splits=False).collect()}
+    assert "splits" in whole[0].asDict() and "splits" not in short[0].asDict()
+    single = {t: next(iter(b.encode_texts([t or ""], *b.files(None, None)))).tolist() for t in texts}
+    for i, t in enumerate(texts):
+        assert list(whole[i].ids) == list(short[i].ids) == single[t]
+        assert (list(whole[i].start), list(whole[i].end)) == (list(short[i].start), list(short[i].end))
