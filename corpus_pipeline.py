@@ -43,7 +43,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with the number of tokens."""
-    return byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), out="tokens").selectExpr(
+    return byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), out="tokens",
+                           splits=False).selectExpr(
         "doc_id", "lang", "source", "size(tokens.ids) AS n_tokens", "tokens.ids AS ids",
         "tokens.start AS char_start", "tokens.end AS char_end")
 
