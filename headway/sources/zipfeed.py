@@ -1,20 +1,24 @@
-"""Zip feed reader: many feed archives, one pass over each.
+"""Zip feed reader: many feed archives, their members side by side.
 
 ``spark.read.format("binaryFile")`` lists the archives (``key=value`` folders
-such as ``snapshot_date=2024-05-01`` become columns).  One ``mapInPandas``
-pass opens each archive in an executor and streams the records of all wanted
-members; they are stored once, partitioned by table, in the session's
-checkpoint folder, and every table is read from there.
+such as ``snapshot_date=2024-05-01`` become columns).  A first pass reads each
+archive's directory and cuts out the wanted members as they are, compressed;
+they are dealt to tasks by archive and member, and a second pass inflates each
+as a stream and streams its records.  So the members of one archive are read
+by several tasks, and none is ever held inflated.  The records are stored
+once, partitioned by table, in the session's checkpoint folder, and every
+table is read from there.
 
 Only ``.txt`` members count; the table name is the file stem; unknown members
 are ignored.  Every column of a member is kept, declared or not, and read as
 text (ids keep leading zeros); empty fields become NULL, and a UTF-8
 byte-order mark is dropped.  Quoted fields, also those of the header, may
-hold newlines.  A record with more fields than its header is an error.
+hold newlines.  A record with more fields than its header is an error, as is
+a member whose checksum is wrong.
 
-The function that runs in the executors holds all it needs, so workers don't
+The functions that run in the executors hold all they need, so workers don't
 have to have this package.  An archive is read whole by ``binaryFile``, which
-takes files up to 2 GB.
+takes files up to 2 GB (compressed).
 """
 
 from __future__ import annotations
@@ -38,53 +42,121 @@ def list_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
 
 
-def _reader(wanted: tuple[str, ...], extra: list[str], chunk: int):
-    """The executor-side pass: per member a record 0 that names its columns,
-    then its records from 1, each a map of column to text."""
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
+def _cutter(wanted: tuple[str, ...], extra: list[str]):
+    """The first pass: one row per wanted member, compressed as it is."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
         import os
+        import struct
         import zipfile
 
+        def packed(content, archive, info):
+            """(method, bytes) of a member; unusual methods are undone here."""
+            if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED) \
+                    or info.flag_bits & 1:
+                return zipfile.ZIP_STORED, archive.read(info)
+            # Its own header says how long its name and extra field are.
+            name, more = struct.unpack_from("<HH", content, info.header_offset + 26)
+            begin = info.header_offset + 30 + name + more
+            return info.compress_type, content[begin:begin + info.compress_size]
+
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                content = bytes(row["content"])
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for info in archive.infolist():
+                        stem, ending = os.path.splitext(os.path.basename(info.filename))
+                        if ending == ".txt" and stem in wanted:
+                            method, data = packed(content, archive, info)
+                            yield pd.DataFrame([{
+                                "source_path": row["path"], "table_name": stem,
+                                "member": info.filename, "method": method, "crc": info.CRC,
+                                "data": data, **{c: row[c] for c in extra}}])
+
+    return cut
+
+
+def _reader(extra: list[str], chunk: int):
+    """The second pass: per member a record 0 that names its columns, then
+    its records from 1, each a map of column to text."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+        import io
+        import zlib
+
         csv.field_size_limit(1 << 30)
 
-        def members(archive):
-            for info in archive.infolist():
-                stem, ending = os.path.splitext(os.path.basename(info.filename))
-                if ending == ".txt" and stem in wanted:
-                    yield stem, info
-
-        def chunks(archive, info):
-            with archive.open(info) as raw:
-                rows = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-                names = [n.strip() for n in next(rows, [])]
-                if not names:
-                    return
-                held = [(0, dict.fromkeys(names))]
-                for n, row in enumerate((r for r in rows if r), 1):
-                    if len(row) > len(names):
-                        raise ValueError(f"{info.filename}: record {n} has {len(row)} fields, "
-                                         f"the header {len(names)}")
-                    row += [""] * (len(names) - len(row))
-                    held.append((n, {k: v or None for k, v in zip(names, row)}))
-                    if len(held) >= chunk:
-                        yield held
-                        held = []
-                yield held
+        class Member(io.RawIOBase):
+            """A member's text, inflated piece by piece and checked."""
+            def __init__(self, row):
+                self.row, self.at, self.crc, self.held = row, 0, 0, b""
+                self.inflate = zlib.decompressobj(-15) if row["method"] else None
+
+            def readable(self):
+                return True
+
+            def readinto(self, into):
+                while not self.held:
+                    piece = self.row["data"][self.at:self.at + (1 << 16)]
+                    self.at += len(piece)
+                    if self.inflate is None:
+                        self.held = piece
+                    elif piece or self.inflate.unconsumed_tail:
+                        self.held = self.inflate.decompress(
+                            self.inflate.unconsumed_tail + piece, 1 << 20)
+                    if not self.held and not piece and not (
+                            self.inflate and self.inflate.unconsumed_tail):
+                        if self.crc != self.row["crc"]:
+                            raise ValueError(f"{self.row['member']}: its checksum is wrong")
+                        return 0
+                    self.crc = zlib.crc32(self.held, self.crc)
+                n = min(len(into), len(self.held))
+                into[:n], self.held = self.held[:n], self.held[n:]
+                return n
+
+        def chunks(row):
+            text = io.TextIOWrapper(io.BufferedReader(Member(row)), encoding="utf-8-sig",
+                                    newline="")
+            rows = csv.reader(text)
+            names = [n.strip() for n in next(rows, [])]
+            if not names:
+                return
+            held = [(0, dict.fromkeys(names))]
+            for n, fields in enumerate((r for r in rows if r), 1):
+                if len(fields) > len(names):
+                    raise ValueError(f"{row['member']}: record {n} has {len(fields)} fields, "
+                                     f"the header {len(names)}")
+                fields += [""] * (len(names) - len(fields))
+                held.append((n, {k: v or None for k, v in zip(names, fields)}))
+                if len(held) >= chunk:
+                    yield held
+                    held = []
+            yield held
 
         for batch in batches:
             for row in batch.to_dict("records"):
-                with zipfile.ZipFile(io.BytesIO(row["content"])) as archive:
-                    for table, info in members(archive):
-                        for held in chunks(archive, info):
-                            out = pd.DataFrame(held, columns=["record", "fields"])
-                            yield out.assign(source_path=row["path"], table_name=table,
-                                             **{c: row[c] for c in extra})
+                for held in chunks(row):
+                    out = pd.DataFrame(held, columns=["record", "fields"])
+                    yield out.assign(source_path=row["source_path"],
+                                     table_name=row["table_name"],
+                                     **{c: row[c] for c in extra})
 
     return read
 
 
+def members(archives: DataFrame, tables: tuple[str, ...] = KNOWN_TABLES) -> DataFrame:
+    """One row per wanted member of each archive, compressed, dealt to tasks
+    by archive and member."""
+    extra = [c for c in archives.columns if c not in _FILE_COLUMNS]
+    source = archives.select("path", "content", *[F.col(c).cast("string") for c in extra])
+    schema = ("source_path string, table_name string, member string, method int, crc bigint, "
+              "data binary" + "".join(f", `{c}` string" for c in extra))
+    spark = archives.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return source.mapInPandas(_cutter(tuple(tables), extra), schema).repartition(
+        n, "source_path", "member")
+
+
 class ZipTables:
     """The members of a set of archives, read once and stored by table."""
 
@@ -92,10 +164,9 @@ class ZipTables:
                  chunk: int = CHUNK_RECORDS):
         self.spark, self.tables = archives.sparkSession, tuple(tables)
         self.extra = [c for c in archives.columns if c not in _FILE_COLUMNS]
-        source = archives.select("path", "content", *[F.col(c).cast("string") for c in self.extra])
         schema = ("record bigint, fields map<string, string>, source_path string, "
                   "table_name string" + "".join(f", `{c}` string" for c in self.extra))
-        rows = source.mapInPandas(_reader(self.tables, self.extra, chunk), schema)
+        rows = members(archives, self.tables).mapInPandas(_reader(self.extra, chunk), schema)
         place = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/zip-{uuid.uuid4().hex}"
         rows.write.partitionBy("table_name").parquet(place)
         self.rows = self.spark.read.schema(rows.schema).parquet(place)

@@ -223,3 +223,37 @@ def test_zip_keeps_every_column_in_chunks(spark, scratch):
     _zip(f"{root}/b.zip", {"stops.txt": "stop_id\nA,too,many\n"})
     with pytest.raises(Exception):
         ZipTables(list_archives(spark, root), ("stops",))
+
+
+def test_members_of_one_archive_are_read_by_several_tasks(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from headway.sources.zipfeed import members
+    path = os.path.join(scratch, "zips", "a.zip")
+    os.makedirs(os.path.dirname(path))
+    texts = {t: f"{t}_id,note\n" + "".join(f"{t}{i},{'é' * (i % 90)}\n" for i in range(4000))
+             for t in ("stops", "routes", "trips", "shapes", "calendar", "agency")}
+    kinds = [zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED, zipfile.ZIP_BZIP2]
+    with zipfile.ZipFile(path, "w") as zf:
+        for i, (t, text) in enumerate(texts.items()):
+            zf.writestr(f"feed/{t}.txt", text, compress_type=kinds[i % 3])
+        zf.writestr("feed/frequencies.txt", "")
+    archives = list_archives(spark, os.path.dirname(path))
+    cut = members(archives, tuple(texts))
+    assert cut.count() == 6 and cut.select(F.spark_partition_id()).distinct().count() > 1
+    found = ZipTables(archives, (*texts, "frequencies"), chunk=1000)
+    for t in texts:
+        rows = {r[f"{t}_id"]: r.note for r in found.table(t).select(f"{t}_id", "note").collect()}
+        assert rows == {f"{t}{i}": "é" * (i % 90) or None for i in range(4000)}
+    assert found.table("frequencies").count() == 0
+
+
+def test_a_damaged_member_is_an_error(spark, scratch):
+    path = os.path.join(scratch, "zips", "a.zip")
+    _zip(path, {"stops.txt": "stop_id,stop_name\n" + "A,one\n" * 50})
+    held = bytearray(open(path, "rb").read())
+    held[45] ^= 1
+    with open(path, "wb") as f:
+        f.write(held)
+    with pytest.raises(Exception):
+        ZipTables(list_archives(spark, os.path.dirname(path)), ("stops",))
