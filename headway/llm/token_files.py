@@ -58,13 +58,15 @@ ORC_OPTIONS = {
     "orc.stripe.size": str(64 << 20),
     "compression": "zstd",
 }
-KEPT_WORDS = 1 << 19      # words, and parts of words, whose ids a worker remembers
-KEPT_PARTS = 1 << 18
+KEPT_WORDS = 1 << 18      # words, and parts of words, whose ids a worker remembers
+KEPT_PARTS = 1 << 19
 KEPT_CHARS = 64
 
 #: Characters that stay as they are under NFC, whose lower case depends on
 #: no other character, and whose white space is space, tab, LF, VT, FF, CR.
 _PLAIN = re.compile(r"[\t-\r -~À-ɏ]*")
+#: Marks that often end a word.
+_MARKS = ".,;:!?"
 
 
 class _Kept(dict):
@@ -100,6 +102,9 @@ class Encoder:
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
         self.cut = parts_of(spec)
         self.by_word = self.cut is not None and not any(t.split() != [t] for t in self.special)
+        # Are letters one part, and a mark after them another?
+        self.letters = self.by_word and all(
+            self.cut(x) == [x] and self.cut(x + c) == [x, c] for c in _MARKS for x in ("ab", "éß"))
         self.shown = dict(enumerate(byte_characters()))
         self.parts = _Kept(self._part, KEPT_PARTS)
         self.plain = _Kept(self._plain, KEPT_WORDS)
@@ -110,11 +115,15 @@ class Encoder:
         return np.array(found.ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        name = part.encode().decode("latin-1").translate(self.shown)
+        # ASCII letters stand for themselves among byte-level characters.
+        name = part if part.isascii() and part.isalpha() else (
+            part.encode().decode("latin-1").translate(self.shown))
         ids = [t.id for t in self.tokenizer.model.tokenize(name)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, word: str) -> bytes:
+        if self.letters and word[-1] in _MARKS and word[:-1].isalpha():
+            return self.parts[word[:-1]] + self.parts[word[-1]]
         return b"".join([self.parts[p] for p in self.cut(word)])
 
     def _word(self, word: bytes) -> bytes:
