@@ -28,8 +28,11 @@ stars) in Spark.
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero, which links like any other.  Texts of fewer words than a
 shingle are one shingle.  Rows with a null id get a fingerprint and the
-component of their group (null where the group has no id at all).  Repeated
-rows are rows of the same group.  An empty table gives an empty result.
+component of their group (null where the group has no id at all).  A bit
+that exactly half of the hashes have is 0.  Texts of any length are read
+whole.  Repeated rows are rows of the same group.  An empty table gives an
+empty result.  Other columns pass through ``drop_near_copies`` unchanged,
+whatever their names, and are left out by ``near_groups``.
 """
 
 from __future__ import annotations
