@@ -11,7 +11,7 @@ colliding pairs, a third at 200 million); the groups themselves are formed on
 (length, prefix hash, SHA-256), so the result is exact at any size.
 
 Defined results: a null text counts as empty.  Empty texts are equal to each
-other.  Rows with a null id take part; the largest non-null id stays, and
+other.  Texts of any length count whole.  Rows with a null id take part; the largest non-null id stays, and
 where a group has only null ids one of its rows stays.  Rows repeated as a
 whole (same id, same text) count as copies: one of them stays.  An empty
 table gives an empty result.  Other columns, whatever their names, pass

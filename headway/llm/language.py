@@ -22,9 +22,11 @@ languages x BUCKETS numbers whatever the corpus.
 
 Defined results: a null text counts as empty.  Missing evidence (null or
 empty) says nothing.  An item without any evidence gets the corpus's most
-frequent language.  Without labelled texts there is no language to choose
+frequent language.  Of languages with equal posteriors the first by name is
+chosen.  Texts of any length are read whole.  Without labelled texts there is no language to choose
 from and every result is null.  Rows are judged one by one, so repeated rows
-give repeated results; an empty table gives an empty result.
+give repeated results; an empty table gives an empty result.  Columns other
+than those named are left out.
 """
 
 from __future__ import annotations

@@ -17,8 +17,9 @@ share of all rows.
 Defined results: a null text has size 0.  A null source is a source of its
 own, last in order.  Documents of size 0 are copied like the others and add
 no words.  A source of size 0 has target 0 and its documents are not taken.
-Repeated rows are documents of their own.  An empty table gives an empty
-result.
+Repeated rows are documents of their own; of documents of one size the lesser
+id comes first.  Texts of any length are counted whole.  An empty table gives
+an empty result.
 """
 
 from __future__ import annotations

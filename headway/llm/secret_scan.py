@@ -18,7 +18,8 @@ then per (hash, owner, repository), then per hash.
 DataFrame functions only.  Defined results: a null text counts as empty; a
 document without spans has empty spans.  A null repository is one of its
 own.  Repeated rows are scanned one by one and don't change a value's
-owners.  An empty table gives an empty result.
+owners.  Texts of any length are scanned whole, and spans that overlap are
+all reported.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
