@@ -1,16 +1,23 @@
 """Files on any Hadoop file system: listing, copying, deleting.
 
-Only names, sizes and times are looked at here; contents are read by Spark's
-readers.
+The driver only looks at names, sizes and times.  Contents are read by
+Spark's readers, or as streams by tasks, which reach the file systems of
+``TASK_SCHEMES`` (``file`` is a folder that all machines share).
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+TASK_SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs")
+BLOCK = 8 << 20       # bytes of a file that a copying task holds
 
 
 class File(NamedTuple):
@@ -110,14 +117,86 @@ def fingerprint(spark: SparkSession, *patterns: str) -> str:
     return hashlib.sha256(repr(found).encode()).hexdigest()[:16]
 
 
+def in_tasks(spark: SparkSession, path: str) -> bool:
+    """Whether tasks can open the files at ``path`` as streams."""
+    fs, _ = _open(spark, path)
+    return fs.getUri().getScheme() in TASK_SCHEMES
+
+
+def locator():
+    """A function for tasks: a file's address to (its file system, its path
+    there).  It needs nothing of this package on the workers."""
+    def locate(address: str):
+        import re
+
+        from pyarrow import fs
+
+        scheme, host, path = re.match(r"(?s)([a-z0-9]+):(?://([^/]*))?(/.*)$", address).groups()
+        if scheme == "file":
+            return fs.LocalFileSystem(), path
+        system, root = fs.FileSystem.from_uri(f"{scheme}://{host or ''}/")
+        return system, root.rstrip("/") + path
+
+    return locate
+
+
+def _copier(block: int):
+    locate = locator()
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import uuid
+
+        from pyarrow import fs
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                (here, source), (there, target) = locate(row.source), locate(row.target)
+                folder, _, name = target.rpartition("/")
+                there.create_dir(folder, recursive=True)
+                held = f"{folder}/.{name}-{uuid.uuid4().hex}"
+                size = 0
+                with here.open_input_stream(source) as inp, there.open_output_stream(held) as out:
+                    while piece := inp.read(block):
+                        out.write(piece)
+                        size += len(piece)
+                if size != row.size:
+                    there.delete_file(held)
+                    raise OSError(f"{row.source}: {size} bytes were read of {row.size}")
+                if there.get_file_info(target).type != fs.FileType.NotFound:
+                    there.delete_file(target)
+                there.move(held, target)
+            yield batch[["target"]]
+
+    return copy
+
+
 def copy_into(spark: SparkSession, pattern: str, folder: str) -> list[str]:
-    """Copy the files behind ``pattern`` into ``folder``, byte for byte."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for f in list_files(spark, pattern):
-        target = f"{folder.rstrip('/')}/{f.path.rsplit('/', 1)[-1]}"
-        (here, source), (there, place) = _open(spark, f.path), _open(spark, target)
-        hadoop.FileUtil.copy(here, source, there, place, False, True, conf)
-        out.append(target)
-    return out
+    """Copy the files behind ``pattern`` into ``folder``, byte for byte; what
+    lies in different folders keeps its place below the one they share.
+
+    Tasks copy one file each, block by block, under a name of their own that
+    is changed when the copy is whole, so a task that is run again does no
+    harm.  Where a file system isn't among ``TASK_SCHEMES`` the driver has
+    Hadoop copy the files.
+    """
+    found = list_files(spark, pattern)
+    if not found:
+        return []
+    fs, place = _open(spark, folder)
+    root = fs.makeQualified(place).toString().rstrip("/")
+    shared = found[0].path.rpartition("/")[0]
+    while not all(f.path.startswith(shared + "/") for f in found):
+        shared = shared.rpartition("/")[0]
+    pairs = [(f.path, f"{root}/{f.path[len(shared) + 1:]}", f.size) for f in found]
+    if in_tasks(spark, folder) and all(in_tasks(spark, f.path) for f in found):
+        copied = (spark.createDataFrame(pairs, "source string, target string, size long")
+                  .repartition(len(pairs)).mapInPandas(_copier(BLOCK), "target string"))
+        if copied.agg(F.count("target")).first()[0] != len(pairs):
+            raise OSError(f"not every file of {pattern} was copied")
+    else:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for source, target, _ in pairs:
+            (here, a), (there, b) = _open(spark, source), _open(spark, target)
+            hadoop.FileUtil.copy(here, a, there, b, False, True, conf)
+    return [target for _, target, _ in pairs]

@@ -2,10 +2,12 @@
 
 ``spark.read.format("binaryFile")`` lists the archives (``key=value`` folders
 such as ``snapshot_date=2024-05-01`` become columns).  A first pass reads each
-archive's directory and cuts out the wanted members as they are, compressed;
-they are dealt to tasks by archive and member, and a second pass inflates each
-as a stream and streams its records.  So the members of one archive are read
-by several tasks, and none is ever held inflated.  The records are stored
+archive's directory; the wanted members are dealt to tasks by archive and
+member, and a second pass opens the archive at each member, inflates it as a
+stream and streams its records.  So the members of one archive are read by
+several tasks, none is ever held whole, and archives may have any size.
+Archives that tasks can't open by their path come with their ``content``; the
+first pass then cuts out the members as they are, compressed.  The records are stored
 once, partitioned by table, in the session's checkpoint folder, and every
 table is read from there.
 
@@ -17,8 +19,8 @@ hold newlines.  A record with more fields than its header is an error, as is
 a member whose checksum is wrong.
 
 The functions that run in the executors hold all they need, so workers don't
-have to have this package.  An archive is read whole by ``binaryFile``, which
-takes files up to 2 GB (compressed).
+have to have this package.  Only archives that come with their content have a
+bound, that of ``binaryFile``: 2 GB, compressed.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.session import ensure_checkpoint_dir
+from headway.sources import files
 from headway.sources.schemas import DECLARED_COLUMNS, KNOWN_TABLES
 
 CHUNK_RECORDS = 20_000
@@ -38,12 +41,17 @@ _FILE_COLUMNS = ("path", "modificationTime", "length", "content")
 
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The ``.zip`` files at ``path`` (folder or glob), one row per archive."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    """The ``.zip`` files at ``path`` (folder or glob), one row per archive;
+    with their content only where tasks can't open them by their path."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    return found.drop("content") if files.in_tasks(spark, path) else found
 
 
 def _cutter(wanted: tuple[str, ...], extra: list[str]):
-    """The first pass: one row per wanted member, compressed as it is."""
+    """The first pass: one row per wanted member, by its number in the
+    archive's directory, or compressed as it is where there is content."""
+    locate = files.locator()
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
         import os
@@ -60,16 +68,22 @@ def _cutter(wanted: tuple[str, ...], extra: list[str]):
             begin = info.header_offset + 30 + name + more
             return info.compress_type, content[begin:begin + info.compress_size]
 
+        def opened(row):
+            if "content" in row:
+                return io.BytesIO(row["content"])
+            system, path = locate(row["path"])
+            return system.open_input_file(path)
+
         for batch in batches:
             for row in batch.to_dict("records"):
-                content = bytes(row["content"])
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
+                with opened(row) as source, zipfile.ZipFile(source) as archive:
+                    for n, info in enumerate(archive.infolist()):
                         stem, ending = os.path.splitext(os.path.basename(info.filename))
                         if ending == ".txt" and stem in wanted:
-                            method, data = packed(content, archive, info)
+                            method, data = (packed(bytes(row["content"]), archive, info)
+                                            if "content" in row else (None, None))
                             yield pd.DataFrame([{
-                                "source_path": row["path"], "table_name": stem,
+                                "source_path": row["path"], "table_name": stem, "n": n,
                                 "member": info.filename, "method": method, "crc": info.CRC,
                                 "data": data, **{c: row[c] for c in extra}}])
 
@@ -79,9 +93,13 @@ def _cutter(wanted: tuple[str, ...], extra: list[str]):
 def _reader(extra: list[str], chunk: int):
     """The second pass: per member a record 0 that names its columns, then
     its records from 1, each a map of column to text."""
+    locate = files.locator()
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import contextlib
         import csv
         import io
+        import zipfile
         import zlib
 
         csv.field_size_limit(1 << 30)
@@ -114,9 +132,22 @@ def _reader(extra: list[str], chunk: int):
                 into[:n], self.held = self.held[:n], self.held[n:]
                 return n
 
+        @contextlib.contextmanager
+        def inflated(row):
+            if row["data"] is not None:
+                yield io.BufferedReader(Member(row))
+                return
+            system, path = locate(row["source_path"])
+            with system.open_input_file(path) as source:
+                with zipfile.ZipFile(io.BufferedReader(source, 1 << 20)) as archive:
+                    with archive.open(archive.infolist()[row["n"]]) as member:
+                        yield member
+
         def chunks(row):
-            text = io.TextIOWrapper(io.BufferedReader(Member(row)), encoding="utf-8-sig",
-                                    newline="")
+            with inflated(row) as member:
+                yield from records(row, io.TextIOWrapper(member, encoding="utf-8-sig", newline=""))
+
+        def records(row, text):
             rows = csv.reader(text)
             names = [n.strip() for n in next(rows, [])]
             if not names:
@@ -145,12 +176,13 @@ def _reader(extra: list[str], chunk: int):
 
 
 def members(archives: DataFrame, tables: tuple[str, ...] = KNOWN_TABLES) -> DataFrame:
-    """One row per wanted member of each archive, compressed, dealt to tasks
-    by archive and member."""
+    """One row per wanted member of each archive, dealt to tasks by archive
+    and member; compressed in ``data`` if the archives have their content."""
     extra = [c for c in archives.columns if c not in _FILE_COLUMNS]
-    source = archives.select("path", "content", *[F.col(c).cast("string") for c in extra])
-    schema = ("source_path string, table_name string, member string, method int, crc bigint, "
-              "data binary" + "".join(f", `{c}` string" for c in extra))
+    held = [c for c in ("path", "content") if c in archives.columns]
+    source = archives.select(*held, *[F.col(c).cast("string") for c in extra])
+    schema = ("source_path string, table_name string, n int, member string, method int, "
+              "crc bigint, data binary" + "".join(f", `{c}` string" for c in extra))
     spark = archives.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return source.mapInPandas(_cutter(tuple(tables), extra), schema).repartition(

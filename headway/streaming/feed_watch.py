@@ -72,6 +72,8 @@ def watch_feed_archives(spark: SparkSession, landing: str, archive_root: str,
     stream = (spark.readStream.format("binaryFile").schema(schema)
               .option("pathGlobFilter", "*.zip")
               .load(landing))
+    if files.in_tasks(spark, landing):    # tasks open the archives themselves
+        stream = stream.drop("content")
     writer = (stream.writeStream
               .foreachBatch(lambda df, _epoch: archive_batch(df, archive_root, tables))
               .option("checkpointLocation", checkpoint_location))

@@ -9,6 +9,7 @@ from headway.sources.archive import (archive_snapshot, archive_source, latest_sn
                                      load_tables, replay_all, replay_snapshot)
 from headway.sources.bridge import stored_raw_feed
 from headway.sources.feed import read_feed_csv, read_feed_snapshots
+from headway.sources.publish import read_published
 from headway.sources.registry import load_registry
 from headway.sources.zipfeed import ZipTables, list_archives, read_zip_feeds, zip_manifest
 
@@ -99,6 +100,21 @@ def test_registry(spark, scratch):
     assert load_registry(spark, [], os.path.join(scratch, "out")).count() == 0
 
 
+def test_registry_entries_keep_their_order_and_faults_apart(spark, scratch):
+    entries = []
+    for i in range(12):
+        path = os.path.join(scratch, f"f{i}.csv")
+        _write(path, "a\n" + "1\n" * (i + 1))
+        entries.append({"name": f"t{i % 10}", "path": path if i % 4 else path + ".gone",
+                        "format": "csv"})
+    out = os.path.join(scratch, "out")
+    rows = load_registry(spark, entries, out).collect()
+    assert [r.name for r in rows] == [e["name"] for e in entries]
+    assert [(r.status, r.rows) for r in rows] == [
+        ("loaded", i + 1) if i % 4 else ("failed", None) for i in range(12)]
+    assert read_published(spark, f"{out}/t1").count() == 12    # the later of that name
+
+
 def test_snapshots_are_united_by_column_name(spark, scratch):
     root = os.path.join(scratch, "snaps")
     _write(f"{root}/snapshot_date=2024-01-01/stops.txt", "stop_id,stop_name\nA,One\n")
@@ -208,6 +224,29 @@ def test_source_files_are_kept(spark, scratch):
     assert [f.size for f in files.list_files(spark, kept)] == [os.path.getsize(f"{feed}/a.zip")]
 
 
+def test_files_are_copied_by_tasks(spark, scratch, monkeypatch):
+    monkeypatch.setattr(files, "BLOCK", 1000)
+    held = {"a.bin": os.urandom(4321), "b c=%20é#.csv": b"x", "x/a.bin": b"other", "x/y/empty": b"",
+            "_hidden": b"no"}
+    for name, data in held.items():
+        path = os.path.join(scratch, "in", name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(data)
+    out = os.path.join(scratch, "out")
+    for _ in range(2):      # again over the first copies
+        kept = files.copy_into(spark, os.path.join(scratch, "in"), out)
+        found = {os.path.relpath(os.path.join(d, n), out): open(os.path.join(d, n), "rb").read()
+                 for d, _, names in os.walk(out) for n in names if not n.endswith(".crc")}
+        assert found == {n: data for n, data in held.items() if n != "_hidden"}
+        assert len(kept) == 4
+    driver = os.path.join(scratch, "by_driver")
+    monkeypatch.setattr(files, "TASK_SCHEMES", ())
+    files.copy_into(spark, os.path.join(scratch, "in"), driver)
+    assert open(os.path.join(driver, "x", "a.bin"), "rb").read() == b"other"
+    assert files.copy_into(spark, os.path.join(scratch, "nothing"), out) == []
+
+
 def test_zip_keeps_every_column_in_chunks(spark, scratch):
     root = os.path.join(scratch, "zips")
     rows = "".join(f"S{i},n{i},{i % 3}\n" for i in range(50))
@@ -225,11 +264,12 @@ def test_zip_keeps_every_column_in_chunks(spark, scratch):
         ZipTables(list_archives(spark, root), ("stops",))
 
 
-def test_members_of_one_archive_are_read_by_several_tasks(spark, scratch):
+@pytest.mark.parametrize("by_content", [False, True])
+def test_members_of_one_archive_are_read_by_several_tasks(spark, scratch, by_content):
     from pyspark.sql import functions as F
 
     from headway.sources.zipfeed import members
-    path = os.path.join(scratch, "zips", "a.zip")
+    path = os.path.join(scratch, "zips", "a =%20é#.zip")
     os.makedirs(os.path.dirname(path))
     texts = {t: f"{t}_id,note\n" + "".join(f"{t}{i},{'é' * (i % 90)}\n" for i in range(4000))
              for t in ("stops", "routes", "trips", "shapes", "calendar", "agency")}
@@ -239,6 +279,9 @@ def test_members_of_one_archive_are_read_by_several_tasks(spark, scratch):
             zf.writestr(f"feed/{t}.txt", text, compress_type=kinds[i % 3])
         zf.writestr("feed/frequencies.txt", "")
     archives = list_archives(spark, os.path.dirname(path))
+    assert "content" not in archives.columns
+    if by_content:
+        archives = spark.read.format("binaryFile").load(os.path.dirname(path))
     cut = members(archives, tuple(texts))
     assert cut.count() == 6 and cut.select(F.spark_partition_id()).distinct().count() > 1
     found = ZipTables(archives, (*texts, "frequencies"), chunk=1000)
