@@ -13,7 +13,7 @@ empty table has a manifest too, so its columns are known.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,7 +84,22 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     found = read_manifest(spark, path)
     if found is None:
         raise FileNotFoundError(f"no table is published at {path}")
-    if not found.files:
-        return spark.createDataFrame([], found.schema)
-    place = path.rstrip("/")
-    return spark.read.schema(found.schema).parquet(*[f"{place}/{n}" for n in found.files])
+    return read_together(spark, {path: found})
+
+
+def read_together(spark: SparkSession, units: Mapping[str, Manifest]) -> DataFrame:
+    """The tables published at several places, one below the other; columns
+    that only some have are NULL in the others.  Those of the same columns are
+    one scan, however many they are."""
+    alike: dict[str, list[str]] = {}
+    schemas: dict[str, T.StructType] = {}
+    for path, held in units.items():
+        key = held.schema.json()
+        schemas.setdefault(key, held.schema)
+        alike.setdefault(key, []).extend(f"{path.rstrip('/')}/{n}" for n in held.files)
+    out = None
+    for key, paths in alike.items():
+        part = (spark.read.schema(schemas[key]).parquet(*paths) if paths
+                else spark.createDataFrame([], schemas[key]))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out

@@ -47,17 +47,22 @@ def archive_batch(batch: DataFrame, archive_root: str,
         F.col("path").alias("source_path"), "snapshot_date", "archive"), "source_path").collect()
     units = {r: f"{root}/{r.table_name}/snapshot_date={r.snapshot_date}/archive={r.archive}"
              for r in listed}
-    before = {r: set(data_files(spark, place)) for r, place in units.items()}
+    before = dict(zip(units, files.each(lambda p: set(data_files(spark, p)), units.values())))
     for table in tables:
         (found.table(table).write.mode("append").partitionBy("snapshot_date", "archive")
          .parquet(f"{root}/{table}"))
-    for r, place in units.items():
+    schemas = {t: found.table(t).drop("snapshot_date", "archive").schema for t in tables}
+
+    def settle(unit) -> None:
+        r, place = unit
         if r.status == "loaded":
-            schema = found.table(r.table_name).drop("snapshot_date", "archive").schema
-            switch(spark, place, added_files(spark, place, before[r]), schema, r.rows)
+            switch(spark, place, added_files(spark, place, before[r]), schemas[r.table_name],
+                   r.rows)
         else:      # gone from an archive that had it before
             files.delete(spark, place)
 
+    files.each(settle, units.items())
+
 
 ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 

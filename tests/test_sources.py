@@ -204,6 +204,24 @@ def test_a_header_only_table_of_an_archive_is_replayed_with_its_columns(spark, s
         replay_snapshot(spark, root, ["trips"], "2024-01-01")
 
 
+def test_archives_of_one_snapshot_are_replayed_in_one_scan(spark, scratch):
+    from headway.streaming.feed_watch import archive_batch
+    archives = []
+    for n in range(4):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
+            z.writestr("routes.txt", f"route_id\nR{n}\n")
+            z.writestr("calendar_dates.txt", "service_id,date,exception_type\n")
+        archives.append((f"zip:/{n}.zip", held.getvalue(), "2024-01-01"))
+    batch = spark.createDataFrame(archives, "path string, content binary, snapshot_date string")
+    tables = ("routes", "calendar_dates")
+    archive_batch(batch, scratch, tables)
+    back = replay_snapshot(spark, scratch, list(tables), "2024-01-01")
+    assert sorted(r.route_id for r in back["routes"].collect()) == ["R0", "R1", "R2", "R3"]
+    assert back["calendar_dates"].count() == 0
+    assert "Union" not in back["routes"]._jdf.queryExecution().toString()
+
+
 def test_changed_input_is_loaded_again(spark, scratch):
     import shutil
     here = os.path.join(scratch, "sf")
