@@ -61,7 +61,9 @@ def _table(spark: SparkSession, table: str, found: list[records.Scanned],
     rest = [s for s in found if not s.one_line]
     if rest:
         rows = records.records(spark, [s.path for s in rest], base_path)
-        by_file = records.header_records(rows)
+        by_file = {s.file: s.names for s in rest if s.names}
+        longer = [s.file for s in rest if not s.names]    # headers of several lines
+        by_file |= records.header_records(rows, longer) if longer else {}
         for names in sorted(set(by_file.values())):
             its = [f for f, n in by_file.items() if n == names]
             part = rows if len(its) == len(by_file) else rows.where(F.col("file").isin(its))

@@ -1,20 +1,21 @@
 """CSV records of files that many tasks read, newlines in quotes included.
 
 A task that begins in the middle of a file can't tell a newline within quotes
-from one that ends a record.  But each line is a small function: begun outside
-or inside a quoted field, does it end inside?  A line that ends the same way
-however it begins settles the state; the others keep it or turn it over.  So
-
-1. one pass over all files sums up each split of a file (a byte range that one
-   task reads): how it ends if it begins outside or inside;
-2. these functions are applied one after another over a file's splits (a few
-   numbers each), which gives the state at the start of every split;
-3. a running pass within each split gives the state at the start of every
-   line.  Lines that begin outside begin a record; those that begin inside
-   join the record before them, also across splits.
-
-Files in which no line ends inside a quoted field (the first pass tells) need
-no more than the first pass: their lines are records, and Spark's CSV reader
+from one that ends a record.  But each stretch of lines is a small function:
+begun outside or inside a quoted field, does it end inside?  A stretch that
+ends the same way however it begins settles the state; the others keep it or
+turn it over.  So
+
+1. one pass packs the lines of each split of a file (a byte range that one
+   task reads) into chunks of some ``CHUNK`` bytes, each with its function,
+   and stores them;
+2. these functions are applied one after another over a file's chunks (a few
+   numbers each), which gives the state at the start of every chunk;
+3. a pass over the chunks, each by itself, cuts them into records.  Only the
+   pieces of records that reach over the end of a chunk are shuffled.
+
+Files in which no line ends inside a quoted field (a first pass tells) need
+no more than that pass: their lines are records, and Spark's CSV reader
 splits them.  The pass also brings the first line of every file, so headers
 are read by the same job.
 """
@@ -22,9 +23,10 @@ are read by the same job.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,9 +35,8 @@ from headway.session import stored_table
 OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
 _BOM = "﻿"
 
-#: States while a line is read: outside at the start of a field, outside
-#: further on, inside a quoted field, inside just after a quote.
-_START, _OUTSIDE, _INSIDE, _QUOTE = range(4)
+#: Bytes of lines that are cut into records in one go.
+CHUNK = 1 << 18
 
 
 class Scanned(NamedTuple):
@@ -43,12 +44,13 @@ class Scanned(NamedTuple):
     path: str
     names: tuple[str, ...]     # header names; none if it reaches over its line
     one_line: bool             # is every record one line?
+    file: str                  # the path as in the column of that name
 
 
 def lines(spark: SparkSession, paths: Sequence[str], base_path: str | None = None) -> DataFrame:
-    """(file, block, line, value): every line with its file, the offset at
-    which the split that holds its start begins, and a number that grows
-    within a split; folder columns of ``base_path`` come last."""
+    """(file, block, value): every line (as bytes) with its file and the
+    offset at which the split that holds its start begins; a split's lines
+    come in their order.  Folder columns of ``base_path`` come last."""
     reader = spark.read.option("lineSep", "\n")
     if base_path:
         reader = reader.option("basePath", base_path)
@@ -56,36 +58,93 @@ def lines(spark: SparkSession, paths: Sequence[str], base_path: str | None = Non
     folders = [c for c in text.columns if c != "value"]
     return text.select(F.col("_metadata.file_path").alias("file"),
                        F.col("_metadata.file_block_start").alias("block"),
-                       F.monotonically_increasing_id().alias("line"), "value", *folders)
+                       F.col("value").cast("binary").alias("value"), *folders)
+
+
+def _cutter():
+    """A function for tasks: text that begins outside or inside a quoted field
+    to its records, and whether it ends inside.  A quote opens a field only at
+    its start; elsewhere it is a character."""
+    import re
+    opened = re.compile(rb'(?<![^\n,])"[^"]*+(?:""[^"]*+)*+("?)')
+    closed = re.compile(rb'[^"]*+(?:""[^"]*+)*+("?)')
+
+    def cut(text: bytes, inside: bool) -> tuple[list[bytes], bool]:
+        spans = []
+        if inside:
+            m = closed.match(text)
+            spans, inside = [m.span()], not m[1]
+        if not inside:
+            for m in opened.finditer(text, spans[0][1] if spans else 0):
+                inside = not m[1]
+                spans.append(m.span())
+        out, begin, at = [], 0, 0
+        for a, z in spans:
+            if text.find(b"\n", a, z) >= 0:
+                first, *rest = text[at:a].split(b"\n")
+                if rest:
+                    out.append(text[begin:at] + first)
+                    out += rest[:-1]
+                    begin = a - len(rest[-1])
+                at = z
+        first, *rest = text[at:].split(b"\n")
+        return [*out, text[begin:at] + first, *rest], inside
+
+    return cut
 
 
-def _ends_inside(begun: int) -> Column:
-    """Does the line end inside a quoted field if it begins in state ``begun``?
-    The line is folded over its pieces between quotes."""
-    def piece(state: Column, x: Column) -> Column:
-        return (F.when((x == "") | (state == _INSIDE), state)
-                .when(F.endswith(x, F.lit(",")), _START).otherwise(_OUTSIDE))
+def _runs():
+    """A function for tasks: batches of ``lines`` to (place of a run's split,
+    batch, first row, its lines) for runs of lines of one split."""
+    def runs(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            file, block = batch.column("file"), batch.column("block")
+            value, n, at = batch.column("value"), batch.num_rows, 0
+            while at < n:
+                key = (file[at].as_py(), block[at].as_py())
+                end = n
+                if (file[n - 1].as_py(), block[n - 1].as_py()) != key:
+                    end = next(i for i in range(at, n)
+                               if (file[i].as_py(), block[i].as_py()) != key)
+                yield key, batch, at, value.slice(at, end - at).to_pylist()
+                at = end
 
-    def quote(state: Column) -> Column:
-        return (F.when(state == _START, _INSIDE).when(state == _OUTSIDE, _OUTSIDE)
-                .when(state == _INSIDE, _QUOTE).otherwise(_INSIDE))
+    return runs
 
-    pieces = F.split("value", '"')
-    state = F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)),
-                        piece(F.lit(begun), F.element_at(pieces, 1)),
-                        lambda s, x: piece(quote(s), x))
-    return F.when(F.instr("value", '"') == 0, F.lit(begun == _INSIDE)).otherwise(
-        state == _INSIDE)
 
+def _looker():
+    """The first pass: a row per split, with its first line and whether any
+    record is more than a plain line."""
+    cut, runs = _cutter(), _runs()
 
-def marked(found: DataFrame) -> DataFrame:
-    """``lines`` plus what each does: ``opens`` (ends inside if begun
-    outside), ``settles`` (ends the same way in any case) and ``turns`` (ends
-    the other way)."""
-    both = found.withColumn("opens", _ends_inside(_START)).withColumn(
-        "stays", _ends_inside(_INSIDE))
-    return both.withColumn("settles", F.expr("opens = stays")).withColumn(
-        "turns", F.expr("opens AND NOT stays")).drop("stays")
+    def odd(lines: list[bytes]) -> bool:
+        text = b"\n".join(lines)
+        records, inside = cut(text, False)
+        # A return within a line is kept as part of a quoted field.
+        return inside or len(records) < len(lines) or b"\r" in text and any(
+            b'"' in x and b"\r" in x.rstrip(b"\r") for x in lines)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        def row():
+            (file, block), first, more = held
+            return pa.RecordBatch.from_pydict({
+                "file": pa.array([file]), "block": pa.array([block], pa.int64()),
+                "first": pa.array([first], pa.binary()),
+                "opens": pa.array([cut(first, False)[1]]), "odd": pa.array([more])})
+
+        held = None
+        for key, _, _, lines in runs(batches):
+            if held is None or held[0] != key:
+                if held:
+                    yield row()
+                held = (key, lines[0], False)
+            held = (*held[:2], held[2] or odd(lines))
+        if held:
+            yield row()
+
+    return look
 
 
 def scan(spark: SparkSession, paths: Sequence[str]) -> list[Scanned]:
@@ -93,13 +152,12 @@ def scan(spark: SparkSession, paths: Sequence[str]) -> list[Scanned]:
     files have no row."""
     if not paths:
         return []
-    # A return within a line is kept as part of a quoted field.
-    odd = F.expr("opens OR (instr(value, '\"') > 0 AND instr(rtrim('\\r', value), '\\r') > 0)")
-    first = F.min_by(F.struct("value", "opens"), F.struct("block", "line"))
-    rows = marked(lines(spark, paths)).groupBy("file").agg(
-        F.max(odd).alias("odd"), first.alias("first")).collect()
+    splits = lines(spark, paths).mapInArrow(
+        _looker(), "file string, block long, first binary, opens boolean, odd boolean")
+    first = F.min_by(F.struct(F.col("first").cast("string").alias("value"), "opens"), "block")
+    rows = splits.groupBy("file").agg(F.max("odd").alias("odd"), first.alias("first")).collect()
     return sorted(Scanned(r.file, () if r["first"].opens else header_names(r["first"].value),
-                          not r.odd) for r in rows)
+                          not r.odd, r.file) for r in rows)
 
 
 def header_names(record: str) -> tuple[str, ...]:
@@ -107,8 +165,82 @@ def header_names(record: str) -> tuple[str, ...]:
     return tuple(n.strip().lstrip(_BOM).strip() for n in names)
 
 
+def _packer(folders: list[str], size: int):
+    """Lines to chunks of some ``size`` bytes of one split, with what each does."""
+    cut, runs = _cutter(), _runs()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        def chunk():
+            (file, block), text = key, b"\n".join(held)
+            found, stays = cut(text, True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([file]), pa.array([block], pa.int64()), pa.array([n], pa.int64()),
+                 pa.array([text], pa.binary()), pa.array([cut(text, False)[1]]),
+                 pa.array([stays]), pa.array([stays and len(found) > 1]), *own],
+                names=["file", "block", "n", "text", "opens", "stays", "reopens", *folders])
+
+        key, n, held, room, own = None, 0, [], size, []
+        for split, batch, at, lines in runs(batches):
+            if split != key:
+                if held:
+                    yield chunk()
+                key, n, held, room = split, 0, [], size
+                own = [batch.column(c).slice(at, 1) for c in folders]
+            for line in lines:
+                held.append(line)
+                room -= len(line) + 1
+                if room <= 0:
+                    yield chunk()
+                    n, held, room = n + 1, [], size
+        if held:
+            yield chunk()
+
+    return pack
+
+
+def _splitter(folders: list[str], whole: bool):
+    """Chunks to their ``whole`` records, or to the pieces of those that reach
+    over their chunk; a piece has the chunk in which its record began."""
+    cut = _cutter()
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        for batch in batches:
+            for at, row in enumerate(batch.drop_columns(folders).to_pylist()):
+                place, begun = (row["block"], row["n"]), row["begun"]
+                found, inside = cut(row["text"], begun)
+                last = len(found) - 1
+                parts = [(0, row["own_block"], row["own_n"])] if begun else []
+                if inside and not (begun and last == 0):
+                    parts.append((last, *place))
+                header = 0 if place == (0, 0) and not begun else None
+                if whole:
+                    kept = range(1 if begun else 0, last if inside else last + 1)
+                    owners = [place] * len(kept)
+                else:
+                    kept, owners = [p[0] for p in parts], [p[1:] for p in parts]
+                if not kept:
+                    continue
+                here = pa.array([at] * len(kept))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("file").take(here),
+                     pa.array([i == header for i in kept]),
+                     pa.array([o[0] for o in owners], pa.int64()),
+                     pa.array([o[1] for o in owners], pa.int64()),
+                     batch.column("block").take(here), batch.column("n").take(here),
+                     pa.array([found[i] for i in kept], pa.binary()),
+                     *[batch.column(c).take(here) for c in folders]],
+                    names=["file", "header", "own_block", "own_n", "block", "n", "record",
+                           *folders])
+
+    return split
+
+
 def _inside_after(settled: Column, turns: Column, turns_then: Column, begun: Column) -> Column:
-    """The state after lines of which the last that settles left ``settled``
+    """The state after text of which the last that settles left ``settled``
     (null if none did) when ``turns_then`` of the ``turns`` had happened."""
     odd = (turns - F.coalesce(turns_then, F.lit(0))) % 2 == 1
     return F.coalesce(settled, begun) != odd
@@ -117,57 +249,53 @@ def _inside_after(settled: Column, turns: Column, turns_then: Column, begun: Col
 def records(spark: SparkSession, paths: Sequence[str], base_path: str | None = None) -> DataFrame:
     """(file, header, record): every record of the files, and whether it is
     its file's first; folder columns come last."""
-    found = marked(lines(spark, paths, base_path))
-    folders = [c for c in found.columns if c not in (
-        "file", "block", "line", "value", "opens", "settles", "turns")]
-    split = Window.partitionBy("file", "block").orderBy("line")     # what one task reads
-    upto = split.rowsBetween(Window.unboundedPreceding, 0)
-    before = split.rowsBetween(Window.unboundedPreceding, -1)
-    run = found.withColumn("n", F.sum(F.col("turns").cast("long")).over(upto))
-    settled = F.when(F.col("settles"), F.struct("line", "opens", "n"))
-    run = stored_table(run.withColumn("last", F.last(settled, ignorenulls=True).over(before))
-                       .withColumn("n_before", F.coalesce(F.lag("n").over(split), F.lit(0)))
-                       .withColumn("header", F.lag("line").over(split).isNull()
-                                   & (F.col("block") == 0)), "lines")
-    # Each split as one function, applied in turn over its file.
-    whole = run.groupBy("file", "block").agg(F.max(settled).alias("s"), F.max("n").alias("n"))
-    order = Window.partitionBy("file").orderBy("block")             # a row per split
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = whole.withColumn("t", F.col("n") - F.coalesce("s.n", F.lit(0)))
-    whole = whole.withColumn("sum", F.sum("t").over(
-        order.rowsBetween(Window.unboundedPreceding, 0)))
-    held = F.when(F.col("s").isNotNull(), F.struct(
-        F.col("s.opens").alias("inside"), (F.col("sum") - F.col("t")).alias("n")))
-    splits = whole.withColumn("held", F.last(held, ignorenulls=True).over(earlier)).withColumn(
-        "sum_before", F.coalesce(F.lag("sum").over(order), F.lit(0)))
-    splits = splits.select("file", "block", _inside_after(
-        F.col("held.inside"), F.col("sum_before"), F.col("held.n"), F.lit(False)).alias("begun"))
-    placed = run.join(splits, ["file", "block"]).withColumn("inside", _inside_after(
-        F.col("last.opens"), F.col("n_before"), F.col("last.n"), F.col("begun")))
-    # The record a line belongs to: the last line up to it that began one.
-    begins = F.when(~F.col("inside"), F.struct("block", "line"))
-    placed = stored_table(placed.withColumn("own", F.last(begins, ignorenulls=True).over(upto)),
-                          "placed")
-    ends = placed.groupBy("file", "block").agg(F.max("own").alias("own")).select(
-        "file", "block", F.last("own", ignorenulls=True).over(earlier).alias("open"))
-    # Lines that continue a record of an earlier split, if any.
-    heads = placed.where("own IS NULL").join(ends, ["file", "block"]).withColumn(
-        "own", F.col("open")).select(*placed.columns)
-    owned = placed.where("own IS NOT NULL")
-    single = owned.where("NOT inside AND NOT opens").select(
-        "file", "header", F.col("value").alias("record"), *folders)
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("block", "line", "value"))),
-                        lambda p: p["value"])
-    many = owned.where("inside OR opens").unionByName(heads).groupBy("file", "own").agg(
+    found = lines(spark, paths, base_path)
+    folders = [c for c in found.columns if c not in ("file", "block", "value")]
+    more = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in found.schema
+                   if f.name in folders)
+    # Many small splits make few files; no row moves.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = stored_table(found.mapInArrow(
+        _packer(folders, CHUNK), "file string, block long, n long, text binary, opens boolean, "
+        f"stays boolean, reopens boolean{more}").coalesce(tasks), "chunks")
+    # Each chunk as one function, applied in turn over its file.
+    order = Window.partitionBy("file").orderBy("block", "n")        # a small row per chunk
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = chunks.select("file", "block", "n", "opens", "stays", "reopens").withColumn(
+        "turned", F.sum(F.expr("CAST(opens AND NOT stays AS LONG)")).over(
+            order.rowsBetween(Window.unboundedPreceding, 0)))
+    settled = F.when(F.expr("opens = stays"), F.struct("opens", "turned"))
+    whole = whole.withColumn("held", F.last(settled, ignorenulls=True).over(before)).withColumn(
+        "turned_before", F.coalesce(F.lag("turned").over(order), F.lit(0)))
+    whole = whole.withColumn("begun", _inside_after(
+        F.col("held.opens"), F.col("turned_before"), F.col("held.turned"), F.lit(False)))
+    opened = F.when(F.expr("IF(begun, reopens, opens)"), F.struct("block", "n"))
+    inner = whole.withColumn("own", F.last(opened, ignorenulls=True).over(before)).where("begun")
+    inner = stored_table(inner.select("file", "block", "n", "begun", F.col("own.block").alias(
+        "own_block"), F.col("own.n").alias("own_n")), "inner")
+    # At most a row per CHUNK bytes.
+    placed = chunks.select("file", "block", "n", "text", *folders).join(
+        F.broadcast(inner), ["file", "block", "n"], "left").withColumn(
+        "begun", F.coalesce("begun", F.lit(False)))
+    schema = ("file string, header boolean, own_block long, own_n long, block long, n long, "
+              f"record binary{more}")
+    record = F.col("record").cast("string").alias("record")
+    single = placed.mapInArrow(_splitter(folders, True), schema).select(
+        "file", "header", record, *folders)
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("block", "n", record))),
+                        lambda p: p["record"])
+    many = placed.mapInArrow(_splitter(folders, False), schema).groupBy(
+        "file", "own_block", "own_n").agg(
         F.max("header").alias("header"), F.concat_ws("\n", parts).alias("record"),
         *[F.first(c).alias(c) for c in folders])
     return single.unionByName(many.select("file", "header", "record", *folders)).withColumn(
         "record", F.regexp_replace("record", r"\r\z", ""))
 
 
-def header_records(found: DataFrame) -> dict[str, tuple[str, ...]]:
+def header_records(found: DataFrame, files: Sequence[str]) -> dict[str, tuple[str, ...]]:
     """Header names by file, whatever lines they take."""
-    return {r.file: header_names(r.record) for r in found.where("header").collect()}
+    first = found.where(F.col("header") & F.col("file").isin(list(files)))
+    return {r.file: header_names(r.record) for r in first.collect()}
 
 
 def parsed(found: DataFrame, names: Sequence[str]) -> DataFrame:

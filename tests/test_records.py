@@ -99,3 +99,13 @@ def test_records_of_wrong_width_fail_alike(spark, scratch):
         path = _file(scratch, name, f"trip_id,stop_id\nT,{field}\nT,{field},more\n")
         with pytest.raises(Exception, match="(?i)malformed"):
             read_feed_table(spark, path, "stop_times").collect()
+
+
+def test_records_are_cut_in_chunks_without_moving_lines(spark, scratch, monkeypatch):
+    rows = [(f"T{i}", FIELDS[i % len(FIELDS)], "two\nlines") for i in range(300)]
+    path = _file(scratch, "stop_times", _text([NAMES, *rows]))
+    monkeypatch.setattr(records, "CHUNK", 50)
+    found = records.records(spark, [path])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortAggregate" not in plan
+    assert _rows(records.parsed(found, NAMES), NAMES) == sorted(rows)
