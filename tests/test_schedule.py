@@ -52,3 +52,13 @@ def test_dims(spark):
     assert svc["WK"].service_name == "Weekday (WK)" and svc["WK"].active_days_count == 22
     assert svc["WE"].service_name == "Weekend (WE)" and svc["WE"].active_days_count == 9
     assert "NOSVC" not in svc
+
+
+def test_stop_visits_are_dealt_once_by_trip(spark):
+    few, hot = fixture_models(spark), fixture_models(spark)
+    hot.rows_per_task = 1          # every trip is too much for a task
+    plan = few.fact_scheduled_stop_event._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Join")]
+    assert "Repartition" not in above
+    a, b = (sorted(map(str, m.fact_scheduled_stop_event.collect())) for m in (few, hot))
+    assert a and a == b
