@@ -18,9 +18,9 @@ better one and no base span.  A run of numbers is proposed whole and by its
 sub-spans of 7 to 19 digits between separators, none of which cuts a date.
 Base spans that pass their check are always reported.
 
-The trees are fitted on at most ``FIT_ROWS`` spans of each label, taken by
-hash of their content; every span of every text is scored.  Where spans of
-one label are missing there is nothing to learn and nothing is added.
+The trees are fitted on every labelled span (spans with the same label and
+features are one row with their number as its weight); every span of every
+text is scored.  Where spans of one label are missing there is nothing to learn and nothing is added.
 
 DataFrame and Spark ML functions only.  Defined results: a null text counts
 as empty; a document without spans has empty spans; texts of any length are
@@ -40,12 +40,11 @@ from pyspark.sql import functions as F
 from headway.llm.spans import CONTEXT, Kind, matches, per_document, scanned
 from headway.llm.tables import stored
 
-FIT_ROWS = 4000
 TREES, DEPTH = 12, 3
 PRECISION = 0.98
 SET_ROWS = 256          # spans of a chain of overlaps that are chosen from in one go
 LEAST, MOST = 7, 19      # digits of a number within a run of numbers
-HELD_OUT = 30            # percent of the fitted rows that calibrate
+HELD_OUT = 30            # percent of the labelled spans that calibrate
 
 #: Base kinds in their listed order.  Possessive quantifiers and \G keep
 #: the leftmost matches the same and the search linear.
@@ -201,19 +200,20 @@ def described(spans: DataFrame) -> DataFrame:
 
 
 def fit(spans: DataFrame) -> tuple[GBTClassificationModel, float] | None:
-    """(trees, threshold) from at most FIT_ROWS spans of each label."""
-    parts = [spans.where(F.col("label") == v).orderBy("turn", "row", "start").limit(FIT_ROWS)
-             for v in (0.0, 1.0)]
-    rows = stored(parts[0].unionByName(parts[1]).select("label", "turn", *FEATURES).coalesce(1),
-                  "fit")
+    """(trees, threshold) from all spans with a label."""
     own = F.pmod("turn", F.lit(100)) >= HELD_OUT
+    alike = ["own", "label", *FEATURES]
+    rows = stored(spans.where("label IS NOT NULL").withColumn("own", own).groupBy(*alike).agg(
+        F.count(F.lit(1)).cast("double").alias("weight")).orderBy(*alike), "fit")
+    own = F.col("own")
     if rows.where(own).agg(F.count_distinct("label")).first()[0] < 2:
         return None
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES,
-                          maxDepth=DEPTH, seed=7).fit(_vectors(rows.where(own)))
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
+                          maxIter=TREES, maxDepth=DEPTH, seed=7).fit(_vectors(rows.where(own)))
     # At most 101 scores: the share of positives at and above each.
     held = (scored(rows.where(~own), trees).groupBy(F.floor(F.col("score") * 100).alias("s"))
-            .agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")))
+            .agg(F.sum(F.col("label") * F.col("weight")).alias("good"),
+                 F.sum("weight").alias("n")))
     good = n = 0
     threshold = None
     for r in sorted(held.collect(), key=lambda r: -r.s):

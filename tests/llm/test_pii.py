@@ -177,3 +177,14 @@ def test_nothing_to_learn_from(documents):
     assert pii.pii_report(documents([])).collect() == []
     one = pii.pii_report(documents([(1, "mail a@b.cd now", "en", "s")])).collect()[0]
     assert one.spans == "email:5:11"
+
+
+def test_trees_are_fitted_on_every_labelled_span(spark, monkeypatch):
+    kept, stored = {}, pii.stored
+    monkeypatch.setattr(pii, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    spans = spark.range(9000).selectExpr(
+        "id AS turn", "0L AS row", "id AS start", "CAST(id % 2 AS DOUBLE) AS label",
+        *[f"CAST(id % {n + 2} AS DOUBLE) AS {name}" for n, name in enumerate(pii.FEATURES)])
+    trees, _ = pii.fit(spans)
+    assert kept["fit"].agg({"weight": "sum"}).first()[0] == 9000
+    assert kept["fit"].where("own").agg({"weight": "sum"}).first()[0] == 6300
