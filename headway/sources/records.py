@@ -147,15 +147,19 @@ def _looker():
     return look
 
 
+def splits(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, block, first, opens, odd): a row per split."""
+    return lines(spark, paths).mapInArrow(
+        _looker(), "file string, block long, first binary, opens boolean, odd boolean")
+
+
 def scan(spark: SparkSession, paths: Sequence[str]) -> list[Scanned]:
     """One job over all files; one row per file reaches the driver.  Empty
     files have no row."""
     if not paths:
         return []
-    splits = lines(spark, paths).mapInArrow(
-        _looker(), "file string, block long, first binary, opens boolean, odd boolean")
     first = F.min_by(F.struct(F.col("first").cast("string").alias("value"), "opens"), "block")
-    rows = splits.groupBy("file").agg(F.max("odd").alias("odd"), first.alias("first")).collect()
+    rows = splits(spark, paths).groupBy("file").agg(F.max("odd").alias("odd"), first.alias("first")).collect()
     return sorted(Scanned(r.file, () if r["first"].opens else header_names(r["first"].value),
                           not r.odd, r.file) for r in rows)
 

@@ -109,3 +109,12 @@ def test_records_are_cut_in_chunks_without_moving_lines(spark, scratch, monkeypa
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortAggregate" not in plan
     assert _rows(records.parsed(found, NAMES), NAMES) == sorted(rows)
+
+
+def test_the_first_pass_keeps_a_row_per_split(spark, scratch):
+    path = _file(scratch, "stop_times", _text([NAMES, *[(f"T{i}", "a", "b") for i in range(500)]]))
+    seen = records.splits(spark, [path])
+    assert "Sort" not in seen._jdf.queryExecution().executedPlan().toString()
+    assert [(bytes(r["first"]).decode(), r.opens, r.odd) for r in seen.collect()] == [
+        (",".join(NAMES), False, False)]
+    assert [s.one_line for s in records.scan(spark, [path])] == [True]
