@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers as P
@@ -80,3 +81,73 @@ def test_copies_side_by_side_are_encoded_alike(documents, monkeypatch):
     for i, t in enumerate(texts):
         assert list(whole[i].ids) == list(short[i].ids) == single[t]
         assert (list(whole[i].start), list(whole[i].end)) == (list(short[i].start), list(short[i].end))
+
+
+def given_to_library(monkeypatch, texts):
+    """(ids of the texts, characters that the library got) in a new worker."""
+    given = []
+    monkeypatch.setattr(b, "ids_of", lambda tokenizer, part, ids_of=b.ids_of: (
+        given.extend(map(len, part)), ids_of(tokenizer, part))[1])
+    b.codec.cache_clear()
+    ids = [i.tolist() for i in b.encode_texts(texts, *FILES)]
+    b.codec.cache_clear()
+    return ids, sum(given)
+
+
+def test_the_library_gets_each_match_once(monkeypatch):
+    draw = random.Random(1)
+    words = [" " + "".join(draw.choices("abcdeé", k=draw.randint(1, 9))) for _ in range(500)]
+    texts = ["".join(draw.choices(words, k=200)) + ".\n" for _ in range(200)]
+    monkeypatch.setattr(b, "SLICE_CHARS", 10000)
+    ids, given = given_to_library(monkeypatch, texts)
+    assert ids == list(map(reference().encode_ordinary, texts))
+    assert given < sum(map(len, texts)) / 10
+
+
+def test_slices_after_one_of_new_matches_are_encoded_whole(monkeypatch):
+    draw = random.Random(2)
+    texts = [" ".join("".join(draw.choices("bcdfgh漢字", k=12)) for _ in range(40)) for _ in range(60)]
+    monkeypatch.setattr(b, "SLICE_CHARS", 500)
+    ids, given = given_to_library(monkeypatch, texts)
+    assert ids == list(map(reference().encode_ordinary, texts))
+    assert given <= 1.1 * sum(map(len, texts))
+
+
+def test_any_characters_and_short_memory_give_the_ids_of_another_library(monkeypatch):
+    draw = random.Random(3)
+    odd = [chr(c) for c in range(0x250, 0x32400, 97) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(draw.choices([*"'''strevmlld   \n\t\r\x0b\x1c\x85\xa0 ​́éßǅ漢字🎉٣½1a!.,",
+                                   " the", " of", "-" * 70, "x" * 70, "࢏", *draw.sample(odd, 2)],
+                                  k=draw.randint(0, 60))) for _ in range(4000)]
+    want = list(map(reference().encode_ordinary, texts))
+    monkeypatch.setattr(b, "SLICE_CHARS", 2000)
+    assert given_to_library(monkeypatch, texts)[0] == want
+    monkeypatch.setattr(b, "KEPT_MATCHES", 50)
+    monkeypatch.setattr(b, "PAUSE", 0)
+    assert given_to_library(monkeypatch, texts)[0] == want
+
+
+def test_characters_that_the_patterns_take_differently_are_known(monkeypatch):
+    b.codec.cache_clear()
+    codec = b.codec(*FILES)
+    cuts = codec.split.pre_tokenize_str
+    for c in [*range(0x3000), *range(0x3000, 0x32400, 61)]:
+        text = f"a{chr(c)}1{chr(c)}! {chr(c)}{chr(c)}" if not 0xD800 <= c < 0xE000 else ""
+        if codec.cut_alike(text):
+            assert codec.cut(text) == [p for p, _ in cuts(text)], hex(c)
+
+
+def test_split_tokens_are_those_of_the_offsets():
+    for text, ids in zip(TEXTS, b.encode_texts(TEXTS, *FILES)):
+        assert b.split_tokens(ids, *FILES) == b.character_offsets(text, ids, *FILES)[2].sum()
+
+
+def test_other_patterns_and_vocabularies_go_to_the_library(tmp_path):
+    ranks = [*(bytes([i]) for i in range(256) if i != 0x7A), b"ab", b" a", b" ab"]
+    path = tmp_path / "few.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(ranks)))
+    texts = ["ab abzab  zz aé", "z"]
+    bytes_of = [[b.decode_ids(ids, *f) for ids in b.encode_texts(texts, *f)]
+                for f in ((str(path), P.PATTERN), (str(path), "[a-z]+"), (FILES[0], "[a-z]+"))]
+    left_out = [t.replace("z", "").encode() for t in texts]
+    assert bytes_of == [left_out, left_out, [t.encode() for t in texts]]
