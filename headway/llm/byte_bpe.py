@@ -185,13 +185,13 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def slices(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, in lists of about SLICE_CHARS characters."""
+def slices(texts: list[str], chars: int | None = None) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``chars``, or SLICE_CHARS, characters."""
     out, size = [], 0
     for text in texts:
         out.append(text)
         size += len(text)
-        if size >= SLICE_CHARS:
+        if size >= (chars or SLICE_CHARS):
             yield out
             out, size = [], 0
     if out:

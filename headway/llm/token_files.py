@@ -14,10 +14,12 @@ is its file's plus its own, so no row is moved to find it.
 
 Ids come from the ``tokenizers`` library.  Where the vocabulary's normalizer
 and pre-tokenizer are the ones ``parts_of`` knows, no token reaches over
-white space, and each distinct word is encoded once for a worker: words of
-plain characters are cut by the vocabulary's own pattern, and each distinct
-part goes to the library's model; other words go to the library whole, and so
-does a text that holds the name of a special token.
+white space.  Arrow cuts a slice of texts into words and numbers the distinct
+ones, and each of those is encoded once for a worker: words of plain characters
+are cut by the vocabulary's own pattern, and each distinct part goes to the
+library's model (letters, alone or before a mark, are one part and need no
+pattern); other words go to the library whole, and so does a text that holds
+the name of a special token.
 
 Defined results: a null text counts as empty and has the end id alone.  Rows
 with a null id come first; rows of one id are ordered by the hash of their
@@ -40,6 +42,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -58,9 +61,10 @@ ORC_OPTIONS = {
     "orc.stripe.size": str(64 << 20),
     "compression": "zstd",
 }
-KEPT_WORDS = 1 << 18      # words, and parts of words, whose ids a worker remembers
+KEPT_WORDS = 1 << 18      # words to be cut, and parts of words, whose ids a worker remembers
 KEPT_PARTS = 1 << 19
 KEPT_CHARS = 64
+SLICE_CHARS = 1 << 23     # of the texts whose distinct words are numbered together
 
 #: Characters that stay as they are under NFC, whose lower case depends on
 #: no other character, and whose white space is space, tab, LF, VT, FF, CR.
@@ -103,11 +107,13 @@ class Encoder:
         self.cut = parts_of(spec)
         self.by_word = self.cut is not None and not any(t.split() != [t] for t in self.special)
         # Are letters one part, and a mark after them another?
+        letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower()
+                          and _PLAIN.fullmatch(c))
         self.letters = self.by_word and all(
-            self.cut(x) == [x] and self.cut(x + c) == [x, c] for c in _MARKS for x in ("ab", "éß"))
+            self.cut(x) == [x] and self.cut(x + c) == [x, c] for c in _MARKS for x in ("ab", letters))
         self.shown = dict(enumerate(byte_characters()))
         self.parts = _Kept(self._part, KEPT_PARTS)
-        self.plain = _Kept(self._plain, KEPT_WORDS)
+        self.cuts = _Kept(self._cut, KEPT_WORDS)
         self.words = _Kept(self._word, KEPT_WORDS)
 
     def _whole(self, text: str) -> bytes:
@@ -121,21 +127,43 @@ class Encoder:
         ids = [t.id for t in self.tokenizer.model.tokenize(name)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _plain(self, word: str) -> bytes:
-        if self.letters and word[-1] in _MARKS and word[:-1].isalpha():
-            return self.parts[word[:-1]] + self.parts[word[-1]]
+    def _cut(self, word: str) -> bytes:
         return b"".join([self.parts[p] for p in self.cut(word)])
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        return self.plain[text.lower()] if _PLAIN.fullmatch(text) else self._whole(text)
+    def _plain(self, word: str) -> bytes:
+        if self.letters:
+            if word.isalpha():
+                return self.parts[word]
+            if word[-1:] in _MARKS and word[:-1].isalpha():
+                return self.parts[word[:-1]] + self.parts[word[-1]]
+        return self.cuts[word]
+
+    def _word(self, word: str) -> bytes:
+        return self._plain(word.lower()) if _PLAIN.fullmatch(word) else self._whole(word)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text of a slice."""
+        out: list = [None] * len(texts)
+        plain, other = [], []
+        for i, text in enumerate(texts):
+            if not self.by_word or any(t in text for t in self.special):
+                out[i] = self._whole(text)
+            else:
+                (plain if _PLAIN.fullmatch(text) else other).append(i)
+        for places, ids_of in ((plain, self._plain), (other, self.words.__getitem__)):
+            held = [texts[i].lower() if places is plain else texts[i] for i in places]
+            # ASCII white space: all there is in plain texts, and within no character.
+            words = pc.ascii_split_whitespace(pa.array(held, pa.large_string()))
+            each = words.flatten().dictionary_encode()
+            ids = np.array([*map(ids_of, each.dictionary.to_numpy(zero_copy_only=False)), None],
+                           object)
+            numbers, bounds = each.indices.to_numpy(), words.offsets.to_numpy()
+            for i, begin, end in zip(places, bounds, bounds[1:]):
+                out[i] = b"".join(ids[numbers[begin:end]].tolist())
+        return out
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word or any(t in text for t in self.special):
-            return self._whole(text)
-        if _PLAIN.fullmatch(text):
-            return b"".join(map(self.plain.__getitem__, text.lower().split()))
-        return b"".join(map(self.words.__getitem__, text.encode().split()))
+        return self.encode_all([text])[0]
 
 
 def parts_of(spec: dict):
@@ -188,8 +216,8 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         before = 0
         for batch in batches:
             at = 0
-            for texts in slices([t or "" for t in batch.column("text").to_pylist()]):
-                ids = [coder.encode(t) + end for t in texts]
+            for texts in slices([t or "" for t in batch.column("text").to_pylist()], SLICE_CHARS):
+                ids = [i + end for i in coder.encode_all(texts)]
                 sizes = np.array([len(i) // 4 for i in ids], np.int64)
                 ends = np.cumsum(sizes)
                 flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]),

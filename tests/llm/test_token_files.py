@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -66,6 +67,35 @@ def test_other_vocabularies_go_through_the_library_whole():
     assert decoded(coder.encode(text)) == ids_of(Tokenizer.from_file(path), text)
 
 
+def test_a_slice_of_texts_of_every_kind(library, coder):
+    texts = ["", "  Be.  be\n\tBE ", "日本 Be. ab3,x", "x<|endoftext|>y", " \x1c a\x85b　c ", "İ ȺB Ⱦ!",
+             "the#### +1 a@b.c", "\n", "word" * 100, "é" * 70 + ". é"]
+    assert [decoded(i) for i in coder.encode_all(texts)] == [ids_of(library, t) for t in texts]
+    assert coder.encode_all([]) == []
+
+
+def test_a_word_is_looked_up_once_for_a_slice(library, monkeypatch):
+    coder, looked = Encoder(PATH), []
+    plain = coder._plain
+    monkeypatch.setattr(coder, "_plain", lambda word: looked.append(word) or plain(word))
+    found = coder.encode_all(["To be, or not to be."] * 500)
+    assert {tuple(decoded(i)) for i in found} == {tuple(ids_of(library, "To be, or not to be."))}
+    assert sorted(w for w in looked if w) == ["be,", "be.", "not", "or", "to"]
+
+
+@pytest.mark.parametrize("pattern", [r"[\p{L}]{1,3}|[^\s\p{L}]+", r"[\p{L}]+", r"[\p{L}.]+|[^\s\p{L}.]"])
+def test_a_vocabulary_that_cuts_letters_otherwise(tmp_path, pattern):
+    with open(PATH, encoding="utf-8") as held:
+        spec = json.load(held)
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = pattern
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    text = "whether letters. are, one part 12 naïve!"
+    coder = Encoder(str(path))
+    assert coder.by_word
+    assert decoded(coder.encode(text)) == ids_of(Tokenizer.from_file(str(path)), text)
+
+
 def test_files_hold_every_document_in_order(spark, documents, library, scratch):
     rows = ODD_ROWS + [(20 + i % 50, f"word{i} <|endoftext|>", "en", "s") for i in range(300)]
     files = write_tokens(documents(rows, extra=True), scratch, files=5)
