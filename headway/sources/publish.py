@@ -13,10 +13,12 @@ empty table has a manifest too, so its columns are known.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.sources import files
@@ -35,6 +37,10 @@ def read_manifest(spark: SparkSession, path: str) -> Manifest | None:
     text = files.read_text(spark, f"{path.rstrip('/')}/{MANIFEST}")
     if text is None:
         return None
+    return _manifest(text)
+
+
+def _manifest(text: str) -> Manifest:
     held = json.loads(text)
     return Manifest(tuple(held["files"]), T.StructType.fromJson(held["schema"]), held["rows"])
 
@@ -51,6 +57,83 @@ def switch(spark: SparkSession, path: str, names: Sequence[str], schema: T.Struc
             files.delete(spark, f.path)
 
 
+def _starter(schema: str):
+    locate = files.locator()
+
+    def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import json
+        import uuid
+
+        from pyarrow import fs
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                system, place = locate(row.place)
+                system.create_dir(place, recursive=True)
+                there = [f.base_name for f in system.get_file_info(fs.FileSelector(place))]
+                names = sorted(n for n in there if n.endswith(".parquet") and n[:1] not in "_.")
+                held = f"{place}/.{row.manifest}-{uuid.uuid4().hex}"
+                with system.open_output_stream(held) as out:
+                    out.write(json.dumps({"files": names, "schema": json.loads(schema),
+                                          "rows": int(row.rows)}).encode())
+                try:
+                    system.move(held, f"{place}/{row.manifest}")
+                except OSError:      # this task ran before
+                    if system.get_file_info(f"{place}/{row.manifest}").type != fs.FileType.File:
+                        raise
+                    system.delete_file(held)
+            yield batch[["place"]]
+
+    return start
+
+
+def start_all(spark: SparkSession, units: Sequence[tuple[str, int]], schema: T.StructType) -> None:
+    """Publish tables of ``schema`` at places where nothing was before: all
+    data files at each (place, rows) make up its table.  Tasks do it, as
+    there may be very many."""
+    if not units:
+        return
+    if not files.in_tasks(spark, units[0][0]):
+        files.each(lambda u: switch(spark, u[0], data_files(spark, u[0]), schema, u[1]), units)
+        return
+    rows = spark.createDataFrame([(files.qualified(spark, p), n, MANIFEST) for p, n in units],
+                                 "place string, rows long, manifest string")
+    done = rows.repartition(files.tasks_for(spark, len(units))).mapInPandas(
+        _starter(schema.json()), "place string")
+    if done.agg(F.count("place")).first()[0] != len(units):
+        raise OSError("not every table was published")
+
+
+def read_manifests(spark: SparkSession, places: Sequence[str]) -> dict[str, Manifest]:
+    """What is published at each of ``places``; read by tasks if they are many."""
+    if len(places) <= files.SIDE_BY_SIDE or not files.in_tasks(spark, places[0]):
+        found = zip(places, files.each(lambda p: read_manifest(spark, p), places))
+        return {p: m for p, m in found if m is not None}
+    own = {files.qualified(spark, p): p for p in places}
+    rows = spark.createDataFrame([(f"{p}/{MANIFEST}",) for p in own], "path string").repartition(
+        files.tasks_for(spark, len(own))).mapInPandas(_manifest_reader(), "path string, text string")
+    return {own[r.path.rpartition("/")[0]]: _manifest(r.text) for r in rows.collect()}
+
+
+def _manifest_reader():
+    locate = files.locator()
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                system, place = locate(path)
+                if system.get_file_info(place).type == fs.FileType.File:
+                    with system.open_input_stream(place) as held:
+                        found.append((path, held.read().decode()))
+            yield pd.DataFrame(found, columns=["path", "text"])
+
+    return read
+
+
 def _below(path: str, folder: str) -> str:
     """``path`` from its folder on (folders are given with or without scheme)."""
     name = folder.rsplit("/", 1)[-1]

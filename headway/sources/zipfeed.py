@@ -29,6 +29,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,13 +96,16 @@ def _reader(extra: list[str], chunk: int):
     its records from 1, each a map of column to text."""
     locate = files.locator()
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import contextlib
         import csv
         import io
         import zipfile
         import zlib
 
+        import numpy as np
+        import pyarrow as pa
+
         csv.field_size_limit(1 << 30)
 
         class Member(io.RawIOBase):
@@ -152,25 +156,40 @@ def _reader(extra: list[str], chunk: int):
             names = [n.strip() for n in next(rows, [])]
             if not names:
                 return
-            held = [(0, dict.fromkeys(names))]
+            # Of columns with one name the last counts.
+            at = {name: i for i, name in enumerate(names)}
+            keep = None if len(at) == len(names) else list(at.values())
+            yield list(at), 0, [[""] * len(at)]
+            held, begin = [], 1
             for n, fields in enumerate((r for r in rows if r), 1):
                 if len(fields) > len(names):
                     raise ValueError(f"{row['member']}: record {n} has {len(fields)} fields, "
                                      f"the header {len(names)}")
-                fields += [""] * (len(names) - len(fields))
-                held.append((n, {k: v or None for k, v in zip(names, fields)}))
+                if len(fields) < len(names):
+                    fields += [""] * (len(names) - len(fields))
+                held.append([fields[i] for i in keep] if keep else fields)
                 if len(held) >= chunk:
-                    yield held
-                    held = []
-            yield held
+                    yield list(at), begin, held
+                    held, begin = [], n + 1
+            if held:
+                yield list(at), begin, held
+
+        def arrow(row, names, begin, held):
+            n, k = len(held), len(names)
+            keys = pa.array(names, pa.string()).take(pa.array(np.tile(np.arange(k), n)))
+            values = pa.array([v or None for fields in held for v in fields], pa.string())
+            fields = pa.MapArray.from_arrays(
+                pa.array(np.arange(0, n * k + 1, k), pa.int32()), keys, values)
+            same = [pa.repeat(pa.scalar(row[c], pa.string()), n)
+                    for c in ("source_path", "table_name", *extra)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(begin, begin + n), pa.int64()), fields, *same],
+                names=["record", "fields", "source_path", "table_name", *extra])
 
         for batch in batches:
-            for row in batch.to_dict("records"):
-                for held in chunks(row):
-                    out = pd.DataFrame(held, columns=["record", "fields"])
-                    yield out.assign(source_path=row["source_path"],
-                                     table_name=row["table_name"],
-                                     **{c: row[c] for c in extra})
+            for row in batch.to_pylist():
+                for names, begin, held in chunks(row):
+                    yield arrow(row, names, begin, held)
 
     return read
 
@@ -198,7 +217,7 @@ class ZipTables:
         self.extra = [c for c in archives.columns if c not in _FILE_COLUMNS]
         schema = ("record bigint, fields map<string, string>, source_path string, "
                   "table_name string" + "".join(f", `{c}` string" for c in self.extra))
-        rows = members(archives, self.tables).mapInPandas(_reader(self.extra, chunk), schema)
+        rows = members(archives, self.tables).mapInArrow(_reader(self.extra, chunk), schema)
         place = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/zip-{uuid.uuid4().hex}"
         rows.write.partitionBy("table_name").parquet(place)
         self.rows = self.spark.read.schema(rows.schema).parquet(place)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.sources import files
-from headway.sources.publish import added_files, data_files, switch
+from headway.sources.publish import added_files, data_files, start_all, switch
 from headway.sources.schemas import KNOWN_TABLES
 from headway.sources.zipfeed import ZipTables
 
@@ -47,7 +47,10 @@ def archive_batch(batch: DataFrame, archive_root: str,
         F.col("path").alias("source_path"), "snapshot_date", "archive"), "source_path").collect()
     units = {r: f"{root}/{r.table_name}/snapshot_date={r.snapshot_date}/archive={r.archive}"
              for r in listed}
-    before = dict(zip(units, files.each(lambda p: set(data_files(spark, p)), units.values())))
+    there = {f"{place}/{name}" for place in {u.rpartition("/")[0] for u in units.values()}
+             for name in files.folders(spark, place)}
+    known = {r: u for r, u in units.items() if u in there}
+    before = dict(zip(known, files.each(lambda p: set(data_files(spark, p)), known.values())))
     for table in tables:
         (found.table(table).write.mode("append").partitionBy("snapshot_date", "archive")
          .parquet(f"{root}/{table}"))
@@ -61,7 +64,10 @@ def archive_batch(batch: DataFrame, archive_root: str,
         else:      # gone from an archive that had it before
             files.delete(spark, place)
 
-    files.each(settle, units.items())
+    files.each(settle, known.items())
+    for table in tables:
+        start_all(spark, [(u, r.rows) for r, u in units.items() if u not in there
+                          and r.table_name == table and r.status == "loaded"], schemas[table])
 
 
 ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"

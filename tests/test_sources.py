@@ -222,6 +222,35 @@ def test_archives_of_one_snapshot_are_replayed_in_one_scan(spark, scratch):
     assert "Union" not in back["routes"]._jdf.queryExecution().toString()
 
 
+def test_new_archives_are_published_and_listed_by_tasks(spark, scratch, monkeypatch):
+    import pandas as pd
+
+    from headway.sources import archive, publish
+    from headway.streaming import feed_watch
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        z.writestr("stops.txt", "stop_id,stop_id,stop_name\na,b,\nc,d,x\n")
+        z.writestr("calendar_dates.txt", "service_id,date,exception_type\n")
+    batch = spark.createDataFrame(pd.DataFrame(
+        [(f"zip:/{i}.zip", packed.getvalue(), "2024-01-01") for i in range(20)],
+        columns=["path", "content", "snapshot_date"]))
+    tables = ("stops", "calendar_dates", "trips")
+
+    def one_by_one(*_):
+        raise AssertionError("the driver handled a new archive by itself")
+    with monkeypatch.context() as m:
+        m.setattr(feed_watch, "switch", one_by_one)
+        m.setattr(publish, "read_manifest", one_by_one)
+        feed_watch.archive_batch(batch, scratch, tables)
+        got = archive.replay_snapshot(spark, scratch, ["stops", "calendar_dates"], "2024-01-01")
+    assert sorted((r.stop_id, r.stop_name) for r in got["stops"].collect()) == (
+        [("b", None)] * 20 + [("d", "x")] * 20)
+    assert got["calendar_dates"].count() == 0 and "date" in got["calendar_dates"].columns
+    feed_watch.archive_batch(batch, scratch, tables)      # delivered again: replaced
+    again = archive.replay_snapshot(spark, scratch, ["stops"], "2024-01-01")["stops"]
+    assert again.count() == 40
+
+
 def test_changed_input_is_loaded_again(spark, scratch):
     import shutil
     here = os.path.join(scratch, "sf")
