@@ -62,3 +62,22 @@ def test_stop_visits_are_dealt_once_by_trip(spark):
     assert "Repartition" not in above
     a, b = (sorted(map(str, m.fact_scheduled_stop_event.collect())) for m in (few, hot))
     assert a and a == b
+
+
+def test_departures_meet_their_visits_where_they_are(spark):
+    import collections
+
+    from headway.operators.schedule import with_visits
+    few, hot = fixture_models(spark), fixture_models(spark)
+    hot.rows_per_task = 1          # every trip is too much for a task
+    found = [with_visits(m.fact_scheduled_trip, m.fact_scheduled_stop_event) for m in (few, hot)]
+    plan = found[0]._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan[:plan.index("Union")].splitlines() if "Exchange" in x]
+    assert dealt == []             # nothing is shuffled once departures are rows
+    dep = "departure_seconds_from_service_midnight"
+    stops = collections.Counter(r.trip_id for r in few.stg_stop_times.collect())
+    want = sorted((r.trip_id, r[dep], stops[r.trip_id] or None)
+                  for r in few.fact_scheduled_trip.collect())
+    for df in found:
+        got = sorted((r.trip_id, r[dep], r.visits) for r in df.collect())
+        assert [str(x) for x in got] == [str(x) for x in want]
