@@ -83,3 +83,26 @@ def test_checks_by_weights_equal_checks_on_rows(spark, seed):
     for k in keys:
         del quality.ROW_KEYS[k]
     assert {c.check_id: listed[c.check_id] for c in checks} == got
+
+
+def test_pairs_and_repeats_of_the_facts_are_made_once(spark, monkeypatch):
+    from fixture_feed import fixture_models
+
+    from headway.plans import models
+    m, stored, found = fixture_models(spark), [], []
+    keep, search = models.stored_table, fact_checks.repeated_departures
+    monkeypatch.setattr(models, "stored_table", lambda df, name: stored.append(name) or keep(df, name))
+    monkeypatch.setattr(fact_checks, "repeated_departures", lambda w: found.append(1) or search(w))
+    facts = m.weighted_facts
+    event, trip = facts["fact_scheduled_stop_event"], facts["fact_scheduled_trip"]
+    assert trip.repeats.count() and event.repeats.count() and len(found) == 1
+    assert event.rows.agg({"n_rows": "sum"}).first()[0] == m.fact_scheduled_stop_event.count()
+    marts = [m.presentation_daily_stop_arrivals, m.presentation_hourly_network_density,
+             m.presentation_route_summary]
+    assert stored.count("pairs") == 1
+    plain = fixture_models(spark)
+    for df, other in zip(marts, (plain.presentation_daily_stop_arrivals,
+                                 plain.presentation_hourly_network_density,
+                                 plain.presentation_route_summary)):
+        assert "pairs" in "".join(df.inputFiles())
+        assert sorted(map(str, df.collect())) == sorted(map(str, other.collect()))
