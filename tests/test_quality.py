@@ -50,3 +50,17 @@ def test_freshness(spark):
     assert q.freshness(loads, "snapshot_date", dt.date(2024, 3, 1)).first().status == "error"
     empty = loads.where(F.lit(False))
     assert q.freshness(empty, "snapshot_date", dt.date(2024, 3, 1)).first().status == "error"
+
+
+def test_surrogate_keys_are_compared_by_half_their_bytes(spark):
+    import hashlib
+
+    key = hashlib.md5(b"x").hexdigest()
+    texts = [key, key, key.upper(), "", "", "0", "00", "00", "1", "01", "zz", "é", "é", None, None]
+    df = spark.createDataFrame([(t,) for t in texts], "scheduled_trip_id string")
+    failed = q.unique_failures(df, "scheduled_trip_id")
+    assert "unhex" in failed._jdf.queryExecution().toString()
+    assert {r.unique_field: r.n_records for r in failed.collect()} == {key: 2, "": 2, "00": 2, "é": 2}
+    parent = df.where("scheduled_trip_id IN ('0', 'zz') OR length(scheduled_trip_id) = 32")
+    orphans = q.orphan_keys(df, "scheduled_trip_id", parent, "scheduled_trip_id")
+    assert {r.key: r.n_records for r in orphans.collect()} == {"": 2, "00": 2, "1": 1, "01": 1, "é": 2}
